@@ -321,3 +321,215 @@ def q_csv_roundtrip(spark, sf_dir):
     billing = warehouse(spark, sf_dir).clean_billing
     billing.write.option("header", True).csv(path)
     return spark.read.schema(schemas.BILLING_ORDERS).option("header", True).csv(path)
+
+
+# ==== Tier 2 (documented in the reference, built here) =======================================
+from . import catalog, customers, finance, growth, qos  # noqa: E402
+from ..streaming import incremental  # noqa: E402
+
+CTX = M.EVENTS_MONTH
+
+
+@query
+def q_plan_flow(spark, sf_dir):
+    s = warehouse(spark, sf_dir).sources
+    return growth.plan_flow(s.users, s.plan_changes)
+
+
+@query
+def q_mau_growth(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return growth.mau_growth(activity_snapshot(spark, sf_dir, wh))
+
+
+@query
+def q_mau_success(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return growth.mau_success(wh.fct_api_requests, wh.dim_status_code, CTX)
+
+
+@query
+def q_user_stage_metrics(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return growth.user_stage_metrics(wh.fct_api_requests, wh.sources.users, CTX)
+
+
+@query
+def q_model_stage_metrics(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return growth.model_stage_metrics(wh.fct_model_daily_snapshot, wh.dim_model, CTX)
+
+
+@query
+def q_calls_multi_grain(spark, sf_dir):
+    return growth.calls_multi_grain(warehouse(spark, sf_dir).fct_api_requests, CTX)
+
+
+@query
+def q_monthly_profit(spark, sf_dir):
+    wh = warehouse(spark, sf_dir, aligned=True)
+    return finance.monthly_profit(wh.fct_account_transactions, wh.fct_model_daily_snapshot)
+
+
+@query
+def q_arpu(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return finance.arpu(wh.fct_api_requests, wh.fct_account_daily_snapshot, CTX)
+
+
+@query
+def q_profit_forecast(spark, sf_dir):
+    wh = warehouse(spark, sf_dir, aligned=True)
+    return finance.profit_forecast(wh.fct_account_transactions, wh.fct_model_daily_snapshot, CTX)
+
+
+@query
+def q_profit_per_1m(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return finance.profit_per_1m(wh.fct_model_daily_snapshot, wh.dim_model, CTX)
+
+
+@query
+def q_user_spend_trend(spark, sf_dir):
+    wh = warehouse(spark, sf_dir, aligned=True)
+    return finance.spend_trend(wh.fct_account_daily_snapshot, wh.fct_account_transactions)
+
+
+@query
+def q_burn_rate(spark, sf_dir):
+    return finance.burn_rate(warehouse(spark, sf_dir, aligned=True).fct_account_transactions)
+
+
+@query
+def q_model_revenue_cost(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return finance.model_revenue_cost(wh.fct_model_daily_snapshot, wh.dim_model)
+
+
+@query
+def q_p99_latency(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return qos.p99_latency(wh.fct_api_requests, wh.dim_model, CTX)
+
+
+@query
+def q_error_rate(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return qos.error_rate(wh.fct_api_requests, wh.dim_model, wh.dim_status_code, CTX)
+
+
+@query
+def q_latency_zscore(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return qos.latency_zscore(wh.fct_model_daily_snapshot, wh.dim_model, CTX)
+
+
+@query
+def q_traffic_zscore(spark, sf_dir):
+    return qos.traffic_zscore(warehouse(spark, sf_dir).fct_account_daily_snapshot, CTX)
+
+
+@query
+def q_alert_count(spark, sf_dir):
+    return qos.alert_count(q_latency_zscore(spark, sf_dir), q_traffic_zscore(spark, sf_dir))
+
+
+@query
+def q_model_qos_from_snapshot(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return qos.model_qos_from_snapshot(wh.fct_model_daily_snapshot, wh.dim_model, CTX)
+
+
+@query
+def q_model_share(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return qos.model_share(wh.fct_model_daily_snapshot, wh.dim_model)
+
+
+@query
+def q_timezone_align(spark, sf_dir):
+    return qos.timezone_align(warehouse(spark, sf_dir).fct_api_requests, CTX)
+
+
+@query
+def q_rfm(spark, sf_dir):
+    return customers.rfm(warehouse(spark, sf_dir).fct_api_requests, CTX)
+
+
+@query
+def q_key_leaderboard(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return customers.key_leaderboard(wh.fct_api_requests, wh.dim_api_key, CTX)
+
+
+@query
+def q_top3_models(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return customers.top_models(wh.fct_api_requests, wh.dim_model, CTX)
+
+
+@query
+def q_kmeans_segments(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return customers.kmeans_segments(wh.fct_api_requests, wh.dim_status_code, CTX)
+
+
+@query
+def q_account_tags(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    wha = warehouse(spark, sf_dir, aligned=True)
+    return customers.account_tags(q_rfm(spark, sf_dir), finance.burn_rate(wha.fct_account_transactions),
+                                  qos.traffic_zscore(wh.fct_account_daily_snapshot, CTX), CTX)
+
+
+@query
+def q_model_tags(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return customers.model_tags(q_error_rate(spark, sf_dir), q_latency_zscore(spark, sf_dir), wh.dim_model, CTX)
+
+
+@query
+def q_struct_metrics(spark, sf_dir):
+    return customers.struct_metrics(q_key_leaderboard(spark, sf_dir), q_rfm(spark, sf_dir),
+                                    q_profit_forecast(spark, sf_dir), CTX)
+
+
+def stored_metric_rows(spark, sf_dir) -> DataFrame:
+    """All metric rows one full run writes (value and struct sinks), for the catalogue check."""
+    value = reduce(DataFrame.unionByName, [
+        q_run_metrics(spark, sf_dir), q_mau_success(spark, sf_dir), q_user_stage_metrics(spark, sf_dir),
+        q_model_stage_metrics(spark, sf_dir), q_calls_multi_grain(spark, sf_dir)])
+    struct = q_retention_json(spark, sf_dir).unionByName(q_struct_metrics(spark, sf_dir))
+    return value.select("metric_code").unionByName(struct.select("metric_code"))
+
+
+@query
+def q_meta_metric(spark, sf_dir):
+    return catalog.registration_check(catalog.meta_metric(spark), stored_metric_rows(spark, sf_dir))
+
+
+LANDED_FROM = date(2024, 1, 26)
+
+
+@query
+def q_incremental_snapshot(spark, sf_dir):
+    """S-16 (a): yesterday's snapshot (requests before 01-26) refreshed with the requests that
+    landed since (01-26 onward plus late rows for 01-20); equals the full rebuild."""
+    wh = warehouse(spark, sf_dir)
+    fact = wh.fct_api_requests
+    late = F.to_date("request_time") == F.lit(date(2024, 1, 20))
+    landed = fact.filter((F.to_date("request_time") >= F.lit(LANDED_FROM)) | late)
+    before = fact.filter((F.to_date("request_time") < F.lit(LANDED_FROM)) & ~late)
+    from ..operators.snapshots import account_daily_snapshot
+    old = account_daily_snapshot(before)
+    out = incremental.refresh_touched_days(old, fact, landed)
+    return _money(out, "daily_revenue_usd", "daily_cost_usd")
+
+
+@query
+def q_stream_daily_calls(spark, sf_dir):
+    """S-16 (b): daily platform calls maintained by a stream over the written fact files."""
+    fact_path = scratch_path(spark, "fact")
+    warehouse(spark, sf_dir).fct_api_requests.write.parquet(fact_path)
+    return incremental.stream_daily_calls(spark, fact_path, scratch_path(spark, "stream-out"),
+                                          scratch_path(spark, "stream-ckpt"))
