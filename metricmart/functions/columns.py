@@ -71,6 +71,11 @@ def money4(x: Column) -> Column:
     return F.round(x.cast("decimal(38,10)"), 4).cast("decimal(18,4)")
 
 
+def round4(x: Column) -> Column:
+    """A double shown at 4 decimals, rounded HALF_UP through DECIMAL (tie-safe, see ``money4``)."""
+    return F.round(x.cast("decimal(38,10)"), 4).cast("double")
+
+
 def round10(x: Column) -> Column:
     """DW doubles are compared at 10 decimals (exact adapter prices have at most 10)."""
     return F.round(x, 10)

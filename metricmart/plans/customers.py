@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import money4
+from ..functions.columns import money4, round4
 from ..operators.percentile import global_percentiles, score_by_cutoffs
 from .metrics import MetricContext, in_range
 
@@ -78,7 +78,7 @@ def top_models(fact: DataFrame, dim_model: DataFrame, ctx: MetricContext, k: int
     rn = F.row_number().over(Window.partitionBy("account_sk").orderBy(F.col("requests").desc(), "model_id"))
     return (per.withColumn("model_rank", rn).filter(F.col("model_rank") <= k)
                .select("account_sk", "model_id", F.col("requests").cast("bigint").alias("requests"),
-                       F.round(F.col("_lat"), 4).alias("mean_latency_ms"), "model_rank"))
+                       round4(F.col("_lat")).alias("mean_latency_ms"), "model_rank"))
 
 
 def behaviour_features(fact: DataFrame, dim_status: DataFrame, ctx: MetricContext) -> DataFrame:

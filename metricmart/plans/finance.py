@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import month_id, money4, safe_ratio
+from ..functions.columns import month_id, money4, round4, safe_ratio
 from .metrics import MetricContext, in_days, in_range
 
 DAY0 = "2024-01-01"  # fixed value: day 0 of the regression x-axis
@@ -80,7 +80,7 @@ def profit_forecast(transactions: DataFrame, model_snapshot: DataFrame, ctx: Met
                       F.explode(F.sequence(F.lit(1), F.lit(horizon_days))).alias("i"))
     fd = F.date_add(F.lit(ctx.end_date), F.col("i"))
     return days.select(fd.alias("forecast_date"),
-                       F.round(F.col("intercept") + F.col("slope") * F.datediff(fd, F.lit(DAY0)).cast("double"), 4)
+                       round4(F.col("intercept") + F.col("slope") * F.datediff(fd, F.lit(DAY0)).cast("double"))
                        .alias("predicted_profit_usd"))
 
 
@@ -134,7 +134,7 @@ def burn_rate(transactions: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("active_days"), F.max("d").alias("last_day"),
         F.max_by("balance", "d").alias("balance_usd"),
         F.regr_slope(F.col("balance").cast("double"), x).alias("slope"))
-    slope = F.round(F.col("slope"), 4)
+    slope = round4(F.col("slope"))
     days_left = F.ceil(F.try_divide(F.col("balance_usd").cast("double"), -F.col("slope")))
     ok = (F.col("slope") < 0) & (F.col("balance_usd") > 0) & (days_left <= MAX_RUNWAY_DAYS)
     return per.select("account_sk", F.col("active_days").cast("bigint").alias("active_days"), "last_day",

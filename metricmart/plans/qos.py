@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import day_id, month_id, safe_ratio
+from ..functions.columns import day_id, month_id, round4, safe_ratio
 from ..operators.keys import bounded_broadcast
 from ..operators.percentile import grouped_percentile
 from .metrics import MetricContext, in_days, in_range
@@ -41,7 +41,7 @@ def p99_latency(fact: DataFrame, dim_model: DataFrame, ctx: MetricContext, p: fl
     return counts.join(pct, "model_id", "left").select(
         "model_id", F.col("requests").cast("bigint").alias("requests"),
         F.col("kept_requests").cast("bigint").alias("kept_requests"),
-        F.round(F.col("_p"), 4).alias("p99_latency_ms"))
+        round4(F.col("_p")).alias("p99_latency_ms"))
 
 
 def error_rate(fact: DataFrame, dim_model: DataFrame, dim_status: DataFrame, ctx: MetricContext) -> DataFrame:
@@ -64,7 +64,7 @@ def zscores(series: DataFrame, entity: str, day: str, value: str) -> DataFrame:
     w = Window.partitionBy(entity)
     z = F.try_divide(F.col(value) - F.avg(value).over(w), F.stddev_samp(value).over(w))
     return (series.withColumn("_z", z)
-                  .select(entity, day, value, F.round(F.col("_z"), 4).alias("z_score"),
+                  .select(entity, day, value, round4(F.col("_z")).alias("z_score"),
                           F.coalesce(F.abs(F.col("_z")) > F.lit(SIGMA), F.lit(False)).alias("is_alert")))
 
 
