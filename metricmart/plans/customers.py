@@ -161,14 +161,20 @@ def _struct_rows(df: DataFrame, code: str, entity_type: str, entity: Column, tim
                      body.alias("struct_json"))
 
 
+TOP_KEYS = 10  # fixed value (ours): keys listed per account in the rank struct
+
+
 def struct_metrics(leaderboard: DataFrame, rfm_df: DataFrame, forecast: DataFrame,
                    ctx: MetricContext) -> DataFrame:
     """S-26: rank, segment and forecast results as ``dws_metric_struct`` JSON rows.
 
-    Per-account key lists are bounded by the keys of one account (aggregated rows).
+    Per-account key lists hold the account's top ``TOP_KEYS`` keys (a top-k report).
     """
     month = ctx.end.strftime("%Y-%m")
-    keys = leaderboard.groupBy("account_sk").agg(
+    # the leaderboard shows an account's top keys only: at most TOP_KEYS entries per list
+    top = leaderboard.withColumn("_rn", F.row_number().over(
+        Window.partitionBy("account_sk").orderBy("token_rank", "key_id"))).filter(F.col("_rn") <= TOP_KEYS)
+    keys = top.groupBy("account_sk").agg(
         F.sort_array(F.collect_list(F.struct("token_rank", "key_id"))).alias("_k"))
     rank_json = F.concat(F.lit("["), F.array_join(F.transform("_k", lambda x: F.concat(
         F.lit('{"key_id":'), x["key_id"].cast("string"), F.lit(',"rank":'), x["token_rank"].cast("string"),

@@ -23,7 +23,7 @@ from ..session import checkpoint_dir
 from ..sources import adapters
 from . import metrics as M
 from .runner import MetricSpec, run_metrics
-from .warehouse import Warehouse, activity_snapshot
+from .warehouse import Warehouse, activity_snapshot, aligned_billing
 
 QUERIES: dict = {}
 
@@ -36,11 +36,17 @@ def query(fn):
 
 
 def warehouse(spark: SparkSession, sf_dir: str, aligned: bool = False) -> Warehouse:
-    """One warehouse per (session, folder): dimensions are keyed and frozen once."""
-    key = (spark.sparkContext.applicationId, sf_dir, aligned)
+    """One warehouse per (session, folder), loaded into the shared checkpoint folder once.
+
+    ``aligned=True`` is the same warehouse with the date-aligned billing source
+    (FIXTURES.md §2); it shares the dimensions and the request fact.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
-        _CACHE[key] = Warehouse.from_testdata(spark, sf_dir, aligned_billing=aligned)
-    return _CACHE[key]
+        path = scratch_path(spark, "warehouse")
+        base = Warehouse.from_testdata(spark, sf_dir, store_path=path)
+        _CACHE[key] = (base, base.with_billing(aligned_billing(spark, sf_dir), store_path=path))
+    return _CACHE[key][1 if aligned else 0]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -211,8 +217,7 @@ RANGE = M.MetricContext.for_days(date(2024, 1, 10), date(2024, 1, 12))
 
 @query
 def q_fact_range_scan(spark, sf_dir):
-    f = warehouse(spark, sf_dir).fct_api_requests
-    return _money(f.filter(M.in_range(F.col("request_time"), RANGE)), "revenue_usd", "cost_usd")
+    return _money(warehouse(spark, sf_dir).requests_between(RANGE), "revenue_usd", "cost_usd")
 
 
 SCOPE_MODELS = ["m1", "m3", "m5"]

@@ -1,8 +1,14 @@
 """The ETL as one object: sources → clean → dimensions → facts → snapshots.
 
-Every table is a lazily built DataFrame; dimensions are frozen by their key
-assignment (a reliable checkpoint), so every later reader sees the same keys.
-``load`` writes all tables in dependency order (SNK-2 / SNK-10).
+Every table is built lazily on first use. With ``store_path`` set, each table
+is written once as parquet under that (shared) folder and read back, the way
+the reference loads its warehouse before metrics run: metrics then scan
+columnar tables instead of re-running the cleaning and the star join, and the
+lineage is cut at every table. The request fact is partitioned by request date
+so time-range reads prune whole folders.
+
+A warehouse built ``with_billing`` shares the dimensions, the request fact and
+the snapshots of its base and only replaces the billing side.
 """
 
 from __future__ import annotations
@@ -13,21 +19,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dims, facts, quality, snapshots
-from ..sources.adapters import derive_sources, order_activity
+from ..sources.adapters import billing_orders, derive_sources, order_activity
 from ..sources.loader import Sources
+from .metrics import MetricContext
 
 
 class Warehouse:
-    def __init__(self, sources: Sources):
+    def __init__(self, sources: Sources, store_path: str | None = None, base: "Warehouse | None" = None):
         self.sources = sources
+        self.store_path = store_path.rstrip("/") if store_path else None
+        self.base = base
 
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str, aligned_billing: bool = False) -> "Warehouse":
-        return cls(derive_sources(spark, sf_dir, aligned_billing))
+    def from_testdata(cls, spark: SparkSession, sf_dir: str, store_path: str | None = None) -> "Warehouse":
+        return cls(derive_sources(spark, sf_dir), store_path)
+
+    def with_billing(self, billing: DataFrame, store_path: str | None = None) -> "Warehouse":
+        s = self.sources
+        src = Sources(s.users, s.plan_changes, s.api_keys, s.models, s.logs, billing)
+        return Warehouse(src, store_path, base=self)
+
+    @property
+    def spark(self) -> SparkSession:
+        return self.sources.logs.sparkSession
+
+    def _stored(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+        if self.store_path is None:
+            return df
+        path = f"{self.store_path}/{name}"
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+        return self.spark.read.parquet(path)
 
     # ---- clean (DQ-1) ----
     @cached_property
     def clean_logs(self) -> DataFrame:
+        if self.base is not None:
+            return self.base.clean_logs
         return quality.clean_logs(self.sources.logs)
 
     @cached_property
@@ -37,41 +67,74 @@ class Warehouse:
     # ---- dimensions ----
     @cached_property
     def dim_model(self) -> DataFrame:
-        return dims.build_dim_model(self.sources.models)
+        if self.base is not None:
+            return self.base.dim_model
+        return self._stored("dim_model", dims.build_dim_model(self.sources.models))
 
     @cached_property
     def dim_api_key(self) -> DataFrame:
-        return dims.build_dim_api_key(self.sources.api_keys)
+        if self.base is not None:
+            return self.base.dim_api_key
+        return self._stored("dim_api_key", dims.build_dim_api_key(self.sources.api_keys))
 
     @cached_property
     def dim_status_code(self) -> DataFrame:
-        return dims.build_dim_status(self.clean_logs)
+        if self.base is not None:
+            return self.base.dim_status_code
+        return self._stored("dim_status_code", dims.build_dim_status(self.clean_logs))
 
     @cached_property
     def dim_account_lineage(self) -> DataFrame:
-        return dims.build_dim_account(self.sources.users, self.sources.plan_changes, keep_lineage=True)
+        """``dim_account`` plus its ordering columns (``ord``, ``change_id``) for the C-7 checks."""
+        if self.base is not None:
+            return self.base.dim_account_lineage
+        return self._stored("dim_account",
+                            dims.build_dim_account(self.sources.users, self.sources.plan_changes,
+                                                   keep_lineage=True))
 
     @cached_property
     def dim_account(self) -> DataFrame:
         return self.dim_account_lineage.drop("ord", "change_id")
 
     # ---- facts ----
+    @cached_property
+    def _requests_by_date(self) -> DataFrame:
+        if self.base is not None:
+            return self.base._requests_by_date
+        f = facts.build_fct_requests(self.clean_logs, self.sources.api_keys, self.dim_account,
+                                     self.dim_api_key, self.dim_model, self.dim_status_code)
+        return self._stored("fct_api_requests", f.withColumn("request_date", F.to_date("request_time")),
+                            ["request_date"])
+
     @cached_property
     def fct_api_requests(self) -> DataFrame:
-        return facts.build_fct_requests(self.clean_logs, self.sources.api_keys, self.dim_account,
-                                        self.dim_api_key, self.dim_model, self.dim_status_code)
+        return self._requests_by_date.drop("request_date")
+
+    def requests_between(self, ctx: MetricContext) -> DataFrame:
+        """SRC-9: a time-range read of the fact; the date bound prunes partitions, the
+        timestamp bound (a pushed parquet filter) trims the edges."""
+        f = self._requests_by_date.filter(
+            F.col("request_date").between(F.lit(ctx.start_date), F.lit(ctx.end_date))
+            & F.col("request_time").between(F.lit(ctx.start), F.lit(ctx.end)))
+        return f.drop("request_date")
 
     @cached_property
     def fct_account_transactions(self) -> DataFrame:
-        return facts.build_fct_transactions(self.clean_billing, self.dim_account)
+        name = "fct_account_transactions" + ("_aligned" if self.base is not None else "")
+        return self._stored(name, facts.build_fct_transactions(self.clean_billing, self.dim_account))
 
     @cached_property
     def fct_account_daily_snapshot(self) -> DataFrame:
-        return snapshots.account_daily_snapshot(self.fct_api_requests)
+        if self.base is not None:
+            return self.base.fct_account_daily_snapshot
+        return self._stored("fct_account_daily_snapshot", snapshots.account_daily_snapshot(self.fct_api_requests))
 
     @cached_property
     def fct_model_daily_snapshot(self) -> DataFrame:
-        return snapshots.model_daily_snapshot(self.fct_api_requests, self.dim_status_code)
+        if self.base is not None:
+            return self.base.fct_model_daily_snapshot
+        return self._stored("fct_model_daily_snapshot",
+                            snapshots.model_daily_snapshot(self.fct_api_requests, self.dim_status_code))
 
     TABLES = ("dim_model", "dim_account", "dim_status_code", "dim_api_key", "fct_api_requests",
               "fct_account_transactions", "fct_account_daily_snapshot", "fct_model_daily_snapshot")
@@ -107,6 +170,10 @@ class Warehouse:
         return counts
 
 
+def aligned_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return billing_orders(spark, sf_dir, aligned=True)
+
+
 def activity_snapshot(spark: SparkSession, sf_dir: str, wh: Warehouse) -> DataFrame:
     """Account daily activity from ``orders`` keyed like the fact (current ``account_sk``).
 
