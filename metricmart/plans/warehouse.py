@@ -18,6 +18,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..operators import dims, facts, quality, snapshots
 from ..sources.adapters import billing_orders, derive_sources, order_activity
 from ..sources.loader import Sources
@@ -127,14 +128,16 @@ class Warehouse:
     def fct_account_daily_snapshot(self) -> DataFrame:
         if self.base is not None:
             return self.base.fct_account_daily_snapshot
-        return self._stored("fct_account_daily_snapshot", snapshots.account_daily_snapshot(self.fct_api_requests))
+        return self._stored("fct_account_daily_snapshot", snapshots.account_daily_snapshot(self.fct_api_requests),
+                            ["snapshot_date"]).select(*schemas.FCT_ACCOUNT_DAILY_SNAPSHOT.fieldNames())
 
     @cached_property
     def fct_model_daily_snapshot(self) -> DataFrame:
         if self.base is not None:
             return self.base.fct_model_daily_snapshot
         return self._stored("fct_model_daily_snapshot",
-                            snapshots.model_daily_snapshot(self.fct_api_requests, self.dim_status_code))
+                            snapshots.model_daily_snapshot(self.fct_api_requests, self.dim_status_code),
+                            ["snapshot_date"]).select(*schemas.FCT_MODEL_DAILY_SNAPSHOT.fieldNames())
 
     TABLES = ("dim_model", "dim_account", "dim_status_code", "dim_api_key", "fct_api_requests",
               "fct_account_transactions", "fct_account_daily_snapshot", "fct_model_daily_snapshot")
