@@ -19,10 +19,10 @@ order columns are unique (a key of the input).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import freeze
+from .sequence import global_position
 
 # Broadcast a lookup side only below this many rows; beyond it the join stays a
 # shuffle join (AQE may still pick broadcast from runtime statistics).
@@ -31,22 +31,8 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 def with_surrogate_key(df: DataFrame, order_cols: list, name: str,
                        num_partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    staged = (df.repartitionByRange(n, *order)
-                .sortWithinPartitions(*order)
-                .withColumn("_sk_pid", F.spark_partition_id())
-                .withColumn("_sk_mid", F.monotonically_increasing_id()))
-    staged = freeze(staged)
-    per_part = staged.groupBy("_sk_pid").agg(F.count(F.lit(1)).alias("_sk_n"),
-                                             F.min("_sk_mid").alias("_sk_base"))
-    # one row per partition: a window over it is bounded by the partition count
-    prefix = Window.orderBy("_sk_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.withColumn("_sk_off", F.coalesce(F.sum("_sk_n").over(prefix), F.lit(0)))
-    keyed = staged.join(F.broadcast(offsets.select("_sk_pid", "_sk_off", "_sk_base")), "_sk_pid")
-    return (keyed.withColumn(name, F.col("_sk_off") + (F.col("_sk_mid") - F.col("_sk_base")) + 1)
-                 .drop("_sk_pid", "_sk_mid", "_sk_off", "_sk_base"))
+    """Dense keys 1..n in ``order_cols`` order (``order_cols`` must be unique)."""
+    return global_position(df, order_cols, name, num_partitions)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

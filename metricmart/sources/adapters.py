@@ -7,11 +7,12 @@ that cleaning and join rules have something to do. Each has a DuckDB twin in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.columns import plan_of_priority
+from ..operators.sequence import neighbour_in_order
 from .loader import Sources
 
 
@@ -91,8 +92,9 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def plan_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change whenever a customer's next order (by date, key) has another plan."""
     o = _orders_with_plan(spark, sf_dir)
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    ch = (o.withColumn("old_plan", F.lag("plan").over(w))
+    # the previous order's plan per customer (skew-proof lag)
+    o = neighbour_in_order(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["plan"], "_prev_", "previous")
+    ch = (o.withColumnRenamed("_prev_plan", "old_plan")
            .filter(F.col("old_plan").isNotNull() & (F.col("old_plan") != F.col("plan"))))
     rank = {p: i for i, p in enumerate(schemas.PLANS)}
     up = F.create_map(*[x for p, i in rank.items() for x in (F.lit(p), F.lit(i))])
