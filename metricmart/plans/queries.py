@@ -538,3 +538,59 @@ def q_stream_daily_calls(spark, sf_dir):
     warehouse(spark, sf_dir).fct_api_requests.write.parquet(fact_path)
     return incremental.stream_daily_calls(spark, fact_path, scratch_path(spark, "stream-out"),
                                           scratch_path(spark, "stream-ckpt"))
+
+
+# ==== sources, SQL mode and configuration inputs ==============================================
+from ..sources import loader  # noqa: E402
+from . import sql_mode  # noqa: E402
+
+
+@query
+def q_extract_bundle(spark, sf_dir):
+    """SNK-8 + SRC-1..7: the six source tables exported as CSV, read back with their declared
+    schemas by the extract loader (``api_keys`` as a projected scan), counted per table."""
+    path = scratch_path(spark, "oltp-csv")
+    src = warehouse(spark, sf_dir).sources
+    loader.write_sources(src, path, "csv")
+    back = loader.load_sources(spark, path, "csv")
+    keys = {"users": "user_id", "plan_changes": "change_id", "api_keys": "key_id", "models": "model_id",
+            "logs": "request_id", "billing": "order_id"}
+    ts = {"users": "registration_date", "plan_changes": "change_date", "logs": "request_time",
+          "billing": "created_at"}
+    parts = []
+    for name, table in loader._TABLE_OF.items():
+        df = getattr(back, name)
+        t = F.col(ts[name]) if name in ts else F.lit(None).cast("timestamp_ntz")
+        parts.append(df.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(keys[name]).alias("distinct_keys"),
+                            F.max(t).alias("max_time"))
+                     .select(F.lit(table).alias("table_name"), "row_count", "distinct_keys", "max_time"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def q_sql_mode_metrics(spark, sf_dir):
+    """Entry B: daily calls and MAU as SQL text over the registered warehouse views."""
+    wh = warehouse(spark, sf_dir)
+    return sql_mode.run_sql_metrics(spark, {"fct_api_requests": wh.fct_api_requests,
+                                            "fct_account_daily_snapshot": wh.fct_account_daily_snapshot},
+                                    M.EVENTS_MONTH)
+
+
+@query
+def q_list_price_revenue(spark, sf_dir):
+    """SRC-12: usage repriced with the configured catalogue (test model ``m<i>`` = catalogue entry i)."""
+    from ..functions.columns import money4, token_amount
+
+    wh = warehouse(spark, sf_dir)
+    cat = loader.reference_catalogue(spark)  # the configured catalogue: bounded by configuration
+    used = (wh.fct_api_requests.join(F.broadcast(wh.dim_model.select("model_sk", "model_id")), "model_sk")
+            .withColumn("position", F.regexp_extract("model_id", r"^m(\d+)$", 1).cast("int")))
+    j = used.join(F.broadcast(cat.withColumnRenamed("model_id", "list_model_id")), "position")
+    p, c = F.col("prompt_tokens"), F.col("completion_tokens")
+    return (j.groupBy("list_model_id", "provider")
+             .agg(F.count(F.lit(1)).alias("requests"),
+                  money4(F.sum(token_amount(p, c, F.col("input_price_per_1M"), F.col("output_price_per_1M"))))
+                  .alias("revenue_usd"),
+                  money4(F.sum(token_amount(p, c, F.col("input_cost_per_1M"), F.col("output_cost_per_1M"))))
+                  .alias("cost_usd"))
+             .withColumnRenamed("list_model_id", "model_id"))

@@ -37,6 +37,11 @@ _TABLE_OF = {
 }
 
 
+# CSV keeps microseconds only with an explicit pattern (the default stops at milliseconds).
+CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+               "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+
+
 def read_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet",
                options: dict | None = None) -> DataFrame:
     """Full scan of one source table with its declared schema (SRC-1..6).
@@ -50,10 +55,20 @@ def read_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet",
         df = reader.format("jdbc").option("dbtable", table).load()
         return schemas.conform(df, schema)
     if fmt == "csv":
-        return reader.schema(schema).option("header", True).csv(f"{path}/{table}")
+        return reader.options(**CSV_OPTIONS).schema(schema).csv(f"{path}/{table}")
     return schemas.conform(reader.format(fmt).load(f"{path}/{table}"), schema)
 
 
+def write_sources(src: Sources, path: str, fmt: str = "csv") -> None:
+    """SNK-8: export the six source tables (CSV with a header by default), one folder each."""
+    for name, table in _TABLE_OF.items():
+        w = getattr(src, name).write.mode("overwrite")
+        if fmt == "csv":
+            w.options(**CSV_OPTIONS).csv(f"{path}/{table}")
+        else:
+            w.format(fmt).save(f"{path}/{table}")
+
+
 def load_sources(spark: SparkSession, path: str, fmt: str = "parquet",
                  options: dict | None = None) -> Sources:
     """SRC-7: the six source tables. ``api_keys`` is a projected scan (SRC-3)."""
@@ -89,10 +104,14 @@ REFERENCE_MODELS = [
 
 def reference_models(spark: SparkSession) -> DataFrame:
     """SRC-12: the configured model catalogue as an ``ai_models`` frame."""
-    rows = [(m, p, ip, op, ic, oc, ctx, True) for (m, p, ip, op, ic, oc, ctx) in REFERENCE_MODELS]
-    df = spark.createDataFrame(rows, "model_id string, provider string, ip double, op double, "
+    return schemas.conform(reference_catalogue(spark), schemas.AI_MODELS)
+
+
+def reference_catalogue(spark: SparkSession) -> DataFrame:
+    """The configured catalogue with each model's position (0-based) in the settings."""
+    rows = [(i, m, p, ip, op, ic, oc, ctx, True) for i, (m, p, ip, op, ic, oc, ctx) in enumerate(REFERENCE_MODELS)]
+    df = spark.createDataFrame(rows, "position int, model_id string, provider string, ip double, op double, "
                                      "ic double, oc double, max_context int, is_available boolean")
-    df = df.selectExpr("model_id", "provider", "ip as input_price_per_1M", "op as output_price_per_1M",
-                       "ic as input_cost_per_1M", "oc as output_cost_per_1M", "max_context",
-                       "is_available")
-    return schemas.conform(df, schemas.AI_MODELS)
+    return df.selectExpr("position", "model_id", "provider", "ip as input_price_per_1M",
+                         "op as output_price_per_1M", "ic as input_cost_per_1M", "oc as output_cost_per_1M",
+                         "max_context", "is_available")
