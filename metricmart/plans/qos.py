@@ -63,9 +63,10 @@ def zscores(series: DataFrame, entity: str, day: str, value: str) -> DataFrame:
     """
     w = Window.partitionBy(entity)
     z = F.try_divide(F.col(value) - F.avg(value).over(w), F.stddev_samp(value).over(w))
-    return (series.withColumn("_z", z)
-                  .select(entity, day, value, round4(F.col("_z")).alias("z_score"),
-                          F.coalesce(F.abs(F.col("_z")) > F.lit(SIGMA), F.lit(False)).alias("is_alert")))
+    # the alert is decided on the 4-decimal z, so a z of exactly 3 is never an alert in any engine
+    return (series.withColumn("z_score", round4(z))
+                  .select(entity, day, value, "z_score",
+                          F.coalesce(F.abs(F.col("z_score")) > F.lit(SIGMA), F.lit(False)).alias("is_alert")))
 
 
 def latency_zscore(model_snapshot: DataFrame, dim_model: DataFrame, ctx: MetricContext) -> DataFrame:
