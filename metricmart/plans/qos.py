@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import day_id, month_id, round4, safe_ratio
-from ..operators.keys import bounded_broadcast
 from ..operators.percentile import grouped_percentile
 from .metrics import MetricContext, in_days, in_range
 
@@ -31,8 +30,8 @@ def p99_latency(fact: DataFrame, dim_model: DataFrame, ctx: MetricContext, p: fl
     calls = _calls_by_model(fact, dim_model, ctx).withColumn("_d", F.to_date("request_time"))
     stats = calls.groupBy("model_id", "_d").agg(F.avg("latency_ms").alias("_mu"),
                                                 F.stddev_samp("latency_ms").alias("_sd"))
-    # one row per model and day: bounded by catalogue size × days
-    calls = calls.join(bounded_broadcast(stats), ["model_id", "_d"])
+    # one row per model and day: AQE broadcasts it from its runtime size
+    calls = calls.join(stats, ["model_id", "_d"])
     keep = F.col("_sd").isNull() | (F.abs(F.col("latency_ms") - F.col("_mu")) <= F.lit(SIGMA) * F.col("_sd"))
     kept = calls.filter(keep)
     counts = calls.groupBy("model_id").agg(F.count(F.lit(1)).alias("requests"),

@@ -41,10 +41,16 @@ def request_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise("client_error").alias("error_code"),
         F.col("ts").alias("request_time"),
     )
-    dups = (raw0.filter(F.col("request_id") % 50 == 0)
-            .withColumn("latency_ms", F.col("latency_ms") + 1)
-            .withColumn("request_time", F.col("request_time") + F.expr("INTERVAL 1 SECOND")))
-    return schemas.conform(raw0.unionByName(dups), schemas.REQUEST_LOGS_RAW)
+    # one scan: every 50th request is emitted twice, the copy one second later with latency + 1
+    copies = F.explode(F.when(F.col("request_id") % 50 == 0, F.array(F.lit(0), F.lit(1)))
+                        .otherwise(F.array(F.lit(0))))
+    both = raw0.select("*", copies.alias("_copy"))
+    retry = F.col("_copy") == 1
+    both = both.withColumns({
+        "latency_ms": F.when(retry, F.col("latency_ms") + 1).otherwise(F.col("latency_ms")),
+        "request_time": F.when(retry, F.col("request_time") + F.expr("INTERVAL 1 SECOND"))
+                         .otherwise(F.col("request_time"))})
+    return schemas.conform(both, schemas.REQUEST_LOGS_RAW)
 
 
 def api_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
