@@ -594,3 +594,19 @@ def q_list_price_revenue(spark, sf_dir):
                   money4(F.sum(token_amount(p, c, F.col("input_cost_per_1M"), F.col("output_cost_per_1M"))))
                   .alias("cost_usd"))
              .withColumnRenamed("list_model_id", "model_id"))
+
+
+@query
+def q_stream_latency_alerts(spark, sf_dir):
+    """S-7 / S-16 (b): online 3σ latency alerts per model against its earlier days (stateful stream)."""
+    from ..functions.columns import safe_ratio
+    from ..streaming import alerts
+
+    wh = warehouse(spark, sf_dir)
+    daily = (wh.fct_model_daily_snapshot.join(F.broadcast(wh.dim_model.select("model_sk", "model_id")), "model_sk")
+             .select("model_id", safe_ratio(F.col("sum_latency_ms"), F.col("daily_requests")).alias("mean_latency_ms"),
+                     "snapshot_date"))
+    path = scratch_path(spark, "model-daily")
+    daily.write.partitionBy("snapshot_date").parquet(path)
+    return alerts.stream_latency_alerts(spark, path, scratch_path(spark, "alerts-out"),
+                                        scratch_path(spark, "alerts-ckpt"))
