@@ -120,10 +120,12 @@ def domain_violations(df: DataFrame, col: str, domain: list[str], table: str) ->
                  F.count_if(F.col(col).isNotNull() & ~F.col(col).isin(*domain)))
 
 
-def apply_defaults(df: DataFrame) -> DataFrame:
-    """C-6: fill column defaults of the source DDL where a value is missing."""
-    present = {c: v for c, v in schemas.DEFAULTS.items() if c in df.columns}
-    return df.fillna(present) if present else df
+def default_violations(df: DataFrame, table: str) -> DataFrame:
+    """C-6: per defaulted column, the rows where the value is missing (the loader fills them)."""
+    cols = [c for c in schemas.SOURCE_DEFAULTS[table] if c in df.columns]
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).cast("bigint").alias(c) for c in cols])
+    return counts.unpivot([], cols, "_col", "violations").select(
+        F.concat(F.lit("default:"), F.col("_col")).alias("rule"), F.lit(table).alias("table_name"), "violations")
 
 
 def source_constraint_report(users: DataFrame, keys: DataFrame, changes: DataFrame,
@@ -151,5 +153,8 @@ def source_constraint_report(users: DataFrame, keys: DataFrame, changes: DataFra
         domain_violations(users, "subscription_plan", schemas.PLANS, "users"),
         domain_violations(billing, "order_type", schemas.ORDER_TYPES, "billing_orders"),
         domain_violations(billing, "transaction_status", schemas.TRANSACTION_STATUSES, "billing_orders"),
+        default_violations(users, "users"), default_violations(keys, "api_keys"),
+        default_violations(changes, "user_plan_changes"), default_violations(billing, "billing_orders"),
+        default_violations(models, "ai_models"),
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -610,3 +610,10 @@ def q_stream_latency_alerts(spark, sf_dir):
     daily.write.partitionBy("snapshot_date").parquet(path)
     return alerts.stream_latency_alerts(spark, path, scratch_path(spark, "alerts-out"),
                                         scratch_path(spark, "alerts-ckpt"))
+
+
+@query
+def q_financial_range_scan(spark, sf_dir):
+    """SRC-11: billing transactions in an inclusive time range (filter pushed to the parquet scan)."""
+    tx = warehouse(spark, sf_dir, aligned=True).fct_account_transactions
+    return loader.range_scan(tx, "created_at", RANGE.start, RANGE.end)

@@ -119,15 +119,16 @@ PRIMARY_KEYS = {
 PLANS = ["free", "pro", "enterprise"]
 ORDER_TYPES = ["recharge", "subscription_fee", "usage_settlement", "refund"]
 TRANSACTION_STATUSES = ["pending", "completed", "failed"]
-DEFAULTS = {
-    "subscription_plan": "free",
-    "key_name": "Default Key",
-    "payment_method": "credit_card",
-    "change_reason": "user_upgrade",
-    "prompt_token_count": 0,
-    "completion_token_count": 0,
-    "status": "online",
+# Column defaults of the source DDL, per table (clock defaults are source-side only).
+SOURCE_DEFAULTS = {
+    "users": {"subscription_plan": "free", "account_balance": 0, "status": 1},
+    "user_plan_changes": {"change_reason": "user_upgrade"},
+    "api_keys": {"key_name": "Default Key", "is_active": True},
+    "ai_models": {"is_available": True},
+    "request_logs_raw": {"prompt_token_count": 0, "completion_token_count": 0},
+    "billing_orders": {"payment_method": "credit_card", "transaction_status": "completed"},
 }
+META_METRIC_DEFAULTS = {"status": "online"}
 OPEN_END = "9999-12-31 00:00:00"  # valid_to of the current SCD2 row
 
 

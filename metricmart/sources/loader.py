@@ -71,12 +71,33 @@ def write_sources(src: Sources, path: str, fmt: str = "csv") -> None:
 
 def load_sources(spark: SparkSession, path: str, fmt: str = "parquet",
                  options: dict | None = None) -> Sources:
-    """SRC-7: the six source tables. ``api_keys`` is a projected scan (SRC-3)."""
+    """SRC-7: the six source tables. ``api_keys`` is a projected scan (SRC-3).
+
+    Column defaults of the source DDL (C-6) are filled on the reference tables;
+    the request log keeps its NULLs so the validity rule (T2) still sees them.
+    """
     frames = {name: read_table(spark, path, table, fmt, options) for name, table in _TABLE_OF.items()}
+    for name, table in _TABLE_OF.items():
+        if table != "request_logs_raw":
+            frames[name] = apply_defaults(frames[name], table)
     frames["api_keys"] = frames["api_keys"].select("key_id", "user_id", "key_name", "is_active")
     return Sources(**frames)
 
 
+def apply_defaults(df: DataFrame, table: str) -> DataFrame:
+    """C-6: fill the source DDL's column defaults of ``table`` where a value is missing."""
+    present = {c: v for c, v in schemas.SOURCE_DEFAULTS[table].items() if c in df.columns}
+    return df.fillna(present) if present else df
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, batchsize: int = 5000, mode: str = "append",
+               properties: dict | None = None) -> None:
+    """SNK-9: append into an RDBMS table in batches (5,000 rows per insert batch by default);
+    each task writes its own partition over its own connection."""
+    (df.write.format("jdbc").mode(mode).option("url", url).option("dbtable", table)
+       .option("batchsize", batchsize).options(**(properties or {})).save())
+
+
 def range_scan(df: DataFrame, ts_col: str, start, end) -> DataFrame:
     """SRC-9 / SRC-11: inclusive time-range read; pushed to the scan as a parquet
     filter (and to partition pruning when the table is partitioned by date)."""
