@@ -20,10 +20,13 @@ def test_surrogate_keys_independent_of_partitioning(spark):
     expected = None
     for n in (1, 4, 17):
         keys = {r.o_orderkey: r.sk for r in
-                with_surrogate_key(o.repartition(n), ["o_orderdate", "o_orderkey"], "sk", num_partitions=n).collect()}
+                with_surrogate_key(o.repartition(n), ["o_orderdate", "o_orderkey"], "sk", num_partitions=n,
+                                   small_rows=0).collect()}  # force the distributed path
         assert sorted(keys.values()) == list(range(1, len(keys) + 1))
         expected = expected or keys
         assert keys == expected
+    small = {r.o_orderkey: r.sk for r in with_surrogate_key(o, ["o_orderdate", "o_orderkey"], "sk").collect()}
+    assert small == expected  # the one-task path for small dimensions gives the same keys
     # equals a global row_number in the same order
     ordered = sorted(o.collect(), key=lambda r: (r.o_orderdate, r.o_orderkey))
     assert all(expected[r.o_orderkey] == i + 1 for i, r in enumerate(ordered))
