@@ -649,3 +649,23 @@ def q_financial_range_scan(spark, sf_dir):
     """SRC-11: billing transactions in an inclusive time range (filter pushed to the parquet scan)."""
     tx = warehouse(spark, sf_dir, aligned=True).fct_account_transactions
     return loader.range_scan(tx, "created_at", RANGE.start, RANGE.end)
+
+
+INCREMENTAL_SPLIT = "2024-01-26 00:00:00"
+
+
+@query
+def q_incremental_load(spark, sf_dir):
+    """S-16 / etl:45: the request fact loaded incrementally in two landed batches (plus a replay
+    of the second); equal to the full rebuild."""
+    from ..session import checkpoint_dir  # noqa: F401  (the paths below live in the shared folder)
+
+    wh = warehouse(spark, sf_dir)
+    raw = wh.sources.logs
+    cut = F.lit(INCREMENTAL_SPLIT).cast("timestamp_ntz")
+    seen, fact = scratch_path(spark, "seen-ids"), scratch_path(spark, "fact-incremental")
+    dims = (wh.sources.api_keys, wh.dim_account, wh.dim_api_key, wh.dim_model, wh.dim_status_code)
+    for batch_id, part in ((1, raw.filter(F.col("request_time") < cut)), (2, raw.filter(F.col("request_time") >= cut)),
+                           (2, raw.filter(F.col("request_time") >= cut))):  # the second batch lands twice
+        incremental.append_landed_logs(part, batch_id, seen, fact, *dims)
+    return _money(incremental.read_fact(spark, fact), "revenue_usd", "cost_usd")
