@@ -86,22 +86,34 @@ def _to_eav(wide: DataFrame, entity_type: str, entity_col: str, time_type: str,
                        F.col(time_col).alias("time_id"), F.col("_value").cast("double").alias("metric_value"))
 
 
-def user_stage_metrics(fact: DataFrame, users: DataFrame, ctx: MetricContext) -> DataFrame:
-    """S-24 (user stage): per account and month calls, tokens and spend; platform registrations per month."""
+ACCOUNT_STAGE = {"calls": "account.monthly.calls", "tokens": "account.monthly.tokens",
+                 "spend": "account.monthly.spend"}
+REGISTRATIONS = "platform.monthly.registrations"
+
+
+def account_stage_metrics(fact: DataFrame, ctx: MetricContext) -> DataFrame:
+    """S-24 (user stage): per account and month: calls, tokens and spend over the range."""
     per = (fact.filter(in_range(F.col("request_time"), ctx))
                .groupBy("account_sk", month_id(F.col("request_time")).alias("month"))
                .agg(F.count(F.lit(1)).cast("double").alias("calls"),
                     F.sum(F.col("prompt_tokens") + F.col("completion_tokens")).cast("double").alias("tokens"),
                     money4(F.sum("revenue_usd")).cast("double").alias("spend")))
-    acct = _to_eav(per, "account", "account_sk", "month", "month",
-                   {"calls": "account.monthly.calls", "tokens": "account.monthly.tokens",
-                    "spend": "account.monthly.spend"})
-    regs = (users.groupBy(month_id(F.col("registration_date")).alias("time_id"))
+    return _to_eav(per, "account", "account_sk", "month", "month", ACCOUNT_STAGE)
+
+
+def registrations(users: DataFrame, ctx: MetricContext) -> DataFrame:
+    """S-24 (user stage): registrations per month, over the whole history up to the end month."""
+    return (users.filter(F.to_date("registration_date") <= F.lit(ctx.end_date))
+                 .groupBy(month_id(F.col("registration_date")).alias("time_id"))
                  .agg(F.count(F.lit(1)).cast("double").alias("metric_value"))
-                 .select(F.lit("platform.monthly.registrations").alias("metric_code"),
-                         F.lit("platform").alias("entity_type"), F.lit("all").alias("entity_id"),
-                         F.lit("month").alias("time_type"), "time_id", "metric_value"))
-    return acct.unionByName(regs)
+                 .select(F.lit(REGISTRATIONS).alias("metric_code"), F.lit("platform").alias("entity_type"),
+                         F.lit("all").alias("entity_id"), F.lit("month").alias("time_type"), "time_id",
+                         "metric_value"))
+
+
+def user_stage_metrics(fact: DataFrame, users: DataFrame, ctx: MetricContext) -> DataFrame:
+    """S-24 (user stage): the account metrics and the registrations."""
+    return account_stage_metrics(fact, ctx).unionByName(registrations(users, ctx))
 
 
 def model_stage_metrics(model_snapshot: DataFrame, dim_model: DataFrame, ctx: MetricContext) -> DataFrame:

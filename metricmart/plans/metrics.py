@@ -61,6 +61,51 @@ def in_days(d: Column, ctx: MetricContext) -> Column:
     return d.between(F.lit(ctx.start_date), F.lit(ctx.end_date))
 
 
+# ---- delete scopes (SNK-5, T19) ------------------------------------------------------------
+
+def _iso_week(d: date) -> str:
+    y, w, _ = d.isocalendar()
+    return f"{y:04d}-W{w:02d}"
+
+
+def period_bounds(time_type: str, ctx: MetricContext) -> tuple[str, str]:
+    """The first and last ``time_id`` of the context for one ``time_type``; ids of one type sort
+    like their periods, ids of different types never share a scope (T19)."""
+    fmt = {"day": lambda d: d.strftime("%Y-%m-%d"), "week": _iso_week,
+           "month": lambda d: d.strftime("%Y-%m"), "year": lambda d: d.strftime("%Y")}[time_type]
+    return fmt(ctx.start_date), fmt(ctx.end_date)
+
+
+def metric_scope(metric_code: str, ctx: MetricContext, time_types: tuple[str, ...] = ("day",),
+                 entity_type: str | None = None, entity_ids: list | None = None) -> Column:
+    """SNK-5: the rows a run of ``metric_code`` over ``ctx`` replaces.
+
+    Time bounds come from each ``time_type``; an entity scope narrows it when the
+    context names users (``account`` or ``user`` entities) or models.
+    """
+    periods = None
+    for t in time_types:
+        lo, hi = period_bounds(t, ctx)
+        p = (F.col("time_type") == t) & F.col("time_id").between(lo, hi)
+        periods = p if periods is None else periods | p
+    pred = (F.col("metric_code") == metric_code) & periods
+    if entity_type is not None:
+        pred = pred & (F.col("entity_type") == entity_type)
+    if entity_ids is None and entity_type in ("account", "user"):
+        entity_ids = ctx.user_ids
+    elif entity_ids is None and entity_type == "model":
+        entity_ids = ctx.model_ids
+    if entity_ids:
+        pred = pred & F.col("entity_id").isin([str(e) for e in entity_ids])
+    return pred
+
+
+def history_scope(metric_code: str, ctx: MetricContext, time_type: str = "month") -> Column:
+    """A metric recomputed over its whole history: everything up to the end period."""
+    return ((F.col("metric_code") == metric_code) & (F.col("time_type") == time_type)
+            & (F.col("time_id") <= period_bounds(time_type, ctx)[1]))
+
+
 # ---- MET-1: daily platform calls -----------------------------------------------------
 DAILY_CALLS = "platform.daily.calls"
 
@@ -75,9 +120,7 @@ def daily_platform_calls(fact: DataFrame, ctx: MetricContext) -> DataFrame:
 
 def daily_calls_scope(ctx: MetricContext) -> Column:
     """SNK-5a: what a daily-calls run replaces."""
-    return ((F.col("metric_code") == DAILY_CALLS) & (F.col("entity_type") == "platform")
-            & (F.col("entity_id") == "all") & (F.col("time_type") == "day")
-            & F.col("time_id").between(ctx.start.strftime("%Y-%m-%d"), ctx.end.strftime("%Y-%m-%d")))
+    return metric_scope(DAILY_CALLS, ctx, ("day",), "platform", ["all"])
 
 
 # ---- MET-2: MAU ------------------------------------------------------------------------
@@ -99,9 +142,7 @@ def mau(snapshot: DataFrame, ctx: MetricContext, align_to_month: bool = False) -
 
 def mau_scope(ctx: MetricContext) -> Column:
     """SNK-5b: month-format bounds."""
-    return ((F.col("metric_code") == MAU) & (F.col("entity_type") == "platform")
-            & (F.col("entity_id") == "all") & (F.col("time_type") == "month")
-            & F.col("time_id").between(ctx.start.strftime("%Y-%m"), ctx.end.strftime("%Y-%m")))
+    return metric_scope(MAU, ctx, ("month",), "platform", ["all"])
 
 
 # ---- MET-3: cohort retention ------------------------------------------------------------

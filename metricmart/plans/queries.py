@@ -669,3 +669,53 @@ def q_incremental_load(spark, sf_dir):
                            (2, raw.filter(F.col("request_time") >= cut))):  # the second batch lands twice
         incremental.append_landed_logs(part, batch_id, seen, fact, *dims)
     return _money(incremental.read_fact(spark, fact), "revenue_usd", "cost_usd")
+
+
+def all_specs() -> list[MetricSpec]:
+    """Every metric the engine writes to the metric store, by stage (user → model → platform)."""
+    from .growth import ACCOUNT_STAGE, REGISTRATIONS, MAU_SUCCESS
+
+    ms = M.metric_scope
+    model_codes = ["model.daily.calls", "model.daily.tokens", "model.daily.success_rate"]
+    struct_codes = ["account.monthly.key_rank", "account.monthly.rfm", "platform.monthly.profit_forecast"]
+
+    def any_of(scopes):
+        return reduce(lambda a, b: a | b, scopes)
+
+    return [
+        MetricSpec("account.monthly.*", "user", "dws_metric_value",
+                   lambda i, c: growth.account_stage_metrics(i["fct_api_requests"], c),
+                   lambda c: any_of([ms(code, c, ("month",), "account") for code in ACCOUNT_STAGE.values()]),
+                   time_grain="monthly"),
+        MetricSpec(REGISTRATIONS, "user", "dws_metric_value",
+                   lambda i, c: growth.registrations(i["users"], c),
+                   lambda c: M.history_scope(REGISTRATIONS, c), time_grain="monthly", priority=1),
+        MetricSpec("model.daily.*", "model", "dws_metric_value",
+                   lambda i, c: growth.model_stage_metrics(i["fct_model_daily_snapshot"], i["dim_model"], c),
+                   lambda c: any_of([ms(code, c, ("day",), "model") for code in model_codes])),
+        *reference_specs(),
+        MetricSpec("platform.calls", "platform", "dws_metric_value",
+                   lambda i, c: growth.calls_multi_grain(i["fct_api_requests"], c),
+                   lambda c: ms("platform.calls", c, ("day", "week", "month", "year"), "platform"), priority=1),
+        MetricSpec(MAU_SUCCESS, "platform", "dws_metric_value",
+                   lambda i, c: growth.mau_success(i["fct_api_requests"], i["dim_status_code"], c),
+                   lambda c: ms(MAU_SUCCESS, c, ("month",), "platform"), time_grain="monthly", priority=1),
+        MetricSpec("struct.*", "platform", "dws_metric_struct",
+                   lambda i, c: customers.struct_metrics(i["leaderboard"], i["rfm"], i["forecast"], c),
+                   lambda c: (any_of([ms(code, c, ("month",)) for code in struct_codes])
+                              & (F.col("time_id") == c.end.strftime("%Y-%m"))),
+                   time_grain="monthly", priority=2),
+    ]
+
+
+@query
+def q_run_all_metrics(spark, sf_dir):
+    """MET-4 over every metric: the daily run, then the monthly run, into the value sink."""
+    wh = warehouse(spark, sf_dir)
+    inputs = dict(_inputs(spark, sf_dir), users=wh.sources.users, dim_model=wh.dim_model,
+                  dim_status_code=wh.dim_status_code, fct_model_daily_snapshot=wh.fct_model_daily_snapshot,
+                  leaderboard=q_key_leaderboard(spark, sf_dir), rfm=q_rfm(spark, sf_dir),
+                  forecast=q_profit_forecast(spark, sf_dir))
+    tables, _ = run_metrics(all_specs(), inputs, CTX, grain="daily")
+    tables, report = run_metrics(all_specs(), inputs, CTX, existing=tables, grain="monthly")
+    return tables["dws_metric_value"]
