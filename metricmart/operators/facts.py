@@ -54,10 +54,10 @@ def orphan_report(clean_logs: DataFrame, api_keys: DataFrame, dim_account: DataF
     keyed_users = api_keys.select("key_id", "user_id")
     parts = [
         ("log_unknown_key", clean_logs.join(keyed_users, "key_id", "left_anti")),
-        ("log_unknown_model", clean_logs.join(F.broadcast(dim_model.select("model_id")), "model_id",
+        ("log_unknown_model", clean_logs.join(bounded_broadcast(dim_model).select("model_id"), "model_id",
                                               "left_anti")),
         ("log_unknown_status", clean_logs.alias("l").join(
-            F.broadcast(dim_status).alias("s"),
+            bounded_broadcast(dim_status).alias("s"),
             (F.col("l.http_status") == F.col("s.http_status"))
             & F.col("l.error_code").eqNullSafe(F.col("s.error_code")), "left_anti")),
         ("log_key_without_account", clean_logs.join(keyed_users, "key_id")

@@ -1,20 +1,12 @@
-"""K-1 / K-2: dense, deterministic surrogate keys and key lookups.
-
-``with_surrogate_key`` numbers rows 1..n in a declared total order without a
-single-partition window:
-
-1. range-partition on the order columns and sort inside each partition, so every
-   task holds one contiguous slice of the global order;
-2. tag each row with its partition id and its position inside the partition
-   (``monotonically_increasing_id`` is consecutive within a partition);
-3. freeze that with a reliable checkpoint — range boundaries come from sampling
-   and must not change between the two reads below;
-4. count rows per partition (one row per partition), turn the counts into prefix
-   offsets and broadcast them: their size is the partition count, not the data;
-5. key = offset of the partition + position + 1.
-
-The same input gives the same keys whatever the partitioning, as long as the
-order columns are unique (a key of the input).
+"""K-1 / K-2: dense, deterministic surrogate keys, key lookups and size-checked broadcasts.
+
+``with_surrogate_key`` numbers rows 1..n in a declared total order. Inputs of
+at most ``SMALL_DIMENSION_ROWS`` rows (checked with a count) are numbered by
+``row_number`` in one task; larger ones by ``sequence.global_position``:
+range partitioning on the order, a reliable checkpoint that freezes the
+partition assignment, per-partition counts turned into prefix offsets (one row
+per partition, broadcast). Both give the same keys for the same input, whatever
+its partitioning, as long as the order columns are unique.
 """
 
 from __future__ import annotations
@@ -52,10 +44,18 @@ def with_surrogate_key(df: DataFrame, order_cols: list, name: str,
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only after checking its size; otherwise leave it to a shuffle join.
 
-    Meant for dimensions (already materialised, so the count is cheap). Both
-    branches give the same join result.
+    Meant for dimensions (materialised tables, so the count reads file metadata);
+    the count is remembered on the DataFrame, so a dimension used by many
+    queries is counted once. Both branches give the same join result.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    n = getattr(df, "_mm_rows", None)
+    if n is None:
+        n = df.count()
+        try:
+            df._mm_rows = n
+        except AttributeError:
+            pass
+    return F.broadcast(df) if n <= max_rows else df
 
 
 def key_lookup(api_keys: DataFrame, dim_api_key: DataFrame, dim_account: DataFrame) -> DataFrame:

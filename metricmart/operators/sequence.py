@@ -73,6 +73,7 @@ def neighbour_in_order(df: DataFrame, key: list[str], order: list, values: list[
         step = F.col(MID) - 1
     else:
         raise ValueError(direction)
+    # one row per partition: bounded by the partition count, not by the data
     addressed = (staged.join(F.broadcast(nb), PID)
                  .withColumn("_to_pid", F.when(inside, F.col(PID)).otherwise(F.col("_nb_pid")))
                  .withColumn("_to_mid", F.when(inside, step).otherwise(F.col("_nb_mid")))

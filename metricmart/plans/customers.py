@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import money4, round4
 from ..operators.percentile import global_percentiles, score_by_cutoffs
 from .metrics import MetricContext, in_range
+from ..operators.keys import bounded_broadcast
 
 QUINTILES = [0.2, 0.4, 0.6, 0.8]
 
@@ -74,7 +75,7 @@ def top_models(fact: DataFrame, dim_model: DataFrame, ctx: MetricContext, k: int
     per = (fact.filter(in_range(F.col("request_time"), ctx))
                .groupBy("account_sk", "model_sk")
                .agg(F.count(F.lit(1)).alias("requests"), F.avg("latency_ms").alias("_lat")))
-    per = per.join(F.broadcast(dim_model.select("model_sk", "model_id")), "model_sk")
+    per = per.join(bounded_broadcast(dim_model).select("model_sk", "model_id"), "model_sk")
     rn = F.row_number().over(Window.partitionBy("account_sk").orderBy(F.col("requests").desc(), "model_id"))
     return (per.withColumn("model_rank", rn).filter(F.col("model_rank") <= k)
                .select("account_sk", "model_id", F.col("requests").cast("bigint").alias("requests"),
@@ -82,7 +83,7 @@ def top_models(fact: DataFrame, dim_model: DataFrame, ctx: MetricContext, k: int
 
 
 def behaviour_features(fact: DataFrame, dim_status: DataFrame, ctx: MetricContext) -> DataFrame:
-    st = F.broadcast(dim_status.select("status_sk", "is_error"))
+    st = bounded_broadcast(dim_status).select("status_sk", "is_error")
     f = fact.filter(in_range(F.col("request_time"), ctx)).join(st, "status_sk")
     return f.groupBy("account_sk").agg(
         F.count_distinct(F.to_date("request_time")).cast("double").alias("active_days"),
@@ -142,10 +143,10 @@ def model_tags(error_rates: DataFrame, latency_z: DataFrame, dim_model: DataFram
 
     The rank is a window over one row per model (bounded by the catalogue).
     """
-    er = error_rates.join(F.broadcast(dim_model.select("model_sk", "model_id")), "model_id")
+    er = error_rates.join(bounded_broadcast(dim_model).select("model_sk", "model_id"), "model_id")
     ranked = er.withColumn("_rank", F.rank().over(Window.orderBy("error_rate")))
     zmax = (latency_z.groupBy("model_id").agg(F.max(F.abs("z_score")).alias("_z"))
-            .join(F.broadcast(dim_model.select("model_sk", "model_id")), "model_id"))
+            .join(bounded_broadcast(dim_model).select("model_sk", "model_id"), "model_id"))
     rows = (_tag(ranked, "model_sk", "stability_rank", F.col("_rank"))
             .unionByName(_tag(zmax, "model_sk", "anomaly_score", F.col("_z").cast("decimal(18,4)"),
                               F.col("_z").isNotNull())))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import month_id, money4, round4, safe_ratio
 from .metrics import MetricContext, in_days, in_range
+from ..operators.keys import bounded_broadcast
 
 DAY0 = "2024-01-01"  # fixed value: day 0 of the regression x-axis
 
@@ -91,7 +92,7 @@ def profit_per_1m(model_snapshot: DataFrame, dim_model: DataFrame, ctx: MetricCo
         money4(F.sum("daily_revenue_usd")).alias("revenue_usd"),
         money4(F.sum("daily_cost_usd")).alias("cost_usd"),
         F.sum(F.col("sum_prompt_tokens") + F.col("sum_completion_tokens")).cast("bigint").alias("total_tokens"))
-    per = per.join(F.broadcast(dim_model.select("model_sk", "model_id")), "model_sk")
+    per = per.join(bounded_broadcast(dim_model).select("model_sk", "model_id"), "model_sk")
     profit = (F.col("revenue_usd") - F.col("cost_usd")).cast("decimal(18,4)")
     return per.select("model_id", "revenue_usd", "cost_usd", profit.alias("profit_usd"), "total_tokens",
                       F.try_divide(profit.cast("double") * F.lit(1000000.0),
@@ -148,7 +149,7 @@ def model_revenue_cost(model_snapshot: DataFrame, dim_model: DataFrame) -> DataF
     per = model_snapshot.groupBy("model_sk", month_id(F.col("snapshot_date")).alias("month")).agg(
         money4(F.sum("daily_revenue_usd")).alias("revenue_usd"),
         money4(F.sum("daily_cost_usd")).alias("cost_usd"))
-    per = per.join(F.broadcast(dim_model.select("model_sk", "model_id")), "model_sk")
+    per = per.join(bounded_broadcast(dim_model).select("model_sk", "model_id"), "model_sk")
     profit = (F.col("revenue_usd") - F.col("cost_usd")).cast("decimal(18,4)")
     return per.select("model_id", "month", "revenue_usd", "cost_usd", profit.alias("profit_usd"),
                       safe_ratio(profit, F.col("revenue_usd")).alias("margin"))

@@ -182,7 +182,7 @@ def retention_long(dim_account: DataFrame, snapshot: DataFrame, end: date,
                    .groupBy("cohort_month", "active_month", (F.col("_a_idx") - F.col("_c_idx")).alias("month_diff"))
                    .agg(F.count_distinct("user_id").alias("active_user_count")))
     sizes = cohorts.groupBy("cohort_month").agg(F.count("user_id").alias("total_users"))
-    # one row per cohort month: at most lookback_months + 1 rows
+    # one row per cohort month: at most lookback_months + 1 rows, whatever the data size
     out = base.join(F.broadcast(sizes), "cohort_month")
     scaled = ratio4_scaled(F.col("active_user_count"), F.col("total_users"))
     return out.select("cohort_month", "active_month", F.col("month_diff").cast("int").alias("month_diff"),

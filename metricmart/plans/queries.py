@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.columns import round10
 from ..operators import dims, facts, quality, scd2
-from ..operators.keys import with_surrogate_key
+from ..operators.keys import bounded_broadcast, with_surrogate_key
 from ..session import checkpoint_dir
 from ..sources import adapters
 from . import metrics as M
@@ -173,7 +173,7 @@ def q_status_join_nullsafe(spark, sf_dir):
     """JN-5 on logs whose error codes are left NULL, so NULL = NULL matches really occur."""
     logs = quality.clean_logs(adapters.request_logs(spark, sf_dir), fill_error_code=False)
     status = dims.build_dim_status(logs)
-    st = F.broadcast(status)  # one row per (status, code) pair: bounded by the code domain
+    st = bounded_broadcast(status)  # one row per (status, code) pair
     joined = logs.join(st, facts.status_join_condition(logs, st))
     return (joined.groupBy(st["status_sk"], st["http_status"], st["error_code"], st["is_error"])
                   .agg(F.count(F.lit(1)).alias("requests")))
@@ -249,7 +249,7 @@ def q_scope_filter(spark, sf_dir):
     """FLT-9: per-model daily calls for a model scope (a semi join on the scoped dimension rows)."""
     wh = warehouse(spark, sf_dir)
     scoped = wh.dim_model.filter(F.col("model_id").isin(SCOPE_MODELS)).select("model_sk", "model_id")
-    f = wh.fct_api_requests.join(F.broadcast(scoped), "model_sk")
+    f = wh.fct_api_requests.join(bounded_broadcast(scoped), "model_sk")
     return (f.groupBy("model_id", M.day_id(F.col("request_time")).alias("time_id"))
              .agg(F.count(F.lit(1)).cast("double").alias("metric_value"))
              .select(F.lit("model.daily.calls").alias("metric_code"), F.lit("model").alias("entity_type"),
@@ -615,8 +615,9 @@ def q_list_price_revenue(spark, sf_dir):
 
     wh = warehouse(spark, sf_dir)
     cat = loader.reference_catalogue(spark)  # the configured catalogue: bounded by configuration
-    used = (wh.fct_api_requests.join(F.broadcast(wh.dim_model.select("model_sk", "model_id")), "model_sk")
+    used = (wh.fct_api_requests.join(bounded_broadcast(wh.dim_model).select("model_sk", "model_id"), "model_sk")
             .withColumn("position", F.regexp_extract("model_id", r"^m(\d+)$", 1).cast("int")))
+    # the configured catalogue: its size is fixed by configuration
     j = used.join(F.broadcast(cat.withColumnRenamed("model_id", "list_model_id")), "position")
     p, c = F.col("prompt_tokens"), F.col("completion_tokens")
     return (j.groupBy("list_model_id", "provider")
@@ -635,7 +636,7 @@ def q_stream_latency_alerts(spark, sf_dir):
     from ..streaming import alerts
 
     wh = warehouse(spark, sf_dir)
-    daily = (wh.fct_model_daily_snapshot.join(F.broadcast(wh.dim_model.select("model_sk", "model_id")), "model_sk")
+    daily = (wh.fct_model_daily_snapshot.join(bounded_broadcast(wh.dim_model).select("model_sk", "model_id"), "model_sk")
              .select("model_id", safe_ratio(F.col("sum_latency_ms"), F.col("daily_requests")).alias("mean_latency_ms"),
                      "snapshot_date"))
     path = scratch_path(spark, "model-daily")

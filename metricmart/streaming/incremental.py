@@ -23,7 +23,7 @@ from ..operators.snapshots import account_daily_snapshot
 def refresh_touched_days(snapshot: DataFrame, fact: DataFrame, landed: DataFrame) -> DataFrame:
     """The account snapshot after re-aggregating only the days present in ``landed``."""
     days = landed.select(F.to_date("request_time").alias("snapshot_date")).distinct()
-    touched = F.broadcast(days)  # one row per day
+    touched = F.broadcast(days)  # one row per touched day: bounded by the batch's date span
     fresh = account_daily_snapshot(
         fact.join(touched.withColumnRenamed("snapshot_date", "_d"),
                   F.to_date(fact["request_time"]) == F.col("_d"), "left_semi"))
