@@ -11,6 +11,7 @@ its partitioning, as long as the order columns are unique.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,10 +36,16 @@ def with_surrogate_key(df: DataFrame, order_cols: list, name: str,
     keys as the distributed path, without its range sampling and checkpoint.
     Anything larger takes the distributed path (``global_position``).
     """
-    if small_rows and df.count() <= small_rows:
+    if not small_rows:
+        return global_position(df, order_cols, name, num_partitions)
+    # computed once for the size check and for the numbering that follows
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if df.count() <= small_rows:
         order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    return global_position(df, order_cols, name, num_partitions)
+    keyed = global_position(df, order_cols, name, num_partitions)  # checkpoints eagerly from the persisted rows
+    df.unpersist()
+    return keyed
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
