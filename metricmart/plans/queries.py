@@ -659,8 +659,6 @@ INCREMENTAL_SPLIT = "2024-01-26 00:00:00"
 def q_incremental_load(spark, sf_dir):
     """S-16 / etl:45: the request fact loaded incrementally in two landed batches (plus a replay
     of the second); equal to the full rebuild."""
-    from ..session import checkpoint_dir  # noqa: F401  (the paths below live in the shared folder)
-
     wh = warehouse(spark, sf_dir)
     raw = wh.sources.logs
     cut = F.lit(INCREMENTAL_SPLIT).cast("timestamp_ntz")
