@@ -48,6 +48,10 @@ class Warehouse:
         if self.store_path is None:
             return df
         path = f"{self.store_path}/{name}"
+        if partition_by:
+            # AQE rebalances by the partition columns: a hot day is split over several tasks and
+            # small days are coalesced, so each date folder gets a few well-sized files
+            df = df.hint("rebalance", *partition_by)
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -165,6 +169,8 @@ class Warehouse:
             obs = Observation(name)
             if observe:
                 df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+            if parts:
+                df = df.hint("rebalance", *parts)
             w = df.write.mode("overwrite")
             if parts:
                 w = w.partitionBy(*parts)

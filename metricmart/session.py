@@ -26,6 +26,25 @@ BASE_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, partition_mb: int = 256) -> dict:
+    """Starting settings for a large cluster reading ``input_bytes``.
+
+    Shuffles start with one partition per ``partition_mb`` of input and AQE
+    coalesces small ones and splits skewed ones at run time; scans read
+    ``partition_mb`` splits; skew-join splitting starts at 4 × the median.
+    """
+    parts = max(200, input_bytes // (partition_mb << 20))
+    return {
+        **BASE_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": f"{partition_mb}m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{partition_mb}m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app: str = "metricmart", extra: dict | None = None) -> SparkSession:
     """A session for local runs. On a cluster, pass the cluster's own session instead."""

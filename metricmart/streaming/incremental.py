@@ -111,6 +111,7 @@ def append_landed_logs(landed: DataFrame, batch_id: int, seen_path: str, fact_pa
     fact = facts.build_fct_requests(valid, api_keys, dim_account, dim_api_key, dim_model, dim_status)
     parts = ["request_date", "load_batch"]
     (fact.withColumn("request_date", F.to_date("request_time")).withColumn("load_batch", F.lit(batch_id))
+         .hint("rebalance", "request_date")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
          .parquet(fact_path))
     (fresh.select("request_id", *parts)
