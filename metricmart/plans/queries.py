@@ -344,10 +344,12 @@ def q_load_counts(spark, sf_dir):
 @query
 def q_csv_roundtrip(spark, sf_dir):
     """SNK-8: clean billing written as CSV with a header and read back with its schema."""
+    from ..sources.loader import CSV_OPTIONS
+
     path = scratch_path(spark, "csv")
     billing = warehouse(spark, sf_dir).clean_billing
-    billing.write.option("header", True).csv(path)
-    return spark.read.schema(schemas.BILLING_ORDERS).option("header", True).csv(path)
+    billing.write.options(**CSV_OPTIONS).csv(path)
+    return spark.read.options(**CSV_OPTIONS).schema(schemas.BILLING_ORDERS).csv(path)
 
 
 # ==== Tier 2 (documented in the reference, built here) =======================================
@@ -657,7 +659,7 @@ INCREMENTAL_SPLIT = "2024-01-26 00:00:00"
 
 @query
 def q_incremental_load(spark, sf_dir):
-    """S-16 / etl:45: the request fact loaded incrementally in two landed batches (plus a replay
+    """S-16: the request fact loaded incrementally in two landed batches (plus a replay
     of the second); equal to the full rebuild."""
     wh = warehouse(spark, sf_dir)
     raw = wh.sources.logs
