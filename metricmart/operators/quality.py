@@ -98,12 +98,23 @@ def unique_violations(df: DataFrame, col: str, table: str) -> DataFrame:
                  F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)))
 
 
-def not_null_violations(df: DataFrame, cols: list[str], table: str) -> DataFrame:
-    """C-3: NULL counts of every NOT NULL column, in one aggregation pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).cast("bigint").alias(c) for c in cols])
-    return counts.unpivot([], cols, "_col", "violations").select(
-        F.concat(F.lit("not_null:"), F.col("_col")).alias("rule"), F.lit(table).alias("table_name"),
-        "violations")
+def column_rules(df: DataFrame, table: str, not_null: list[str] = (), domains: dict | None = None,
+                 defaults: bool = True) -> DataFrame:
+    """C-3 / C-5 / C-6 in one aggregation pass over ``df``: NULLs in NOT NULL columns,
+    values outside enum domains (NULL is not a domain violation), and missing values in
+    columns with a DDL default (the loader fills them)."""
+    rules = {f"not_null:{c}": F.col(c).isNull() for c in not_null}
+    for c, domain in (domains or {}).items():
+        rules[f"domain:{c}"] = F.col(c).isNotNull() & ~F.col(c).isin(*domain)
+    if defaults:
+        for c in schemas.SOURCE_DEFAULTS.get(table, {}):
+            if c in df.columns:
+                rules[f"default:{c}"] = F.col(c).isNull()
+    names = [f"_r{i}" for i in range(len(rules))]
+    counts = df.agg(*[F.count_if(cond).cast("bigint").alias(n) for n, cond in zip(names, rules.values())])
+    label = F.create_map(*[x for n, r in zip(names, rules) for x in (F.lit(n), F.lit(r))])
+    return counts.unpivot([], names, "_n", "violations").select(
+        label[F.col("_n")].alias("rule"), F.lit(table).alias("table_name"), "violations")
 
 
 def fk_violations(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str,
@@ -114,23 +125,10 @@ def fk_violations(child: DataFrame, parent: DataFrame, child_col: str, parent_co
     return _rule(orphans, f"foreign_key:{child_col}", table, F.count(F.lit(1)))
 
 
-def domain_violations(df: DataFrame, col: str, domain: list[str], table: str) -> DataFrame:
-    """C-5: values outside an enum domain (NULL is not a violation here; see C-3)."""
-    return _rule(df, f"domain:{col}", table,
-                 F.count_if(F.col(col).isNotNull() & ~F.col(col).isin(*domain)))
-
-
-def default_violations(df: DataFrame, table: str) -> DataFrame:
-    """C-6: per defaulted column, the rows where the value is missing (the loader fills them)."""
-    cols = [c for c in schemas.SOURCE_DEFAULTS[table] if c in df.columns]
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).cast("bigint").alias(c) for c in cols])
-    return counts.unpivot([], cols, "_col", "violations").select(
-        F.concat(F.lit("default:"), F.col("_col")).alias("rule"), F.lit(table).alias("table_name"), "violations")
-
-
 def source_constraint_report(users: DataFrame, keys: DataFrame, changes: DataFrame,
                              logs: DataFrame, billing: DataFrame, models: DataFrame) -> DataFrame:
-    """One ``(rule, table_name, violations)`` row per source rule (C-1..C-5)."""
+    """One ``(rule, table_name, violations)`` row per source rule (C-1..C-6); one pass per table
+    for the column rules, one aggregation per key rule, one anti join per reference."""
     parts = [
         pk_violations(users, ["user_id"], "users"),
         pk_violations(keys, ["key_id"], "api_keys"),
@@ -139,22 +137,21 @@ def source_constraint_report(users: DataFrame, keys: DataFrame, changes: DataFra
         pk_violations(billing, ["order_id"], "billing_orders"),
         pk_violations(models, ["model_id"], "ai_models"),
         unique_violations(users, "email", "users"),
-        not_null_violations(users, ["email", "registration_date", "subscription_plan"], "users"),
-        not_null_violations(logs, ["key_id", "model_id", "prompt_token_count",
-                                   "completion_token_count", "latency_ms", "http_status",
-                                   "request_time"], "request_logs_raw"),
-        not_null_violations(billing, ["user_id", "amount", "order_type", "transaction_status",
-                                      "created_at"], "billing_orders"),
+        column_rules(users, "users", ["email", "registration_date", "subscription_plan"],
+                     {"subscription_plan": schemas.PLANS}),
+        column_rules(logs, "request_logs_raw", ["key_id", "model_id", "prompt_token_count",
+                                                "completion_token_count", "latency_ms", "http_status",
+                                                "request_time"], defaults=False),
+        column_rules(billing, "billing_orders", ["user_id", "amount", "order_type", "transaction_status",
+                                                 "created_at"],
+                     {"order_type": schemas.ORDER_TYPES, "transaction_status": schemas.TRANSACTION_STATUSES}),
+        column_rules(keys, "api_keys"),
+        column_rules(changes, "user_plan_changes"),
+        column_rules(models, "ai_models"),
         fk_violations(keys, users, "user_id", "user_id", "api_keys"),
         fk_violations(changes, users, "user_id", "user_id", "user_plan_changes"),
         fk_violations(logs, keys, "key_id", "key_id", "request_logs_raw"),
         fk_violations(logs, models, "model_id", "model_id", "request_logs_raw"),
         fk_violations(billing, users, "user_id", "user_id", "billing_orders"),
-        domain_violations(users, "subscription_plan", schemas.PLANS, "users"),
-        domain_violations(billing, "order_type", schemas.ORDER_TYPES, "billing_orders"),
-        domain_violations(billing, "transaction_status", schemas.TRANSACTION_STATUSES, "billing_orders"),
-        default_violations(users, "users"), default_violations(keys, "api_keys"),
-        default_violations(changes, "user_plan_changes"), default_violations(billing, "billing_orders"),
-        default_violations(models, "ai_models"),
     ]
     return reduce(DataFrame.unionByName, parts)
