@@ -15,6 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import freeze
 from .sequence import global_position
 
 # Broadcast a lookup side only below this many rows; beyond it the join stays a
@@ -42,7 +43,10 @@ def with_surrogate_key(df: DataFrame, order_cols: list, name: str,
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     if df.count() <= small_rows:
         order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+        # frozen (reliable checkpoint) so the persisted input can be released
+        keyed = freeze(df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint")))
+        df.unpersist()
+        return keyed
     keyed = global_position(df, order_cols, name, num_partitions)  # checkpoints eagerly from the persisted rows
     df.unpersist()
     return keyed
