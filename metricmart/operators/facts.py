@@ -10,6 +10,15 @@ from ..functions.columns import token_amount
 from .keys import bounded_broadcast, key_lookup
 
 
+def assert_unique(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Refuse a lookup side whose join key repeats (a duplicate would multiply fact rows
+    silently). One aggregation over the dimension-sized side; NULL keys count as equal."""
+    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").limit(1).count()
+    if dup:
+        raise ValueError(f"{name}: join key {keys} is not unique")
+    return df
+
+
 def status_join_condition(logs: DataFrame, dim_status: DataFrame):
     """JN-5: status equality and NULL-safe error-code equality."""
     return ((logs["http_status"] == dim_status["http_status"])
@@ -25,10 +34,13 @@ def build_fct_requests(clean_logs: DataFrame, api_keys: DataFrame, dim_account:
     dimensions are bounded by catalogue size and broadcast after a size check.
     A hot key (one user with a third of all calls) meets the lookup in a
     broadcast hash join or, beyond the size bound, in an AQE skew-split join.
+    Every lookup side is checked for unique join keys first (SURVEY §4).
     """
-    lookup = bounded_broadcast(key_lookup(api_keys, dim_api_key, dim_account))
-    models = bounded_broadcast(dim_model)
-    status = bounded_broadcast(dim_status.select("status_sk", "http_status", "error_code"))
+    lookup = bounded_broadcast(assert_unique(key_lookup(api_keys, dim_api_key, dim_account), ["key_id"],
+                                             "key lookup"))
+    models = bounded_broadcast(assert_unique(dim_model, ["model_id"], "dim_model"))
+    status = bounded_broadcast(assert_unique(dim_status, ["http_status", "error_code"], "dim_status_code")
+                               ).select("status_sk", "http_status", "error_code")
     f = clean_logs.join(lookup, "key_id").join(models, "model_id")
     f = f.join(status, status_join_condition(f, status)).drop(status["http_status"]).drop(status["error_code"])
     p, c = F.col("prompt_token_count"), F.col("completion_token_count")
@@ -42,8 +54,9 @@ def build_fct_requests(clean_logs: DataFrame, api_keys: DataFrame, dim_account:
 
 def build_fct_transactions(clean_billing: DataFrame, dim_account: DataFrame) -> DataFrame:
     """FCT-2: billing rows keyed to the current account (JN-6); all statuses kept."""
-    current = bounded_broadcast(dim_account.filter(F.col("is_current")).select("user_id", "account_sk"))
-    out = clean_billing.join(current, "user_id").withColumnRenamed("order_id", "transaction_id")
+    current = assert_unique(dim_account.filter(F.col("is_current")).select("user_id", "account_sk"), ["user_id"],
+                            "current accounts")
+    out = clean_billing.join(bounded_broadcast(current), "user_id").withColumnRenamed("order_id", "transaction_id")
     return schemas.conform(out, schemas.FCT_ACCOUNT_TRANSACTIONS)
 
 

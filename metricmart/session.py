@@ -19,8 +19,6 @@ BASE_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # size post-shuffle partitions by bytes (advisory size), not by default parallelism
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
@@ -41,6 +39,8 @@ def cluster_conf(input_bytes: int, partition_mb: int = 256) -> dict:
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": f"{partition_mb}m",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{partition_mb}m",
+        # size post-shuffle partitions by bytes, not by the default parallelism
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{partition_mb}m",
         "spark.sql.autoBroadcastJoinThreshold": "64m",

@@ -164,3 +164,12 @@ def test_money_rounding_ties(spark):
     df = spark.createDataFrame([(0.13545,), (0.13555,), (-0.00005,), (2.00005,)], "x double")
     got = [r.m for r in df.select(money4(F.col("x")).alias("m")).collect()]
     assert got == [Decimal("0.1355"), Decimal("0.1356"), Decimal("-0.0001"), Decimal("2.0001")]
+
+
+def test_duplicate_dimension_key_is_refused(spark):
+    import pytest
+
+    dim = spark.createDataFrame([(1, "m1"), (2, "m1")], "model_sk long, model_id string")
+    with pytest.raises(ValueError):
+        facts.assert_unique(dim, ["model_id"], "dim_model")
+    facts.assert_unique(dim, ["model_sk"], "dim_model")  # unique: passes
