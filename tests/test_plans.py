@@ -48,3 +48,20 @@ def test_scd2_shuffles_once_by_user(spark):
     p = plan_of(scd2_from_changes(s.users, s.plan_changes))
     # all window work shares one hash partitioning on user_id
     assert p.count("Window [") >= 1
+
+
+def test_single_partition_exchanges_only_carry_partial_aggregates(spark):
+    """No single-partition exchange over fact-sized rows: what crosses one is a partial
+    aggregate (one row per task and group) or the sequence operator's statistics (one row per
+    partition) — never raw rows."""
+    for name in ("q_dq_stats", "q_alert_count", "q_scd2_invariants", "q_orphans", "q_mau",
+                 "q_daily_platform_calls", "q_p99_latency", "q_retention_long", "q_constraint_report"):
+        df = Q.QUERIES[name](spark, SF_SMALL)
+        df.collect()
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                child = lines[i + 1]
+                partial = "HashAggregate" in child and "partial_" in child
+                per_partition_stats = "HashAggregate(keys=[_sq_pid" in child  # one row per partition
+                assert partial or per_partition_stats, (name, child.strip()[:120])
