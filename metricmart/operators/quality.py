@@ -52,18 +52,18 @@ def clean_billing(billing: DataFrame) -> DataFrame:
 
 
 def dq_stats(logs: DataFrame, billing: DataFrame) -> DataFrame:
-    """AGG-10: the cleaning counters as ``(check_name, value)`` rows, one pass per table.
+    """AGG-10: the cleaning counters as ``(check_name, value)`` rows.
 
-    The dedup rank is computed once over the raw logs; duplicates are ranks > 1
-    and invalid rows are first-ranked rows failing the validity mask.
+    Duplicates = raw rows − dedup winners; invalid = winners failing the validity
+    mask. The winners come from the group-limited ``first_per_key`` (at most one
+    row per key leaves each task), so a retry storm on one request id stays spread.
     """
-    w = Window.partitionBy("request_id").orderBy(*_ordered(LOG_ORDER))
-    ranked = logs.withColumn("_rn", F.row_number().over(w))
-    first = F.col("_rn") == 1
-    log_counts = ranked.agg(
-        F.count(F.lit(1)).alias("original_logs"),
-        F.count_if(~first).alias("deduplicated_logs"),
-        F.count_if(first & ~F.coalesce(valid_numbers(), F.lit(False))).alias("invalid_numeric_logs"))
+    raw = logs.select(F.lit(1).alias("_raw"), F.lit(0).alias("_kept"), F.lit(0).alias("_bad"))
+    kept = dedup_logs(logs).select(F.lit(0).alias("_raw"), F.lit(1).alias("_kept"),
+                                   F.when(F.coalesce(valid_numbers(), F.lit(False)), 0).otherwise(1).alias("_bad"))
+    log_counts = raw.unionByName(kept).agg(
+        F.sum("_raw").alias("original_logs"), (F.sum("_raw") - F.sum("_kept")).alias("deduplicated_logs"),
+        F.sum("_bad").alias("invalid_numeric_logs"))
     bill_counts = billing.agg(F.count(F.lit(1)).alias("original_billing"),
                               F.count_if(F.col("amount").isNull()).alias("invalid_billing"))
     return _unpivot(log_counts, "check_name", "value").unionByName(
