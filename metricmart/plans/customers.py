@@ -35,7 +35,12 @@ def segment_of(total: Column) -> Column:
     return expr
 
 
-def rfm(fact: DataFrame, ctx: MetricContext) -> DataFrame:
+def _approx_cuts(df: DataFrame, col: str) -> list[float]:
+    """Quintile cut-offs from one ``percentile_approx`` sketch (a single aggregate row)."""
+    return [float(x) for x in df.agg(F.percentile_approx(F.col(col).cast("double"), QUINTILES, 10000)).first()[0]]
+
+
+def rfm(fact: DataFrame, ctx: MetricContext, approximate: bool = False) -> DataFrame:
     """S-8: quintile scores of recency (lower is better), frequency and monetary, and a segment.
 
     The four cut-offs per measure are exact ``percentile_cont`` values over all
@@ -44,9 +49,12 @@ def rfm(fact: DataFrame, ctx: MetricContext) -> DataFrame:
     """
     m = rfm_measures(fact, ctx)
     m = m.withColumn("_money", F.col("monetary_usd").cast("double"))
-    r_cut = global_percentiles(m, "recency_days", ["account_sk"], QUINTILES)
-    f_cut = global_percentiles(m, "frequency_days", ["account_sk"], QUINTILES)
-    m_cut = global_percentiles(m, "_money", ["account_sk"], QUINTILES)
+    if approximate:  # one sketch per measure: for very large account sets
+        r_cut, f_cut, m_cut = (_approx_cuts(m, c) for c in ("recency_days", "frequency_days", "_money"))
+    else:
+        r_cut = global_percentiles(m, "recency_days", ["account_sk"], QUINTILES)
+        f_cut = global_percentiles(m, "frequency_days", ["account_sk"], QUINTILES)
+        m_cut = global_percentiles(m, "_money", ["account_sk"], QUINTILES)
     scored = m.select(
         "account_sk", "recency_days", "frequency_days", "monetary_usd",
         score_by_cutoffs(F.col("recency_days"), r_cut, higher_is_better=False).alias("r_score"),

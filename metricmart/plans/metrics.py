@@ -127,16 +127,21 @@ def daily_calls_scope(ctx: MetricContext) -> Column:
 MAU = "platform.monthly.mau"
 
 
-def mau(snapshot: DataFrame, ctx: MetricContext, align_to_month: bool = False) -> DataFrame:
+def mau(snapshot: DataFrame, ctx: MetricContext, align_to_month: bool = False,
+        approximate: bool = False, rsd: float = 0.01) -> DataFrame:
     """Distinct accounts with a snapshot row per month (as coded: errors count too, T6).
 
     The range is the context's (T7); ``align_to_month`` floors the start to the
-    first of its month so the first month is not a partial count.
+    first of its month so the first month is not a partial count. ``approximate``
+    counts with HyperLogLog++ (``approx_count_distinct``, relative error ``rsd``):
+    fixed-size sketches instead of a distinct shuffle, for very large account sets.
     """
     lo = F.trunc(F.lit(ctx.start_date), "month") if align_to_month else F.lit(ctx.start_date)
+    distinct = (F.approx_count_distinct("account_sk", rsd) if approximate
+                else F.count_distinct("account_sk"))
     per_month = (snapshot.filter(F.col("snapshot_date").between(lo, F.lit(ctx.end_date)))
                          .groupBy(month_id(F.col("snapshot_date")).alias("time_id"))
-                         .agg(F.count_distinct("account_sk").alias("n")))
+                         .agg(distinct.alias("n")))
     return per_month.select(*_eav(MAU, "platform", F.lit("all"), "month", F.col("time_id"), F.col("n")))
 
 

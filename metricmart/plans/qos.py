@@ -20,13 +20,15 @@ def _calls_by_model(fact: DataFrame, dim_model: DataFrame, ctx: MetricContext) -
                 .join(bounded_broadcast(dim_model).select("model_sk", "model_id"), "model_sk"))
 
 
-def p99_latency(fact: DataFrame, dim_model: DataFrame, ctx: MetricContext, p: float = 0.99) -> DataFrame:
+def p99_latency(fact: DataFrame, dim_model: DataFrame, ctx: MetricContext, p: float = 0.99,
+                approximate: bool = False, accuracy: int = 10000) -> DataFrame:
     """S-6: exact continuous P99 latency per model after removing 3σ outliers.
 
     Ours: a request is an outlier when its latency is more than 3 sample standard
     deviations from the mean of its model and day. Mean and σ per model-day are
     one partial aggregation; the percentile is read from a latency histogram, so
-    a hot model never gathers its rows in one task.
+    a hot model never gathers its rows in one task. ``approximate`` uses a
+    ``percentile_approx`` sketch instead (bounded memory for any value domain).
     """
     calls = _calls_by_model(fact, dim_model, ctx).withColumn("_d", F.to_date("request_time"))
     stats = calls.groupBy("model_id", "_d").agg(F.avg("latency_ms").alias("_mu"),
@@ -37,7 +39,10 @@ def p99_latency(fact: DataFrame, dim_model: DataFrame, ctx: MetricContext, p: fl
     kept = calls.filter(keep)
     counts = calls.groupBy("model_id").agg(F.count(F.lit(1)).alias("requests"),
                                            F.count_if(keep).alias("kept_requests"))
-    pct = grouped_percentile(kept, ["model_id"], "latency_ms", p, "_p")
+    if approximate:  # mergeable quantile sketch per model (percentile_approx), for unbounded value domains
+        pct = kept.groupBy("model_id").agg(F.percentile_approx("latency_ms", p, accuracy).cast("double").alias("_p"))
+    else:
+        pct = grouped_percentile(kept, ["model_id"], "latency_ms", p, "_p")
     return counts.join(pct, "model_id", "left").select(
         "model_id", F.col("requests").cast("bigint").alias("requests"),
         F.col("kept_requests").cast("bigint").alias("kept_requests"),

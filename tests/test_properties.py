@@ -125,3 +125,25 @@ def test_period_bounds_per_time_type():
     assert M.period_bounds("week", ctx) == ("2025-W01", "2025-W01")  # ISO week-based year
     assert M.period_bounds("month", ctx) == ("2024-12", "2025-01")
     assert M.period_bounds("year", ctx) == ("2024", "2025")
+
+
+def test_approximate_options_stay_close(spark):
+    from metricmart.plans import customers, qos
+
+    wh = Q.warehouse(spark, SF_SMALL)
+    exact = {r.time_id: r.metric_value for r in M.mau(wh.fct_account_daily_snapshot, M.EVENTS_MONTH).collect()}
+    approx = {r.time_id: r.metric_value for r in
+              M.mau(wh.fct_account_daily_snapshot, M.EVENTS_MONTH, approximate=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - v) <= 0.05 * v + 1 for k, v in exact.items())
+    p95 = {r.model_id: r.p99_latency_ms for r in qos.p99_latency(wh.fct_api_requests, wh.dim_model,
+                                                                 M.EVENTS_MONTH, p=0.95).collect()}
+    pmax = {r.model_id: r.p99_latency_ms for r in qos.p99_latency(wh.fct_api_requests, wh.dim_model,
+                                                                  M.EVENTS_MONTH, p=1.0).collect()}
+    p_apx = {r.model_id: r.p99_latency_ms for r in qos.p99_latency(wh.fct_api_requests, wh.dim_model,
+                                                                   M.EVENTS_MONTH, approximate=True).collect()}
+    assert p95.keys() == p_apx.keys()
+    # the sketch returns a data value near the top: between the exact P95 and the maximum
+    assert all(p95[k] <= p_apx[k] <= pmax[k] for k in p_apx)
+    seg = customers.rfm(wh.fct_api_requests, M.EVENTS_MONTH, approximate=True)
+    assert seg.count() == customers.rfm(wh.fct_api_requests, M.EVENTS_MONTH).count()
