@@ -173,3 +173,60 @@ def test_duplicate_dimension_key_is_refused(spark):
     with pytest.raises(ValueError):
         facts.assert_unique(dim, ["model_id"], "dim_model")
     facts.assert_unique(dim, ["model_sk"], "dim_model")  # unique: passes
+
+
+def _mini_fact(spark):
+    rows = [  # request_id, account_sk, model_sk, status_sk, key_sk, request_time, latency, tokens…, revenue, cost
+        (1, 10, 1, 1, 1, ts(2024, 1, 31, 23, 59, 59, 999999), 100, 1, 1, 0.0, 0.0),  # last microsecond of the range
+        (2, 11, 1, 2, 1, ts(2024, 1, 5, 8, 0, 0), 100, 1, 1, 0.0, 0.0),              # account 11: errors only
+        (3, 12, 1, 3, 1, ts(2023, 12, 31, 10, 0, 0), 100, 1, 1, 0.0, 0.0),           # before the month
+        (4, 10, 1, 1, 1, ts(2024, 2, 1, 0, 0, 0), 100, 1, 1, 0.0, 0.0),              # just after the range
+    ]
+    fact = spark.createDataFrame(rows, schemas.FCT_API_REQUESTS)
+    status = spark.createDataFrame([(1, 200, "NONE", False), (2, 429, "client_error", True),
+                                    (3, 302, "NONE", False)], schemas.DIM_STATUS_CODE)
+    return fact, status
+
+
+def test_t9_t23_inclusive_day_bounds_and_missing_days(spark):
+    from metricmart.operators.snapshots import account_daily_snapshot
+
+    fact, _ = _mini_fact(spark)
+    ctx = M.MetricContext.for_days(date(2024, 1, 1), date(2024, 1, 31))
+    days = {r.time_id: r.metric_value for r in M.daily_platform_calls(fact, ctx).collect()}
+    assert days == {"2024-01-05": 1.0, "2024-01-31": 1.0}  # 23:59:59.999999 is inside; no rows for empty days
+    snap = account_daily_snapshot(fact)
+    mau = {r.time_id: r.metric_value for r in M.mau(snap, ctx).collect()}
+    assert mau == {"2024-01": 2.0}
+
+
+def test_t6_mau_counts_error_only_accounts_but_mau_success_does_not(spark):
+    from metricmart.operators.snapshots import account_daily_snapshot
+    from metricmart.plans import growth
+
+    fact, status = _mini_fact(spark)
+    ctx = M.MetricContext.for_days(date(2024, 1, 1), date(2024, 1, 31))
+    assert M.mau(account_daily_snapshot(fact), ctx).first().metric_value == 2.0      # accounts 10 and 11
+    assert growth.mau_success(fact, status, ctx).first().metric_value == 1.0        # account 10 only
+
+
+def test_t7_partial_first_month_and_alignment(spark):
+    from metricmart.operators.snapshots import account_daily_snapshot
+
+    fact, _ = _mini_fact(spark)
+    snap = account_daily_snapshot(fact)
+    ctx = M.MetricContext.for_days(date(2024, 1, 10), date(2024, 2, 29))
+    as_coded = {r.time_id: r.metric_value for r in M.mau(snap, ctx).collect()}
+    aligned = {r.time_id: r.metric_value for r in M.mau(snap, ctx, align_to_month=True).collect()}
+    assert as_coded == {"2024-01": 1.0, "2024-02": 1.0}   # account 11 (Jan 5) falls before the start
+    assert aligned == {"2024-01": 2.0, "2024-02": 1.0}
+
+
+def test_t26_error_rule_differs_between_etl_and_guide(spark):
+    fact, status = _mini_fact(spark)
+    model = spark.createDataFrame([(1, "m1", "p", 1.0, 1.0, 1.0, 1.0)], schemas.DIM_MODEL)
+    ctx = M.MetricContext.for_days(date(2023, 12, 1), date(2024, 2, 29))
+    r = qos.error_rate(fact, model, status, ctx).first()
+    assert (r.requests, r.errors) == (4, 2)  # status 302 is not an error for the ETL (>= 400) but is for the guide
+    flags = {row.http_status: row.is_error for row in status.collect()}
+    assert flags == {200: False, 429: True, 302: False}
