@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import money4, round4
 from ..operators.percentile import global_percentiles, score_by_cutoffs
+from ..session import freeze
 from .metrics import MetricContext, in_range
 from ..operators.keys import bounded_broadcast
 
@@ -108,7 +109,9 @@ def kmeans_segments(fact: DataFrame, dim_status: DataFrame, ctx: MetricContext,
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
-    feats = behaviour_features(fact, dim_status, ctx)
+    # one row per account, read by the scaler fit, every K-means pass and the final transform:
+    # frozen once (reliable checkpoint) instead of re-aggregating the fact each time
+    feats = freeze(behaviour_features(fact, dim_status, ctx))
     cols = ["active_days", "requests", "tokens", "spend", "error_rate"]
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=cols, outputCol="_raw"),
