@@ -25,19 +25,26 @@ def status_join_condition(logs: DataFrame, dim_status: DataFrame):
             & logs["error_code"].eqNullSafe(dim_status["error_code"]))
 
 
+def build_key_map(api_keys: DataFrame, dim_api_key: DataFrame, dim_account: DataFrame) -> DataFrame:
+    """K-2 as a derived dimension: ``key_id → key_sk, user_id, account_sk``, unique per key."""
+    return assert_unique(key_lookup(api_keys, dim_api_key, dim_account), ["key_id"], "key map")
+
+
 def build_fct_requests(clean_logs: DataFrame, api_keys: DataFrame, dim_account: DataFrame,
                        dim_api_key: DataFrame, dim_model: DataFrame,
-                       dim_status: DataFrame) -> DataFrame:
+                       dim_status: DataFrame, key_map: DataFrame | None = None) -> DataFrame:
     """FCT-1: the five-way star join with revenue and cost (inner joins only, T3/T4).
 
-    The key joins fold into one user-sized lookup (K-2); the model and status
+    The key joins fold into one user-sized lookup (K-2; pass the stored
+    ``key_map`` to reuse it, e.g. in incremental loads); the model and status
     dimensions are bounded by catalogue size and broadcast after a size check.
     A hot key (one user with a third of all calls) meets the lookup in a
     broadcast hash join or, beyond the size bound, in an AQE skew-split join.
     Every lookup side is checked for unique join keys first (SURVEY §4).
     """
-    lookup = bounded_broadcast(assert_unique(key_lookup(api_keys, dim_api_key, dim_account), ["key_id"],
-                                             "key lookup"))
+    if key_map is None:
+        key_map = build_key_map(api_keys, dim_api_key, dim_account)
+    lookup = bounded_broadcast(key_map)
     models = bounded_broadcast(assert_unique(dim_model, ["model_id"], "dim_model"))
     status = bounded_broadcast(assert_unique(dim_status, ["http_status", "error_code"], "dim_status_code")
                                ).select("status_sk", "http_status", "error_code")

@@ -665,7 +665,7 @@ def q_incremental_load(spark, sf_dir):
     raw = wh.sources.logs
     cut = F.lit(INCREMENTAL_SPLIT).cast("timestamp_ntz")
     seen, fact = scratch_path(spark, "seen-ids"), scratch_path(spark, "fact-incremental")
-    dims = (wh.sources.api_keys, wh.dim_account, wh.dim_api_key, wh.dim_model, wh.dim_status_code)
+    dims = (wh.sources.api_keys, wh.dim_account, wh.dim_api_key, wh.dim_model, wh.dim_status_code, wh.key_map)
     for batch_id, part in ((1, raw.filter(F.col("request_time") < cut)), (2, raw.filter(F.col("request_time") >= cut)),
                            (2, raw.filter(F.col("request_time") >= cut))):  # the second batch lands twice
         incremental.append_landed_logs(part, batch_id, seen, fact, *dims)

@@ -101,13 +101,21 @@ class Warehouse:
     def dim_account(self) -> DataFrame:
         return self.dim_account_lineage.drop("ord", "change_id")
 
+    @cached_property
+    def key_map(self) -> DataFrame:
+        """``key_id → key_sk, user_id, account_sk`` (current account), stored with the dimensions."""
+        if self.base is not None:
+            return self.base.key_map
+        return self._stored("key_map", facts.build_key_map(self.sources.api_keys, self.dim_api_key,
+                                                           self.dim_account))
+
     # ---- facts ----
     @cached_property
     def _requests_by_date(self) -> DataFrame:
         if self.base is not None:
             return self.base._requests_by_date
         f = facts.build_fct_requests(self.clean_logs, self.sources.api_keys, self.dim_account,
-                                     self.dim_api_key, self.dim_model, self.dim_status_code)
+                                     self.dim_api_key, self.dim_model, self.dim_status_code, self.key_map)
         return self._stored("fct_api_requests", f.withColumn("request_date", F.to_date("request_time")),
                             ["request_date"])
 

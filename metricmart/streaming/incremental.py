@@ -77,7 +77,7 @@ RETRY_WINDOW_DAYS = 1  # fixed value: a retry lands at most this many days after
 
 def append_landed_logs(landed: DataFrame, batch_id: int, seen_path: str, fact_path: str, api_keys: DataFrame,
                        dim_account: DataFrame, dim_api_key: DataFrame, dim_model: DataFrame,
-                       dim_status: DataFrame) -> None:
+                       dim_status: DataFrame, key_map: DataFrame | None = None) -> None:
     """Load one batch of newly landed raw request logs into the date-partitioned fact.
 
     * Exact dedup across batches: ``seen_path`` keeps every request id that won
@@ -89,6 +89,7 @@ def append_landed_logs(landed: DataFrame, batch_id: int, seen_path: str, fact_pa
       and the batch's own earlier ids are ignored, so replaying a failed or
       repeated batch rewrites exactly its own rows.
     * Assumes a retry never lands before its original.
+    * ``key_map``: the warehouse's stored key dimension, read instead of rebuilt per batch.
     """
     from ..operators import facts, quality
 
@@ -108,7 +109,7 @@ def append_landed_logs(landed: DataFrame, batch_id: int, seen_path: str, fact_pa
         fresh = winners.join(seen, "request_id", "left_anti")
     valid = (fresh.filter(F.coalesce(quality.valid_numbers(), F.lit(False))).fillna({"error_code": "NONE"})
              .drop("request_date", "load_batch"))
-    fact = facts.build_fct_requests(valid, api_keys, dim_account, dim_api_key, dim_model, dim_status)
+    fact = facts.build_fct_requests(valid, api_keys, dim_account, dim_api_key, dim_model, dim_status, key_map)
     parts = ["request_date", "load_batch"]
     (fact.withColumn("request_date", F.to_date("request_time")).withColumn("load_batch", F.lit(batch_id))
          .hint("rebalance", "request_date")
