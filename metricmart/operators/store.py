@@ -27,13 +27,6 @@ def replace_rows(existing: DataFrame, new: DataFrame, scope: Column) -> DataFram
     return kept.unionByName(new.select(*existing.columns))
 
 
-def scope_in(col: str, values: list | None) -> Column:
-    """FLT-9: optional entity scope of a delete (``entity_id IN (…)``); no list = everything."""
-    if not values:
-        return F.lit(True)
-    return F.col(col).isin([str(v) for v in values])
-
-
 def _hadoop_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

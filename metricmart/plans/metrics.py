@@ -219,11 +219,3 @@ def retention_json(long: DataFrame) -> DataFrame:
 def retention_scope(ctx: MetricContext) -> Column:
     """SNK-5c: every retention row up to the end month."""
     return (F.col("metric_code") == RETENTION) & (F.col("time_id") <= ctx.end.strftime("%Y-%m"))
-
-
-def conform_value(df: DataFrame) -> DataFrame:
-    return schemas.conform(df, schemas.DWS_METRIC_VALUE)
-
-
-def conform_struct(df: DataFrame) -> DataFrame:
-    return schemas.conform(df, schemas.DWS_METRIC_STRUCT)

@@ -25,3 +25,40 @@ def test_warehouse_from_loaded_sources_equals_adapter_build(spark):
         assert _rows(wh.dim_account) == _rows(ref.dim_account), fmt
         assert _rows(wh.fct_api_requests) == _rows(ref.fct_api_requests), fmt
         assert _rows(wh.fct_account_daily_snapshot) == _rows(ref.fct_account_daily_snapshot), fmt
+
+
+def test_reference_catalogue_builds_the_model_dimension(spark):
+    from metricmart import schemas
+    from metricmart.operators.dims import build_dim_model
+
+    models = loader.reference_models(spark)
+    assert models.schema == schemas.AI_MODELS
+    dim = build_dim_model(models)
+    rows = dim.orderBy("model_sk").collect()
+    assert len(rows) == 12 and [r.model_sk for r in rows] == list(range(1, 13))
+    assert sorted(r.model_id for r in rows) == [r.model_id for r in rows]  # keys in model_id order
+
+
+def test_cluster_conf_scales_partitions():
+    from metricmart.session import cluster_conf
+
+    small, big = cluster_conf(10 << 30), cluster_conf(100 << 40)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.enabled"] == "true" and big["spark.sql.session.timeZone"] == "UTC"
+
+
+def test_entity_scope_accepts_account_and_user(spark):
+    from datetime import date
+
+    from metricmart import schemas
+    from metricmart.plans import metrics as M
+
+    ctx = M.MetricContext.for_days(date(2024, 1, 1), date(2024, 1, 31), user_ids=[7])
+    store = spark.createDataFrame([
+        ("account.monthly.calls", "account", "7", "month", "2024-01", 1.0),
+        ("account.monthly.calls", "account", "8", "month", "2024-01", 1.0),
+        ("user.monthly.calls", "user", "7", "month", "2024-01", 1.0),
+    ], schemas.DWS_METRIC_VALUE)
+    assert store.filter(M.metric_scope("account.monthly.calls", ctx, ("month",), "account")).count() == 1
+    assert store.filter(M.metric_scope("user.monthly.calls", ctx, ("month",), "user")).count() == 1
