@@ -129,3 +129,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def stream_fact_load(spark: SparkSession, landing_path: str, seen_path: str, fact_path: str, checkpoint: str,
+                     api_keys: DataFrame, dim_account: DataFrame, dim_api_key: DataFrame, dim_model: DataFrame,
+                     dim_status: DataFrame, key_map: DataFrame | None = None) -> None:
+    """Load raw request-log files as they land: one ``availableNow`` run of a file stream whose
+    micro-batches go through ``append_landed_logs`` with the micro-batch id as load batch.
+
+    The stream's checkpoint remembers which files were processed; a micro-batch that is
+    replayed after a failure rewrites exactly its own ``load_batch`` folders (exactly once).
+    """
+    def load(batch: DataFrame, batch_id: int) -> None:
+        append_landed_logs(batch, batch_id, seen_path, fact_path, api_keys, dim_account, dim_api_key,
+                           dim_model, dim_status, key_map)
+
+    q = (spark.readStream.schema(schemas.REQUEST_LOGS_RAW).parquet(landing_path)
+              .writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+              .trigger(availableNow=True).start())
+    q.awaitTermination()
