@@ -151,6 +151,26 @@ class Warehouse:
                             snapshots.model_daily_snapshot(self.fct_api_requests, self.dim_status_code),
                             ["snapshot_date"]).select(*schemas.FCT_MODEL_DAILY_SNAPSHOT.fieldNames())
 
+    # dependency waves of the load: tables inside a wave are independent of each other
+    WAVES = (("dim_model", "dim_api_key", "dim_status_code", "dim_account_lineage"),
+             ("key_map", "fct_account_transactions"),
+             ("_requests_by_date",),
+             ("fct_account_daily_snapshot", "fct_model_daily_snapshot"))
+
+    def materialize(self, parallel: bool = True) -> "Warehouse":
+        """Build and store every table, wave by wave; the tables of one wave are submitted as
+        concurrent Spark jobs from driver threads (they share the cluster's task slots)."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        for wave in self.WAVES:
+            if parallel and len(wave) > 1:
+                with ThreadPoolExecutor(len(wave)) as pool:
+                    list(pool.map(lambda n: getattr(self, n), wave))
+            else:
+                for n in wave:
+                    getattr(self, n)
+        return self
+
     TABLES = ("dim_model", "dim_account", "dim_status_code", "dim_api_key", "fct_api_requests",
               "fct_account_transactions", "fct_account_daily_snapshot", "fct_model_daily_snapshot")
 

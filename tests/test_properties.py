@@ -147,3 +147,17 @@ def test_approximate_options_stay_close(spark):
     assert all(p95[k] <= p_apx[k] <= pmax[k] for k in p_apx)
     seg = customers.rfm(wh.fct_api_requests, M.EVENTS_MONTH, approximate=True)
     assert seg.count() == customers.rfm(wh.fct_api_requests, M.EVENTS_MONTH).count()
+
+
+def test_concurrent_materialize_equals_lazy_build(spark):
+    import uuid
+
+    from metricmart.plans.warehouse import Warehouse
+    from metricmart.sources.adapters import derive_sources
+
+    path = f"{checkpoint_dir(spark)}/wh-{uuid.uuid4().hex[:8]}"
+    built = Warehouse(derive_sources(spark, SF_SMALL), store_path=path).materialize(parallel=True)
+    lazy = Q.warehouse(spark, SF_SMALL)
+    for t in ("dim_account", "dim_model", "dim_status_code", "dim_api_key", "fct_api_requests",
+              "fct_account_daily_snapshot", "fct_model_daily_snapshot", "fct_account_transactions"):
+        assert sorted(map(tuple, getattr(built, t).collect())) == sorted(map(tuple, getattr(lazy, t).collect())), t
