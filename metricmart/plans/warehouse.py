@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import dims, facts, quality, snapshots
+from ..session import run_concurrently
 from ..sources.adapters import billing_orders, derive_sources, order_activity
 from ..sources.loader import Sources
 from .metrics import MetricContext
@@ -160,12 +161,9 @@ class Warehouse:
     def materialize(self, parallel: bool = True) -> "Warehouse":
         """Build and store every table, wave by wave; the tables of one wave are submitted as
         concurrent Spark jobs from driver threads (they share the cluster's task slots)."""
-        from concurrent.futures import ThreadPoolExecutor
-
         for wave in self.WAVES:
-            if parallel and len(wave) > 1:
-                with ThreadPoolExecutor(len(wave)) as pool:
-                    list(pool.map(lambda n: getattr(self, n), wave))
+            if parallel:
+                run_concurrently([lambda n=n: getattr(self, n) for n in wave])
             else:
                 for n in wave:
                     getattr(self, n)
@@ -187,8 +185,7 @@ class Warehouse:
         """
         from pyspark.sql import Observation
 
-        counts = {}
-        for name in self.TABLES:
+        def write(name: str) -> int:
             df = getattr(self, name)
             parts = self.PARTITION_BY.get(name, [])
             if name == "fct_api_requests":
@@ -203,8 +200,12 @@ class Warehouse:
             if parts:
                 w = w.partitionBy(*parts)
             w.parquet(f"{path}/{name}")
-            counts[name] = obs.get["rows"] if observe else -1
-        return counts
+            return obs.get["rows"] if observe else -1
+
+        # dependencies are resolved wave by wave first; the writes themselves are independent
+        self.materialize()
+        counts = run_concurrently([lambda n=n: write(n) for n in self.TABLES])
+        return dict(zip(self.TABLES, counts))
 
 
 def aligned_billing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,3 +94,14 @@ def freeze(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def run_concurrently(tasks: list, max_workers: int = 8) -> list:
+    """Run independent driver-side calls that each submit Spark jobs (writes, loads) from
+    separate threads, so their jobs share the cluster's task slots; results in input order."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    if len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(min(max_workers, len(tasks))) as pool:
+        return list(pool.map(lambda t: t(), tasks))
