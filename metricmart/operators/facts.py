@@ -13,9 +13,16 @@ from .keys import bounded_broadcast, key_lookup
 def assert_unique(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Refuse a lookup side whose join key repeats (a duplicate would multiply fact rows
     silently). One aggregation over the dimension-sized side; NULL keys count as equal."""
+    checked = getattr(df, "_mm_unique", None)
+    if checked == tuple(keys):  # this (materialised) frame was checked already
+        return df
     dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").limit(1).count()
     if dup:
         raise ValueError(f"{name}: join key {keys} is not unique")
+    try:
+        df._mm_unique = tuple(keys)
+    except AttributeError:
+        pass
     return df
 
 
