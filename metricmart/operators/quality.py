@@ -121,7 +121,7 @@ def fk_violations(child: DataFrame, parent: DataFrame, child_col: str, parent_co
                   table: str) -> DataFrame:
     """C-4: child rows whose reference has no parent (``left_anti``); NULL references are allowed."""
     orphans = (child.filter(F.col(child_col).isNotNull())
-               .join(parent.select(F.col(parent_col).alias(child_col)).distinct(), child_col, "left_anti"))
+               .join(parent.select(F.col(parent_col).alias(child_col)), child_col, "left_anti"))
     return _rule(orphans, f"foreign_key:{child_col}", table, F.count(F.lit(1)))
 
 
