@@ -62,3 +62,10 @@ def test_entity_scope_accepts_account_and_user(spark):
     ], schemas.DWS_METRIC_VALUE)
     assert store.filter(M.metric_scope("account.monthly.calls", ctx, ("month",), "account")).count() == 1
     assert store.filter(M.metric_scope("user.monthly.calls", ctx, ("month",), "user")).count() == 1
+
+
+def test_sources_register_as_sql_views(spark):
+    src = Q.warehouse(spark, SF).sources
+    src.register_views("t_src_")
+    n = spark.sql("SELECT count(*) AS n FROM t_src_logs WHERE latency_ms > 0").first().n
+    assert n == src.logs.filter("latency_ms > 0").count()

@@ -230,3 +230,16 @@ def test_t26_error_rule_differs_between_etl_and_guide(spark):
     assert (r.requests, r.errors) == (4, 2)  # status 302 is not an error for the ETL (>= 400) but is for the guide
     flags = {row.http_status: row.is_error for row in status.collect()}
     assert flags == {200: False, 429: True, 302: False}
+
+
+def test_tag_upsert_keeps_the_newest_row_per_key(spark):
+    from metricmart.plans.customers import upsert_tags
+
+    old = spark.createDataFrame([(1, "segment_label", "loyal", None, ts(2024, 1, 1)),
+                                 (2, "segment_label", "at_risk", None, ts(2024, 1, 1))], schemas.ADS_ACCOUNT_TAGS)
+    new = spark.createDataFrame([(1, "segment_label", "champions", None, ts(2024, 2, 1)),
+                                 (1, "burn_rate", "-3.5000", None, ts(2024, 2, 1))], schemas.ADS_ACCOUNT_TAGS)
+    got = {(r.account_sk, r.tag_key): r.tag_value
+           for r in upsert_tags(old, new, ["account_sk", "tag_key"]).collect()}
+    assert got == {(1, "segment_label"): "champions", (2, "segment_label"): "at_risk",
+                   (1, "burn_rate"): "-3.5000"}
