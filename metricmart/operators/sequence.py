@@ -37,12 +37,13 @@ def stage_in_order(df: DataFrame, order: list, num_partitions: int | None = None
     """``(staged, stats)``: frozen rows with ``_sq_pid`` / ``_sq_mid``, and one row per
     non-empty partition with ``_sq_n`` (rows), ``_sq_first`` / ``_sq_last`` (addresses)
     and ``_sq_before`` (rows in all earlier partitions)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     o = _cols(order)
-    staged = freeze(df.repartitionByRange(n, *o).sortWithinPartitions(*o)
-                      .withColumn(PID, F.spark_partition_id())
-                      .withColumn(MID, F.monotonically_increasing_id()))
+    # without an explicit count AQE sizes the range partitions: adjacent small ranges are
+    # coalesced to the advisory size, which keeps every task a contiguous, ordered slice
+    ranged = df.repartitionByRange(num_partitions, *o) if num_partitions else df.repartitionByRange(*o)
+    staged = freeze(ranged.sortWithinPartitions(*o)
+                          .withColumn(PID, F.spark_partition_id())
+                          .withColumn(MID, F.monotonically_increasing_id()))
     stats = staged.groupBy(PID).agg(F.count(F.lit(1)).alias("_sq_n"), F.min(MID).alias("_sq_first"),
                                     F.max(MID).alias("_sq_last"))
     # one row per partition: a window over it is bounded by the partition count
