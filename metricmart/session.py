@@ -26,14 +26,18 @@ BASE_CONF = {
 }
 
 
+MAX_SHUFFLE_PARTITIONS = 32768
+
+
 def cluster_conf(input_bytes: int, partition_mb: int = 256) -> dict:
     """Starting settings for a large cluster reading ``input_bytes``.
 
-    Shuffles start with one partition per ``partition_mb`` of input and AQE
-    coalesces small ones and splits skewed ones at run time; scans read
-    ``partition_mb`` splits; skew-join splitting starts at 4 × the median.
+    Shuffles start with one partition per ``partition_mb`` of input, capped at
+    ``MAX_SHUFFLE_PARTITIONS`` (shuffle metadata grows with map tasks × reduce
+    partitions), and AQE coalesces small ones and splits skewed ones at run time;
+    scans read ``partition_mb`` splits; skew-join splitting starts at 4 × the median.
     """
-    parts = max(200, input_bytes // (partition_mb << 20))
+    parts = min(MAX_SHUFFLE_PARTITIONS, max(200, input_bytes // (partition_mb << 20)))
     return {
         **BASE_CONF,
         "spark.sql.shuffle.partitions": str(parts),
