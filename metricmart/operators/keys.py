@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from ..session import freeze
 from .sequence import global_position
 
-# Broadcast a lookup side only below this many rows; beyond it the join stays a
-# shuffle join (AQE may still pick broadcast from runtime statistics).
+# Broadcast a lookup side only below this many rows (the key map's 4 long columns make
+# that about 64 MB); beyond it the join stays a shuffle join (AQE may still pick
+# broadcast from runtime statistics, within spark.sql.adaptive.autoBroadcastJoinThreshold).
 BROADCAST_MAX_ROWS = 2_000_000
 
 
@@ -34,8 +35,9 @@ def with_surrogate_key(df: DataFrame, order_cols: list, name: str,
 
     A catalogue-sized input (at most ``small_rows`` rows, checked with a count)
     is numbered by ``row_number`` over the total order in one task — the same
-    keys as the distributed path, without its range sampling and checkpoint.
-    Anything larger takes the distributed path (``global_position``).
+    keys as the distributed path, without its range sampling and offset join —
+    and frozen with a reliable checkpoint. Anything larger takes the distributed
+    path (``global_position``).
     """
     if not small_rows:
         return global_position(df, order_cols, name, num_partitions)
