@@ -22,7 +22,7 @@ from .. import schemas
 from ..operators import dims, facts, quality, snapshots
 from ..session import run_concurrently
 from ..sources.adapters import billing_orders, derive_sources, order_activity
-from ..sources.loader import Sources
+from ..sources.loader import DeferredSources, Sources
 from .metrics import MetricContext
 
 
@@ -38,7 +38,9 @@ class Warehouse:
 
     def with_billing(self, billing: DataFrame, store_path: str | None = None) -> "Warehouse":
         s = self.sources
-        src = Sources(s.users, s.plan_changes, s.api_keys, s.models, s.logs, billing)
+        src = DeferredSources({**{n: (lambda n=n: getattr(s, n))
+                                  for n in ("users", "plan_changes", "api_keys", "models", "logs")},
+                               "billing": lambda: billing})
         return Warehouse(src, store_path, base=self)
 
     @property

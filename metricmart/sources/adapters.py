@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.columns import plan_of_priority
 from ..operators.sequence import neighbour_in_order
-from .loader import Sources
+from .loader import DeferredSources, Sources
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -142,8 +142,11 @@ def order_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def derive_sources(spark: SparkSession, sf_dir: str, aligned_billing: bool = False) -> Sources:
-    """The six source tables built from the driver's parquet tables."""
-    return Sources(users=users(spark, sf_dir), plan_changes=plan_changes(spark, sf_dir),
-                   api_keys=api_keys(spark, sf_dir).select("key_id", "user_id", "key_name", "is_active"),
-                   models=ai_models(spark, sf_dir), logs=request_logs(spark, sf_dir),
-                   billing=billing_orders(spark, sf_dir, aligned_billing))
+    """The six source tables built from the driver's parquet tables, each on first use."""
+    return DeferredSources({
+        "users": lambda: users(spark, sf_dir),
+        "plan_changes": lambda: plan_changes(spark, sf_dir),
+        "api_keys": lambda: api_keys(spark, sf_dir).select("key_id", "user_id", "key_name", "is_active"),
+        "models": lambda: ai_models(spark, sf_dir),
+        "logs": lambda: request_logs(spark, sf_dir),
+        "billing": lambda: billing_orders(spark, sf_dir, aligned_billing)})

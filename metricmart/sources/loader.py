@@ -27,6 +27,22 @@ class Sources:
             getattr(self, f.name).createOrReplaceTempView(prefix + f.name)
 
 
+class DeferredSources(Sources):
+    """Sources built on first use: a source whose construction runs jobs (a frozen staging)
+    starts only when a table needs it, e.g. inside the concurrent first wave of a load."""
+
+    def __init__(self, builders: dict):  # noqa: D107 - name → zero-argument callable
+        self._builders = dict(builders)
+
+    def __getattr__(self, name: str):
+        builders = self.__dict__.get("_builders", {})
+        if name in builders:
+            value = builders[name]()
+            setattr(self, name, value)
+            return value
+        raise AttributeError(name)
+
+
 _TABLE_OF = {
     "users": "users",
     "plan_changes": "user_plan_changes",
