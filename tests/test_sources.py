@@ -69,3 +69,32 @@ def test_sources_register_as_sql_views(spark):
     src.register_views("t_src_")
     n = spark.sql("SELECT count(*) AS n FROM t_src_logs WHERE latency_ms > 0").first().n
     assert n == src.logs.filter("latency_ms > 0").count()
+
+
+def test_deferred_sources_build_once_on_first_use(spark):
+    from metricmart.sources.loader import DeferredSources
+
+    calls = []
+
+    def builder(name):
+        def build():
+            calls.append(name)
+            return spark.range(3).withColumnRenamed("id", name)
+        return build
+
+    src = DeferredSources({n: builder(n) for n in ("users", "plan_changes", "api_keys", "models", "logs",
+                                                   "billing")})
+    assert calls == []
+    assert src.users.columns == ["users"] and src.users.columns == ["users"]
+    assert calls == ["users"]  # built once, then kept
+    src.register_views("t_def_")
+    assert sorted(calls) == sorted(["users", "plan_changes", "api_keys", "models", "logs", "billing"])
+
+
+def test_run_concurrently_keeps_input_order():
+    import time
+
+    from metricmart.session import run_concurrently
+
+    out = run_concurrently([lambda i=i: (time.sleep(0.01 * (5 - i)), i)[1] for i in range(5)])
+    assert out == [0, 1, 2, 3, 4]
