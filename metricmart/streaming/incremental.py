@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,6 +108,8 @@ def append_landed_logs(landed: DataFrame, batch_id: int, seen_path: str, fact_pa
                         & (F.col("load_batch") != batch_id))
                 .select("request_id"))
         fresh = winners.join(seen, "request_id", "left_anti")
+    # read by both writes below; a lost cached block is recomputed deterministically
+    fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
     valid = (fresh.filter(F.coalesce(quality.valid_numbers(), F.lit(False))).fillna({"error_code": "NONE"})
              .drop("request_date", "load_batch"))
     fact = facts.build_fct_requests(valid, api_keys, dim_account, dim_api_key, dim_model, dim_status, key_map)
@@ -118,6 +121,7 @@ def append_landed_logs(landed: DataFrame, batch_id: int, seen_path: str, fact_pa
     (fresh.select("request_id", *parts)
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
           .parquet(seen_path))
+    fresh.unpersist()
 
 
 def read_fact(spark: SparkSession, fact_path: str) -> DataFrame:
