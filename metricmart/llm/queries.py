@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, quality, shard
+from . import langid, pii, quality, secrets, shard
 from .common import table
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.shard(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
@@ -24,7 +32,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_pii": op4_pii,
     "op7_sharding": op7_sharding,
+    "op8_secrets": op8_secrets,
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
 }
