@@ -4,16 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, pii, quality, secrets, shard
+from . import bpe, decontam, langid, pii, quality, secrets, shard
 from .common import table
 
 
+def tokenizer() -> bpe.Codec:
+    return bpe.Codec(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer())
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                 table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.shard(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -32,7 +46,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
     "op4_pii": op4_pii,
+    "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op8_secrets": op8_secrets,
     "op9_language_id": op9_language_id,
