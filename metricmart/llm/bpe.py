@@ -40,7 +40,7 @@ CACHE = 250_000
 SHORT = 48  # bytes of a word up to which each step looks at all pairs
 LITERAL_BUCKETS = 1 << 16
 #: Unicode's White_Space characters, written out as libraries differ on what \s holds.
-WHITE = r"\t-\r \x85\xa0  -     　"
+WHITE = "".join(map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
