@@ -31,6 +31,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, most: int = 300_000) -> DataFrame:
+    """A stored table of a few short columns, hinted for broadcast if it has at most ``most`` rows;
+    beyond that it is joined by a shuffle like any other."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def on_executors(spark: SparkSession) -> None:
     """Make this package importable in the executors' Python workers."""
     ship_package(spark)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, decontam, langid, pii, quality, secrets, shard
+from . import ann, bpe, decontam, jaccard, langid, pii, quality, secrets, shard
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -52,6 +56,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_neighbours": op2_neighbours,
+    "op3_jaccard": op3_jaccard,
     "op4_pii": op4_pii,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
