@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, decontam, jaccard, langid, pii, quality, secrets, shard
+from . import ann, bpe, decontam, jaccard, langid, pii, quality, secrets, shard, suffix_dedup
 from .common import table
 
 
@@ -31,6 +31,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents", "doc_id", "text"),
                                  table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_neighbours": op2_neighbours,
     "op3_jaccard": op3_jaccard,
     "op4_pii": op4_pii,
+    "op5_repeats": op5_repeats,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op8_secrets": op8_secrets,
