@@ -28,17 +28,17 @@ import zlib
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
-from .common import on_executors
+from .common import map_rows
 
 CACHE = 250_000
 SHORT = 48  # bytes of a word up to which each step looks at all pairs
 LITERAL_BUCKETS = 1 << 16
+IDS = ArrayType(IntegerType())
 #: Unicode's White_Space characters, written out as libraries differ on what \s holds.
 WHITE = "".join(map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
@@ -143,54 +143,38 @@ class Codec:
         return b"".join(map(self.pieces.__getitem__, ids))
 
 
-def _shared(df: DataFrame, codec: Codec):
-    on_executors(df.sparkSession)
-    return df.sparkSession.sparkContext.broadcast(codec)
-
-
 def encode(docs: DataFrame, codec: Codec, text: str = "text") -> DataFrame:
     """``docs`` with ``ids``, the whole text's token ids."""
-    shared = _shared(docs, codec)
-    names = [c for c in docs.columns if c != "ids"]
-
-    def run(batches):
-        c = shared.value
-        for pdf in batches:
-            yield pdf[names].assign(ids=pd.Series([np.array(c.encode(t), dtype=np.int32) for t in pdf[text]], dtype=object, index=pdf.index))
-
-    return docs.select(*names).mapInPandas(run, docs.select(*names).schema.add("ids", ArrayType(IntegerType())))
+    shared = docs.sparkSession.sparkContext.broadcast(codec)
+    keep = [c for c in docs.columns if c != "ids"]
+    return map_rows(docs, keep, [text], StructType().add("ids", IDS), lambda texts: [[np.array(shared.value.encode(t), dtype=np.int32) for t in texts]])
 
 
 def decode(rows: DataFrame, codec: Codec, ids: str = "ids") -> DataFrame:
     """``rows`` with ``decoded``, the bytes that the ids stand for."""
-    shared = _shared(rows, codec)
-    names = [c for c in rows.columns if c != "decoded"]
-
-    def run(batches):
-        c = shared.value
-        for pdf in batches:
-            got = [c.decode(int(i) for i in (v if v is not None else ()) if i is not None) for v in pdf[ids]]
-            yield pdf[names].assign(decoded=pd.Series(got, dtype=object, index=pdf.index))
-
-    return rows.select(*names).mapInPandas(run, rows.select(*names).schema.add("decoded", "binary"))
-
-
-def round_trip(docs: DataFrame, codec: Codec) -> DataFrame:
-    """Each text encoded whole and its ids decoded, as counts and digests."""
-    shared = _shared(docs, codec)
-
-    def run(batches):
-        c = shared.value
-        for pdf in batches:
-            rows = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                ids = c.encode(text)
-                rows.append((doc_id, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest()))
-            got = pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-            yield got.astype({"doc_id": pdf["doc_id"].dtype})
-
-    schema = docs.select("doc_id").schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    shared = rows.sparkSession.sparkContext.broadcast(codec)
+    keep = [c for c in rows.columns if c != "decoded"]
+    return map_rows(rows, keep, [ids], StructType().add("decoded", "binary"),
+                    lambda lists: [[shared.value.decode(i for i in v or () if i is not None) for v in lists]])
+
+
+def round_trip(docs: DataFrame, codec: Codec, keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
+    """Each text encoded whole and its ids decoded, as counts and digests (and the ids)."""
+    shared = docs.sparkSession.sparkContext.broadcast(codec)
+    fields = StructType().add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+
+    def run(texts):
+        out = [], [], [], []
+        for text in texts:
+            ids = shared.value.encode(text)
+            out[0].append(len(ids))
+            out[1].append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+            out[2].append(hashlib.sha256(shared.value.decode(ids)).hexdigest())
+            if with_ids:
+                out[3].append(np.array(ids, dtype=np.int32))
+        return list(out[:3 + with_ids])
+
+    return map_rows(docs, list(keep), ["text"], fields.add("ids", IDS) if with_ids else fields, run)
 
 
 def rank_literal(ranks: dict[bytes, int]) -> Column:

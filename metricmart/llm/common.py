@@ -6,8 +6,11 @@ import hashlib
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..session import checkpoint_dir, ship_package
 
@@ -47,6 +50,29 @@ def held_out(doc_id, mod: int, rest: int):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % mod == rest, F.lit(False))
 
 
+def map_rows(df: DataFrame, keep: list[str], inputs: list[str], fields: StructType, fn) -> DataFrame:
+    """``df``'s columns ``keep`` as they are (Arrow passes them through, nulls and all) with new ``fields``.
+
+    ``fn`` gets a list of values per input column and returns a list per field, for a batch at a time;
+    or, with a leading list of row numbers, rows in their place (fewer, or several of one).
+    """
+    on_executors(df.sparkSession)
+    types = [f.type for f in to_arrow_schema(fields)]
+    names = keep + fields.names
+
+    def run(batches):
+        for batch in batches:
+            got = fn(*[batch.column(i).to_pylist() for i in inputs])
+            held = [batch.column(k) for k in keep]
+            if len(got) > len(types):
+                at, *got = got
+                held = [c.take(pa.array(at, type=pa.int64())) for c in held]
+            yield pa.RecordBatch.from_arrays(held + [pa.array(g, type=t) for g, t in zip(got, types, strict=True)], names=names)
+
+    schema = StructType(list(df.select(*keep).schema) + list(fields))
+    return df.select(*dict.fromkeys([*keep, *inputs])).mapInArrow(run, schema)
+
+
 class WordHash(dict):
     """Word bytes to a 64-bit hash, remembered up to ``most`` words per Python worker."""
 

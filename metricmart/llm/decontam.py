@@ -23,17 +23,16 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import SHINGLE, SIMILARITY, mix, on_executors, shingle_hashes, word_hashes, words_of
+from .common import SHINGLE, SIMILARITY, map_rows, mix, shingle_hashes, word_hashes, words_of
 
 BITS = 256
 BLOCKS = 32  # of 8 bits
 RADIUS = 66
 CHUNK_WORDS = 2_000_000
-OUT = "doc_id long, item_id long, similarity double, start_word long, window_words long"
 
 
 def simhash_votes(hashes: np.ndarray) -> np.ndarray:
@@ -156,34 +155,27 @@ def _chunks(benchmark: DataFrame):
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row for each document and benchmark item that occurs in it."""
     spark = docs.sparkSession
-    on_executors(spark)
+    fields = StructType().add("item_id", "long").add("similarity", "double").add("start_word", "long").add("window_words", "long")
     out = None
     for items in _chunks(benchmark):
         shared = spark.sparkContext.broadcast(Index(items))
 
-        def run(batches, shared=shared):
-            index = shared.value
-            for pdf in batches:
-                rows = [(d, *m) for d, t in zip(pdf["doc_id"], pdf["text"], strict=True) for m in index.matches(t)]
-                got = pd.DataFrame(rows, columns=["doc_id", "item_id", "similarity", "start_word", "window_words"])
-                yield got.astype({"doc_id": "Int64", "item_id": "Int64"})
+        def find(texts, shared=shared):
+            rows = [(i, *m) for i, t in enumerate(texts) for m in shared.value.matches(t)]
+            return [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * 5
 
-        part = docs.select("doc_id", "text").mapInPandas(run, OUT)
+        part = map_rows(docs, ["doc_id"], ["text"], fields, find)
         out = part if out is None else out.unionAll(part)
-    return out if out is not None else spark.createDataFrame([], OUT)
+    return out if out is not None else docs.select("doc_id").limit(0).select("doc_id", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
-    spark = docs.sparkSession
-    on_executors(spark)
     for items in _chunks(benchmark):
-        shared = spark.sparkContext.broadcast(Index(items))
+        shared = docs.sparkSession.sparkContext.broadcast(Index(items))
 
-        def run(batches, shared=shared):
-            index = shared.value
-            for pdf in batches:
-                yield pdf[[next(iter(index.matches(t)), None) is None for t in pdf["text"]]]
+        def free(texts, shared=shared):
+            return [[i for i, t in enumerate(texts) if next(shared.value.matches(t), None) is None]]
 
-        docs = docs.mapInPandas(run, docs.schema)
+        docs = map_rows(docs, docs.columns, ["text"], StructType(), free)
     return docs

@@ -34,8 +34,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
 
-from .common import SIMILARITY, components, on_executors, shingle_hashes, sized, stored, word_hashes, words_of
+from .common import SIMILARITY, components, map_rows, on_executors, shingle_hashes, sized, stored, word_hashes, words_of
 
 PART, WHOLE = SIMILARITY
 GROUPS = 128
@@ -43,7 +44,6 @@ RARITY_BITS = 16
 RARITY_GROUPS = 1 << RARITY_BITS
 SLAB = 4096
 FAN = 16  # children of a node
-POINT = "doc_id long, sid long, n long, digest string, counts binary, keys array<long>"
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -78,20 +78,20 @@ def points(docs: DataFrame) -> DataFrame:
     on_executors(spark)
     shared = spark.sparkContext.broadcast(rarity(docs))
 
-    def run(batches):
+    def run(texts):
         often = shared.value
-        for pdf in batches:
-            rows = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                h = shingle_set(text)
-                n = len(h)
-                first = n - -(-PART * n // WHOLE) + 1 if n else 0
-                order = np.lexsort((h, often[(h >> np.uint64(64 - RARITY_BITS)).astype(np.int64)]))[:first]
-                counts = np.bincount((h % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype("<u4")
-                rows.append((doc_id, set_id(h), n, hashlib.md5((text or "").encode("utf-8", "surrogatepass")).hexdigest(), counts.tobytes(), h[order].view(np.int64)))
-            yield pd.DataFrame(rows, columns=["doc_id", "sid", "n", "digest", "counts", "keys"]).astype({"doc_id": "Int64"})
-
-    return docs.select("doc_id", "text").mapInPandas(run, POINT)
+        rows = []
+        for text in texts:
+            h = shingle_set(text)
+            n = len(h)
+            first = n - -(-PART * n // WHOLE) + 1 if n else 0
+            order = np.lexsort((h, often[(h >> np.uint64(64 - RARITY_BITS)).astype(np.int64)]))[:first]
+            counts = np.bincount((h % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype("<u4")
+            rows.append((set_id(h), n, hashlib.md5((text or "").encode("utf-8", "surrogatepass")).hexdigest(), counts.tobytes(), h[order].view(np.int64)))
+        return [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * 5
+
+    fields = StructType().add("sid", "long").add("n", "long").add("digest", "string").add("counts", "binary").add("keys", ArrayType(LongType()))
+    return map_rows(docs, ["doc_id"], ["text"], fields, run)
 
 
 def possible(overlap, sizes):

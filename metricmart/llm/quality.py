@@ -21,12 +21,11 @@ import re
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StructType
 
-from .common import held_out, on_executors, stored
+from .common import held_out, map_rows, stored
 
 SAMPLE_ROWS = 20_000
 BINS = 32
@@ -144,14 +143,8 @@ class Additive:
 
 def featurise(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``x``, the features of each whole text."""
-    on_executors(docs.sparkSession)
-
-    def run(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "x": [features(t) for t in pdf["text"]]})
-
-    schema = docs.select("doc_id").schema.add("x", ArrayType(DoubleType()))
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    fields = StructType().add("x", ArrayType(DoubleType()))
+    return map_rows(docs, ["doc_id"], ["text"], fields, lambda texts: [[features(t) for t in texts]])
 
 
 def fit(rows: DataFrame, labels: DataFrame, name: str = "quality") -> Additive:
@@ -169,11 +162,9 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = stored(featurise(docs), "features")
     model = fit(rows, labels.where(~held_out("doc_id", 3, 1)))
 
-    def run(batches):
-        for pdf in batches:
-            x = np.array([list(v) for v in pdf["x"]], dtype=np.float64).reshape(len(pdf), len(FEATURES))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": model.score(x)})
+    def score(x):
+        return [model.score(np.array(x, dtype=np.float64).reshape(len(x), len(FEATURES)))]
 
-    scored = rows.mapInPandas(run, rows.select("doc_id").schema.add("score", "double"))
+    scored = map_rows(rows, ["doc_id"], ["x"], StructType().add("score", "double"), score)
     return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))

@@ -35,8 +35,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import mix, on_executors, sized, stored
+from .common import map_rows, mix, on_executors, sized, stored
 
 SIZE = 100
 GRAM = 32
@@ -251,13 +252,9 @@ def cut(data: bytes, places) -> tuple[int, int, bytes]:
     return int(gone.sum()), begins, np.frombuffer(data, dtype=np.uint8)[~gone].tobytes()
 
 
-def _cuts(batches):
-    for pdf in batches:
-        rows = []
-        for doc_id, text, places in zip(pdf["doc_id"], pdf["text"], pdf["places"], strict=True):
-            data = text.encode("utf-8", "surrogatepass")
-            rows.append((doc_id, len(data), *cut(data, places)))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]).astype({"doc_id": "Int64"})
+def _cuts(texts, places):
+    rows = [(len(data), *cut(data, p)) for data, p in ((t.encode("utf-8", "surrogatepass"), p) for t, p in zip(texts, places, strict=True))]
+    return [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * 4
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -311,8 +308,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     out = "doc_id", "n_bytes", "n_removed", "n_spans", "kept"
     ids = sized(places.select("ord", "tie"))
-    shortened = unique.join(ids, ["ord", "tie"], "left_semi").join(places, ["ord", "tie"]).select("doc_id", "text", "places").mapInPandas(
-        _cuts, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    fields = StructType().add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
+    shortened = map_rows(unique.join(ids, ["ord", "tie"], "left_semi").join(places, ["ord", "tie"]), ["doc_id"], ["text", "places"], fields, _cuts)
     zero = F.lit(0).cast("long")
     whole = unique.join(ids, ["ord", "tie"], "left_anti").select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.col("text").cast("binary").alias("kept"))
