@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.columns import token_amount
-from .keys import bounded_broadcast, key_lookup
+from .keys import key_lookup
 
 
 def assert_unique(df: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -44,17 +44,17 @@ def build_fct_requests(clean_logs: DataFrame, api_keys: DataFrame, dim_account:
 
     The key joins fold into one user-sized lookup (K-2; pass the stored
     ``key_map`` to reuse it, e.g. in incremental loads); the model and status
-    dimensions are bounded by catalogue size and broadcast after a size check.
+    dimensions are joined without a hint: AQE broadcasts a side whose measured bytes allow it.
     A hot key (one user with a third of all calls) meets the lookup in a
-    broadcast hash join or, beyond the size bound, in an AQE skew-split join.
+    broadcast hash join or, where that is too large, in an AQE skew-split join.
     Every lookup side is checked for unique join keys first (SURVEY §4).
     """
     if key_map is None:
         key_map = build_key_map(api_keys, dim_api_key, dim_account)
-    lookup = bounded_broadcast(key_map)
-    models = bounded_broadcast(assert_unique(dim_model, ["model_id"], "dim_model"))
-    status = bounded_broadcast(assert_unique(dim_status, ["http_status", "error_code"], "dim_status_code")
-                               ).select("status_sk", "http_status", "error_code")
+    lookup = key_map
+    models = assert_unique(dim_model, ["model_id"], "dim_model")
+    status = assert_unique(dim_status, ["http_status", "error_code"], "dim_status_code").select(
+        "status_sk", "http_status", "error_code")
     f = clean_logs.join(lookup, "key_id").join(models, "model_id")
     f = f.join(status, status_join_condition(f, status)).drop(status["http_status"]).drop(status["error_code"])
     p, c = F.col("prompt_token_count"), F.col("completion_token_count")
@@ -70,7 +70,7 @@ def build_fct_transactions(clean_billing: DataFrame, dim_account: DataFrame) ->
     """FCT-2: billing rows keyed to the current account (JN-6); all statuses kept."""
     current = assert_unique(dim_account.filter(F.col("is_current")).select("user_id", "account_sk"), ["user_id"],
                             "current accounts")
-    out = clean_billing.join(bounded_broadcast(current), "user_id").withColumnRenamed("order_id", "transaction_id")
+    out = clean_billing.join(current, "user_id").withColumnRenamed("order_id", "transaction_id")
     return schemas.conform(out, schemas.FCT_ACCOUNT_TRANSACTIONS)
 
 
@@ -81,10 +81,10 @@ def orphan_report(clean_logs: DataFrame, api_keys: DataFrame, dim_account: DataF
     keyed_users = api_keys.select("key_id", "user_id")
     parts = [
         ("log_unknown_key", clean_logs.join(keyed_users, "key_id", "left_anti")),
-        ("log_unknown_model", clean_logs.join(bounded_broadcast(dim_model).select("model_id"), "model_id",
+        ("log_unknown_model", clean_logs.join(dim_model.select("model_id"), "model_id",
                                               "left_anti")),
         ("log_unknown_status", clean_logs.alias("l").join(
-            bounded_broadcast(dim_status).alias("s"),
+            dim_status.alias("s"),
             (F.col("l.http_status") == F.col("s.http_status"))
             & F.col("l.error_code").eqNullSafe(F.col("s.error_code")), "left_anti")),
         ("log_key_without_account", clean_logs.join(keyed_users, "key_id")

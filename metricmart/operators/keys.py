@@ -1,74 +1,23 @@
-"""K-1 / K-2: dense, deterministic surrogate keys, key lookups and size-checked broadcasts.
-
-``with_surrogate_key`` numbers rows 1..n in a declared total order. Inputs of
-at most ``SMALL_DIMENSION_ROWS`` rows (checked with a count) are numbered by
-``row_number`` in one task; larger ones by ``sequence.global_position``:
-range partitioning on the order, a reliable checkpoint that freezes the
-partition assignment, per-partition counts turned into prefix offsets (one row
-per partition, broadcast). Both give the same keys for the same input, whatever
-its partitioning, as long as the order columns are unique.
+"""K-1 / K-2: dense, deterministic surrogate keys and key lookups.
+
+``with_surrogate_key`` numbers rows 1..n in a declared total order by
+``sequence.global_position``: range partitioning on the order, a reliable
+checkpoint that freezes the partition assignment, per-partition counts turned
+into prefix offsets (one row per partition, broadcast). Keys depend on the rows
+alone, as long as the order columns are unique. Joins with dimensions carry no
+hint: their sides grow with the data, so AQE chooses by measured bytes.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from ..session import freeze
 from .sequence import global_position
 
-# Broadcast a lookup side only below this many rows (the key map's 4 long columns make
-# that about 64 MB); beyond it the join stays a shuffle join (AQE may still pick
-# broadcast from runtime statistics, within spark.sql.adaptive.autoBroadcastJoinThreshold).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-# Up to this many rows a dimension is numbered by one task (checked with a count first).
-SMALL_DIMENSION_ROWS = 200_000
-
-
 def with_surrogate_key(df: DataFrame, order_cols: list, name: str,
-                       num_partitions: int | None = None,
-                       small_rows: int = SMALL_DIMENSION_ROWS) -> DataFrame:
-    """Dense keys 1..n in ``order_cols`` order (``order_cols`` must be unique).
-
-    A catalogue-sized input (at most ``small_rows`` rows, checked with a count)
-    is numbered by ``row_number`` over the total order in one task — the same
-    keys as the distributed path, without its range sampling and offset join —
-    and frozen with a reliable checkpoint. Anything larger takes the distributed
-    path (``global_position``).
-    """
-    if not small_rows:
-        return global_position(df, order_cols, name, num_partitions)
-    # computed once for the size check and for the numbering that follows
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if df.count() <= small_rows:
-        order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-        # frozen (reliable checkpoint) so the persisted input can be released
-        keyed = freeze(df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint")))
-        df.unpersist()
-        return keyed
-    keyed = global_position(df, order_cols, name, num_partitions)  # checkpoints eagerly from the persisted rows
-    df.unpersist()
-    return keyed
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking its size; otherwise leave it to a shuffle join.
-
-    Meant for dimensions (materialised tables, so the count reads file metadata);
-    the count is remembered on the DataFrame, so a dimension used by many
-    queries is counted once. Both branches give the same join result.
-    """
-    n = getattr(df, "_mm_rows", None)
-    if n is None:
-        n = df.count()
-        try:
-            df._mm_rows = n
-        except AttributeError:
-            pass
-    return F.broadcast(df) if n <= max_rows else df
+                       num_partitions: int | None = None) -> DataFrame:
+    """Dense keys 1..n in ``order_cols`` order (``order_cols`` must be unique), whatever the size."""
+    return global_position(df, order_cols, name, num_partitions)
 
 
 def key_lookup(api_keys: DataFrame, dim_api_key: DataFrame, dim_account: DataFrame) -> DataFrame:

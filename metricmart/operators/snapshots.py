@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from .keys import bounded_broadcast
 
 
 def _usage_sums():
@@ -30,7 +29,7 @@ def account_daily_snapshot(fact: DataFrame) -> DataFrame:
 
 def model_daily_snapshot(fact: DataFrame, dim_status: DataFrame) -> DataFrame:
     """AGG-2 / AGG-3 / JN-9: day × model → usage sums, latency sum and error count."""
-    status = bounded_broadcast(dim_status).select("status_sk", "is_error")
+    status = dim_status.select("status_sk", "is_error")
     out = (fact.join(status, "status_sk")
                .groupBy(F.to_date("request_time").alias("snapshot_date"), "model_sk")
                .agg(*_usage_sums(),

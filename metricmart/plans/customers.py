@@ -11,7 +11,6 @@ from ..functions.columns import money4, round4
 from ..operators.percentile import global_percentiles, score_by_cutoffs
 from ..session import freeze
 from .metrics import MetricContext, in_range
-from ..operators.keys import bounded_broadcast
 
 QUINTILES = [0.2, 0.4, 0.6, 0.8]
 
@@ -84,7 +83,7 @@ def top_models(fact: DataFrame, dim_model: DataFrame, ctx: MetricContext, k: int
     per = (fact.filter(in_range(F.col("request_time"), ctx))
                .groupBy("account_sk", "model_sk")
                .agg(F.count(F.lit(1)).alias("requests"), F.avg("latency_ms").alias("_lat")))
-    per = per.join(bounded_broadcast(dim_model).select("model_sk", "model_id"), "model_sk")
+    per = per.join(dim_model.select("model_sk", "model_id"), "model_sk")
     rn = F.row_number().over(Window.partitionBy("account_sk").orderBy(F.col("requests").desc(), "model_id"))
     return (per.withColumn("model_rank", rn).filter(F.col("model_rank") <= k)
                .select("account_sk", "model_id", F.col("requests").cast("bigint").alias("requests"),
@@ -92,7 +91,7 @@ def top_models(fact: DataFrame, dim_model: DataFrame, ctx: MetricContext, k: int
 
 
 def behaviour_features(fact: DataFrame, dim_status: DataFrame, ctx: MetricContext) -> DataFrame:
-    st = bounded_broadcast(dim_status).select("status_sk", "is_error")
+    st = dim_status.select("status_sk", "is_error")
     f = fact.filter(in_range(F.col("request_time"), ctx)).join(st, "status_sk")
     return f.groupBy("account_sk").agg(
         F.count_distinct(F.to_date("request_time")).cast("double").alias("active_days"),
@@ -154,10 +153,10 @@ def model_tags(error_rates: DataFrame, latency_z: DataFrame, dim_model: DataFram
 
     The rank is a window over one row per model (bounded by the catalogue).
     """
-    er = error_rates.join(bounded_broadcast(dim_model).select("model_sk", "model_id"), "model_id")
+    er = error_rates.join(dim_model.select("model_sk", "model_id"), "model_id")
     ranked = er.withColumn("_rank", F.rank().over(Window.orderBy("error_rate")))
     zmax = (latency_z.groupBy("model_id").agg(F.max(F.abs("z_score")).alias("_z"))
-            .join(bounded_broadcast(dim_model).select("model_sk", "model_id"), "model_id"))
+            .join(dim_model.select("model_sk", "model_id"), "model_id"))
     rows = (_tag(ranked, "model_sk", "stability_rank", F.col("_rank"))
             .unionByName(_tag(zmax, "model_sk", "anomaly_score", F.col("_z").cast("decimal(18,4)"),
                               F.col("_z").isNotNull())))
@@ -173,24 +172,16 @@ def _struct_rows(df: DataFrame, code: str, entity_type: str, entity: Column, tim
                      body.alias("struct_json"))
 
 
-TOP_KEYS = 10  # fixed value (ours): keys listed per account in the rank struct
-
-
 def struct_metrics(leaderboard: DataFrame, rfm_df: DataFrame, forecast: DataFrame,
                    ctx: MetricContext) -> DataFrame:
     """S-26: rank, segment and forecast results as ``dws_metric_struct`` JSON rows.
 
-    Per-account key lists hold the account's top ``TOP_KEYS`` keys (a top-k report).
+    Ranks are one row per key (the key is the entity), so every key is kept and no
+    account's keys are gathered in one place.
     """
     month = ctx.end.strftime("%Y-%m")
-    # the leaderboard shows an account's top keys only: at most TOP_KEYS entries per list
-    top = leaderboard.withColumn("_rn", F.row_number().over(
-        Window.partitionBy("account_sk").orderBy("token_rank", "key_id"))).filter(F.col("_rn") <= TOP_KEYS)
-    keys = top.groupBy("account_sk").agg(
-        F.sort_array(F.collect_list(F.struct("token_rank", "key_id"))).alias("_k"))
-    rank_json = F.concat(F.lit("["), F.array_join(F.transform("_k", lambda x: F.concat(
-        F.lit('{"key_id":'), x["key_id"].cast("string"), F.lit(',"rank":'), x["token_rank"].cast("string"),
-        F.lit("}"))), ","), F.lit("]"))
+    rank_json = F.concat(F.lit('{"account_sk":'), F.col("account_sk").cast("string"), F.lit(',"rank":'),
+                         F.col("token_rank").cast("string"), F.lit("}"))
     seg_json = F.concat(F.lit('{"r":'), F.col("r_score").cast("string"), F.lit(',"f":'),
                         F.col("f_score").cast("string"), F.lit(',"m":'), F.col("m_score").cast("string"),
                         F.lit(',"segment":"'), F.col("segment"), F.lit('"}'))
@@ -198,7 +189,7 @@ def struct_metrics(leaderboard: DataFrame, rfm_df: DataFrame, forecast: DataFram
                          F.sum(F.col("predicted_profit_usd").cast("decimal(18,4)")).alias("_p"))
     fc_json = F.concat(F.lit('{"horizon_days":'), F.col("_n").cast("string"), F.lit(',"forecast_profit_usd":'),
                        F.col("_p").cast("decimal(18,4)").cast("string"), F.lit("}"))
-    return (_struct_rows(keys, "account.monthly.key_rank", "account", F.col("account_sk"), month, "rank", rank_json)
+    return (_struct_rows(leaderboard, "account.monthly.key_rank", "api_key", F.col("key_id"), month, "rank", rank_json)
             .unionByName(_struct_rows(rfm_df, "account.monthly.rfm", "account", F.col("account_sk"), month,
                                       "segment", seg_json))
             .unionByName(_struct_rows(total, "platform.monthly.profit_forecast", "platform", F.lit("all"), month,

@@ -8,12 +8,13 @@ Billing is the date-aligned form (FIXTURES.md §2) so it overlaps the logs.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import month_id, money4, round4, safe_ratio
 from .metrics import MetricContext, in_days, in_range
-from ..operators.keys import bounded_broadcast
 
 DAY0 = "2024-01-01"  # fixed value: day 0 of the regression x-axis
 
@@ -92,7 +93,7 @@ def profit_per_1m(model_snapshot: DataFrame, dim_model: DataFrame, ctx: MetricCo
         money4(F.sum("daily_revenue_usd")).alias("revenue_usd"),
         money4(F.sum("daily_cost_usd")).alias("cost_usd"),
         F.sum(F.col("sum_prompt_tokens") + F.col("sum_completion_tokens")).cast("bigint").alias("total_tokens"))
-    per = per.join(bounded_broadcast(dim_model).select("model_sk", "model_id"), "model_sk")
+    per = per.join(dim_model.select("model_sk", "model_id"), "model_sk")
     profit = (F.col("revenue_usd") - F.col("cost_usd")).cast("decimal(18,4)")
     return per.select("model_id", "revenue_usd", "cost_usd", profit.alias("profit_usd"), "total_tokens",
                       F.try_divide(profit.cast("double") * F.lit(1000000.0),
@@ -114,7 +115,7 @@ def spend_trend(account_snapshot: DataFrame, transactions: DataFrame) -> DataFra
                     F.coalesce("debit", F.lit(0).cast("decimal(18,4)")).alias("debit_usd"))
 
 
-MAX_RUNWAY_DAYS = 36525  # fixed value: beyond 100 years no run-out date is given
+LAST_DATE = date(9999, 12, 31)  # the last day that a date column can show
 
 
 def burn_rate(transactions: DataFrame) -> DataFrame:
@@ -122,7 +123,7 @@ def burn_rate(transactions: DataFrame) -> DataFrame:
 
     Balance = running sum of completed amounts (positive top-ups, negative
     charges); ``exhaust_date = last day + balance / −slope`` when the slope is
-    negative and money is left. The running sum is a window per account over
+    negative and money is left (``days_left`` always, the date if a date can hold it). The running sum is a window per account over
     its days (one row per account-day after aggregation).
     """
     daily = (_completed(transactions)
@@ -137,11 +138,12 @@ def burn_rate(transactions: DataFrame) -> DataFrame:
         F.regr_slope(F.col("balance").cast("double"), x).alias("slope"))
     slope = round4(F.col("slope"))
     days_left = F.ceil(F.try_divide(F.col("balance_usd").cast("double"), -F.col("slope")))
-    ok = (F.col("slope") < 0) & (F.col("balance_usd") > 0) & (days_left <= MAX_RUNWAY_DAYS)
+    running_out = (F.col("slope") < 0) & (F.col("balance_usd") > 0)
+    shown = running_out & (days_left <= F.datediff(F.lit(LAST_DATE), F.col("last_day")))
     return per.select("account_sk", F.col("active_days").cast("bigint").alias("active_days"), "last_day",
                       F.col("balance_usd").cast("decimal(18,2)").alias("balance_usd"),
-                      slope.alias("burn_slope"),
-                      F.when(ok, F.date_add(F.col("last_day"), days_left.cast("int"))).alias("exhaust_date"))
+                      slope.alias("burn_slope"), F.when(running_out, days_left.cast("bigint")).alias("days_left"),
+                      F.when(shown, F.date_add(F.col("last_day"), days_left.cast("int"))).alias("exhaust_date"))
 
 
 def model_revenue_cost(model_snapshot: DataFrame, dim_model: DataFrame) -> DataFrame:
@@ -149,7 +151,7 @@ def model_revenue_cost(model_snapshot: DataFrame, dim_model: DataFrame) -> DataF
     per = model_snapshot.groupBy("model_sk", month_id(F.col("snapshot_date")).alias("month")).agg(
         money4(F.sum("daily_revenue_usd")).alias("revenue_usd"),
         money4(F.sum("daily_cost_usd")).alias("cost_usd"))
-    per = per.join(bounded_broadcast(dim_model).select("model_sk", "model_id"), "model_sk")
+    per = per.join(dim_model.select("model_sk", "model_id"), "model_sk")
     profit = (F.col("revenue_usd") - F.col("cost_usd")).cast("decimal(18,4)")
     return per.select("model_id", "month", "revenue_usd", "cost_usd", profit.alias("profit_usd"),
                       safe_ratio(profit, F.col("revenue_usd")).alias("margin"))

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.columns import day_id, month_id, month_index, money4, safe_ratio, week_id, year_id
 from .metrics import MetricContext, in_days, in_range
-from ..operators.keys import bounded_broadcast
 
 PLAN_RANK = {p: i for i, p in enumerate(schemas.PLANS)}  # free < pro < enterprise
 
@@ -68,7 +67,7 @@ MAU_SUCCESS = "platform.monthly.mau_success"
 
 def mau_success(fact: DataFrame, dim_status: DataFrame, ctx: MetricContext) -> DataFrame:
     """S-19: accounts with at least one successful (non-error) call per month, as documented."""
-    ok = bounded_broadcast(dim_status).filter(~F.col("is_error")).select("status_sk")
+    ok = dim_status.filter(~F.col("is_error")).select("status_sk")
     per = (fact.filter(in_range(F.col("request_time"), ctx)).join(ok, "status_sk")
                .groupBy(month_id(F.col("request_time")).alias("time_id"))
                .agg(F.count_distinct("account_sk").alias("n")))
@@ -120,7 +119,7 @@ def user_stage_metrics(fact: DataFrame, users: DataFrame, ctx: MetricContext) ->
 def model_stage_metrics(model_snapshot: DataFrame, dim_model: DataFrame, ctx: MetricContext) -> DataFrame:
     """S-24 (model stage): per model and day calls, tokens and success rate."""
     snap = (model_snapshot.filter(in_days(F.col("snapshot_date"), ctx))
-                          .join(bounded_broadcast(dim_model).select("model_sk", "model_id"), "model_sk"))
+                          .join(dim_model.select("model_sk", "model_id"), "model_sk"))
     per = snap.select(
         "model_id", day_id(F.col("snapshot_date")).alias("day"),
         F.col("daily_requests").cast("double").alias("calls"),

@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 from ..functions.columns import day_id, month_id, round4, safe_ratio
 from ..operators.percentile import grouped_percentile
 from .metrics import MetricContext, in_days, in_range
-from ..operators.keys import bounded_broadcast
 
 SIGMA = 3.0  # fixed value: the alert and outlier threshold in standard deviations
 
 
 def _calls_by_model(fact: DataFrame, dim_model: DataFrame, ctx: MetricContext) -> DataFrame:
     return (fact.filter(in_range(F.col("request_time"), ctx))
-                .join(bounded_broadcast(dim_model).select("model_sk", "model_id"), "model_sk"))
+                .join(dim_model.select("model_sk", "model_id"), "model_sk"))
 
 
 def p99_latency(fact: DataFrame, dim_model: DataFrame, ctx: MetricContext, p: float = 0.99,
@@ -51,7 +50,7 @@ def p99_latency(fact: DataFrame, dim_model: DataFrame, ctx: MetricContext, p: fl
 
 def error_rate(fact: DataFrame, dim_model: DataFrame, dim_status: DataFrame, ctx: MetricContext) -> DataFrame:
     """S-6: share of requests with an HTTP status other than 200, per model."""
-    st = bounded_broadcast(dim_status).select("status_sk", "http_status")
+    st = dim_status.select("status_sk", "http_status")
     per = (_calls_by_model(fact, dim_model, ctx).join(st, "status_sk")
            .groupBy("model_id").agg(F.count(F.lit(1)).alias("requests"),
                                     F.count_if(F.col("http_status") != 200).alias("errors")))
@@ -77,7 +76,7 @@ def zscores(series: DataFrame, entity: str, day: str, value: str) -> DataFrame:
 def latency_zscore(model_snapshot: DataFrame, dim_model: DataFrame, ctx: MetricContext) -> DataFrame:
     """S-7: daily mean latency per model (Σlatency / Σrequests) against its own history."""
     s = (model_snapshot.filter(in_days(F.col("snapshot_date"), ctx))
-         .join(bounded_broadcast(dim_model).select("model_sk", "model_id"), "model_sk")
+         .join(dim_model.select("model_sk", "model_id"), "model_sk")
          .select("model_id", "snapshot_date",
                  safe_ratio(F.col("sum_latency_ms"), F.col("daily_requests")).alias("mean_latency_ms")))
     return zscores(s, "model_id", "snapshot_date", "mean_latency_ms")
@@ -104,7 +103,7 @@ def model_qos_from_snapshot(model_snapshot: DataFrame, dim_model: DataFrame, ctx
            .groupBy("model_sk").agg(F.sum("daily_requests").alias("requests"),
                                     F.sum("sum_latency_ms").alias("latency"),
                                     F.sum("error_requests").alias("errors")))
-    per = per.join(bounded_broadcast(dim_model).select("model_sk", "model_id"), "model_sk")
+    per = per.join(dim_model.select("model_sk", "model_id"), "model_sk")
     return per.select("model_id", F.col("requests").cast("bigint").alias("requests"),
                       safe_ratio(F.col("latency"), F.col("requests")).alias("mean_latency_ms"),
                       safe_ratio(F.col("errors"), F.col("requests")).alias("error_rate"))
@@ -114,7 +113,7 @@ def model_share(model_snapshot: DataFrame, dim_model: DataFrame) -> DataFrame:
     """S-23: each model's share of the month's requests (window sum per month over model rows)."""
     per = (model_snapshot.groupBy("model_sk", month_id(F.col("snapshot_date")).alias("month"))
            .agg(F.sum("daily_requests").alias("requests")))
-    per = per.join(bounded_broadcast(dim_model).select("model_sk", "model_id"), "model_sk")
+    per = per.join(dim_model.select("model_sk", "model_id"), "model_sk")
     total = F.sum("requests").over(Window.partitionBy("month"))
     return per.select("model_id", "month", F.col("requests").cast("bigint").alias("requests"),
                       safe_ratio(F.col("requests"), total).alias("share"))

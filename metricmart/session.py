@@ -26,18 +26,15 @@ BASE_CONF = {
 }
 
 
-MAX_SHUFFLE_PARTITIONS = 32768
-
-
 def cluster_conf(input_bytes: int, partition_mb: int = 256) -> dict:
     """Starting settings for a large cluster reading ``input_bytes``.
 
-    Shuffles start with one partition per ``partition_mb`` of input, capped at
-    ``MAX_SHUFFLE_PARTITIONS`` (shuffle metadata grows with map tasks × reduce
-    partitions), and AQE coalesces small ones and splits skewed ones at run time;
+    Shuffles start with one partition per ``partition_mb`` of input, and AQE coalesces
+    small ones and splits skewed ones at run time. Shuffle metadata grows with map tasks
+    × reduce partitions: for very large inputs raise ``partition_mb``, not a hidden cap;
     scans read ``partition_mb`` splits; skew-join splitting starts at 4 × the median.
     """
-    parts = min(MAX_SHUFFLE_PARTITIONS, max(200, input_bytes // (partition_mb << 20)))
+    parts = max(200, input_bytes // (partition_mb << 20))
     return {
         **BASE_CONF,
         "spark.sql.shuffle.partitions": str(parts),
@@ -110,10 +107,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def ensure_local_checkpoint_dir(spark: SparkSession) -> str:
-    """For tests and local runs only: create a scratch checkpoint folder if none is set."""
+    """Create a scratch checkpoint folder if none is set; only a ``local`` master may do that."""
     try:
         return checkpoint_dir(spark)
     except RuntimeError:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise  # executors elsewhere could not read the driver's own folder
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="metricmart-ckpt-"))
         return spark.sparkContext.getCheckpointDir()
 

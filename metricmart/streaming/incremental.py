@@ -4,10 +4,9 @@
     touches are re-aggregated from the fact and swapped into the snapshot
     (the touched-day list is one row per day, so it is broadcast).
 (b) ``stream_daily_calls``: Structured Streaming over fact files as they land:
-    an event-time watermark, a one-day tumbling window, and ``foreachBatch``
-    that replaces the touched days in a parquet metric table (idempotent per
-    micro-batch, so a retried batch writes the same rows). ``availableNow``
-    processes everything present and stops.
+    ``foreachBatch`` counts each touched day anew from the stored fact and replaces
+    it in a metric table with a folder per day (idempotent, and late rows count).
+    ``availableNow`` processes everything present and stops.
 """
 
 from __future__ import annotations
@@ -32,18 +31,19 @@ def refresh_touched_days(snapshot: DataFrame, fact: DataFrame, landed: DataFrame
     return kept.unionByName(fresh)
 
 
-WATERMARK = "2 days"  # fixed value: how late a request may land and still count
-
-
-def _write_days(root: str):
-    """foreachBatch sink: replace the days of this micro-batch in a versioned parquet table."""
+def _refresh_days(fact_path: str, out_root: str):
+    """foreachBatch sink: re-aggregate from the stored fact the days that this micro-batch touches."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(day_id(F.col("window.start")).alias("time_id"),
-                            F.col("calls").cast("double").alias("metric_value"))
-        target = f"{root}/batch={batch_id:08d}"
-        # a retried batch overwrites its own folder with the same rows
-        rows.write.mode("overwrite").parquet(target)
+        spark = batch.sparkSession
+        touched = batch.select(F.to_date("request_time").alias("_day")).distinct()
+        fact = spark.read.schema(schemas.FCT_API_REQUESTS).parquet(fact_path)
+        days = (fact.join(touched, F.to_date("request_time") == F.col("_day"), "left_semi")
+                    .groupBy(day_id(F.col("request_time")).alias("time_id"))
+                    .agg(F.count(F.lit(1)).cast("double").alias("metric_value")))
+        # one folder per day, replaced as a whole: a repeated batch writes the same rows again
+        (days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("time_id").parquet(out_root))
 
     return write
 
@@ -51,82 +51,83 @@ def _write_days(root: str):
 def stream_daily_calls(spark: SparkSession, fact_path: str, out_root: str, checkpoint: str) -> DataFrame:
     """Run the daily-calls stream over the fact files at ``fact_path`` until caught up.
 
-    Returns the resulting ``dws_metric_value`` rows: the latest value of each
-    day across micro-batches (update mode emits a day again when it changes).
+    Returns the resulting ``dws_metric_value`` rows. A day is counted anew from the stored
+    fact whenever a request of it lands, however late, so nothing is left out by a watermark.
     """
-    src = (spark.readStream.schema(schemas.FCT_API_REQUESTS).parquet(fact_path)
-           # watermarks need TIMESTAMP (with zone); the session zone is UTC, so the cast keeps wall time
-           .withColumn("event_time", F.col("request_time").cast("timestamp")))
-    counts = (src.withWatermark("event_time", WATERMARK)
-                 .groupBy(F.window("event_time", "1 day"))
-                 .agg(F.count(F.lit(1)).alias("calls")))
-    q = (counts.writeStream.outputMode("update").foreachBatch(_write_days(out_root))
-               .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q = (spark.readStream.schema(schemas.FCT_API_REQUESTS).parquet(fact_path)
+              .writeStream.foreachBatch(_refresh_days(fact_path, out_root))
+              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    written = spark.read.parquet(out_root)  # columns time_id, metric_value, batch
-    latest = (written.groupBy("time_id")
-                     .agg(F.max_by("metric_value", "batch").alias("metric_value")))
-    return latest.select(F.lit("platform.daily.calls").alias("metric_code"), F.lit("platform").alias("entity_type"),
-                         F.lit("all").alias("entity_id"), F.lit("day").alias("time_type"), "time_id",
-                         "metric_value")
+    written = spark.read.schema("metric_value double, time_id string").parquet(out_root)
+    return written.select(F.lit("platform.daily.calls").alias("metric_code"), F.lit("platform").alias("entity_type"),
+                          F.lit("all").alias("entity_id"), F.lit("day").alias("time_type"), "time_id",
+                          "metric_value")
 
 
 # ---- incremental fact load -------------------------------------------------------------------
 
-RETRY_WINDOW_DAYS = 1  # fixed value: a retry lands at most this many days after its original
-
-
 def append_landed_logs(landed: DataFrame, batch_id: int, seen_path: str, fact_path: str, api_keys: DataFrame,
                        dim_account: DataFrame, dim_api_key: DataFrame, dim_model: DataFrame,
                        dim_status: DataFrame, key_map: DataFrame | None = None) -> None:
     """Load one batch of newly landed raw request logs into the date-partitioned fact.
 
-    * Exact dedup across batches: ``seen_path`` keeps every request id that won
-      dedup (valid or not), so a retry of an earlier request — even of one
-      dropped as invalid — is discarded as in a full rebuild. Only the seen-id
-      partitions within the retry window of the batch's dates are read.
-    * Idempotent: the fact and the seen ids are written under
-      ``request_date=…/load_batch=<batch_id>`` with dynamic partition overwrite,
-      and the batch's own earlier ids are ignored, so replaying a failed or
+    * Exact dedup across batches: ``seen_path`` keeps every row that won dedup when it landed
+      (valid or not), with the columns that decide. A retry is compared with all of them,
+      however long ago its original landed; the table is clustered by a hash of the id.
+    * A row that comes before the one stored for its id (an original landing after its
+      retry) replaces it: ``<fact_path>_replaced`` names the stored row (id and batch) that
+      no longer counts, and ``read_fact`` leaves it out. The fact equals a full rebuild.
+    * Idempotent: everything is written under ``load_batch=<batch_id>`` with dynamic partition
+      overwrite, and the batch's own earlier rows are ignored, so replaying a failed or
       repeated batch rewrites exactly its own rows.
-    * Assumes a retry never lands before its original.
     * ``key_map``: the warehouse's stored key dimension, read instead of rebuilt per batch.
     """
     from ..operators import facts, quality
 
     spark = landed.sparkSession
-    winners = (quality.dedup_logs(landed).withColumn("request_date", F.to_date("request_time"))
-               .withColumn("load_batch", F.lit(batch_id)))
-    bounds = winners.agg(F.min("request_date").alias("lo"), F.max("request_date").alias("hi")).first()
-    if bounds.lo is None:
+    order = F.struct(*quality.LOG_ORDER)  # compares field by field, nulls first, as dedup does
+    # computed once: the comparison and three writes read it; a lost block is recomputed alike
+    winners = quality.dedup_logs(landed).persist(StorageLevel.MEMORY_AND_DISK)
+    if not winners.limit(1).count():
+        winners.unpersist()
         return
-    fresh = winners
+    fresh = winners.withColumns({"_old": F.lit(None).cast("int")})
     if _exists(spark, seen_path):
-        seen = (spark.read.parquet(seen_path)
-                .filter(F.col("request_date").between(F.date_sub(F.lit(bounds.lo), RETRY_WINDOW_DAYS),
-                                                      F.date_add(F.lit(bounds.hi), RETRY_WINDOW_DAYS))
-                        & (F.col("load_batch") != batch_id))
-                .select("request_id"))
-        fresh = winners.join(seen, "request_id", "left_anti")
-    # read by both writes below; a lost cached block is recomputed deterministically
+        seen = spark.read.parquet(seen_path).filter(F.col("load_batch") != batch_id)
+        stored = seen.groupBy("request_id").agg(F.min(F.struct(order.alias("o"), "load_batch")).alias("_stored"))
+        fresh = (winners.join(stored, "request_id", "left")
+                        .filter(F.col("_stored").isNull() | (order < F.col("_stored.o")))
+                        .withColumn("_old", F.col("_stored.load_batch").cast("int")).drop("_stored"))
     fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
-    valid = (fresh.filter(F.coalesce(quality.valid_numbers(), F.lit(False))).fillna({"error_code": "NONE"})
-             .drop("request_date", "load_batch"))
+    valid = (fresh.filter(F.coalesce(quality.valid_numbers(), F.lit(False))).fillna({"error_code": "NONE"}).drop("_old"))
     fact = facts.build_fct_requests(valid, api_keys, dim_account, dim_api_key, dim_model, dim_status, key_map)
-    parts = ["request_date", "load_batch"]
-    (fact.withColumn("request_date", F.to_date("request_time")).withColumn("load_batch", F.lit(batch_id))
-         .hint("rebalance", "request_date")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
-         .parquet(fact_path))
-    (fresh.select("request_id", *parts)
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
-          .parquet(seen_path))
+
+    def write(df: DataFrame, path: str, *parts: str) -> None:
+        (df.withColumn("load_batch", F.lit(batch_id)).write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic").partitionBy(*parts, "load_batch").parquet(path))
+
+    # the fact goes first and the seen rows last: a batch that fails in between is loaded again whole
+    write(fact.withColumn("request_date", F.to_date("request_time")).hint("rebalance", "request_date"),
+          fact_path, "request_date")
+    write(fresh.filter("_old IS NOT NULL").select("request_id", F.col("_old").alias("stored_batch")), fact_path + "_replaced")
+    write(fresh.select("request_id", *quality.LOG_ORDER).withColumn("id_slice", F.pmod(F.xxhash64("request_id"), F.lit(ID_SLICES)).cast("int"))
+               .hint("rebalance", "id_slice"), seen_path, "id_slice")
     fresh.unpersist()
+    winners.unpersist()
+
+
+ID_SLICES = 16  # folders of the seen table; rows of one id lie in one
 
 
 def read_fact(spark: SparkSession, fact_path: str) -> DataFrame:
-    """The incrementally loaded fact without its load bookkeeping columns."""
-    return spark.read.parquet(fact_path).drop("request_date", "load_batch")
+    """The incrementally loaded fact without replaced rows and load bookkeeping columns."""
+    fact = spark.read.parquet(fact_path)
+    replaced = fact_path + "_replaced"
+    if _exists(spark, replaced):
+        gone = spark.read.schema("request_id long, stored_batch int, load_batch int").parquet(replaced)
+        gone = gone.select(F.col("request_id").alias("_id"), F.col("stored_batch").alias("_batch"))
+        fact = fact.join(gone, (fact.request_id == gone._id) & (fact.load_batch == gone._batch), "left_anti")
+    return fact.drop("request_date", "load_batch")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -30,3 +30,24 @@ def test_cross_batch_retry_of_invalid_original_is_dropped(spark):
         incremental.append_landed_logs(b, bid, base + "/seen", base + "/fact", *dims)
     got = sorted((r.request_id, r.latency_ms) for r in incremental.read_fact(spark, base + "/fact").collect())
     assert got == [(2, 100), (3, 100)]
+
+
+def test_late_retries_and_late_originals_equal_a_full_rebuild(spark):
+    wh = Q.warehouse(spark, SF)
+    key = wh.sources.api_keys.select("key_id").orderBy("key_id").first().key_id
+    dims = (wh.sources.api_keys, wh.dim_account, wh.dim_api_key, wh.dim_model, wh.dim_status_code)
+    day = lambda d, s=0: datetime(2024, 1, d, 12, 0, s)
+    rows = [
+        [(1, key, "m1", 5, 5, 100, 200, None, day(20)), (2, key, "m1", 5, 5, 250, 200, None, day(23))],
+        [(1, key, "m1", 5, 5, 101, 200, None, day(23)),  # its retry three days later: discarded
+         (2, key, "m1", 5, 5, 200, 200, None, day(20)),  # the original after its retry: replaces it
+         (3, key, "m1", 5, 5, 300, 200, None, day(24))],
+        [(2, key, "m1", 5, 5, 0, 200, None, day(19)),    # an earlier, invalid original: takes the request out
+         (3, key, "m1", 5, 5, 300, 200, None, day(24))],  # the same row again
+    ]
+    base = f"{checkpoint_dir(spark)}/inc-test-{uuid.uuid4().hex[:8]}"
+    batches = [spark.createDataFrame(b, schemas.REQUEST_LOGS_RAW) for b in rows]
+    for bid, b in ((1, batches[0]), (2, batches[1]), (2, batches[1]), (3, batches[2]), (2, batches[1])):
+        incremental.append_landed_logs(b, bid, base + "/seen", base + "/fact", *dims)
+    got = sorted((r.request_id, r.latency_ms) for r in incremental.read_fact(spark, base + "/fact").collect())
+    assert got == [(1, 100), (3, 300)]
