@@ -62,6 +62,11 @@ def open_end() -> Column:
     return F.lit(OPEN_END).cast("timestamp_ntz")
 
 
+def exact_sum(name: str) -> Column:
+    """Money summed as DECIMAL, so the total doesn't depend on the order of the rows."""
+    return F.sum(F.col(name).cast("decimal(28,12)")).cast("double")
+
+
 def money4(x: Column) -> Column:
     """S-21 / T20: a money value at 4 decimals, rounded HALF_UP through DECIMAL.
 

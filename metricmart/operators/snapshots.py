@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.columns import exact_sum
 
 
 def _usage_sums():
     return [F.count(F.lit(1)).alias("daily_requests"),
             F.sum("prompt_tokens").cast("bigint").alias("sum_prompt_tokens"),
             F.sum("completion_tokens").cast("bigint").alias("sum_completion_tokens"),
-            F.sum("revenue_usd").alias("daily_revenue_usd"),
-            F.sum("cost_usd").alias("daily_cost_usd")]
+            exact_sum("revenue_usd").alias("daily_revenue_usd"),
+            exact_sum("cost_usd").alias("daily_cost_usd")]
 
 
 def account_daily_snapshot(fact: DataFrame) -> DataFrame:

@@ -4,16 +4,19 @@
 run's scope, add the new rows. Unlike a dynamic partition overwrite, a period
 that the new run has no rows for is deleted too (the reference deletes it).
 
-``MetricStore`` persists that on plain parquet without an ACID table format:
-each replace writes a complete new version folder beside the old one and is
-published only once Spark's job commit has written ``_SUCCESS`` there. Readers
-take the newest published version, so a failed run leaves the previous rows in
-place (T17) and nothing ever overwrites the folder being read.
+``MetricStore`` persists that on plain parquet without an ACID table format. Rows lie in
+folders per metric code and run; a manifest (one small file per version) names the folder
+that holds each code. A replace writes only the codes it touches, under a run id of its
+own, and is published by its manifest alone: a failed run leaves nothing that a later one
+could meet, and of two writers of one version the second fails without harm. Kept rows keep
+the time they were written.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,50 +30,118 @@ def replace_rows(existing: DataFrame, new: DataFrame, scope: Column) -> DataFram
     return kept.unionByName(new.select(*existing.columns))
 
 
-def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+class Files:
+    """Small files on whatever file system the store lies on (through Hadoop's interface)."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.jvm = spark.sparkContext._jvm
+        self.fs = self.path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(name)
+
+    def names(self, folder: str) -> list[str]:
+        p = self.path(folder)
+        return [s.getPath().getName() for s in self.fs.listStatus(p)] if self.fs.exists(p) else []
+
+    def read(self, name: str) -> str:
+        stream = self.fs.open(self.path(name))
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def publish(self, name: str, text: str) -> None:
+        """Write a file whole or not at all; fails if it exists."""
+        tmp = self.path(f"{name}.{uuid.uuid4().hex}.tmp")
+        stream = self.fs.create(tmp, False)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        target = self.path(name)
+        if self.fs.exists(target) or not self.fs.rename(tmp, target):
+            self.fs.delete(tmp, False)
+            raise RuntimeError(f"{name} was published by another writer; run again on the new version")
+
+    def delete(self, name: str) -> None:
+        self.fs.delete(self.path(name), True)
 
 
 class MetricStore:
-    """Versioned parquet tables under ``root``: ``root/<table>/v<NNNNNN>/``."""
+    """Versioned metric tables under ``root``: ``root/<table>/<run>/metric_code=…`` and manifests."""
 
-    VERSION = re.compile(r"^v(\d{6})$")
+    VERSION = re.compile(r"^v(\d{6})\.json$")
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.files = Files(spark, self.root)
 
     def _versions(self, table: str) -> list[int]:
-        fs, base = _hadoop_fs(self.spark, f"{self.root}/{table}")
-        if not fs.exists(base):
-            return []
-        out = []
-        for st in fs.listStatus(base):
-            m = self.VERSION.match(st.getPath().getName())
-            if m and fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-                    st.getPath(), "_SUCCESS")):
-                out.append(int(m.group(1)))
-        return sorted(out)
+        found = (self.VERSION.match(n) for n in self.files.names(f"{self.root}/{table}/_manifests"))
+        return sorted(int(m.group(1)) for m in found if m)
+
+    def _manifest(self, table: str, version: int) -> dict[str, str]:
+        return json.loads(self.files.read(f"{self.root}/{table}/_manifests/v{version:06d}.json"))
+
+    def _rows(self, table: str, folders: dict[str, str]) -> DataFrame:
+        schema = schemas.STORED_METRICS[table]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        inner = [f for f in schema.fields if f.name != "metric_code"]
+        out = None
+        for run in sorted(set(folders.values())):  # one read per run that still holds rows
+            codes = sorted(c for c, r in folders.items() if r == run)
+            part = (self.spark.read.schema(type(schema)([*inner, schema["metric_code"]])).parquet(f"{self.root}/{table}/{run}")
+                        .filter(F.col("metric_code").isin(codes)).select(*schema.fieldNames()))
+            out = part if out is None else out.unionByName(part)
+        return out
 
     def read(self, table: str) -> DataFrame:
-        """The newest published version, or an empty frame with the sink schema."""
-        schema = schemas.WAREHOUSE[table]
+        """The newest published version, or an empty frame with the stored schema."""
         versions = self._versions(table)
-        if not versions:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/v{versions[-1]:06d}")
+        return self._rows(table, self._manifest(table, versions[-1]) if versions else {})
+
+    def stage(self, df: DataFrame) -> DataFrame:
+        """Compute a result now, into a folder of its own, and read it back."""
+        path = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def append(self, table: str, new: DataFrame) -> int:
+        """SNK-4: add rows and delete none."""
+        return self.replace(table, new, F.lit(False))
 
     def replace(self, table: str, new: DataFrame, scope: Column) -> int:
-        """Write ``replace_rows(current, new, scope)`` as the next version and return its number."""
-        schema = schemas.WAREHOUSE[table]
-        problems = schemas.check_schema(new, schema)
+        """Publish ``replace_rows(current, new, scope)`` as the next version and return its number.
+
+        Only the metric codes that ``new`` or ``scope`` touch are written (their number is
+        that of the catalogue's entries); the others stay where they are.
+        """
+        problems = schemas.check_schema(new, schemas.WAREHOUSE[table])
         if problems:
             raise ValueError(f"{table}: result does not fit the sink: {problems}")
         versions = self._versions(table)
-        nxt = (versions[-1] + 1) if versions else 1
-        out = replace_rows(self.read(table), new, scope)
-        (out.withColumn("created_at", F.current_timestamp())  # T25: write time, never compared
-            .write.mode("errorifexists").parquet(f"{self.root}/{table}/v{nxt:06d}"))
-        return nxt
+        before = self._manifest(table, versions[-1]) if versions else {}
+        current, staged = self._rows(table, before), self.stage(new)
+        hit = F.coalesce(scope, F.lit(False))
+        added = {r.metric_code for r in staged.select("metric_code").distinct().collect()}
+        touched = added | {r.metric_code for r in current.filter(hit).select("metric_code").distinct().collect()}
+        run = f"run-{uuid.uuid4().hex}"
+        kept = current.filter(F.col("metric_code").isin(sorted(touched)) & ~hit)
+        out = kept.unionByName(staged.withColumn("created_at", F.current_timestamp()))
+        out.hint("rebalance", "metric_code").write.partitionBy("metric_code").parquet(f"{self.root}/{table}/{run}")
+        held = {r.metric_code for r in kept.select("metric_code").distinct().collect()} | added
+        after = {c: r for c, r in before.items() if c not in touched} | dict.fromkeys(held, run)
+        number = (versions[-1] + 1) if versions else 1
+        self.files.publish(f"{self.root}/{table}/_manifests/v{number:06d}.json", json.dumps(after, sort_keys=True))
+        return number
+
+    def retire(self, table: str, keep: int = 2) -> None:
+        """Delete all but the newest ``keep`` versions, and the runs that none of them names."""
+        versions = self._versions(table)
+        for v in versions[:-keep]:
+            self.files.delete(f"{self.root}/{table}/_manifests/v{v:06d}.json")
+        used = {run for v in versions[-keep:] for run in self._manifest(table, v).values()}
+        for name in self.files.names(f"{self.root}/{table}"):
+            if name.startswith("run-") and name not in used:
+                self.files.delete(f"{self.root}/{table}/{name}")

@@ -185,7 +185,7 @@ def retention_long(dim_account: DataFrame, snapshot: DataFrame, end: date,
               .distinct())  # DST-3: shrink to (user, month) before the cohort join
     base = (cohorts.join(active, "user_id")
                    .groupBy("cohort_month", "active_month", (F.col("_a_idx") - F.col("_c_idx")).alias("month_diff"))
-                   .agg(F.count_distinct("user_id").alias("active_user_count")))
+                   .agg(F.count("user_id").alias("active_user_count")))  # (user, month) is unique by now
     sizes = cohorts.groupBy("cohort_month").agg(F.count("user_id").alias("total_users"))
     # one row per cohort month: at most lookback_months + 1 rows, whatever the data size
     out = base.join(F.broadcast(sizes), "cohort_month")
@@ -196,24 +196,19 @@ def retention_long(dim_account: DataFrame, snapshot: DataFrame, end: date,
                       (scaled / 10000.0).alias("retention_rate"))
 
 
-def rate_text(rate: Column) -> Column:
-    """A 4-decimal rate as fixed text ('0.2500'), identical in every engine."""
-    return rate.cast("decimal(10,4)").cast("string")
-
-
 def retention_json(long: DataFrame) -> DataFrame:
-    """AGG-8: one JSON object per cohort, ``{"month_0": 1.0000, "month_1": …}`` in month order.
+    """AGG-8: one JSON object per cohort, ``{"month_0":1.0,"month_1":…}`` in month order.
 
     Collecting per cohort is bounded: at most one entry per month of the look-back.
     """
     per = long.groupBy("cohort_month").agg(
         F.sort_array(F.collect_list(F.struct("month_diff", "retention_rate"))).alias("_cells"))
-    body = F.array_join(F.transform(F.col("_cells"), lambda c: F.concat(
-        F.lit('"month_'), c["month_diff"].cast("string"), F.lit('":'), rate_text(c["retention_rate"]))), ",")
+    body = F.map_from_entries(F.transform(F.col("_cells"), lambda c: F.struct(
+        F.concat(F.lit("month_"), c["month_diff"].cast("string")), c["retention_rate"])))
     return per.select(F.lit(RETENTION).alias("metric_code"), F.lit("platform").alias("entity_type"),
                       F.lit("all").alias("entity_id"), F.lit("month").alias("time_type"),
                       F.col("cohort_month").alias("time_id"), F.lit("distribution").alias("struct_type"),
-                      F.concat(F.lit("{"), body, F.lit("}")).alias("struct_json"))
+                      F.to_json(body).alias("struct_json"))
 
 
 def retention_scope(ctx: MetricContext) -> Column:

@@ -29,15 +29,15 @@ def run_etl(spark: SparkSession, source_path: str, warehouse_path: str, fmt: str
     """Entry A: ``{"dq": {check: value}, "loaded": {table: rows}}`` (a handful of numbers)."""
     src = load_sources(spark, source_path, fmt, options)
     dq = {r.check_name: r.value for r in dq_stats(src.logs, src.billing).collect()}
-    loaded = Warehouse(src).load(warehouse_path)
+    loaded = Warehouse.load(src, warehouse_path)
     return {"dq": dq, "loaded": loaded}
 
 
 def read_warehouse(spark: SparkSession, warehouse_path: str) -> dict[str, DataFrame]:
     """The loaded tables with their declared columns (partition columns dropped)."""
-    out = {}
+    out, folder = {}, Warehouse.current(spark, warehouse_path)
     for name in Warehouse.TABLES:
-        df = spark.read.parquet(f"{warehouse_path}/{name}")
+        df = spark.read.parquet(f"{folder}/{name}")
         out[name] = df.select(*schemas.WAREHOUSE[name].fieldNames())
     return out
 

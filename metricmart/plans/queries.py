@@ -297,7 +297,7 @@ def _inputs(spark, sf_dir) -> dict:
     wh = warehouse(spark, sf_dir)
     return {"fct_api_requests": wh.fct_api_requests,
             "fct_account_daily_snapshot": wh.fct_account_daily_snapshot,
-            "dim_account": wh.dim_account, "activity": wh.fct_account_daily_snapshot}
+            "dim_account": wh.dim_account, "activity": activity_snapshot(spark, sf_dir, wh)}
 
 
 @query
@@ -310,6 +310,33 @@ def q_run_metrics(spark, sf_dir):
     return tables["dws_metric_value"]
 
 
+RETENTION_YEAR = M.MetricContext.for_days(date(1996, 1, 1), RETENTION_END)
+
+
+@query
+def q_run_metrics_struct(spark, sf_dir):
+    """MET-3 through MET-4: the monthly run over a year with cohorts; its struct sink."""
+    tables, _ = run_metrics(reference_specs(), _inputs(spark, sf_dir), RETENTION_YEAR, grain="monthly")
+    return tables["dws_metric_struct"]
+
+
+@query
+def q_metric_store(spark, sf_dir):
+    """SNK-3..SNK-6 through the stored form: a daily run, then a re-run over 01-10..01-20 after 01-15
+    was withdrawn and with one metric failing; the published rows."""
+    from ..operators.store import MetricStore
+
+    store = MetricStore(spark, scratch_path(spark, "metric-store"))
+    inputs = _inputs(spark, sf_dir)
+    run_metrics(reference_specs()[:2], inputs, M.EVENTS_MONTH, store=store)
+    corrected = dict(inputs)
+    corrected["fct_api_requests"] = inputs["fct_api_requests"].filter(F.to_date("request_time") != F.lit(DROPPED_DAY))
+    broken = MetricSpec(M.MAU, "platform", "dws_metric_value", lambda i, c: M.mau(
+        i["fct_account_daily_snapshot"].withColumn("account_sk", F.raise_error(F.lit("broken"))), c), M.mau_scope)
+    run_metrics([*reference_specs()[:1], broken], corrected, REPLACE_CTX, store=store)
+    return store.read("dws_metric_value").drop("created_at")
+
+
 REPLACE_CTX = M.MetricContext.for_days(date(2024, 1, 10), date(2024, 1, 20))
 DROPPED_DAY = date(2024, 1, 15)
 
@@ -332,13 +359,9 @@ def q_metric_replace(spark, sf_dir):
 
 @query
 def q_load_counts(spark, sf_dir):
-    """SNK-2 / SNK-7: load every table, then count what was written."""
-    wh = warehouse(spark, sf_dir)
-    path = scratch_path(spark, "warehouse")
-    wh.load(path)
-    parts = [spark.read.parquet(f"{path}/{t}").agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(t).alias("table_name"), "row_count") for t in Warehouse.TABLES]
-    return reduce(DataFrame.unionByName, parts)
+    """SNK-2 / SNK-7: load every table; the counts observed on the writes."""
+    counts = Warehouse.load(warehouse(spark, sf_dir).sources, scratch_path(spark, "warehouse"))
+    return spark.createDataFrame(list(counts.items()), "table_name string, row_count long")
 
 
 @query
@@ -649,9 +672,8 @@ def q_stream_latency_alerts(spark, sf_dir):
 
 @query
 def q_financial_range_scan(spark, sf_dir):
-    """SRC-11: billing transactions in an inclusive time range (filter pushed to the parquet scan)."""
-    tx = warehouse(spark, sf_dir, aligned=True).fct_account_transactions
-    return loader.range_scan(tx, "created_at", RANGE.start, RANGE.end)
+    """SRC-11: billing transactions in an inclusive time range (folders pruned, filter pushed to the scan)."""
+    return warehouse(spark, sf_dir, aligned=True).transactions_between(RANGE)
 
 
 def arrivals(raw: DataFrame) -> list[DataFrame]:
@@ -689,13 +711,13 @@ def all_specs() -> list[MetricSpec]:
         MetricSpec("account.monthly.*", "user", "dws_metric_value",
                    lambda i, c: growth.account_stage_metrics(i["fct_api_requests"], c),
                    lambda c: any_of([ms(code, c, ("month",), "account") for code in ACCOUNT_STAGE.values()]),
-                   time_grain="monthly"),
+                   time_grain="monthly", scoped_by="user"),
         MetricSpec(REGISTRATIONS, "user", "dws_metric_value",
                    lambda i, c: growth.registrations(i["users"], c),
                    lambda c: M.history_scope(REGISTRATIONS, c), time_grain="monthly", priority=1),
         MetricSpec("model.daily.*", "model", "dws_metric_value",
                    lambda i, c: growth.model_stage_metrics(i["fct_model_daily_snapshot"], i["dim_model"], c),
-                   lambda c: any_of([ms(code, c, ("day",), "model") for code in model_codes])),
+                   lambda c: any_of([ms(code, c, ("day",), "model") for code in model_codes]), scoped_by="model"),
         *reference_specs(),
         MetricSpec("platform.calls", "platform", "dws_metric_value",
                    lambda i, c: growth.calls_multi_grain(i["fct_api_requests"], c),

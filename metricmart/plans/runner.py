@@ -2,15 +2,18 @@
 
 A metric is a ``MetricSpec``: a builder ``(inputs, ctx) -> DataFrame`` and the
 scope its run replaces. Specs run in stage order (user → model → platform) and
-priority; one that fails to build or does not fit its sink is reported and
-skipped, the others still run (failure isolation). All results of one sink are
-unioned and written with a single atomic replace, so the sink is never seen
-half-deleted.
+priority. Each is built and computed under its own guard: one that fails, then or while
+its rows are computed, is reported with its whole error and left out, together with its
+scope; the others are published with a single atomic replace per sink, so the sink is never
+seen half-deleted.
+
+A context that names users or models runs only the metrics of those entities, on inputs cut
+down to them, and replaces only their rows; the others are reported as skipped.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Callable
 
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.store import MetricStore, replace_rows
+from ..session import freeze
 from .metrics import MetricContext
 
 STAGES = ("user", "model", "platform")
@@ -34,6 +38,7 @@ class MetricSpec:
     time_grain: str = "daily"                   # daily | monthly | weekly | yearly
     priority: int = 0
     description: str = ""
+    scoped_by: str | None = None                # user | model: can run for some entities alone
 
 
 def select_specs(specs: list[MetricSpec], grain: str | None = None) -> list[MetricSpec]:
@@ -42,6 +47,29 @@ def select_specs(specs: list[MetricSpec], grain: str | None = None) -> list[Metr
     return sorted(chosen, key=lambda s: (STAGES.index(s.stage), s.priority))
 
 
+def scoped(inputs: dict, ctx: MetricContext) -> tuple[dict, MetricContext]:
+    """Inputs cut down to the context's users and models (semi joins), and the context with the
+    users given as the account keys that stored rows carry."""
+    out = dict(inputs)
+
+    def keep(keys: DataFrame, on: str, names: tuple[str, ...]) -> None:
+        for n in names:
+            if n in out:
+                out[n] = out[n].join(keys, on, "left_semi")
+
+    if ctx.user_ids:
+        accounts = inputs["dim_account"].filter(F.col("user_id").isin(ctx.user_ids))
+        keep(accounts.select("account_sk"), "account_sk",
+             ("fct_api_requests", "fct_account_daily_snapshot", "activity", "leaderboard", "rfm"))
+        # as many as the named users have account versions
+        ctx = replace(ctx, user_ids=[r.account_sk for r in accounts.select("account_sk").collect()])
+    if ctx.model_ids:
+        models = inputs["dim_model"].filter(F.col("model_id").isin(ctx.model_ids))
+        keep(models.select("model_sk"), "model_sk", ("fct_api_requests", "fct_model_daily_snapshot"))
+        out["dim_model"] = models
+    return out, ctx
+
+
 def run_metrics(specs: list[MetricSpec], inputs: dict, ctx: MetricContext,
                 existing: dict[str, DataFrame] | None = None, grain: str | None = None,
                 store: MetricStore | None = None):
@@ -51,19 +79,26 @@ def run_metrics(specs: list[MetricSpec], inputs: dict, ctx: MetricContext,
     ``store`` the new versions are also written there.
     """
     spark = next(iter(inputs.values())).sparkSession
+    wanted = {n for n, ids in (("user", ctx.user_ids), ("model", ctx.model_ids)) if ids}
+    inputs, ctx = scoped(inputs, ctx)
     results: dict[str, list[tuple[MetricSpec, DataFrame]]] = {}
     report = []
     for spec in select_specs(specs, grain):
+        row = (spec.metric_code, spec.stage, spec.sink)
+        if wanted and spec.scoped_by not in wanted:
+            report.append((*row, "skipped", "not a metric of the named entities"))
+            continue
         try:
             df = spec.build(inputs, ctx)
             problems = schemas.check_schema(df, schemas.WAREHOUSE[spec.sink])
             if problems:
                 raise ValueError("; ".join(problems))
+            df = store.stage(df) if store is not None else freeze(df)  # computed here, under this guard
             results.setdefault(spec.sink, []).append((spec, df))
-            report.append((spec.metric_code, spec.stage, spec.sink, "ok", None))
+            report.append((*row, "ok", None))
         except Exception as e:  # isolate: the other metrics still run
-            report.append((spec.metric_code, spec.stage, spec.sink, "failed", str(e)[:500]))
-    tables = {}
+            report.append((*row, "failed", str(e)))
+    tables = dict(existing or {})
     for sink, items in results.items():
         new = reduce(DataFrame.unionByName, [df for _, df in items])
         scope = reduce(lambda a, b: a | b, [F.coalesce(s.scope(ctx), F.lit(False)) for s, _ in items])

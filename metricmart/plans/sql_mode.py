@@ -18,23 +18,28 @@ def register_warehouse(tables: dict[str, DataFrame], prefix: str = "") -> None:
         df.createOrReplaceTempView(prefix + name)
 
 
-def daily_calls_sql(ctx: MetricContext, prefix: str = "") -> str:
+def metric_sql(code: str, view: str, period: str, time_type: str, pattern: str, measure: str, where: str) -> str:
+    """One platform metric as a statement: the measure per period of the view's rows in range; the
+    sink's constant columns are added to the grouped result."""
     return f"""
-SELECT '{DAILY_CALLS}' AS metric_code, 'platform' AS entity_type, 'all' AS entity_id, 'day' AS time_type,
-       date_format(request_time, 'yyyy-MM-dd') AS time_id, CAST(count(*) AS DOUBLE) AS metric_value
-FROM {prefix}fct_api_requests
-WHERE request_time BETWEEN TIMESTAMP_NTZ '{ctx.start.isoformat(sep=' ')}'
-                       AND TIMESTAMP_NTZ '{ctx.end.isoformat(sep=' ')}'
-GROUP BY 1, 2, 3, 4, 5"""
+WITH per_period AS (
+  SELECT date_format({period}, '{pattern}') AS time_id, {measure} AS measured FROM {view} WHERE {where}
+  GROUP BY date_format({period}, '{pattern}'))
+SELECT '{code}' AS metric_code, 'platform' AS entity_type, 'all' AS entity_id, '{time_type}' AS time_type,
+       time_id, double(measured) AS metric_value
+FROM per_period"""
+
+
+def daily_calls_sql(ctx: MetricContext, prefix: str = "") -> str:
+    lo, hi = (t.isoformat(sep=" ") for t in (ctx.start, ctx.end))
+    return metric_sql(DAILY_CALLS, f"{prefix}fct_api_requests", "request_time", "day", "yyyy-MM-dd", "count(request_id)",
+                      f"request_time >= TIMESTAMP_NTZ '{lo}' AND request_time <= TIMESTAMP_NTZ '{hi}'")
 
 
 def mau_sql(ctx: MetricContext, prefix: str = "") -> str:
-    return f"""
-SELECT '{MAU}' AS metric_code, 'platform' AS entity_type, 'all' AS entity_id, 'month' AS time_type,
-       date_format(snapshot_date, 'yyyy-MM') AS time_id, CAST(count(DISTINCT account_sk) AS DOUBLE) AS metric_value
-FROM {prefix}fct_account_daily_snapshot
-WHERE snapshot_date BETWEEN DATE '{ctx.start_date.isoformat()}' AND DATE '{ctx.end_date.isoformat()}'
-GROUP BY 1, 2, 3, 4, 5"""
+    return metric_sql(MAU, f"{prefix}fct_account_daily_snapshot", "snapshot_date", "month", "yyyy-MM",
+                      "count(DISTINCT account_sk)",
+                      f"snapshot_date >= DATE '{ctx.start_date}' AND snapshot_date <= DATE '{ctx.end_date}'")
 
 
 def run_sql_metrics(spark: SparkSession, tables: dict[str, DataFrame], ctx: MetricContext,

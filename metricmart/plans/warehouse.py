@@ -13,13 +13,15 @@ the snapshots of its base and only replaces the billing side.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import dims, facts, quality, snapshots
+from ..operators.store import Files
 from ..session import run_concurrently
 from ..sources.adapters import billing_orders, derive_sources, order_activity
 from ..sources.loader import DeferredSources, Sources
@@ -31,6 +33,7 @@ class Warehouse:
         self.sources = sources
         self.store_path = store_path.rstrip("/") if store_path else None
         self.base = base
+        self.counts: dict[str, int] = {}  # rows of each table, observed on its write
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, store_path: str | None = None) -> "Warehouse":
@@ -55,10 +58,12 @@ class Warehouse:
             # AQE rebalances by the partition columns: a hot day is split over several tasks and
             # small days are coalesced, so each date folder gets a few well-sized files
             df = df.hint("rebalance", *partition_by)
-        w = df.write.mode("overwrite")
+        seen = Observation(name)
+        w = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
+        self.counts[name] = seen.get["rows"]
         return self.spark.read.parquet(path)
 
     # ---- clean (DQ-1) ----
@@ -66,7 +71,7 @@ class Warehouse:
     def clean_logs(self) -> DataFrame:
         if self.base is not None:
             return self.base.clean_logs
-        return quality.clean_logs(self.sources.logs)
+        return self._stored("clean_logs", quality.clean_logs(self.sources.logs))
 
     @cached_property
     def clean_billing(self) -> DataFrame:
@@ -135,9 +140,21 @@ class Warehouse:
         return f.drop("request_date")
 
     @cached_property
-    def fct_account_transactions(self) -> DataFrame:
+    def _transactions_by_month(self) -> DataFrame:
         name = "fct_account_transactions" + ("_aligned" if self.base is not None else "")
-        return self._stored(name, facts.build_fct_transactions(self.clean_billing, self.dim_account))
+        t = facts.build_fct_transactions(self.clean_billing, self.dim_account)
+        return self._stored(name, t.withColumn("created_month", F.trunc("created_at", "month")), ["created_month"])
+
+    @cached_property
+    def fct_account_transactions(self) -> DataFrame:
+        return self._transactions_by_month.drop("created_month")
+
+    def transactions_between(self, ctx: MetricContext) -> DataFrame:
+        """SRC-11: a time-range read of the transactions; the month bound prunes folders, the
+        timestamp bound is pushed to the scan."""
+        first, last = ctx.start_date.replace(day=1), ctx.end_date.replace(day=1)
+        t = self._transactions_by_month.filter(F.col("created_month").between(F.lit(first), F.lit(last)))
+        return t.filter(F.col("created_at").between(F.lit(ctx.start), F.lit(ctx.end))).drop("created_month")
 
     @cached_property
     def fct_account_daily_snapshot(self) -> DataFrame:
@@ -155,8 +172,8 @@ class Warehouse:
                             ["snapshot_date"]).select(*schemas.FCT_MODEL_DAILY_SNAPSHOT.fieldNames())
 
     # dependency waves of the load: tables inside a wave are independent of each other
-    WAVES = (("dim_model", "dim_api_key", "dim_status_code", "dim_account_lineage"),
-             ("key_map", "fct_account_transactions"),
+    WAVES = (("clean_logs", "dim_model", "dim_api_key", "dim_account_lineage"),
+             ("dim_status_code", "key_map", "fct_account_transactions"),
              ("_requests_by_date",),
              ("fct_account_daily_snapshot", "fct_model_daily_snapshot"))
 
@@ -174,40 +191,25 @@ class Warehouse:
     TABLES = ("dim_model", "dim_account", "dim_status_code", "dim_api_key", "fct_api_requests",
               "fct_account_transactions", "fct_account_daily_snapshot", "fct_model_daily_snapshot")
 
-    PARTITION_BY = {
-        "fct_account_daily_snapshot": ["snapshot_date"],
-        "fct_model_daily_snapshot": ["snapshot_date"],
-    }
-
-    def load(self, path: str, observe: bool = True) -> dict[str, int]:
-        """SNK-2 / SNK-7 / SNK-10: write every table (dims before facts) and return load counts.
+    @classmethod
+    def load(cls, sources: Sources, path: str) -> dict[str, int]:
+        """SNK-2 / SNK-7 / SNK-10: write every table once, dims before facts, and publish them together.
 
-        The counts come from ``observe`` on the write itself, not a second scan.
-        The request fact is written partitioned by request date so range reads prune.
+        A load writes into a folder of its own and is published by the ``_CURRENT`` file naming it,
+        so readers see the old tables or the new ones, and a failed load changes nothing. The
+        counts were observed on the writes.
         """
-        from pyspark.sql import Observation
-
-        def write(name: str) -> int:
-            df = getattr(self, name)
-            parts = self.PARTITION_BY.get(name, [])
-            if name == "fct_api_requests":
-                df = df.withColumn("request_date", F.to_date("request_time"))
-                parts = ["request_date"]
-            obs = Observation(name)
-            if observe:
-                df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-            if parts:
-                df = df.hint("rebalance", *parts)
-            w = df.write.mode("overwrite")
-            if parts:
-                w = w.partitionBy(*parts)
-            w.parquet(f"{path}/{name}")
-            return obs.get["rows"] if observe else -1
-
-        # dependencies are resolved wave by wave first; the writes themselves are independent
-        self.materialize()
-        counts = run_concurrently([lambda n=n: write(n) for n in self.TABLES])
-        return dict(zip(self.TABLES, counts))
+        run = f"load-{uuid.uuid4().hex}"
+        wh = cls(sources, store_path=f"{path.rstrip('/')}/{run}").materialize()
+        files = Files(wh.spark, path)
+        files.delete(f"{path}/_CURRENT")
+        files.publish(f"{path}/_CURRENT", run)
+        return {t: wh.counts[t] for t in cls.TABLES}
+
+    @staticmethod
+    def current(spark: SparkSession, path: str) -> str:
+        """The folder of the published load under ``path``."""
+        return f"{path}/{Files(spark, path).read(f'{path}/_CURRENT').strip()}"
 
 
 def aligned_billing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,6 +98,10 @@ WAREHOUSE = {
     "ads_model_tags": ADS_MODEL_TAGS,
 }
 
+# What the metric store keeps of a result: its columns and the time it was written.
+STORED_METRICS = {name: T.StructType([*WAREHOUSE[name].fields, T.StructField("created_at", T.TimestampType())])
+                  for name in ("dws_metric_value", "dws_metric_struct")}
+
 # Primary keys of the warehouse tables (checked by the constraint report, C-1).
 PRIMARY_KEYS = {
     "dim_account": ["account_sk"],
