@@ -27,8 +27,11 @@ def request_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     err = F.col("event_type") != "error"
     raw0 = ev.select(
         F.col("event_id").alias("request_id"),
-        F.col("user_id").alias("key_id"),
-        F.concat(F.lit("m"), (k % 13).cast("string")).alias("model_id"),
+        # one of the user's up to three keys; every 40th call bears a key that doesn't exist
+        F.when(F.col("event_id") % 40 == 39, -1 - F.col("user_id"))
+         .otherwise(F.col("user_id") * 3 + F.col("event_id") % (1 + F.col("user_id") % 3)).alias("key_id"),
+        # the first 40 models of the catalogue; a 13th of the calls name one that isn't listed
+        F.when(k % 13 == 12, "unlisted").otherwise(F.concat(F.lit("m"), (F.col("event_id") % 40).cast("string"))).alias("model_id"),
         F.when(F.col("event_id") % 101 == 0, F.lit(-5))
          .otherwise(F.floor(F.col("value") * 1000).cast("int")).alias("prompt_token_count"),
         F.when(F.col("event_id") % 103 == 0, F.lit(None).cast("int"))
@@ -54,19 +57,21 @@ def request_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def api_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One key per customer; keys ≡ 39 (mod 40) do not exist, so their calls are orphans."""
-    c = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 40 != 39)
+    """One to three keys for every customer (key ids ``3 × customer + 0..2``)."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.explode(
+        F.sequence(F.lit(0).cast("bigint"), F.col("c_custkey").cast("bigint") % 3)).alias("nth"))
+    key = F.col("c_custkey") * 3 + F.col("nth")
     return schemas.conform(c.select(
-        F.col("c_custkey").alias("key_id"), F.col("c_custkey").alias("user_id"),
-        F.col("c_name").alias("key_name"),
-        F.concat(F.lit("sk-"), F.col("c_custkey").cast("string")).alias("api_key"),
-        (F.col("c_custkey") % 10 != 0).alias("is_active")), schemas.API_KEYS)
+        key.alias("key_id"), F.col("c_custkey").alias("user_id"),
+        F.concat("c_name", F.lit(" key "), F.col("nth").cast("string")).alias("key_name"),
+        F.concat(F.lit("sk-"), key.cast("string")).alias("api_key"),
+        (key % 10 != 0).alias("is_active")), schemas.API_KEYS)
 
 
 def ai_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Twelve priced models m0..m11 from ``part`` (``m12`` in the logs is an orphan)."""
-    p = table(spark, sf_dir, "part").filter(F.col("p_partkey") < 12)
-    n = F.col("p_partkey") + 1
+    """A priced model ``m<partkey>`` for every row of ``part``, in forty price steps."""
+    p = table(spark, sf_dir, "part")
+    n = F.col("p_partkey") % 40 + 1
     return schemas.conform(p.select(
         F.concat(F.lit("m"), F.col("p_partkey").cast("string")).alias("model_id"),
         F.col("p_brand").alias("provider"),
