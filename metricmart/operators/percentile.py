@@ -29,6 +29,13 @@ def grouped_percentile(df: DataFrame, group_cols: list[str], value_col: str, p:
     """``group_cols + [name]``: the exact ``percentile_cont(p)`` of ``value_col`` per group."""
     hist = (df.filter(F.col(value_col).isNotNull())
               .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_c")))
+    return histogram_percentile(hist, group_cols, value_col, "_c", p, name)
+
+
+def histogram_percentile(hist: DataFrame, group_cols: list[str], value_col: str, count_col: str, p: float,
+                         name: str) -> DataFrame:
+    """The same from a histogram: one row per group and value, with its count."""
+    hist = hist.withColumn("_c", F.col(count_col))
     running = Window.partitionBy(*group_cols).orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
     hist = (hist.withColumn("_cum", F.sum("_c").over(running))
                 .withColumn("_n", F.sum("_c").over(Window.partitionBy(*group_cols))))

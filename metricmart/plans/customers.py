@@ -47,7 +47,7 @@ def rfm(fact: DataFrame, ctx: MetricContext, approximate: bool = False) -> DataF
     accounts, found by a distributed rank (no global window, no single task
     holding every account); accounts sharing a value share a score.
     """
-    m = rfm_measures(fact, ctx)
+    m = freeze(rfm_measures(fact, ctx))  # one row per account, read by three rankings and the scoring
     m = m.withColumn("_money", F.col("monetary_usd").cast("double"))
     if approximate:  # one sketch per measure: for very large account sets
         r_cut, f_cut, m_cut = (_approx_cuts(m, c) for c in ("recency_days", "frequency_days", "_money"))

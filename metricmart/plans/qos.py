@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import day_id, month_id, round4, safe_ratio
-from ..operators.percentile import grouped_percentile
+from ..operators.percentile import histogram_percentile
+from ..session import freeze
 from .metrics import MetricContext, in_days, in_range
 
 SIGMA = 3.0  # fixed value: the alert and outlier threshold in standard deviations
@@ -24,24 +25,29 @@ def p99_latency(fact: DataFrame, dim_model: DataFrame, ctx: MetricContext, p: fl
     """S-6: exact continuous P99 latency per model after removing 3σ outliers.
 
     Ours: a request is an outlier when its latency is more than 3 sample standard
-    deviations from the mean of its model and day. Mean and σ per model-day are
-    one partial aggregation; the percentile is read from a latency histogram, so
-    a hot model never gathers its rows in one task. ``approximate`` uses a
-    ``percentile_approx`` sketch instead (bounded memory for any value domain).
+    deviations from the mean of its model and day. The fact is read once, into a
+    (model, day, latency) → count histogram; the moments of a model-day, the cut, the counts
+    and the percentile all come from it, so a hot model never gathers its rows in one task.
+    ``approximate`` uses a ``percentile_approx`` sketch instead (bounded memory for any value domain).
     """
-    calls = _calls_by_model(fact, dim_model, ctx).withColumn("_d", F.to_date("request_time"))
-    stats = calls.groupBy("model_id", "_d").agg(F.avg("latency_ms").alias("_mu"),
-                                                F.stddev_samp("latency_ms").alias("_sd"))
-    # one row per model and day: AQE broadcasts it from its runtime size
-    calls = calls.join(stats, ["model_id", "_d"])
-    keep = F.col("_sd").isNull() | (F.abs(F.col("latency_ms") - F.col("_mu")) <= F.lit(SIGMA) * F.col("_sd"))
-    kept = calls.filter(keep)
-    counts = calls.groupBy("model_id").agg(F.count(F.lit(1)).alias("requests"),
-                                           F.count_if(keep).alias("kept_requests"))
-    if approximate:  # mergeable quantile sketch per model (percentile_approx), for unbounded value domains
-        pct = kept.groupBy("model_id").agg(F.percentile_approx("latency_ms", p, accuracy).cast("double").alias("_p"))
+    hist = freeze(_calls_by_model(fact, dim_model, ctx)
+                  .groupBy("model_id", F.to_date("request_time").alias("_d"), "latency_ms").agg(F.count(F.lit(1)).alias("_c")))
+    x, c = F.col("latency_ms").cast("double"), F.col("_c").cast("double")
+    moments = hist.filter("latency_ms IS NOT NULL").groupBy("model_id", "_d").agg(
+        F.sum(c).alias("_n"), F.sum(c * x).alias("_s"), F.sum(c * x * x).alias("_q"))
+    # |x - s/n| <= 3 sd, multiplied out: sd² = (n q - s²) / (n (n - 1)); a single request always stays
+    n, total, squares = F.col("_n"), F.col("_s"), F.col("_q")
+    keep = F.coalesce((n * x - total) * (n * x - total) * (n - 1) <= SIGMA * SIGMA * n * (n * squares - total * total), F.lit(False))
+    marked = hist.join(moments, ["model_id", "_d"], "left").withColumn("_keep", keep)
+    counts = marked.groupBy("model_id").agg(F.sum("_c").alias("requests"),
+                                            F.sum(F.when(F.col("_keep"), F.col("_c")).otherwise(0)).alias("kept_requests"))
+    kept = marked.filter("_keep").groupBy("model_id", "latency_ms").agg(F.sum("_c").alias("_c"))
+    if approximate:  # a sketch of the requests themselves, cut by the same moments
+        rows = _calls_by_model(fact, dim_model, ctx).withColumn("_d", F.to_date("request_time"))
+        pct = (rows.join(moments, ["model_id", "_d"]).filter(keep).groupBy("model_id")
+                   .agg(F.percentile_approx("latency_ms", p, accuracy).cast("double").alias("_p")))
     else:
-        pct = grouped_percentile(kept, ["model_id"], "latency_ms", p, "_p")
+        pct = histogram_percentile(kept, ["model_id"], "latency_ms", "_c", p, "_p")
     return counts.join(pct, "model_id", "left").select(
         "model_id", F.col("requests").cast("bigint").alias("requests"),
         F.col("kept_requests").cast("bigint").alias("kept_requests"),
