@@ -137,6 +137,7 @@ def source_constraint_report(users: DataFrame, keys: DataFrame, changes: DataFra
         pk_violations(billing, ["order_id"], "billing_orders"),
         pk_violations(models, ["model_id"], "ai_models"),
         unique_violations(users, "email", "users"),
+        unique_violations(keys, "api_key", "api_keys"),
         column_rules(users, "users", ["email", "registration_date", "subscription_plan"],
                      {"subscription_plan": schemas.PLANS}),
         column_rules(logs, "request_logs_raw", ["key_id", "model_id", "prompt_token_count",
@@ -145,9 +146,10 @@ def source_constraint_report(users: DataFrame, keys: DataFrame, changes: DataFra
         column_rules(billing, "billing_orders", ["user_id", "amount", "order_type", "transaction_status",
                                                  "created_at"],
                      {"order_type": schemas.ORDER_TYPES, "transaction_status": schemas.TRANSACTION_STATUSES}),
-        column_rules(keys, "api_keys"),
-        column_rules(changes, "user_plan_changes"),
-        column_rules(models, "ai_models"),
+        column_rules(keys, "api_keys", ["user_id", "api_key"]),
+        column_rules(changes, "user_plan_changes", ["user_id", "old_plan", "new_plan", "change_date"]),
+        column_rules(models, "ai_models", ["provider", "input_price_per_1M", "output_price_per_1M",
+                                           "input_cost_per_1M", "output_cost_per_1M"]),
         fk_violations(keys, users, "user_id", "user_id", "api_keys"),
         fk_violations(changes, users, "user_id", "user_id", "user_plan_changes"),
         fk_violations(logs, keys, "key_id", "key_id", "request_logs_raw"),
@@ -155,3 +157,16 @@ def source_constraint_report(users: DataFrame, keys: DataFrame, changes: DataFra
         fk_violations(billing, users, "user_id", "user_id", "billing_orders"),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+# The references of the facts: table, column, dimension.
+FACT_REFERENCES = [("fct_api_requests", "account_sk", "dim_account"), ("fct_api_requests", "model_sk", "dim_model"),
+                   ("fct_api_requests", "status_sk", "dim_status_code"), ("fct_api_requests", "key_sk", "dim_api_key"),
+                   ("fct_account_transactions", "account_sk", "dim_account")]
+
+
+def warehouse_constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """C-1 and C-4 on the loaded tables: keys of every given table, and the facts' references."""
+    keys = [pk_violations(df, schemas.PRIMARY_KEYS[name], name) for name, df in tables.items()]
+    references = [fk_violations(tables[t], tables[dim], col, col, t) for t, col, dim in FACT_REFERENCES]
+    return reduce(DataFrame.unionByName, [*keys, *references])

@@ -265,10 +265,9 @@ def q_constraint_report(spark, sf_dir):
     keys = adapters.api_keys(spark, sf_dir)
     src = quality.source_constraint_report(s.users, keys, s.plan_changes, s.logs, s.billing, s.models)
     wh = warehouse(spark, sf_dir)
-    dw = [quality.pk_violations(getattr(wh, t), schemas.PRIMARY_KEYS[t], t)
-          for t in ("dim_account", "dim_model", "dim_status_code", "dim_api_key", "fct_api_requests",
-                    "fct_account_transactions", "fct_account_daily_snapshot", "fct_model_daily_snapshot")]
-    return reduce(DataFrame.unionByName, [src, *dw])
+    tables = {t: getattr(wh, t) for t in Warehouse.TABLES}
+    tables |= {"dws_metric_value": q_run_metrics(spark, sf_dir), "dws_metric_struct": q_retention_json(spark, sf_dir)}
+    return src.unionByName(quality.warehouse_constraint_report(tables))
 
 
 @query
