@@ -44,7 +44,8 @@ def test_cluster_conf_scales_partitions():
 
     small, big = cluster_conf(10 << 30), cluster_conf(100 << 40)
     assert small["spark.sql.shuffle.partitions"] == "200"
-    assert int(big["spark.sql.shuffle.partitions"]) == 32768  # capped: 100 TB / 256 MB would be 409,600
+    assert int(big["spark.sql.shuffle.partitions"]) == 409_600  # 100 TB / 256 MB: no hidden cap
+    assert int(cluster_conf(100 << 40, 2048)["spark.sql.shuffle.partitions"]) == 51_200
     assert big["spark.sql.adaptive.enabled"] == "true" and big["spark.sql.session.timeZone"] == "UTC"
 
 

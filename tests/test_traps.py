@@ -113,7 +113,7 @@ def test_retention_json_order(spark):
                                  "cohort_month string, active_month string, month_diff int, "
                                  "active_user_count bigint, total_users bigint, retention_rate double")
     js = M.retention_json(long).collect()[0].struct_json
-    assert js == '{"month_0":1.0000,"month_2":0.6667,"month_10":0.3333}'
+    assert js == '{"month_0":1.0,"month_2":0.6667,"month_10":0.3333}'
 
 
 def test_replace_deletes_emptied_period(spark):
