@@ -3,17 +3,18 @@
 A document's set is its distinct 5-word shingles, hashed to 64 bits. Two documents link when
 100 * intersection >= 80 * union. Documents with equal sets are one point.
 
-* Points: the shingles of a set are hashed into ``GROUPS`` groups and counted. The overlap of
-  two sets is at most the sum over groups of the smaller count (with a node of the tree: of the
-  smaller of the point's count and the node's largest).
+* Points: the shingles of a set are hashed into groups and counted. The overlap of two sets is at
+  most the sum over groups of the smaller count (with a node of the tree: of the node's largest).
+  Larger sets have more groups; nodes are kept for the ``GROUPS`` that these fold into.
 * Slabs: sets that overlap in at least 80 % of the larger one have a common shingle among the
   n - ceil(0.8 n) + 1 first of either in any fixed order of all shingles. The order puts those
   from rarely used hash groups first (``RARITY_GROUPS`` counters over all documents), so that what
   very many documents share comes last. Each such shingle is the key of a slab of the space, and
   the points with that key lie in it. Slabs of equal membership are one.
-* Within a slab, points are first paired with the slab's first point and verified. What that leaves
+* Within a slab, points are first paired with the slab's most central point and verified. What that leaves
   unconnected goes through the slab's R-tree, joined with itself from the root down: pairs of nodes
-  survive only if their bound and their sizes allow a link. Surviving pairs of points that aren't
+  survive only if their bound and their sizes allow a link. (A slab of up to ``PAIRWISE`` points is
+  one node, whose pairs are bounded directly.) Surviving pairs of points that aren't
   connected yet are verified on the texts. Slabs of more than ``SLAB`` points are joined piece by
   piece, so no task holds more than two pieces.
 
@@ -39,10 +40,12 @@ from pyspark.sql.types import ArrayType, LongType, StructType
 from .common import SIMILARITY, components, map_rows, on_executors, shingle_hashes, sized, stored, word_hashes, words_of
 
 PART, WHOLE = SIMILARITY
-GROUPS = 128
+GROUPS = 128  # of the smallest sets, and of the trees
 RARITY_BITS = 16
 RARITY_GROUPS = 1 << RARITY_BITS
 SLAB = 4096
+PAIRWISE = 48  # points of a slab up to which all its pairs are looked at, without a tree
+CHUNK = 1 << 14  # points that a task looks at together
 FAN = 16  # children of a node
 
 
@@ -55,6 +58,28 @@ def set_id(hashes: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def count_vector(h: np.ndarray) -> np.ndarray:
+    """Shingles per group, a byte each (255: that many or more). The number of groups is a power of
+    two of at least half the set's size, so a group holds two shingles on average in any set."""
+    groups = max(GROUPS, 1 << int(len(h) // 2).bit_length())
+    return np.minimum(np.bincount((h % np.uint64(groups)).astype(np.int64), minlength=groups), 255).astype(np.uint8)
+
+
+def folded(counts: np.ndarray, groups: int) -> np.ndarray:
+    """The vector for fewer groups: theirs are unions of the finer ones."""
+    return counts.reshape(-1, groups).sum(axis=0, dtype=np.int64)
+
+
+def overlap_bound(a: bytes, b: bytes) -> int:
+    """An upper bound on the overlap of two sets, at the finest grouping that both have."""
+    a, b = np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)
+    if len(a) > len(b):
+        a, b = b, a
+    if b.max() == 255:  # cut off: says nothing
+        return 1 << 60
+    return int(np.minimum(a, b).sum(dtype=np.int64) if len(a) == len(b) else np.minimum(a, folded(b, len(a))).sum())
+
+
 def rarity(docs: DataFrame) -> np.ndarray:
     """How often each of a fixed number of hash groups occurs in the sets of all documents."""
     def count(batches):
@@ -86,7 +111,7 @@ def points(docs: DataFrame) -> DataFrame:
             n = len(h)
             first = n - -(-PART * n // WHOLE) + 1 if n else 0
             order = np.lexsort((h, often[(h >> np.uint64(64 - RARITY_BITS)).astype(np.int64)]))[:first]
-            counts = np.bincount((h % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype("<u4")
+            counts = count_vector(h)
             rows.append((set_id(h), n, hashlib.md5((text or "").encode("utf-8", "surrogatepass")).hexdigest(), counts.tobytes(), h[order].view(np.int64)))
         return [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * 5
 
@@ -153,7 +178,12 @@ class Tree:
 
 
 def _vectors(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype="<u4").reshape(len(column), GROUPS).astype(np.int64)
+    """Count vectors folded to ``GROUPS``, as rows (a cut-off one passes every bound)."""
+    out = np.empty((len(column), GROUPS), dtype=np.int64)
+    for i, c in enumerate(column):
+        v = np.frombuffer(c, dtype=np.uint8)
+        out[i] = folded(v, GROUPS) if v.max() < 255 else 1 << 40
+    return out
 
 
 def bounded(pairs: DataFrame, slim: DataFrame) -> DataFrame:
@@ -164,13 +194,20 @@ def bounded(pairs: DataFrame, slim: DataFrame) -> DataFrame:
 
     def run(batches):
         for pdf in batches:
-            yield pdf.loc[possible(np.minimum(_vectors(pdf["ca"]), _vectors(pdf["cb"])).sum(axis=1), (pdf["na"] + pdf["nb"]).to_numpy()), ["a", "b"]] if len(pdf) else pdf[["a", "b"]]
+            bound = np.fromiter(map(overlap_bound, pdf["ca"], pdf["cb"]), dtype=np.int64, count=len(pdf))
+            yield pdf.loc[possible(bound, (pdf["na"] + pdf["nb"]).to_numpy()), ["a", "b"]]
 
     return wide.mapInPandas(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs that do link, by the sets of their texts."""
+def verified(pairs: DataFrame, slim: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """The pairs that do link, by the sets of their texts; only texts of these pairs are moved."""
+    pairs = stored(pairs, name + "-pairs")
+    ids = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+    wanted = stored(ids.join(slim.select("sid", "digest"), "sid"), name + "-wanted")
+    text = F.coalesce("text", F.lit(""))
+    texts = docs.select(text.alias("text"), F.md5(text.cast("binary")).alias("digest"))
+    texts = stored(texts.join(sized(wanted), "digest").select("sid", "text").dropDuplicates(["sid"]), name + "-texts")
     wide = pairs.join(texts.select(F.col("sid").alias("b"), F.col("text").alias("tb")), "b")
     wide = wide.join(texts.select(F.col("sid").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
 
@@ -189,29 +226,81 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return wide.mapInPandas(run, "a long, b long")
 
 
+def _pairs_in_groups(size: np.ndarray, begin: np.ndarray):
+    """Places of all pairs within each of the groups, a block of groups of equal size at a time."""
+    for k in np.unique(size):
+        x, y = np.triu_indices(k, 1)
+        first = begin[size == k]
+        step = max(1, (1 << 18) // max(len(x), 1))
+        for at in range(0, len(first), step):
+            f = first[at:at + step, None]
+            yield (f + x).ravel(), (f + y).ravel()
+
+
+def _slab_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of whole slabs (or pieces of them) that may link and aren't connected, once each."""
+    sid, c, n = pdf["sid"].to_numpy(), pdf["c"].to_numpy(), pdf["n"].to_numpy()
+    counts, fine = _vectors(pdf["counts"]), pdf["counts"].to_numpy()
+    group = pdf[["slab", "i", "j"]].to_numpy()
+    begin = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]).any(axis=1)]))
+    size = np.diff(np.concatenate([begin, [len(pdf)]]))
+    found = []
+
+    def keep(x, y, bound_too):
+        fits = (c[x] != c[y]) & (sid[x] != sid[y]) & (WHOLE * np.minimum(n[x], n[y]) >= PART * np.maximum(n[x], n[y]))
+        x, y = x[fits], y[fits]
+        if bound_too and len(x):
+            fits = possible(np.minimum(counts[x], counts[y]).sum(axis=1), n[x] + n[y])
+            x, y = x[fits], y[fits]
+        if len(x):
+            swap = sid[x] > sid[y]
+            found.append(np.stack([np.where(swap, y, x), np.where(swap, x, y)]))
+
+    small = (size <= PAIRWISE) & (group[begin, 1] == group[begin, 2])
+    for x, y in _pairs_in_groups(size[small], begin[small]):
+        keep(x, y, True)
+    piece = pdf["piece"].to_numpy()
+    for b, k in zip(begin[~small], size[~small], strict=True):
+        own = np.arange(b, b + k)
+        left, right = (own[piece[own] == p] for p in group[b, 1:])
+        tree = Tree(counts[left], n[left])
+        other = tree if group[b, 1] == group[b, 2] else Tree(counts[right], n[right])
+        for x, y in tree.join(other):
+            keep(left[x], right[y], False)
+    if not found:
+        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+    x, y = np.concatenate(found, axis=1)
+    _, once = np.unique(np.stack([sid[x], sid[y]]), axis=1, return_index=True)
+    x, y = x[once], y[once]
+    bound = np.fromiter(map(overlap_bound, fine[x], fine[y]), dtype=np.int64, count=len(x))
+    fits = possible(bound, n[x] + n[y])
+    return pd.DataFrame({"a": sid[x[fits]], "b": sid[y[fits]]})
+
+
+def _whole_slabs(batches):
+    """Arrow batches, sorted by slab, regrouped so that no slab is cut."""
+    rest = None
+    for pdf in batches:
+        rest = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+        if len(rest) >= CHUNK:
+            last = rest[["slab", "i", "j"]].iloc[-1]
+            open_ = ((rest["slab"] == last["slab"]) & (rest["i"] == last["i"]) & (rest["j"] == last["j"])).to_numpy()
+            if not open_.all():
+                yield rest[~open_].reset_index(drop=True)
+                rest = rest[open_].reset_index(drop=True)
+    if rest is not None and len(rest):
+        yield rest
+
+
 def unconnected(slabs: DataFrame, slim: DataFrame) -> DataFrame:
     """Pairs of points in one slab that may link and whose components (``c``) differ, by R-tree."""
     mixed = slabs.groupBy("slab").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("size")).where("low <> high")
-    rows = slabs.join(mixed.select("slab", "size"), "slab").join(slim, "sid")
+    rows = slabs.join(mixed.select("slab", "size"), "slab").join(slim.select("sid", "n", "counts"), "sid")
     rows = rows.withColumn("pieces", F.ceil(F.col("size") / SLAB).cast("int")).withColumn("piece", F.pmod(F.xxhash64("sid"), F.col("pieces")).cast("int"))
     tasks = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).select(
         "slab", F.least("piece", "other").alias("i"), F.greatest("piece", "other").alias("j"), "piece", "sid", "c", "n", "counts")
-
-    def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
-        pdf = pdf.sort_values("sid", ignore_index=True)
-        sid, c, n, counts = pdf["sid"].to_numpy(), pdf["c"].to_numpy(), pdf["n"].to_numpy(), _vectors(pdf["counts"])
-        left, right = (np.flatnonzero((pdf["piece"] == k).to_numpy()) for k in (i, j))
-        a = Tree(counts[left], n[left])
-        b = a if i == j else Tree(counts[right], n[right])
-        out = []
-        for x, y in a.join(b):
-            x, y = left[x], right[y]
-            new = (c[x] != c[y]) & ((sid[x] < sid[y]) if i == j else True)
-            out.append(pd.DataFrame({"a": np.minimum(sid[x[new]], sid[y[new]]), "b": np.maximum(sid[x[new]], sid[y[new]])}))
-        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
-
-    return tasks.groupBy("slab", "i", "j").applyInPandas(join, "a long, b long").distinct()
+    dealt = tasks.repartition("slab", "i", "j").sortWithinPartitions("slab", "i", "j", "sid")
+    return dealt.mapInPandas(lambda batches: map(_slab_pairs, _whole_slabs(batches)), "a long, b long").distinct()
 
 
 def link(docs: DataFrame) -> DataFrame:
@@ -225,18 +314,21 @@ def link(docs: DataFrame) -> DataFrame:
     slim = once.select("sid", "n", "counts", "digest").dropDuplicates(["sid"])
     by_key = Window.partitionBy("key")
     shared = once.select("sid", F.explode("keys").alias("key")).select(
-        "sid", F.count("*").over(by_key).alias("size"), F.min("sid").over(by_key).alias("lead"), F.bit_xor(F.xxhash64("sid")).over(by_key).alias("member"))
-    slabs = stored(shared.where("size > 1").select(F.xxhash64("size", "lead", "member").alias("slab"), "lead", "sid").distinct(), "slabs")
+        "sid", F.count("*").over(by_key).alias("size"), F.min("sid").over(by_key).alias("low"), F.bit_xor(F.xxhash64("sid")).over(by_key).alias("member"))
+    members = stored(shared.where("size > 1").groupBy(F.xxhash64("size", "low", "member").alias("slab"), "sid").agg(
+        F.count("*").alias("keys"), F.first("size").alias("size")), "members")
+    # a slab is led by the point that shares the most keys with the most others: of a family, the
+    # one that its copies were made from, which links to more of them than they do to each other
+    central = members.groupBy("sid").agg(F.sum(F.col("keys") * (F.col("size") - 1)).alias("central"))
+    leads = members.join(central, "sid").groupBy("slab").agg(F.max(F.struct("central", "sid")).alias("lead")).select("slab", F.col("lead.sid").alias("lead"))
+    slabs = stored(members.select("slab", "sid").join(leads, "slab"), "slabs")
     involved = stored(slabs.select("sid").distinct(), "involved")
-    needed = stored(slim.join(sized(involved), "sid", "left_semi"), "needed")
-    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("digest", F.md5(F.col("text").cast("binary")))
-    texts = stored(texts.join(sized(needed.select("digest", "sid")), "digest").select("sid", "text").dropDuplicates(["sid"]), "texts")
-    slim = needed.select("sid", "n", "counts")
+    slim = stored(slim.join(sized(involved), "sid", "left_semi"), "needed")
     stars = slabs.where("lead <> sid").select(F.col("lead").alias("a"), F.col("sid").alias("b")).distinct()
-    links = stored(verified(bounded(stars, slim), texts), "links")
+    links = stored(verified(bounded(stars, slim), slim, docs, "star"), "links")
     known = components(links, "stars")
     labelled = slabs.join(known.withColumnRenamed("id", "sid"), "sid", "left").select("slab", "sid", F.coalesce("component", "sid").alias("c"))
-    more = stored(verified(unconnected(stored(labelled, "labelled"), slim), texts), "more")
+    more = stored(verified(unconnected(stored(labelled, "labelled"), slim), slim, docs, "tree"), "more")
     rows = all_points.select("doc_id", "sid", "n")
     # from sets to documents: a document is next to the smallest id of its set
     rep = stored(rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("rep")), "reps")
