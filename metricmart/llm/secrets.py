@@ -93,8 +93,10 @@ def candidates(texts: DataFrame, rules=RULES) -> DataFrame:
     """``key`` and ``rules``, a bit for each rule whose trigram query the text meets (no row: none)."""
     queries = [trigram_query(p) for _, p, _ in rules]
     needed = sorted(set().union(*(t for q in queries for t in q)))
-    low = F.lower("text")
-    present = F.array_compact(F.array(*[F.when(low.contains(t), F.lit(i)) for i, t in enumerate(needed)]))
+    lits = F.array(*[F.lit(t) for t in needed])
+    # the text is lower-cased once, as the one element of an array
+    found = lambda low: F.filter(F.sequence(F.lit(0), F.lit(len(needed) - 1)), lambda i: F.contains(low, F.get(lits, i)))
+    present = F.get(F.transform(F.array(F.lower("text")), found), F.lit(0))
     postings = stored(texts.select("key", F.explode(present).alias("trigram")).distinct(), "postings")
     place = {t: i for i, t in enumerate(needed)}
     words = [F.bit_or(F.when(F.floor(F.col("trigram") / 62) == w, F.expr("shiftleft(1L, cast(trigram % 62 AS int))")).otherwise(F.lit(0).cast("long"))).alias(f"w{w}")
