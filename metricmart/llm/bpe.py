@@ -8,7 +8,7 @@ Two forms of the same fold:
 * ``encode_words``: column expressions only. Higher-order functions fold the merges over the byte
   pieces of distinct words, with the rank map as a literal.
 * ``encode`` / ``decode`` / ``round_trip``: the fold runs in Arrow batches, on each word that a
-  Python worker hasn't met (up to ``CACHE`` words are remembered), with the rank map broadcast
+  Python worker hasn't met (``CACHE`` to twice as many words are remembered), with the rank map broadcast
   (its size is that of the vocabulary file). The README has the figures that decided for this form.
 
 No text is shuffled or cut; a word of any length takes n log n steps.
@@ -35,7 +35,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from .common import map_rows
 
-CACHE = 250_000
+CACHE = 120_000
 SHORT = 48  # bytes of a word up to which each step looks at all pairs
 LITERAL_BUCKETS = 1 << 16
 IDS = ArrayType(IntegerType())
@@ -54,8 +54,27 @@ def explicit(pattern: str) -> str:
     return (pattern.replace(r"[^\s", "[^" + WHITE).replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]"))
 
 
+class Words(dict):
+    """Words to their ids, as numbers and as text; keeps the last ``CACHE`` to twice as many words met."""
+
+    def __init__(self, fold):
+        super().__init__()
+        self.fold, self.before = fold, {}
+
+    def __missing__(self, word: str) -> tuple[tuple[int, ...], str]:
+        got = self.before.get(word)
+        if got is None:
+            ids = self.fold(word.encode("utf-8", "surrogatepass"))
+            got = ids, " ".join(map(str, ids))
+        if len(self) >= CACHE:
+            self.before = dict(self)
+            self.clear()
+        self[word] = got
+        return got
+
+
 class Codec:
-    """Encodes and decodes texts; remembers the words it has met."""
+    """Encodes and decodes texts; remembers the words it has met lately."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, explicit(pattern)
@@ -64,7 +83,7 @@ class Codec:
     def start(self) -> None:
         self.pieces = {v: k for k, v in self.ranks.items()}
         self.find = regex.compile(self.pattern).findall
-        self.ids: dict[str, tuple[int, ...]] = {}
+        self.words = Words(self.fold)
 
     def __getstate__(self):
         return {"ranks": self.ranks, "pattern": self.pattern}
@@ -80,21 +99,17 @@ class Codec:
             return (ranks[word],)
         if len(word) > SHORT:
             return self._fold_long(word)
-        parts = [word[i:i + 1] for i in range(len(word))]
-        found = [ranks.get(word[i:i + 2]) for i in range(len(word) - 1)]
-        while True:
-            best = at = None
-            for i, r in enumerate(found):
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if at is None:
-                return tuple([ranks[p] for p in parts])
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-            del found[at]
+        # the word's parts lie between the cuts; a rank for each pair of neighbours
+        none, cuts = 1 << 62, list(range(len(word) + 1))
+        pairs = [ranks.get(word[i:i + 2], none) for i in range(len(word) - 1)]
+        while pairs and (best := min(pairs)) != none:
+            at = pairs.index(best)
+            del cuts[at + 1], pairs[at]
+            if at < len(pairs):
+                pairs[at] = ranks.get(word[cuts[at]:cuts[at + 2]], none)
             if at:
-                found[at - 1] = ranks.get(parts[at - 1] + parts[at])
-            if at < len(found):
-                found[at] = ranks.get(parts[at] + parts[at + 1])
+                pairs[at - 1] = ranks.get(word[cuts[at - 1]:cuts[at + 1]], none)
+        return tuple([ranks[word[a:b]] for a, b in zip(cuts, cuts[1:], strict=False)])
 
     def _fold_long(self, word: bytes) -> tuple[int, ...]:
         """The same by a heap of pairs over a linked list of parts."""
@@ -125,19 +140,15 @@ class Codec:
             i = after[i]
         return tuple(out)
 
-    def encode(self, text: str | None) -> list[int]:
+    def encode_text(self, text: str | None) -> tuple[list[int], str]:
+        """The ids, and the same as text with a space between any two."""
         if not text:
-            return []
-        known, out = self.ids, []
-        words = self.find(text)
-        for w in words:
-            ids = known.get(w)
-            if ids is None:
-                if len(known) >= CACHE:
-                    known.clear()
-                ids = known[w] = self.fold(w.encode("utf-8", "surrogatepass"))
-            out.append(ids)
-        return list(chain.from_iterable(out))
+            return [], ""
+        ids, shown = zip(*map(self.words.__getitem__, self.find(text)), strict=True)
+        return list(chain.from_iterable(ids)), " ".join(shown)
+
+    def encode(self, text: str | None) -> list[int]:
+        return self.encode_text(text)[0]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.pieces.__getitem__, ids))
@@ -166,9 +177,9 @@ def round_trip(docs: DataFrame, codec: Codec, keep: tuple[str, ...] = ("doc_id",
     def run(texts):
         out = [], [], [], []
         for text in texts:
-            ids = shared.value.encode(text)
+            ids, shown = shared.value.encode_text(text)
             out[0].append(len(ids))
-            out[1].append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+            out[1].append(hashlib.sha256(shown.encode()).hexdigest())
             out[2].append(hashlib.sha256(shared.value.decode(ids)).hexdigest())
             if with_ids:
                 out[3].append(np.array(ids, dtype=np.int32))

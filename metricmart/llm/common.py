@@ -40,9 +40,16 @@ def sized(df: DataFrame, most: int = 300_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+BATCH_ROWS = 1_000  # texts that a task holds at a time, in Arrow and in Python
+
+
 def on_executors(spark: SparkSession) -> None:
-    """Make this package importable in the executors' Python workers."""
+    """Make this package importable in the executors' Python workers, and, where the session has Spark's
+    default for short rows, bound the Arrow batches that rows with whole texts go in."""
     ship_package(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
 
 
 def held_out(doc_id, mod: int, rest: int):
@@ -76,7 +83,7 @@ def map_rows(df: DataFrame, keep: list[str], inputs: list[str], fields: StructTy
 class WordHash(dict):
     """Word bytes to a 64-bit hash, remembered up to ``most`` words per Python worker."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 250_000):
         super().__init__()
         self.most = most
 
