@@ -193,6 +193,27 @@ def test_pii_learns_and_redacts(spark, no_docs):
     assert pii.report(no_docs).count() == 0
 
 
+def test_pii_adds_loose_forms_and_leaves_other_numbers(spark):
+    def luhn(body):
+        total = sum(sum(divmod(int(d) * 2, 10)) if i % 2 == 0 else int(d) for i, d in enumerate(reversed(body)))
+        return body + str(-total % 10)
+
+    loose, other, rows = {}, {}, []
+    for i in range(600):
+        card = luhn(f"4{i * 7919 % 10**14:014d}")
+        wrong = card[:-1] + str((int(card[-1]) + 1) % 10)
+        dotted = lambda c: ".".join(c[k:k + 4] for k in range(0, 16, 4))
+        loose[i] = {("email", f"jo{i} (at) site{i % 9} (dot) org"), ("card", dotted(card)), ("phone", f"({200 + i}) 010-{1000 + i}")}
+        other[i] = [f"10.{i % 90}.{300 + i}.4", f"{7000000000 + i * 9973}", dotted(wrong), f"2024-{i % 12 + 1:02d}-{i % 28 + 1:02d}"]
+        mail, number, phone = (next(m for k, m in loose[i] if k == kind) for kind in ("email", "card", "phone"))
+        rows.append((i, f"Write to {mail} today. The card {number} was used, so call {phone} soon. This is version {other[i][0]} of the text; "
+                        f"invoice {other[i][1]} is open. The long code {other[i][2]} came in on the day {other[i][3]} and a@b{i}.cd wrote."))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in pii.annotate(frame, pii.fit(frame)).collect():
+        assert {(s["kind"], s["match"]) for s in r.added} == loose[r.doc_id]
+        assert not any(x in s["match"] for s in r.base for x in other[r.doc_id])
+
+
 # ---- 5: repeats
 
 def test_repeats(spark, awkward):
