@@ -301,8 +301,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     contents = stored(some.mapInPandas(_contents, CONTENT), "contents")
     usual = contents.where(F.col("size") < FREQUENT).repartition(partitions, "g").sortWithinPartitions("ord", "tie", "first").mapInPandas(_second_pass, GONE)
     gone = found.where("NOT open").select("ord", "tie", "pos").union(usual)
-    if frequent:
-        spread = contents.where(F.col("size") >= FREQUENT).mapInPandas(_spread, WINDOW)
+    many = contents.where(F.col("size") >= FREQUENT)  # also of anchors with that many contents in a cell that is not frequent
+    if many.limit(1).count():
+        spread = many.mapInPandas(_spread, WINDOW)
         gone = gone.union(spread.repartition(partitions, "h").sortWithinPartitions("ord", "tie", "first").mapInPandas(_second_pass_spread, GONE))
     places = stored(gone.groupBy("ord", "tie").agg(F.collect_list("pos").alias("places")), "places")
 

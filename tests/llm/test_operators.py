@@ -246,6 +246,15 @@ def test_repeats_of_low_entropy(spark, monkeypatch):
     assert ranked(tuple(r) for r in suffix_dedup.report(frame).collect()) == want
 
 
+def test_repeats_of_frequent_anchors_in_no_frequent_cell(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, "".join(rng.choice(list("ab"), p=[0.97, 0.03], size=int(rng.integers(90, 700))))) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(suffix_dedup, "FREQUENT", 2)
+    monkeypatch.setattr(suffix_dedup, "CELLS", 1)  # no cell is above the mean then
+    assert ranked(tuple(r) for r in suffix_dedup.report(frame).collect()) == ranked(brute.repeats(rows))
+
+
 def test_log_index():
     index, seen = suffix_dedup.LogIndex(), set()
     rng = np.random.default_rng(1)
