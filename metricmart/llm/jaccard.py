@@ -292,14 +292,29 @@ def _whole_slabs(batches):
         yield rest
 
 
+def tasks(slabs: DataFrame, slim: DataFrame) -> DataFrame:
+    """The points of slabs with several components (``c``), in each task (``slab, i, j``) that they are needed in.
+
+    A large slab is cut into pieces. The points of its largest component have pieces of their own, which meet the
+    pieces of all other points but not each other, so one loose member costs each point one row only."""
+    sizes = slabs.groupBy("slab", "c").agg(F.count("*").alias("k")).groupBy("slab").agg(
+        F.sum("k").alias("size"), F.max(F.struct("k", "c")).alias("main"), F.count("*").alias("components")).where("components > 1")
+    large = F.col("size") > SLAB
+    sizes = sizes.select("slab", F.col("main.c").alias("main"),
+                         F.when(large, F.ceil((F.col("size") - F.col("main.k")) / SLAB)).otherwise(1).cast("int").alias("rest"),
+                         F.when(large, F.ceil(F.col("main.k") / SLAB)).otherwise(0).cast("int").alias("own"))
+    rows = slabs.join(sizes, "slab").join(slim.select("sid", "n", "counts"), "sid")
+    in_main = (F.col("own") > 0) & (F.col("c") == F.col("main"))
+    spread = lambda n: F.pmod(F.xxhash64("sid"), n).cast("int")
+    rows = rows.withColumn("piece", F.when(in_main, F.col("rest") + spread(F.greatest("own", F.lit(1)))).otherwise(spread(F.col("rest"))))
+    rows = rows.withColumn("last", F.when(in_main, F.col("rest")).otherwise(F.col("rest") + F.col("own")) - 1)
+    return rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last")))).select(
+        "slab", F.least("piece", "other").alias("i"), F.greatest("piece", "other").alias("j"), "piece", "sid", "c", "n", "counts")
+
+
 def unconnected(slabs: DataFrame, slim: DataFrame) -> DataFrame:
     """Pairs of points in one slab that may link and whose components (``c``) differ, by R-tree."""
-    mixed = slabs.groupBy("slab").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("size")).where("low <> high")
-    rows = slabs.join(mixed.select("slab", "size"), "slab").join(slim.select("sid", "n", "counts"), "sid")
-    rows = rows.withColumn("pieces", F.ceil(F.col("size") / SLAB).cast("int")).withColumn("piece", F.pmod(F.xxhash64("sid"), F.col("pieces")).cast("int"))
-    tasks = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).select(
-        "slab", F.least("piece", "other").alias("i"), F.greatest("piece", "other").alias("j"), "piece", "sid", "c", "n", "counts")
-    dealt = tasks.repartition("slab", "i", "j").sortWithinPartitions("slab", "i", "j", "sid")
+    dealt = tasks(slabs, slim).repartition("slab", "i", "j").sortWithinPartitions("slab", "i", "j", "sid")
     return dealt.mapInPandas(lambda batches: map(_slab_pairs, _whole_slabs(batches)), "a long, b long").distinct()
 
 

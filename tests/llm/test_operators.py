@@ -166,6 +166,22 @@ def test_rtree_join_loses_no_pair():
         assert found == want
 
 
+def test_large_slabs_pair_only_points_beside_the_largest_component(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SLAB", 4)
+    points = [(1, s, 7) for s in range(200)] + [(1, 200, 8)] + [(2, s, 5) for s in range(6)] + [(3, s, s % 5) for s in range(23)]
+    slim = spark.createDataFrame([(s, 1, b"") for s in range(201)], "sid long, n long, counts binary")
+    rows = jaccard.tasks(spark.createDataFrame(points, "slab long, sid long, c long"), slim).collect()
+    met, component = set(), {(slab, s): c for slab, s, c in points}
+    by = {}
+    for r in rows:
+        by.setdefault((r.slab, r.i, r.j), []).append(r)
+    for (slab, i, j), group in by.items():
+        met |= {(slab, x.sid, y.sid) for x in group for y in group if {x.piece, y.piece} == {i, j} and x.sid < y.sid}
+    want = {(slab, x, y) for slab, x in component for other, y in component if slab == other and x < y and component[slab, x] != component[slab, y]}
+    assert want <= met
+    assert sum(r.slab == 1 for r in rows) <= 2 * 201 and not any(r.slab == 2 for r in rows)
+
+
 # ---- 4: personal data
 
 def test_pii_base_spans(spark, docs, awkward):
