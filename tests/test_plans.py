@@ -1,6 +1,6 @@
 """Plan checks: no Python in the hot path, broadcast only on bounded sides, pushdown and pruning."""
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from metricmart.plans import queries as Q
 
 

@@ -6,7 +6,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from metricmart.operators.keys import with_surrogate_key
 from metricmart.operators.percentile import global_percentiles, grouped_percentile
 from metricmart.operators.store import MetricStore
