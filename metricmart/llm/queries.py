@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, decontam, jaccard, langid, pii, quality, secrets, shard, suffix_dedup
+from . import ann, bpe, decontam, jaccard, langid, lexsearch, pack, pii, quality, secrets, shard, spelling, suffix_dedup
 from .common import table
 
 
@@ -57,6 +57,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexsearch.search(table(spark, sf_dir, "documents", "doc_id", "text"),
+                            table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_neighbours": op2_neighbours,
@@ -68,5 +81,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
+    "op11_spelling": op11_spelling,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_packing": op13_packing,
+}
+
+SQL: dict[str, str] = {
+    "op12_lexical_search": r"""
+        WITH bags AS (
+            SELECT doc_id, list_transform(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+                lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS terms
+            FROM documents),
+        corpus AS (SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM bags WHERE len(terms) > 0),
+        tallies AS (
+            SELECT doc_id, length, term, count(*) AS tf
+            FROM (SELECT doc_id, len(terms) AS length, unnest(terms) AS term FROM bags) GROUP BY ALL),
+        wanted AS (
+            SELECT DISTINCT item_id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+            FROM benchmark),
+        weighed AS (
+            SELECT term, CAST(floor(1000 * ln((2 * max(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+            FROM tallies, corpus GROUP BY term),
+        scored AS (
+            SELECT item_id, doc_id,
+                CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * length * docs) // total)))) AS BIGINT) AS score
+            FROM wanted JOIN weighed USING (term) JOIN tallies USING (term), corpus GROUP BY item_id, doc_id)
+        SELECT * FROM (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+            FROM scored WHERE score > 0)
+        WHERE rank <= 10""",
 }
-SQL: dict[str, str] = {}

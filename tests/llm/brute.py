@@ -84,3 +84,90 @@ def repeats(docs, size=100):
         kept = bytes(c for c, g in zip(b, gone, strict=True) if not g)
         out.append((d, len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), sha(kept)))
     return out
+
+
+def spelling(docs):
+    """(word, form, root, n, n_near, form_n) of all words; near words by deleting a letter at every place."""
+    import zlib
+
+    n: dict = {}
+    for d, t in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            if h % 97 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            n[run] = n.get(run, 0) + 1
+    n = {w: c for w, c in n.items() if len(w) >= 5 and c >= 3}
+    holes: dict = {}
+    near: dict = {w: set() for w in n}
+    for w in n:
+        for i in range(len(w)):
+            holes.setdefault((i, w[:i] + w[i + 1:]), set()).add(w)
+            if (shorter := w[:i] + w[i + 1:]) in n:
+                near[w].add(shorter)
+                near[shorter].add(w)
+    for ws in holes.values():
+        for w in ws:
+            near[w] |= ws - {w}
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best is not None and n[best] >= 2 * n[w] else None
+    out = []
+    for w in n:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n[w], len(near[w]), n.get(form[w])))
+    return out
+
+
+def lexical(docs, items, k=10):
+    """(item_id, rank, doc_id, score); docs and items as (id, text)."""
+    import math
+
+    term = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+    terms = lambda t: [re.sub("[A-Z]", lambda m: m.group().lower(), w) for w in term.findall(t or "")]
+    bags = [(d, terms(t)) for d, t in docs]
+    total, count = sum(len(b) for _, b in bags), sum(1 for _, b in bags if b)
+    df: dict = {}
+    for _, b in bags:
+        for t in set(b):
+            df[t] = df.get(t, 0) + 1
+    wanted: dict = {}
+    for i, t in items:
+        wanted.setdefault(i, set()).update(terms(t))
+    out = []
+    for item, query in wanted.items():
+        scores = []
+        for d, b in bags:
+            s = sum(math.floor(1000 * math.log((2 * count + 2) / (2 * df[t] + 1))) * ((10**9 * b.count(t)) // (1000 * b.count(t) + 8 * (10 + 90 * len(b) * count // total)))
+                    for t in query & set(b))
+            if s > 0:
+                scores.append((-s, d is None, d))
+        out += [(item, r + 1, d, -s) for r, (s, _, d) in enumerate(sorted(scores, key=lambda x: (x[0], x[1], x[2] or 0))[:k])]
+    return out
+
+
+def packed(docs, library, pieces, end=1, window=2048):
+    """Check ``pieces`` (rows of the packing) against the ids that the library gives; None if all is well."""
+    import struct
+    import zlib
+    from collections import Counter
+
+    want = Counter()
+    for d, t in docs:
+        ids = library.encode(t or "", add_special_tokens=False).ids + [end]
+        want[d, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))] += 1
+    at: dict = {}
+    for p in pieces:
+        at.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    for seq, parts in at.items():
+        place = 0
+        for offset, length in sorted(parts):
+            assert offset == place and length > 0, (seq, offset, place)
+            place += length
+        assert place == window or seq == max(at), (seq, place)
+    assert sorted(at) == list(range(len(at)))
+    return want
