@@ -159,7 +159,20 @@ def test_packing(spark, docs, awkward, no_docs, monkeypatch):
     assert pack.pack(no_docs, JSON).count() == 0
 
 
-CODER = pack.Ids(open(JSON, encoding="utf-8").read(), most=50)
+TOKENIZER = open(JSON, encoding="utf-8").read()
+RANKS = pack.ranks(TOKENIZER)
+CODER = pack.Coder(TOKENIZER, RANKS)
+
+
+def test_fast_merging_is_shown_to_agree():
+    assert RANKS is not None and len(RANKS) == 50256
+    raw = lambda *pairs: [tuple(x.encode() for x in p) for p in pairs]
+    assert pack.agrees(raw("ab", ("ab", "c")))
+    # here "bc" is merged first, so the bytes of "abc" never meet as "ab", "c"
+    assert not pack.agrees(raw("bc", "ab", ("ab", "c")))
+    assert not pack.agrees(raw("ab", "bc", ("ab", "c"), ("a", "bc")))
+    slow = pack.Coder(TOKENIZER, None)
+    assert slow.encode("The quick <|endoftext|> ½ \u1c89") == CODER.encode("The quick <|endoftext|> ½ \u1c89")
 
 
 @settings(max_examples=300, deadline=None)
