@@ -76,23 +76,22 @@ def build_fct_transactions(clean_billing: DataFrame, dim_account: DataFrame) ->
 
 def orphan_report(clean_logs: DataFrame, api_keys: DataFrame, dim_account: DataFrame,
                   dim_model: DataFrame, dim_status: DataFrame, clean_billing: DataFrame) -> DataFrame:
-    """C-4 / T3: rows the inner joins drop, per reason, as ``(reason, orphan_rows)``."""
-    current = dim_account.filter(F.col("is_current")).select("user_id")
-    keyed_users = api_keys.select("key_id", "user_id")
-    parts = [
-        ("log_unknown_key", clean_logs.join(keyed_users, "key_id", "left_anti")),
-        ("log_unknown_model", clean_logs.join(dim_model.select("model_id"), "model_id",
-                                              "left_anti")),
-        ("log_unknown_status", clean_logs.alias("l").join(
-            dim_status.alias("s"),
-            (F.col("l.http_status") == F.col("s.http_status"))
-            & F.col("l.error_code").eqNullSafe(F.col("s.error_code")), "left_anti")),
-        ("log_key_without_account", clean_logs.join(keyed_users, "key_id")
-         .join(current, "user_id", "left_anti")),
-        ("billing_unknown_account", clean_billing.join(current, "user_id", "left_anti")),
-    ]
-    out = None
-    for reason, df in parts:
-        r = df.agg(F.count(F.lit(1)).alias("orphan_rows")).select(F.lit(reason).alias("reason"), "orphan_rows")
-        out = r if out is None else out.unionByName(r)
-    return out
+    """C-4 / T3: rows the inner joins drop, per reason, as ``(reason, orphan_rows)``.
+
+    One pass over the logs: left joins with the lookups (one row per key, model and status pair, so no
+    row is multiplied), a flag for each that is missing, one aggregation.
+    """
+    accounts = dim_account.filter(F.col("is_current")).select("user_id").distinct().withColumn("_account", F.lit(1))
+    keys = (api_keys.select("key_id", "user_id").join(accounts, "user_id", "left")
+                    .groupBy("key_id").agg(F.lit(1).alias("_key"), F.max("_account").alias("_account")))
+    models = dim_model.select("model_id").distinct().withColumn("_model", F.lit(1))
+    status = dim_status.select("http_status", "error_code").distinct().withColumn("_status", F.lit(1))
+    logs = clean_logs.select("key_id", "model_id", "http_status", "error_code").join(keys, "key_id", "left").join(models, "model_id", "left")
+    logs = logs.join(status, status_join_condition(logs, status), "left")
+    gone = {"log_unknown_key": F.col("_key").isNull(), "log_unknown_model": F.col("_model").isNull(), "log_unknown_status": F.col("_status").isNull(),
+            "log_key_without_account": F.col("_key").isNotNull() & F.col("_account").isNull()}
+    bills = clean_billing.select("user_id").join(accounts, "user_id", "left")
+    counts = [logs.agg(*[F.count_if(bad).alias(reason) for reason, bad in gone.items()]),
+              bills.agg(F.count_if(F.col("_account").isNull()).alias("billing_unknown_account"))]
+    rows = [c.unpivot([], c.columns, "reason", "orphan_rows") for c in counts]
+    return rows[0].unionByName(rows[1])

@@ -18,10 +18,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .keys import with_surrogate_key
+from .sequence import running_in_group
 
 
 def grouped_percentile(df: DataFrame, group_cols: list[str], value_col: str, p: float,
@@ -34,19 +35,18 @@ def grouped_percentile(df: DataFrame, group_cols: list[str], value_col: str, p:
 
 def histogram_percentile(hist: DataFrame, group_cols: list[str], value_col: str, count_col: str, p: float,
                          name: str) -> DataFrame:
-    """The same from a histogram: one row per group and value, with its count."""
-    hist = hist.withColumn("_c", F.col(count_col))
-    running = Window.partitionBy(*group_cols).orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
-    hist = (hist.withColumn("_cum", F.sum("_c").over(running))
-                .withColumn("_n", F.sum("_c").over(Window.partitionBy(*group_cols))))
-    h = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+    """The same from a histogram: one row per group and value, with its count.
+
+    The running counts come from ``running_in_group``, so a group with very many values isn't held by one task.
+    """
+    hist = hist.select(*group_cols, value_col, F.col(count_col).alias("_c"))
+    hist = running_in_group(hist, group_cols, [value_col], "_c", "_cum")
+    h = (F.col("_cum_total") - 1).cast("double") * F.lit(float(p))
     picked = hist.groupBy(*group_cols).agg(
         F.min(F.when(F.col("_cum") > F.floor(h), F.col(value_col))).cast("double").alias("_lo"),
         F.min(F.when(F.col("_cum") > F.ceil(h), F.col(value_col))).cast("double").alias("_hi"),
-        F.max("_n").alias("_n"))
-    h2 = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-    frac = h2 - F.floor(h2)
-    return picked.select(*group_cols, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias(name))
+        F.max(h - F.floor(h)).alias("_frac"))
+    return picked.select(*group_cols, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias(name))
 
 
 def global_percentiles(df: DataFrame, value_col: str, tiebreak: list[str], ps: list[float]) -> list[float]:

@@ -1,14 +1,10 @@
-"""DQ-1 (cleaning and its counters) and C-1..C-7 (DDL rules turned into data checks)."""
+"""DQ-1: cleaning and its counters."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import schemas
-
 
 def _ordered(cols: list) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
@@ -74,99 +70,3 @@ def _unpivot(one_row: DataFrame, name_col: str, value_col: str) -> DataFrame:
     cols = one_row.columns
     return one_row.unpivot([], cols, name_col, value_col).select(
         name_col, F.col(value_col).cast("bigint").alias(value_col))
-
-
-# ---- constraint report (C-1..C-6) ------------------------------------------------------
-
-def _rule(df: DataFrame, rule: str, table: str, violations: Column) -> DataFrame:
-    return df.agg(violations.cast("bigint").alias("violations")).select(
-        F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), "violations")
-
-
-def pk_violations(df: DataFrame, key: list[str], table: str) -> DataFrame:
-    """C-1: rows whose key is NULL or shared with another row."""
-    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
-    return _rule(per_key, "primary_key", table,
-                 F.coalesce(F.sum(F.when((F.col("_n") > 1) | null_key, F.col("_n"))), F.lit(0)))
-
-
-def unique_violations(df: DataFrame, col: str, table: str) -> DataFrame:
-    """C-2: rows sharing a non-NULL value of a UNIQUE column."""
-    per = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    return _rule(per, f"unique:{col}", table,
-                 F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)))
-
-
-def column_rules(df: DataFrame, table: str, not_null: list[str] = (), domains: dict | None = None,
-                 defaults: bool = True) -> DataFrame:
-    """C-3 / C-5 / C-6 in one aggregation pass over ``df``: NULLs in NOT NULL columns,
-    values outside enum domains (NULL is not a domain violation), and missing values in
-    columns with a DDL default (the loader fills them)."""
-    rules = {f"not_null:{c}": F.col(c).isNull() for c in not_null}
-    for c, domain in (domains or {}).items():
-        rules[f"domain:{c}"] = F.col(c).isNotNull() & ~F.col(c).isin(*domain)
-    if defaults:
-        for c in schemas.SOURCE_DEFAULTS.get(table, {}):
-            if c in df.columns:
-                rules[f"default:{c}"] = F.col(c).isNull()
-    names = [f"_r{i}" for i in range(len(rules))]
-    counts = df.agg(*[F.count_if(cond).cast("bigint").alias(n) for n, cond in zip(names, rules.values())])
-    label = F.create_map(*[x for n, r in zip(names, rules) for x in (F.lit(n), F.lit(r))])
-    return counts.unpivot([], names, "_n", "violations").select(
-        label[F.col("_n")].alias("rule"), F.lit(table).alias("table_name"), "violations")
-
-
-def fk_violations(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str,
-                  table: str) -> DataFrame:
-    """C-4: child rows whose reference has no parent (``left_anti``); NULL references are allowed."""
-    orphans = (child.filter(F.col(child_col).isNotNull())
-               .join(parent.select(F.col(parent_col).alias(child_col)), child_col, "left_anti"))
-    return _rule(orphans, f"foreign_key:{child_col}", table, F.count(F.lit(1)))
-
-
-def source_constraint_report(users: DataFrame, keys: DataFrame, changes: DataFrame,
-                             logs: DataFrame, billing: DataFrame, models: DataFrame) -> DataFrame:
-    """One ``(rule, table_name, violations)`` row per source rule (C-1..C-6); one pass per table
-    for the column rules, one aggregation per key rule, one anti join per reference."""
-    parts = [
-        pk_violations(users, ["user_id"], "users"),
-        pk_violations(keys, ["key_id"], "api_keys"),
-        pk_violations(changes, ["change_id"], "user_plan_changes"),
-        pk_violations(logs, ["request_id"], "request_logs_raw"),
-        pk_violations(billing, ["order_id"], "billing_orders"),
-        pk_violations(models, ["model_id"], "ai_models"),
-        unique_violations(users, "email", "users"),
-        unique_violations(keys, "api_key", "api_keys"),
-        column_rules(users, "users", ["email", "registration_date", "subscription_plan"],
-                     {"subscription_plan": schemas.PLANS}),
-        column_rules(logs, "request_logs_raw", ["key_id", "model_id", "prompt_token_count",
-                                                "completion_token_count", "latency_ms", "http_status",
-                                                "request_time"], defaults=False),
-        column_rules(billing, "billing_orders", ["user_id", "amount", "order_type", "transaction_status",
-                                                 "created_at"],
-                     {"order_type": schemas.ORDER_TYPES, "transaction_status": schemas.TRANSACTION_STATUSES}),
-        column_rules(keys, "api_keys", ["user_id", "api_key"]),
-        column_rules(changes, "user_plan_changes", ["user_id", "old_plan", "new_plan", "change_date"]),
-        column_rules(models, "ai_models", ["provider", "input_price_per_1M", "output_price_per_1M",
-                                           "input_cost_per_1M", "output_cost_per_1M"]),
-        fk_violations(keys, users, "user_id", "user_id", "api_keys"),
-        fk_violations(changes, users, "user_id", "user_id", "user_plan_changes"),
-        fk_violations(logs, keys, "key_id", "key_id", "request_logs_raw"),
-        fk_violations(logs, models, "model_id", "model_id", "request_logs_raw"),
-        fk_violations(billing, users, "user_id", "user_id", "billing_orders"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
-# The references of the facts: table, column, dimension.
-FACT_REFERENCES = [("fct_api_requests", "account_sk", "dim_account"), ("fct_api_requests", "model_sk", "dim_model"),
-                   ("fct_api_requests", "status_sk", "dim_status_code"), ("fct_api_requests", "key_sk", "dim_api_key"),
-                   ("fct_account_transactions", "account_sk", "dim_account")]
-
-
-def warehouse_constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """C-1 and C-4 on the loaded tables: keys of every given table, and the facts' references."""
-    keys = [pk_violations(df, schemas.PRIMARY_KEYS[name], name) for name, df in tables.items()]
-    references = [fk_violations(tables[t], tables[dim], col, col, t) for t, col, dim in FACT_REFERENCES]
-    return reduce(DataFrame.unionByName, [*keys, *references])

@@ -95,3 +95,39 @@ def global_position(df: DataFrame, order: list, name: str, num_partitions: int |
     return (staged.join(offsets, PID)
                   .withColumn(name, F.col("_sq_before") + (F.col(MID) - F.col("_sq_first")) + 1)
                   .drop(PID, MID, "_sq_first", "_sq_before"))
+
+
+def position_in_group(df: DataFrame, group: list[str], order: list, name: str, ties: list[str] | None = None) -> DataFrame:
+    """Add ``name``: each row's number 1..n within its group, in ``order`` (total within the group).
+
+    With ``ties`` (the columns that decide a rank) rows equal in them share the least number, as ``rank()``
+    gives. No window holds a group: a position is the global one less that of the group's first row, so a group with a
+    third of all rows is numbered by as many tasks as its rows need. Groups must not be null.
+    """
+    placed = global_position(df, [*group, *order], "_sq_pos")
+    first = placed.groupBy(*group).agg(F.min("_sq_pos").alias("_sq_first_pos"))
+    if ties is None:
+        out = placed.withColumn("_sq_at", F.col("_sq_pos"))
+    else:
+        equal = placed.groupBy(*group, *ties).agg(F.min("_sq_pos").alias("_sq_at"))
+        names = [f"_sq_t{i}" for i in range(len(group) + len(ties))]
+        equal = equal.select(*[F.col(c).alias(n) for c, n in zip([*group, *ties], names, strict=True)], "_sq_at")
+        same = reduce(lambda a, b: a & b, [placed[c].eqNullSafe(equal[n]) for c, n in zip([*group, *ties], names, strict=True)])
+        out = placed.join(equal, same).drop(*names)
+    return (out.join(first, group).withColumn(name, (F.col("_sq_at") - F.col("_sq_first_pos") + 1).cast("int"))
+               .drop("_sq_pos", "_sq_at", "_sq_first_pos").select(*df.columns, name))
+
+
+def running_in_group(df: DataFrame, group: list[str], order: list, value: str, name: str) -> DataFrame:
+    """Add ``name``: the running total of the non-negative ``value`` within the group, the row included, and
+    ``name_total``, the group's. Totals run within the ordered partitions, each of which a task holds
+    anyway, and are shifted by those of the partitions before; the group's start is then taken off."""
+    staged, _ = stage_in_order(df, [*group, *order])
+    inside = Window.partitionBy(PID).orderBy(MID).rowsBetween(Window.unboundedPreceding, 0)  # a partition's rows
+    before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    sums = staged.groupBy(PID).agg(F.sum(value).alias("_sq_sum"))
+    sums = sums.select(PID, F.coalesce(F.sum("_sq_sum").over(before), F.lit(0)).alias("_sq_base"))
+    run = (staged.withColumn("_sq_run", F.sum(value).over(inside)).join(F.broadcast(sums), PID)
+                 .withColumn("_sq_run", F.col("_sq_run") + F.col("_sq_base")))
+    start = run.groupBy(*group).agg(F.min(F.col("_sq_run") - F.col(value)).alias("_sq_start"), F.sum(value).alias(f"{name}_total"))
+    return run.join(start, group).withColumn(name, F.col("_sq_run") - F.col("_sq_start")).select(*df.columns, name, f"{name}_total")

@@ -7,8 +7,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions.columns import money4, round4
+from ..operators.bucketed import BucketedTable, newest_per_key
 from ..operators.percentile import global_percentiles, score_by_cutoffs
+from ..operators.sequence import position_in_group
 from ..session import freeze
 from .metrics import MetricContext, in_range
 
@@ -70,12 +73,13 @@ def key_leaderboard(fact: DataFrame, dim_api_key: DataFrame, ctx: MetricContext)
                .agg(F.count(F.lit(1)).alias("requests"),
                     F.sum(F.col("prompt_tokens") + F.col("completion_tokens")).alias("total_tokens"),
                     money4(F.sum("cost_usd")).alias("cost_usd")))
-    per = per.join(dim_api_key.select("key_sk", "key_id"), "key_sk")
-    w = Window.partitionBy("account_sk")
-    return per.select("account_sk", "key_id", F.col("requests").cast("bigint").alias("requests"),
-                      F.col("total_tokens").cast("bigint").alias("total_tokens"), "cost_usd",
-                      F.rank().over(w.orderBy(F.col("total_tokens").desc())).alias("token_rank"),
-                      F.rank().over(w.orderBy(F.col("cost_usd").desc())).alias("cost_rank"))
+    per = per.join(dim_api_key.select("key_sk", "key_id"), "key_sk").select(
+        "account_sk", "key_id", F.col("requests").cast("bigint").alias("requests"),
+        F.col("total_tokens").cast("bigint").alias("total_tokens"), "cost_usd")
+    # ranks by global positions: an account with very many keys isn't gathered anywhere
+    for by, name in (("total_tokens", "token_rank"), ("cost_usd", "cost_rank")):
+        per = position_in_group(per, ["account_sk"], [F.col(by).desc(), "key_id"], name, ties=[by])
+    return per
 
 
 def top_models(fact: DataFrame, dim_model: DataFrame, ctx: MetricContext, k: int = 3) -> DataFrame:
@@ -97,34 +101,83 @@ def behaviour_features(fact: DataFrame, dim_status: DataFrame, ctx: MetricContex
         F.count_distinct(F.to_date("request_time")).cast("double").alias("active_days"),
         F.count(F.lit(1)).cast("double").alias("requests"),
         F.sum(F.col("prompt_tokens") + F.col("completion_tokens")).cast("double").alias("tokens"),
-        F.sum("revenue_usd").alias("spend"),
-        (F.count_if("is_error") / F.count(F.lit(1))).alias("error_rate"))
+        money4(F.sum("revenue_usd")).cast("double").alias("spend"),
+        F.count_if("is_error").alias("errors"), (F.count_if("is_error") / F.count(F.lit(1))).alias("error_rate"))
 
 
-def kmeans_segments(fact: DataFrame, dim_status: DataFrame, ctx: MetricContext, k: int = 4,
-                    seed: int = 42) -> DataFrame:
-    """S-13: K-means behaviour clusters on standardised usage features (pyspark.ml, fixed seed)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
+FEATURES = ("active_days", "requests", "tokens", "spend", "error_rate")
+SCALE = 1000  # features as whole numbers from 0 to this
+ROUNDS = 8
 
-    # one row per account, read by the scaler fit, every K-means pass and the final transform:
-    # frozen once (reliable checkpoint) instead of re-aggregating the fact each time
-    feats = freeze(behaviour_features(fact, dim_status, ctx))
-    cols = ["active_days", "requests", "tokens", "spend", "error_rate"]
-    pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=cols, outputCol="_raw"),
-        StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True),
-        KMeans(featuresCol="_x", predictionCol="cluster", k=k, seed=seed)])
-    model = pipe.fit(feats)
-    return model.transform(feats).select("account_sk", *cols, F.col("cluster").cast("int").alias("cluster"))
 
+def scaled_features(feats: DataFrame) -> DataFrame:
+    """``feats`` with each feature as a whole number, its place between the least and the greatest value. It is
+    computed in whole numbers from counts and 4-decimal money, so equal inputs give equal numbers in any order."""
+    whole = {"active_days": "cast(active_days as bigint)", "requests": "cast(requests as bigint)", "tokens": "cast(tokens as bigint)",
+             "spend": "cast(cast(spend as decimal(18,4)) * 10000 as bigint)", "error_rate": "errors * 1000000 div cast(requests as bigint)"}
+    rows = feats.select("*", *[F.expr(e).alias(f"x_{c}") for c, e in whole.items()])
+    ends = rows.agg(*[f(f"x_{c}").alias(f"{n}_{c}") for c in whole for n, f in (("lo", F.min), ("hi", F.max))]).first()
 
-def upsert_tags(existing: DataFrame | None, new: DataFrame, key: list[str]) -> DataFrame:
-    """S-14: keep the newest row per ``key`` (``updated_at``) across the old and new tag rows."""
-    allrows = new if existing is None else existing.unionByName(new)
-    w = Window.partitionBy(*key).orderBy(F.col("updated_at").desc())
-    return allrows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    def place(c: str) -> Column:
+        lo, hi = ends[f"lo_{c}"], ends[f"hi_{c}"]
+        return F.expr(f"(x_{c} - {lo}) * {SCALE} div {hi - lo}") if lo is not None and hi > lo else F.lit(0).cast("bigint")
+
+    return rows.select("account_sk", *FEATURES, *[place(c).alias(f"x_{c}") for c in FEATURES])
+
+
+def kmeans_segments(fact: DataFrame, dim_status: DataFrame, ctx: MetricContext, k: int = 4, rounds: int = ROUNDS) -> DataFrame:
+    """S-13: behaviour clusters by Lloyd's algorithm on scaled usage features, in whole numbers.
+
+    The first centres are the accounts at the middles of ``k`` equal parts of the order by tokens (then
+    requests, then key). A round assigns each account to the nearest centre (squared distance; ties to the lower
+    number) and moves each centre to the floor of its accounts' mean; an empty cluster keeps its centre. All
+    arithmetic is exact, so the result doesn't depend on the order of the rows. Only the ``k`` centres reach the driver.
+    """
+    from ..operators.keys import with_surrogate_key
+
+    # one row per account, read by every round: frozen once instead of re-aggregating the fact each time
+    feats = with_surrogate_key(scaled_features(freeze(behaviour_features(fact, dim_status, ctx))), ["x_tokens", "x_requests", "account_sk"], "_at")
+    feats = freeze(feats)
+    n = feats.count()
+    xs = [f"x_{c}" for c in FEATURES]
+    picks = {(2 * i + 1) * n // (2 * k) + 1: i for i in range(k)} if n >= k else {i + 1: i for i in range(n)}
+    centres = {picks[r[0]]: tuple(r[1:]) for r in feats.filter(F.col("_at").isin(list(picks))).select("_at", *xs).collect()}
+
+    def nearest() -> Column:
+        options = [F.struct(sum((F.col(x) - c) * (F.col(x) - c) for x, c in zip(xs, centre, strict=True)).alias("d"), F.lit(i).alias("i"))
+                   for i, centre in sorted(centres.items())]
+        return F.array_min(F.array(*options))["i"] if options else F.lit(0)
+
+    for _ in range(rounds):
+        moved = feats.groupBy(nearest().alias("i")).agg(*[F.expr(f"sum({x}) div count(*)").alias(x) for x in xs]).collect()  # k rows
+        new = centres | {r[0]: tuple(r[1:]) for r in moved}
+        if new == centres:
+            break
+        centres = new
+    return feats.select("account_sk", *FEATURES, nearest().cast("int").alias("cluster"))
+
+
+ACCOUNT_TAG, MODEL_TAG = ["account_sk", "tag_key"], ["model_sk", "tag_key"]
+
+
+def upsert_tags(existing: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
+    """S-14: the pool after ``new`` (one row per ``key``): changed and added tags come in with their time, tags that
+    say the same keep the time they had, and so do tags that aren't in ``new``."""
+    said = [c for c in new.columns if c not in (*key, "updated_at")]
+    return newest_per_key(existing, new, key, said, "updated_at")
+
+
+class TagPool(BucketedTable):
+    """S-14: a stored tag pool (``ads_account_tags`` or ``ads_model_tags``); an upsert writes only the buckets it touches."""
+
+    def __init__(self, spark, root: str, table: str, buckets: int = 64):
+        self.key = {"ads_account_tags": ACCOUNT_TAG, "ads_model_tags": MODEL_TAG}[table]
+        super().__init__(spark, root, schemas.WAREHOUSE[table], self.key[0], buckets)
+
+    def apply(self, tags: DataFrame) -> int:
+        """Publish the pool after ``tags`` (one row per key)."""
+        new = freeze(schemas.conform(tags, self.schema))
+        return self.upsert(new, lambda old, new: upsert_tags(old, new, self.key))
 
 
 def _tag(df: DataFrame, sk: str, key: str, value: Column, when_: Column | None = None) -> DataFrame:
@@ -133,23 +186,34 @@ def _tag(df: DataFrame, sk: str, key: str, value: Column, when_: Column | None =
     return df.select(F.col(sk), F.lit(key).alias("tag_key"), value.cast("string").alias("tag_value"))
 
 
+# Fixed values (ours): churn risk by the sum of the recency and frequency scores, 2..10.
+CHURN_HIGH, CHURN_MEDIUM = 4, 6
+
+
+def churn_risk(r_score: Column, f_score: Column) -> Column:
+    """How likely an account is to leave: it calls rarely, and the last call was long ago."""
+    total = r_score + f_score
+    return F.when(total <= CHURN_HIGH, "high").when(total <= CHURN_MEDIUM, "medium").otherwise("low")
+
+
 def account_tags(rfm_df: DataFrame, burn: DataFrame, traffic: DataFrame, ctx: MetricContext) -> DataFrame:
-    """S-14: account tag pool from RFM segments, burn rate / run-out date and traffic alerts."""
+    """S-14: account tags from RFM segments and churn risk, burn rate / run-out date and traffic alerts (each
+    measure has one row per account, so a key has one tag)."""
     alerts = traffic.groupBy("account_sk").agg(F.count_if("is_alert").alias("n"))
     rows = (_tag(rfm_df, "account_sk", "segment_label", F.col("segment"))
+            .unionByName(_tag(rfm_df, "account_sk", "churn_risk", churn_risk(F.col("r_score"), F.col("f_score"))))
             .unionByName(_tag(burn, "account_sk", "burn_rate", F.col("burn_slope").cast("decimal(18,4)"),
                               F.col("burn_slope").isNotNull()))
             .unionByName(_tag(burn, "account_sk", "exhaust_date", F.date_format("exhaust_date", "yyyy-MM-dd"),
                               F.col("exhaust_date").isNotNull()))
             .unionByName(_tag(alerts, "account_sk", "traffic_alerts", F.col("n"))))
-    new = rows.select("account_sk", "tag_key", "tag_value", F.lit(None).cast("double").alias("confidence"),
-                      F.lit(ctx.end).cast("timestamp_ntz").alias("updated_at"))
-    return upsert_tags(None, new, ["account_sk", "tag_key"])
+    return rows.select("account_sk", "tag_key", "tag_value", F.lit(None).cast("double").alias("confidence"),
+                       F.lit(ctx.end).cast("timestamp_ntz").alias("updated_at"))
 
 
 def model_tags(error_rates: DataFrame, latency_z: DataFrame, dim_model: DataFrame,
                ctx: MetricContext) -> DataFrame:
-    """S-14: model tag pool: stability rank by error rate and the largest |z| of daily latency.
+    """S-14: model tags: stability rank by error rate and the largest |z| of daily latency.
 
     The rank is a window over one row per model (bounded by the catalogue).
     """
@@ -160,8 +224,7 @@ def model_tags(error_rates: DataFrame, latency_z: DataFrame, dim_model: DataFram
     rows = (_tag(ranked, "model_sk", "stability_rank", F.col("_rank"))
             .unionByName(_tag(zmax, "model_sk", "anomaly_score", F.col("_z").cast("decimal(18,4)"),
                               F.col("_z").isNotNull())))
-    new = rows.withColumn("updated_at", F.lit(ctx.end).cast("timestamp_ntz"))
-    return upsert_tags(None, new, ["model_sk", "tag_key"])
+    return rows.withColumn("updated_at", F.lit(ctx.end).cast("timestamp_ntz"))
 
 
 def _struct_rows(df: DataFrame, code: str, entity_type: str, entity: Column, time_id: str, kind: str,
@@ -180,15 +243,11 @@ def struct_metrics(leaderboard: DataFrame, rfm_df: DataFrame, forecast: DataFram
     account's keys are gathered in one place.
     """
     month = ctx.end.strftime("%Y-%m")
-    rank_json = F.concat(F.lit('{"account_sk":'), F.col("account_sk").cast("string"), F.lit(',"rank":'),
-                         F.col("token_rank").cast("string"), F.lit("}"))
-    seg_json = F.concat(F.lit('{"r":'), F.col("r_score").cast("string"), F.lit(',"f":'),
-                        F.col("f_score").cast("string"), F.lit(',"m":'), F.col("m_score").cast("string"),
-                        F.lit(',"segment":"'), F.col("segment"), F.lit('"}'))
-    total = forecast.agg(F.count(F.lit(1)).alias("_n"),
-                         F.sum(F.col("predicted_profit_usd").cast("decimal(18,4)")).alias("_p"))
-    fc_json = F.concat(F.lit('{"horizon_days":'), F.col("_n").cast("string"), F.lit(',"forecast_profit_usd":'),
-                       F.col("_p").cast("decimal(18,4)").cast("string"), F.lit("}"))
+    rank_json = F.to_json(F.struct("account_sk", F.col("token_rank").alias("rank")))
+    seg_json = F.to_json(F.struct(F.col("r_score").alias("r"), F.col("f_score").alias("f"), F.col("m_score").alias("m"), "segment"))
+    total = forecast.agg(F.count(F.lit(1)).alias("horizon_days"),
+                         F.sum(F.col("predicted_profit_usd").cast("decimal(18,4)")).cast("decimal(18,4)").alias("forecast_profit_usd"))
+    fc_json = F.to_json(F.struct("horizon_days", "forecast_profit_usd"))
     return (_struct_rows(leaderboard, "account.monthly.key_rank", "api_key", F.col("key_id"), month, "rank", rank_json)
             .unionByName(_struct_rows(rfm_df, "account.monthly.rfm", "account", F.col("account_sk"), month,
                                       "segment", seg_json))

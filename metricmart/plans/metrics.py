@@ -23,8 +23,8 @@ class MetricContext:
 
     start: datetime
     end: datetime
-    user_ids: list | None = None
-    model_ids: list | None = None
+    user_ids: list | DataFrame | None = None
+    model_ids: list | DataFrame | None = None
     metadata: dict = field(default_factory=dict)
 
     @classmethod
@@ -80,8 +80,8 @@ def metric_scope(metric_code: str, ctx: MetricContext, time_types: tuple[str, ..
                  entity_type: str | None = None, entity_ids: list | None = None) -> Column:
     """SNK-5: the rows a run of ``metric_code`` over ``ctx`` replaces.
 
-    Time bounds come from each ``time_type``; an entity scope narrows it when the
-    context names users (``account`` or ``user`` entities) or models.
+    Time bounds come from each ``time_type``. The entities that a context names narrow it further,
+    as a relation that the replace joins (``runner.scoped``, ``store.in_scope``); ``entity_ids`` is for short fixed lists.
     """
     periods = None
     for t in time_types:
@@ -91,10 +91,6 @@ def metric_scope(metric_code: str, ctx: MetricContext, time_types: tuple[str, ..
     pred = (F.col("metric_code") == metric_code) & periods
     if entity_type is not None:
         pred = pred & (F.col("entity_type") == entity_type)
-    if entity_ids is None and entity_type in ("account", "user"):
-        entity_ids = ctx.user_ids
-    elif entity_ids is None and entity_type == "model":
-        entity_ids = ctx.model_ids
     if entity_ids:
         pred = pred & F.col("entity_id").isin([str(e) for e in entity_ids])
     return pred

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.columns import round10
-from ..operators import dims, facts, quality, scd2
+from ..operators import constraints, dims, facts, quality, scd2
 from ..operators.keys import with_surrogate_key
 from ..session import checkpoint_dir
 from ..sources import adapters
@@ -263,11 +263,11 @@ def q_scope_filter(spark, sf_dir):
 def q_constraint_report(spark, sf_dir):
     s = warehouse(spark, sf_dir).sources
     keys = adapters.api_keys(spark, sf_dir)
-    src = quality.source_constraint_report(s.users, keys, s.plan_changes, s.logs, s.billing, s.models)
+    rules = constraints.source_rules(s.users, keys, s.plan_changes, s.logs, s.billing, s.models)
     wh = warehouse(spark, sf_dir)
     tables = {t: getattr(wh, t) for t in Warehouse.TABLES}
     tables |= {"dws_metric_value": q_run_metrics(spark, sf_dir), "dws_metric_struct": q_retention_json(spark, sf_dir)}
-    return src.unionByName(quality.warehouse_constraint_report(tables))
+    return constraints.report([*rules, *constraints.warehouse_rules(tables)])
 
 
 @query
@@ -548,6 +548,27 @@ def q_model_tags(spark, sf_dir):
     return customers.model_tags(q_error_rate(spark, sf_dir), q_latency_zscore(spark, sf_dir), wh.dim_model, CTX)
 
 
+FIRST_RUN = M.MetricContext.for_days(date(2024, 1, 1), date(2024, 1, 15))
+
+
+@query
+def q_tag_pools(spark, sf_dir):
+    """S-14: both stored tag pools after two runs. The first, at the middle of the month, knew only some of the
+    accounts and models and said something else about others; the second says what the tag queries say. Tags that
+    didn't change keep the first run's time."""
+    tags = {"ads_account_tags": q_account_tags(spark, sf_dir), "ads_model_tags": q_model_tags(spark, sf_dir)}
+    out = []
+    for table, second in tags.items():
+        sk = second.columns[0]
+        other = F.when(F.col(sk) % 5 == 0, F.concat("tag_value", F.lit(" before"))).otherwise(F.col("tag_value"))
+        first = second.filter(F.col(sk) % 3 != 0).withColumns({"tag_value": other, "updated_at": F.lit(FIRST_RUN.end).cast("timestamp_ntz")})
+        pool = customers.TagPool(spark, scratch_path(spark, "tag-pool"), table)
+        pool.apply(first)
+        pool.apply(second)
+        out.append(pool.read().select(F.lit(table).alias("pool"), F.col(sk).alias("entity_sk"), "tag_key", "tag_value", "updated_at"))
+    return out[0].unionByName(out[1])
+
+
 @query
 @stored
 def q_struct_metrics(spark, sf_dir):
@@ -591,7 +612,8 @@ def q_incremental_snapshot(spark, sf_dir):
 def q_stream_daily_calls(spark, sf_dir):
     """S-16 (b): daily platform calls maintained by a stream over the written fact files."""
     fact_path = scratch_path(spark, "fact")
-    warehouse(spark, sf_dir).fct_api_requests.write.parquet(fact_path)
+    fact = warehouse(spark, sf_dir).fct_api_requests.withColumn("request_date", F.to_date("request_time"))
+    fact.hint("rebalance", "request_date").write.partitionBy("request_date").parquet(fact_path)
     return incremental.stream_daily_calls(spark, fact_path, scratch_path(spark, "stream-out"),
                                           scratch_path(spark, "stream-ckpt"))
 
@@ -682,6 +704,42 @@ def arrivals(raw: DataFrame) -> list[DataFrame]:
     return [raw.filter(drop == i) for i in range(3)]
 
 
+def account_drops(users: DataFrame, changes: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """Users and plan changes as three drops in no order of time: changes come before their users, and early
+    changes of a user after later ones."""
+    u, c = F.pmod(F.xxhash64("user_id"), F.lit(3)), F.pmod(F.xxhash64("change_id", F.lit("drop")), F.lit(3))
+    return [(users.filter(u == i), changes.filter(c == i)) for i in range(3)]
+
+
+@query
+def q_incremental_scd2(spark, sf_dir):
+    """SCD-1 / S-16: ``dim_account`` merged from three drops out of order, the second applied twice; its rows
+    equal the full rebuild (account keys are those of the order of arrival, see ``q_stable_keys``)."""
+    from ..operators.scd2_merge import AccountHistory
+
+    s = warehouse(spark, sf_dir).sources
+    history = AccountHistory(spark, scratch_path(spark, "account-history"))
+    first, second, third = account_drops(s.users, s.plan_changes)
+    for users, changes in (first, second, second, third):
+        history.apply(users, changes)
+    return history.read().drop("account_sk")
+
+
+@query
+def q_stable_keys(spark, sf_dir):
+    """K-1 / DIM-4 under S-16: the accounts are loaded, then users in the middle of the order and late plan changes are
+    added and all are loaded again. The second load's keys: the old ones as they were, the new ones after them."""
+    from ..operators.scd2_merge import AccountHistory
+
+    s = warehouse(spark, sf_dir).sources
+    history = AccountHistory(spark, scratch_path(spark, "account-history"))
+    early_user, early_change = F.col("user_id") % 3 != 1, F.col("change_id") % 4 != 2
+    changes = s.plan_changes
+    history.apply(s.users.filter(early_user), changes.filter(early_user & early_change))
+    history.apply(s.users.filter(~early_user), changes.filter(~(early_user & early_change)))
+    return history.read(keep_lineage=True).select("account_sk", "user_id", "ord", "change_id", "subscription_plan", "valid_from", "valid_to")
+
+
 @query
 def q_incremental_load(spark, sf_dir):
     """S-16: the request fact loaded incrementally in three landed batches, out of order (plus a

@@ -13,7 +13,6 @@ the snapshots of its base and only replaces the billing side.
 
 from __future__ import annotations
 
-import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import dims, facts, quality, snapshots
-from ..operators.store import Files
+from ..operators.commits import CommitLog
 from ..session import run_concurrently
 from ..sources.adapters import billing_orders, derive_sources, order_activity
 from ..sources.loader import DeferredSources, Sources
@@ -195,21 +194,30 @@ class Warehouse:
     def load(cls, sources: Sources, path: str) -> dict[str, int]:
         """SNK-2 / SNK-7 / SNK-10: write every table once, dims before facts, and publish them together.
 
-        A load writes into a folder of its own and is published by the ``_CURRENT`` file naming it,
-        so readers see the old tables or the new ones, and a failed load changes nothing. The
-        counts were observed on the writes.
+        A load writes into a folder of its own and is published by the next version of the commit log, which names
+        it and the counts observed on the writes. Readers see the old tables or the new ones; a load that fails,
+        or that another load overtook (``Conflict``), changes nothing.
         """
-        run = f"load-{uuid.uuid4().hex}"
-        wh = cls(sources, store_path=f"{path.rstrip('/')}/{run}").materialize()
-        files = Files(wh.spark, path)
-        files.delete(f"{path}/_CURRENT")
-        files.publish(f"{path}/_CURRENT", run)
-        return {t: wh.counts[t] for t in cls.TABLES}
+        log = CommitLog(sources.logs.sparkSession, path)
+        base, _ = log.newest()
+        run = log.folder(base, "load")
+        wh = cls(sources, store_path=f"{log.root}/{run}").materialize()
+        counts = {t: wh.counts[t] for t in cls.TABLES}
+        log.commit(base, {"folder": run, "counts": counts})
+        return counts
 
     @staticmethod
     def current(spark: SparkSession, path: str) -> str:
-        """The folder of the published load under ``path``."""
-        return f"{path}/{Files(spark, path).read(f'{path}/_CURRENT').strip()}"
+        """The folder of the newest published load under ``path``."""
+        version, load = CommitLog(spark, path).newest()
+        if not version:
+            raise FileNotFoundError(f"no load was published under {path}")
+        return f"{path.rstrip('/')}/{load['folder']}"
+
+    @staticmethod
+    def retire(spark: SparkSession, path: str, keep: int = 2) -> None:
+        """Delete all but the newest ``keep`` loads, and what failed loads left."""
+        CommitLog(spark, path).retire(keep, lambda load: {load["folder"]})
 
 
 def aligned_billing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -137,3 +137,11 @@ def run_concurrently(tasks: list, max_workers: int = 8) -> list:
         return [t() for t in tasks]
     with ThreadPoolExecutor(min(max_workers, len(tasks))) as pool:
         return list(pool.map(lambda t: t(), tasks))
+
+
+def broadcast_if_small(df: DataFrame, most: int = 300_000) -> DataFrame:
+    """Hint a stored or cached table of a few short columns for broadcast if it has at most ``most``
+    rows; beyond that it is joined by a shuffle like any other."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

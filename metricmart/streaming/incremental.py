@@ -14,9 +14,11 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from .. import schemas
 from ..functions.columns import day_id
+from ..operators.seen import SeenIndex
 from ..operators.snapshots import account_daily_snapshot
 
 
@@ -31,14 +33,22 @@ def refresh_touched_days(snapshot: DataFrame, fact: DataFrame, landed: DataFrame
     return kept.unionByName(fresh)
 
 
+#: the fact as it lies in its folder, partitioned by date
+STORED_FACT = StructType([*schemas.FCT_API_REQUESTS.fields, StructField("request_date", DateType())])
+
+
+def days_of(batch: DataFrame) -> list:
+    """The dates that a batch touches: as many as its span of time has days."""
+    return [r[0] for r in batch.select("request_date").distinct().collect()]
+
+
 def _refresh_days(fact_path: str, out_root: str):
     """foreachBatch sink: re-aggregate from the stored fact the days that this micro-batch touches."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        touched = batch.select(F.to_date("request_time").alias("_day")).distinct()
-        fact = spark.read.schema(schemas.FCT_API_REQUESTS).parquet(fact_path)
-        days = (fact.join(touched, F.to_date("request_time") == F.col("_day"), "left_semi")
+        fact = batch.sparkSession.read.schema(STORED_FACT).parquet(fact_path)
+        # a filter on the partition column: only the folders of these days are listed and read
+        days = (fact.filter(F.col("request_date").isin(days_of(batch)))
                     .groupBy(day_id(F.col("request_time")).alias("time_id"))
                     .agg(F.count(F.lit(1)).cast("double").alias("metric_value")))
         # one folder per day, replaced as a whole: a repeated batch writes the same rows again
@@ -49,12 +59,12 @@ def _refresh_days(fact_path: str, out_root: str):
 
 
 def stream_daily_calls(spark: SparkSession, fact_path: str, out_root: str, checkpoint: str) -> DataFrame:
-    """Run the daily-calls stream over the fact files at ``fact_path`` until caught up.
+    """Run the daily-calls stream over the fact files at ``fact_path`` (in folders by ``request_date``) until caught up.
 
     Returns the resulting ``dws_metric_value`` rows. A day is counted anew from the stored
     fact whenever a request of it lands, however late, so nothing is left out by a watermark.
     """
-    q = (spark.readStream.schema(schemas.FCT_API_REQUESTS).parquet(fact_path)
+    q = (spark.readStream.schema(STORED_FACT).parquet(fact_path)
               .writeStream.foreachBatch(_refresh_days(fact_path, out_root))
               .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
@@ -71,14 +81,14 @@ def append_landed_logs(landed: DataFrame, batch_id: int, seen_path: str, fact_pa
                        dim_status: DataFrame, key_map: DataFrame | None = None) -> None:
     """Load one batch of newly landed raw request logs into the date-partitioned fact.
 
-    * Exact dedup across batches: ``seen_path`` keeps every row that won dedup when it landed
-      (valid or not), with the columns that decide. A retry is compared with all of them,
-      however long ago its original landed; the table is clustered by a hash of the id.
+    * Exact dedup across batches: the index at ``seen_path`` (``operators.seen``) keeps every row that won dedup when it
+      landed (valid or not), with the columns that decide. A retry is compared with all of them,
+      however long ago its original landed, but only the slices that can hold one of the batch's ids are read.
     * A row that comes before the one stored for its id (an original landing after its
       retry) replaces it: ``<fact_path>_replaced`` names the stored row (id and batch) that
       no longer counts, and ``read_fact`` leaves it out. The fact equals a full rebuild.
-    * Idempotent: everything is written under ``load_batch=<batch_id>`` with dynamic partition
-      overwrite, and the batch's own earlier rows are ignored, so replaying a failed or
+    * Idempotent: the fact is written under ``load_batch=<batch_id>`` with dynamic partition
+      overwrite, and the batch's own earlier rows are ignored and replaced, so replaying a failed or
       repeated batch rewrites exactly its own rows.
     * ``key_map``: the warehouse's stored key dimension, read instead of rebuilt per batch.
     """
@@ -88,14 +98,17 @@ def append_landed_logs(landed: DataFrame, batch_id: int, seen_path: str, fact_pa
     order = F.struct(*quality.LOG_ORDER)  # compares field by field, nulls first, as dedup does
     # computed once: the comparison and three writes read it; a lost block is recomputed alike
     winners = quality.dedup_logs(landed).persist(StorageLevel.MEMORY_AND_DISK)
-    if not winners.limit(1).count():
+    n, least, greatest = winners.agg(F.count(F.lit(1)), F.min("request_id"), F.max("request_id")).first()
+    if not n:
         winners.unpersist()
         return
-    fresh = winners.withColumns({"_old": F.lit(None).cast("int")})
-    if _exists(spark, seen_path):
-        seen = spark.read.parquet(seen_path).filter(F.col("load_batch") != batch_id)
-        stored = seen.groupBy("request_id").agg(F.min(F.struct(order.alias("o"), "load_batch")).alias("_stored"))
-        fresh = (winners.join(stored, "request_id", "left")
+    kept = ["request_id", *quality.LOG_ORDER]
+    index = SeenIndex(spark, seen_path, StructType([schemas.REQUEST_LOGS_RAW[c] for c in kept]))
+    stored = index.stored(winners.select("request_id"), least, greatest, batch_id) if least is not None else None
+    fresh = winners.withColumn("_old", F.lit(None).cast("int"))
+    if stored is not None:
+        first = stored.groupBy("request_id").agg(F.min(F.struct(order.alias("o"), "load_batch")).alias("_stored"))
+        fresh = (winners.join(first, "request_id", "left")
                         .filter(F.col("_stored").isNull() | (order < F.col("_stored.o")))
                         .withColumn("_old", F.col("_stored.load_batch").cast("int")).drop("_stored"))
     fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
@@ -106,19 +119,15 @@ def append_landed_logs(landed: DataFrame, batch_id: int, seen_path: str, fact_pa
         (df.withColumn("load_batch", F.lit(batch_id)).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").partitionBy(*parts, "load_batch").parquet(path))
 
-    # the fact goes first and the seen rows last: a batch that fails in between is loaded again whole
+    # the fact goes first and the index last: a batch that fails in between is loaded again whole
     write(fact.withColumn("request_date", F.to_date("request_time")).hint("rebalance", "request_date"),
           fact_path, "request_date")
     write(fresh.filter("_old IS NOT NULL").select("request_id", F.col("_old").alias("stored_batch")), fact_path + "_replaced")
-    write(fresh.select("request_id", *quality.LOG_ORDER).withColumn("id_slice", F.pmod(F.xxhash64("request_id"), F.lit(ID_SLICES)).cast("int"))
-               .hint("rebalance", "id_slice"), seen_path, "id_slice")
+    index.add(fresh.select(*kept), batch_id)
     fresh.unpersist()
     winners.unpersist()
 
 
-ID_SLICES = 16  # folders of the seen table; rows of one id lie in one
-
-
 def read_fact(spark: SparkSession, fact_path: str) -> DataFrame:
     """The incrementally loaded fact without replaced rows and load bookkeeping columns."""
     fact = spark.read.parquet(fact_path)

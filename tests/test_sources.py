@@ -3,6 +3,8 @@ build the same warehouse as the adapters."""
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from metricmart.plans import queries as Q
 from metricmart.plans.warehouse import Warehouse
 from metricmart.session import checkpoint_dir
@@ -53,16 +55,41 @@ def test_entity_scope_accepts_account_and_user(spark):
     from datetime import date
 
     from metricmart import schemas
+    from metricmart.operators.store import in_scope
     from metricmart.plans import metrics as M
+    from metricmart.plans.runner import scoped
 
-    ctx = M.MetricContext.for_days(date(2024, 1, 1), date(2024, 1, 31), user_ids=[7])
+    dim = spark.createDataFrame([(7, 1), (70, 1), (8, 2)], "account_sk long, user_id long")
+    ctx = M.MetricContext.for_days(date(2024, 1, 1), date(2024, 1, 31), user_ids=[1])
+    _, entities = scoped({"dim_account": dim}, ctx)
+    assert {tuple(r) for r in entities.collect()} == {("account", "7"), ("account", "70"), ("user", "1")}
     store = spark.createDataFrame([
         ("account.monthly.calls", "account", "7", "month", "2024-01", 1.0),
         ("account.monthly.calls", "account", "8", "month", "2024-01", 1.0),
+        ("user.monthly.calls", "user", "1", "month", "2024-01", 1.0),
         ("user.monthly.calls", "user", "7", "month", "2024-01", 1.0),
     ], schemas.DWS_METRIC_VALUE)
-    assert store.filter(M.metric_scope("account.monthly.calls", ctx, ("month",), "account")).count() == 1
-    assert store.filter(M.metric_scope("user.monthly.calls", ctx, ("month",), "user")).count() == 1
+    for code, kind, hit in (("account.monthly.calls", "account", "7"), ("user.monthly.calls", "user", "1")):
+        rows = in_scope(store, M.metric_scope(code, ctx, ("month",), kind), entities).filter("_hit").collect()
+        assert [(r.metric_code, r.entity_id) for r in rows] == [(code, hit)]
+
+
+def test_a_large_scope_stays_a_relation(spark):
+    """100,000 named users plan as joins: no literal list, nothing collected."""
+    from datetime import date
+
+    from metricmart.operators.store import replace_rows
+    from metricmart.plans import metrics as M
+    from metricmart.plans.runner import scoped
+
+    dim = spark.range(300_000).selectExpr("id AS account_sk", "id AS user_id")
+    for users in (spark.range(0, 200_000, 2), list(range(0, 200_000, 2))):
+        _, entities = scoped({"dim_account": dim}, M.MetricContext.for_days(date(2024, 1, 1), date(2024, 1, 31), user_ids=users))
+        rows = spark.range(1000).selectExpr("'a' AS metric_code", "'account' AS entity_type", "string(id) AS entity_id", "'month' AS time_type", "'2024-01' AS time_id", "1.0D AS metric_value")
+        kept = replace_rows(rows, rows.limit(0), F.col("metric_code") == "a", entities)
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" in plan and " IN (" not in plan and " INSET " not in plan and len(plan) < 20_000
+        assert kept.count() == 500
 
 
 def test_sources_register_as_sql_views(spark):

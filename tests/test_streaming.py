@@ -50,3 +50,32 @@ def test_stream_daily_calls_equals_batch(spark):
     stream = sorted(map(tuple, Q.q_stream_daily_calls(spark, sf).collect()))
     batch = sorted(map(tuple, Q.q_daily_platform_calls(spark, sf).collect()))
     assert stream == batch
+
+
+def test_late_and_corrected_days_are_scored_as_in_a_batch(spark):
+    """Days land out of order, one again with another mean, over several runs of the stream."""
+    rnd = random.Random(4)
+    days = [date(2024, 1, 1) + timedelta(days=i) for i in range(20)]
+    series = {(m, d): round(100 + 20 * rnd.random() + 400 * (m == "b" and i == 15), 3) for m in "ab" for i, d in enumerate(days)}
+    order = list(series)
+    rnd.shuffle(order)
+    drops = [order[i::4] for i in range(4)]
+    series["a", days[3]], wrong = 111.0, {("a", days[3]): 5.0}
+    base = checkpoint_dir(spark) + f"/alerts-late-{rnd.random():.8f}"
+    ddl = "model_id string, mean_latency_ms double, snapshot_date date"
+    for i, drop in enumerate(drops):
+        rows = [(m, wrong.get((m, d), series[m, d]), d) for m, d in drop]
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(base + "/in")
+        got = stream_latency_alerts(spark, base + "/in", base + "/out", base + "/ckpt")
+    spark.createDataFrame([("a", 111.0, days[3])], ddl).coalesce(1).write.mode("append").parquet(base + "/in")
+    got = stream_latency_alerts(spark, base + "/in", base + "/out", base + "/ckpt")
+    res = {(r.model_id, r.snapshot_date): r for r in got.collect()}
+    assert set(res) == set(series)
+    for m in "ab":
+        for i, d in enumerate(days):
+            prior = pd.Series([series[m, x] for x in days[:i]])
+            z = (series[m, d] - prior.mean()) / prior.std() if i >= 2 else None
+            r = res[m, d]
+            assert r.prior_days == i and r.mean_latency_ms == series[m, d]
+            assert (r.z_score is None) == (z is None) and (z is None or math.isclose(r.z_score, z, abs_tol=1.5e-4))
+    assert res["b", days[15]].is_alert
