@@ -171,3 +171,53 @@ def packed(docs, library, pieces, end=1, window=2048):
         assert place == window or seq == max(at), (seq, place)
     assert sorted(at) == list(range(len(at)))
     return want
+
+
+class Language:
+    """Words first, then n-grams, from (language, text) rows; one word at a time."""
+
+    def __init__(self, rows, orders=(4, 3, 2, 1)):
+        from collections import Counter, defaultdict
+
+        self.orders, self.langs = orders, sorted({lang for lang, _ in rows})
+        self.words, self.grams = defaultdict(Counter), defaultdict(Counter)
+        for lang, text in rows:
+            for w in self.split(text):
+                self.words[w][lang] += 1
+                for order in orders:
+                    for g in self.cut(w, order):
+                        self.grams[g][lang] += 1
+        self.totals = {(None, x): sum(c[x] for c in self.words.values()) + 0.1 * len(self.words) for x in self.langs}
+        for order in orders:
+            same = [c for g, c in self.grams.items() if len(g) == order]
+            self.totals |= {(order, x): sum(c[x] for c in same) + 0.1 * len(same) for x in self.langs}
+
+    @staticmethod
+    def split(text):
+        import unicodedata
+
+        return "".join(c if unicodedata.category(c)[0] == "L" else " " for c in (text or "").lower()).split()
+
+    @staticmethod
+    def cut(w, order):
+        p = f"^{w}$"
+        return [p[i:i + order] for i in range(len(p) - order + 1)]
+
+    def predict(self, text):
+        import math
+
+        words = self.split(text)
+        if not words:
+            return "und", 0.0
+        total = dict.fromkeys(self.langs, 0.0)
+        for w in words:
+            known, order = ([self.words[w]], None) if w in self.words else ([], None)
+            for o in self.orders:
+                if not known:
+                    known, order = [self.grams[g] for g in self.cut(w, o) if g in self.grams], o
+            for x in self.langs:
+                if known:
+                    total[x] += sum(math.log(c[x] + 0.1) - math.log(self.totals[order, x]) for c in known) / len(known)
+        best = min(self.langs, key=lambda x: (-total[x], x))
+        scale = min(len(words), 12) / len(words)
+        return best, 1 / sum(math.exp((total[x] - total[best]) * scale) for x in self.langs)

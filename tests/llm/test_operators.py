@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import unicodedata
 from collections import Counter
 
 import brute
@@ -390,12 +391,42 @@ def test_language(spark, docs, awkward, no_docs):
     for r in rows:
         assert 0 <= r.score <= 1
         if r.doc_id is not None:
-            assert (r.lang_pred == "und") == (not any(c.isalpha() for c in texts[r.doc_id] or ""))
+            assert (r.lang_pred == "und") == (not any(unicodedata.category(c)[0] == "L" for c in texts[r.doc_id] or ""))
     assert langid.language_report(no_docs).count() == 0
     unlabelled = langid.language_report(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {(r.lang_pred, r.score) for r in unlabelled} == {("und", 0.0)}
 
 
+def test_number_signs_are_no_letters(spark):
+    texts = ["² ³ ¹", "½ ¼ ⅔", "① ② ⑳ ⒈", "Ⅷ ⅳ ↂ", "१२३ ٣٤ ๕", "٪ ‰ № 7", "ª", "ʰ", "中文", "Ⅷ the"]
+    rows = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)] + [(100 + i, "the cat and the dog", "en") for i in range(30)], "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.language_report(rows).collect()}
+    assert all(got[i] == ("und", 0.0) for i in range(6)) and all(got[i][0] == "en" for i in range(6, 10))
+
+
+def test_no_word_is_cut_and_rare_languages_come_in_whole(spark, monkeypatch):
+    """A small sample: the rare language keeps all its rows, and every word of the sample is in the model."""
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 40)
+    monkeypatch.setattr(langid, "LEAST_ROWS", 10)
+    rows = [(i, f"common{i} word", "en") for i in range(400)] + [(1000 + i, f"zzyx{i} жук", "ru") for i in range(10)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    words = set(model.words.terms.to_pylist())
+    assert {"zzyx", "жук"} <= words and model.langs == ["en", "ru"] and model.predict(["жук", "word"])[0] == ["ru", "en"]
+
+
+def test_language_scores_row_by_row(spark):
+    """The batch scorer against a plain one, word by word, from the same counts."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang IS NOT NULL")
+    rows = [(r.lang, r.text) for r in docs.collect()]
+    model = langid.fit(docs)
+    plain = brute.Language(rows)
+    texts = [t for _, t in rows[:60]] + ["unseenwordforms qqq", "zzz", "x", "Été naïve", "", None, "12 ½"]
+    pred, score = model.predict(texts)
+    for t, a, s in zip(texts, pred, score, strict=True):
+        b, want = plain.predict(t)
+        assert a == b and abs(s - want) < 1e-4, (t, a, b, s, want)
+
+
 # ---- 10: quality
 
 def test_quality(spark, docs, awkward, no_docs):
