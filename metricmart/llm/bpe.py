@@ -7,9 +7,10 @@ Two forms of the same fold:
 
 * ``encode_words``: column expressions only. Higher-order functions fold the merges over the byte
   pieces of distinct words, with the rank map as a literal.
-* ``encode`` / ``decode`` / ``round_trip``: the fold runs in Arrow batches, on each word that a
-  Python worker hasn't met (``CACHE`` to twice as many words are remembered), with the rank map broadcast
-  (its size is that of the vocabulary file). The README has the figures that decided for this form.
+* ``encode`` / ``decode`` / ``round_trip``: the fold runs in Arrow batches, on the distinct words of a batch that a
+  Python worker hasn't met, all at once: a step merges one pair of each word (``fold_many``). ``CACHE`` to twice as
+  many words are remembered; the rank map is broadcast (its size is that of the vocabulary file). The README has
+  the figures that decided for this form.
 
 No text is shuffled or cut; a word of any length takes n log n steps.
 
@@ -25,18 +26,19 @@ import hashlib
 import heapq
 import json
 import zlib
-from itertools import chain
 
 import numpy as np
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
-from .common import map_rows
+from .common import Splitter, map_rows
 
-CACHE = 120_000
+CACHE = 200_000
 SHORT = 48  # bytes of a word up to which each step looks at all pairs
+STEP = 250  # texts encoded together
+TOGETHER = 50_000  # words folded together
+NONE = 1 << 40  # the rank of neighbours that don't join
 LITERAL_BUCKETS = 1 << 16
 IDS = ArrayType(IntegerType())
 #: Unicode's White_Space characters, written out as libraries differ on what \s holds.
@@ -54,65 +56,92 @@ def explicit(pattern: str) -> str:
     return (pattern.replace(r"[^\s", "[^" + WHITE).replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]"))
 
 
-class Words(dict):
-    """Words to their ids, as numbers and as text; keeps the last ``CACHE`` to twice as many words met."""
-
-    def __init__(self, fold):
-        super().__init__()
-        self.fold, self.before = fold, {}
-
-    def __missing__(self, word: str) -> tuple[tuple[int, ...], str]:
-        got = self.before.get(word)
-        if got is None:
-            ids = self.fold(word.encode("utf-8", "surrogatepass"))
-            got = ids, " ".join(map(str, ids))
-        if len(self) >= CACHE:
-            self.before = dict(self)
-            self.clear()
-        self[word] = got
-        return got
-
-
 class Codec:
     """Encodes and decodes texts; remembers the words it has met lately."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, explicit(pattern)
+        # every pair of tokens that joins to a token: (left << 32 | right) in order, and what it joins to
+        joins = sorted((ranks[t[:i]] << 32 | ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks)
+        self.pairs, self.joined = (np.array(c, dtype=np.int64) for c in zip(*joins, strict=True)) if joins else (np.zeros(1, dtype=np.int64) - 1, np.zeros(1, dtype=np.int64))
         self.start()
 
     def start(self) -> None:
-        self.pieces = {v: k for k, v in self.ranks.items()}
-        self.find = regex.compile(self.pattern).findall
-        self.words = Words(self.fold)
+        size = max(self.ranks.values()) + 1
+        self.pieces, self.shown = [None] * size, [str(i) for i in range(size)]
+        for token, rank in self.ranks.items():
+            self.pieces[rank] = token
+        self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.find = Splitter(self.pattern)
+        self.words: dict[str, bytes] = {}  # to ids as 32-bit numbers
+        self.before: dict[str, bytes] = {}
 
     def __getstate__(self):
-        return {"ranks": self.ranks, "pattern": self.pattern}
+        return {k: self.__dict__[k] for k in ("ranks", "pattern", "pairs", "joined")}
 
     def __setstate__(self, state) -> None:
         self.__dict__ |= state
         self.start()
 
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What neighbours join to (``NONE``: nothing)."""
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.joined[at], NONE)
+
+    def fold_many(self, words: list[bytes]) -> list[bytes]:
+        """Ranked merges over the bytes of all words (none empty): each step merges in every word the leftmost of its
+        neighbours of lowest rank; words without any are done."""
+        out: list[bytes] = [b""] * len(words)
+        sizes = np.array([len(w) for w in words])
+        ids = self.bytes[np.frombuffer(b"".join(words), dtype=np.uint8)]
+        word = np.arange(len(words))  # those not done, by their parts' starts
+        start = np.cumsum(sizes) - sizes
+        last = np.zeros(len(ids), dtype=bool)
+        last[start + sizes - 1] = True
+        rank = np.full(len(ids), NONE)
+        inner = np.flatnonzero(~last)
+        rank[inner] = self._rank(ids[inner], ids[inner + 1])
+        while len(word):
+            best = np.minimum.reduceat(rank, start)
+            sizes = np.diff(start, append=len(ids))
+            done = best == NONE
+            if done.any():
+                raw, ends = ids.astype("<i4").tobytes(), start + sizes
+                for w, a, b in zip(word[done].tolist(), start[done].tolist(), ends[done].tolist(), strict=True):
+                    out[w] = raw[4 * a:4 * b]
+                stays = np.repeat(~done, sizes)
+                ids, last, rank = ids[stays], last[stays], rank[stays]
+                word, best, sizes = word[~done], best[~done], sizes[~done]
+                start = np.cumsum(sizes) - sizes
+                if not len(word):
+                    break
+            hit = np.flatnonzero(rank == np.repeat(best, sizes))
+            own = np.searchsorted(start, hit, side="right") - 1
+            at = hit[np.flatnonzero(np.diff(own, prepend=-1))]  # the leftmost of each word
+            ids[at] = best
+            last[at] = last[at + 1]
+            keep = np.ones(len(ids), dtype=bool)
+            keep[at + 1] = False
+            ids, last, rank = ids[keep], last[keep], rank[keep]
+            at -= np.arange(len(at))
+            sizes = sizes - 1
+            start = np.cumsum(sizes) - sizes
+            rank[at] = NONE
+            right = at[~last[at]]
+            rank[right] = self._rank(ids[right], ids[right + 1])
+            left = at[at > start] - 1
+            rank[left] = self._rank(ids[left], ids[left + 1])
+        return out
+
     def fold(self, word: bytes) -> tuple[int, ...]:
         """Ranked merges over the bytes of one word."""
-        ranks = self.ranks
-        if word in ranks:
-            return (ranks[word],)
         if len(word) > SHORT:
             return self._fold_long(word)
-        # the word's parts lie between the cuts; a rank for each pair of neighbours
-        none, cuts = 1 << 62, list(range(len(word) + 1))
-        pairs = [ranks.get(word[i:i + 2], none) for i in range(len(word) - 1)]
-        while pairs and (best := min(pairs)) != none:
-            at = pairs.index(best)
-            del cuts[at + 1], pairs[at]
-            if at < len(pairs):
-                pairs[at] = ranks.get(word[cuts[at]:cuts[at + 2]], none)
-            if at:
-                pairs[at - 1] = ranks.get(word[cuts[at - 1]:cuts[at + 1]], none)
-        return tuple([ranks[word[a:b]] for a, b in zip(cuts, cuts[1:], strict=False)])
+        return tuple(np.frombuffer(self.fold_many([word])[0], dtype="<i4").tolist()) if word else ()
 
     def _fold_long(self, word: bytes) -> tuple[int, ...]:
-        """The same by a heap of pairs over a linked list of parts."""
+        """The same by a heap of pairs over a linked list of parts, in n log n steps."""
         ranks, n = self.ranks, len(word)
         after, before, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
         heap = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := ranks.get(word[i:i + 2])) is not None]
@@ -140,15 +169,33 @@ class Codec:
             i = after[i]
         return tuple(out)
 
-    def encode_text(self, text: str | None) -> tuple[list[int], str]:
-        """The ids, and the same as text with a space between any two."""
-        if not text:
-            return [], ""
-        ids, shown = zip(*map(self.words.__getitem__, self.find(text)), strict=True)
-        return list(chain.from_iterable(ids)), " ".join(shown)
+    def _learn(self, words: set[str]) -> None:
+        """Remember all these words; those that aren't remembered yet are folded."""
+        new = words - self.words.keys()
+        if len(self.words) + len(new) > CACHE:
+            self.before, self.words, new = self.words, {}, words
+        known = new & self.before.keys()
+        self.words.update((w, self.before[w]) for w in known)
+        new = list(new - known)
+        for i in range(0, len(new), TOGETHER):
+            part = [(w, w.encode("utf-8", "surrogatepass")) for w in new[i:i + TOGETHER]]
+            short = [p for p in part if len(p[1]) <= SHORT]
+            if short:
+                self.words.update(zip([w for w, _ in short], self.fold_many([raw for _, raw in short]), strict=True))
+            if len(short) < len(part):
+                self.words.update((w, np.array(self._fold_long(raw), dtype="<i4").tobytes()) for w, raw in part if len(raw) > SHORT)
+
+    def encode_many(self, texts: list[str | None]) -> list[list[int]]:
+        """The ids of each text."""
+        out = []
+        for a in range(0, len(texts), STEP):
+            split = [self.find(t) if t else [] for t in texts[a:a + STEP]]
+            self._learn(set().union(*split))
+            out += [np.frombuffer(b"".join(map(self.words.__getitem__, ws)), dtype="<i4").tolist() for ws in split]
+        return out
 
     def encode(self, text: str | None) -> list[int]:
-        return self.encode_text(text)[0]
+        return self.encode_many([text])[0]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.pieces.__getitem__, ids))
@@ -158,7 +205,7 @@ def encode(docs: DataFrame, codec: Codec, text: str = "text") -> DataFrame:
     """``docs`` with ``ids``, the whole text's token ids."""
     shared = docs.sparkSession.sparkContext.broadcast(codec)
     keep = [c for c in docs.columns if c != "ids"]
-    return map_rows(docs, keep, [text], StructType().add("ids", IDS), lambda texts: [[np.array(shared.value.encode(t), dtype=np.int32) for t in texts]])
+    return map_rows(docs, keep, [text], StructType().add("ids", IDS), lambda texts: [shared.value.encode_many(texts)])
 
 
 def decode(rows: DataFrame, codec: Codec, ids: str = "ids") -> DataFrame:
@@ -175,14 +222,14 @@ def round_trip(docs: DataFrame, codec: Codec, keep: tuple[str, ...] = ("doc_id",
     fields = StructType().add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
 
     def run(texts):
-        out = [], [], [], []
-        for text in texts:
-            ids, shown = shared.value.encode_text(text)
-            out[0].append(len(ids))
-            out[1].append(hashlib.sha256(shown.encode()).hexdigest())
-            out[2].append(hashlib.sha256(shared.value.decode(ids)).hexdigest())
-            if with_ids:
-                out[3].append(np.array(ids, dtype=np.int32))
+        codec, out = shared.value, ([], [], [], [])
+        for a in range(0, len(texts), STEP):
+            for ids in codec.encode_many(texts[a:a + STEP]):
+                out[0].append(len(ids))
+                out[1].append(hashlib.sha256(" ".join(map(codec.shown.__getitem__, ids)).encode()).hexdigest())
+                out[2].append(hashlib.sha256(codec.decode(ids)).hexdigest())
+                if with_ids:
+                    out[3].append(np.array(ids, dtype=np.int32))
         return list(out[:3 + with_ids])
 
     return map_rows(docs, list(keep), ["text"], fields.add("ids", IDS) if with_ids else fields, run)
