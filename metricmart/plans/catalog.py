@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators.bucketed import BucketedTable
+from ..session import freeze
 
 # Fixed values (ours): one catalogue row per metric code the engine writes
 # (metric_code, metric_name, description, formula, entity_type, time_type).
@@ -44,6 +46,18 @@ def meta_metric(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, schemas.META_METRIC)
 
 
+class Catalogue(BucketedTable):
+    """The stored ``meta_metric``: one row per metric code, kept up to date by key."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        super().__init__(spark, root, schemas.META_METRIC, "metric_code", buckets=1)
+
+    def register(self, rows: DataFrame) -> int:
+        """Add metrics, or replace what the catalogue says of them; a missing status is the column's default."""
+        new = freeze(schemas.conform(rows, schemas.META_METRIC).fillna(schemas.META_METRIC_DEFAULTS))
+        return self.upsert(new, lambda old, new: old.join(new, "metric_code", "left_anti").unionByName(new))
+
+
 def registration_check(catalogue: DataFrame, stored: DataFrame) -> DataFrame:
     """Every stored ``metric_code`` against the catalogue: rows stored and whether it is registered."""
     counts = stored.groupBy("metric_code").agg(F.count(F.lit(1)).alias("stored_rows"))

@@ -6,7 +6,10 @@ cleaning counters, and load every warehouse table into ``warehouse_path``
 
 ``run_calculation``: read the loaded warehouse and run every metric for a
 context — the daily grain, then the monthly grain — into the versioned metric
-store at ``store_path`` (one atomic replace per sink and grain).
+store at ``store_path`` (one atomic replace per sink and grain), with the metric
+catalogue as a table beside it.
+
+``run_incremental_etl``: the ETL for sources that grow, load by load.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from ..operators.quality import dq_stats
 from ..operators.store import MetricStore
 from ..sources.loader import load_sources
 from . import customers, finance
+from .catalog import Catalogue, meta_metric
+from .incremental import IncrementalWarehouse
 from .metrics import MetricContext
 from .runner import run_metrics
 from .warehouse import Warehouse
@@ -42,6 +47,12 @@ def read_warehouse(spark: SparkSession, warehouse_path: str) -> dict[str, DataFr
     return out
 
 
+def run_incremental_etl(spark: SparkSession, source_path: str, warehouse_path: str, fmt: str = "parquet",
+                        options: dict | None = None) -> dict[str, int]:
+    """Entry A for growing sources: takes up what is new since the last run (see ``plans.incremental``); rows read."""
+    return IncrementalWarehouse(spark, warehouse_path).load(load_sources(spark, source_path, fmt, options))
+
+
 def run_calculation(spark: SparkSession, warehouse_path: str, store_path: str, ctx: MetricContext,
                     users: DataFrame, grains: tuple[str, ...] = ("daily", "monthly")):
     """Entry B: every metric into the store; returns the run report (one row per metric and grain).
@@ -57,6 +68,7 @@ def run_calculation(spark: SparkSession, warehouse_path: str, store_path: str, c
                   forecast=finance.profit_forecast(t["fct_account_transactions"], t["fct_model_daily_snapshot"],
                                                    ctx))
     store = MetricStore(spark, store_path)
+    Catalogue(spark, f"{store_path}/meta_metric").register(meta_metric(spark))
     reports = []
     for grain in grains:
         _, report = run_metrics(all_specs(), inputs, ctx, grain=grain, store=store)

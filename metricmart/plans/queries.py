@@ -9,7 +9,7 @@ names). Money doubles are shown at 10 decimals (SURVEY §7.4).
 from __future__ import annotations
 
 import uuid
-from datetime import date
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +19,7 @@ from .. import schemas
 from ..functions.columns import round10
 from ..operators import constraints, dims, facts, quality, scd2
 from ..operators.keys import with_surrogate_key
+from ..operators.store import MetricStore
 from ..session import checkpoint_dir
 from ..sources import adapters
 from . import metrics as M
@@ -323,8 +324,6 @@ def q_run_metrics_struct(spark, sf_dir):
 def q_metric_store(spark, sf_dir):
     """SNK-3..SNK-6 through the stored form: a daily run, then a re-run over 01-10..01-20 after 01-15
     was withdrawn and with one metric failing; the published rows."""
-    from ..operators.store import MetricStore
-
     store = MetricStore(spark, scratch_path(spark, "metric-store"))
     inputs = _inputs(spark, sf_dir)
     run_metrics(reference_specs()[:2], inputs, M.EVENTS_MONTH, store=store)
@@ -587,7 +586,9 @@ def stored_metric_rows(spark, sf_dir) -> DataFrame:
 
 @query
 def q_meta_metric(spark, sf_dir):
-    return catalog.registration_check(catalog.meta_metric(spark), stored_metric_rows(spark, sf_dir))
+    catalogue = catalog.Catalogue(spark, scratch_path(spark, "meta-metric"))
+    catalogue.register(catalog.meta_metric(spark))
+    return catalog.registration_check(catalogue.read(), stored_metric_rows(spark, sf_dir))
 
 
 LANDED_FROM = date(2024, 1, 26)
@@ -654,6 +655,14 @@ def q_sql_mode_metrics(spark, sf_dir):
                                     M.EVENTS_MONTH)
 
 
+@query
+def q_run_sql_metrics(spark, sf_dir):
+    """Entry B inside the runner: metrics given as SQL text, validated and published like any other."""
+    store = MetricStore(spark, scratch_path(spark, "metric-store"))
+    run_metrics(sql_mode.SQL_SPECS, _inputs(spark, sf_dir), M.EVENTS_MONTH, store=store)
+    return store.read("dws_metric_value").drop("created_at")
+
+
 @query
 def q_list_price_revenue(spark, sf_dir):
     """SRC-12: usage repriced with the configured catalogue (test model ``m<i>`` = catalogue entry i)."""
@@ -753,6 +762,25 @@ def q_incremental_load(spark, sf_dir):
     return _money(incremental.read_fact(spark, fact), "revenue_usd", "cost_usd")
 
 
+#: the moments at which the growing sources are looked at
+MOMENTS = (datetime(1995, 6, 1), datetime(2024, 1, 12, 12), datetime(2024, 3, 1))
+
+
+@query
+def q_incremental_etl(spark, sf_dir):
+    """SRC-5 / S-16: the sources as they stood at three moments, loaded one after another past the bookmarks; the
+    fact with natural keys equals the full rebuild's."""
+    from .incremental import IncrementalWarehouse
+
+    s = warehouse(spark, sf_dir).sources
+    own = IncrementalWarehouse(spark, scratch_path(spark, "incremental"), buckets=8)
+    users = s.users.withColumn("updated_at", F.col("registration_date"))
+    for now in MOMENTS:
+        seen = lambda df, c: df.filter(F.col(c) <= F.lit(now))  # noqa: B023, E731
+        own.load(loader.Sources(seen(users, "updated_at"), seen(s.plan_changes, "change_date"), s.api_keys, s.models, seen(s.logs, "request_time"), s.billing))
+    return _money(own.requests(s), "revenue_usd", "cost_usd")
+
+
 def all_specs() -> list[MetricSpec]:
     """Every metric the engine writes to the metric store, by stage (user → model → platform)."""
     from .growth import ACCOUNT_STAGE, REGISTRATIONS, MAU_SUCCESS

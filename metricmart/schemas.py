@@ -35,7 +35,7 @@ REQUEST_LOGS_RAW = _struct(("request_id", L), ("key_id", L), ("model_id", S),
                            ("prompt_token_count", I), ("completion_token_count", I),
                            ("latency_ms", I), ("http_status", I), ("error_code", S),
                            ("request_time", TS))
-BILLING_ORDERS = _struct(("order_id", L), ("user_id", L), ("amount", D), ("order_type", S),
+BILLING_ORDERS = _struct(("order_id", L), ("user_id", L), ("amount", MONEY), ("order_type", S),
                          ("payment_method", S), ("transaction_status", S), ("created_at", TS))
 
 SOURCES = {
@@ -59,7 +59,7 @@ FCT_API_REQUESTS = _struct(("request_id", L), ("account_sk", L), ("model_sk", L)
                            ("key_sk", L), ("request_time", TS), ("latency_ms", I),
                            ("prompt_tokens", I), ("completion_tokens", I), ("revenue_usd", D),
                            ("cost_usd", D))
-FCT_ACCOUNT_TRANSACTIONS = _struct(("transaction_id", L), ("account_sk", L), ("amount", D),
+FCT_ACCOUNT_TRANSACTIONS = _struct(("transaction_id", L), ("account_sk", L), ("amount", MONEY),
                                    ("order_type", S), ("payment_method", S),
                                    ("transaction_status", S), ("created_at", TS))
 FCT_ACCOUNT_DAILY_SNAPSHOT = _struct(("snapshot_date", DT), ("account_sk", L), ("daily_requests", L),

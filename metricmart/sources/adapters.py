@@ -129,7 +129,7 @@ def billing_orders(spark: SparkSession, sf_dir: str, aligned: bool = False) -> D
     return schemas.conform(o.select(
         key.alias("order_id"), F.col("o_custkey").alias("user_id"),
         F.when(key % 211 == 0, F.lit(None).cast("double"))
-         .when(key % 4 == 0, F.col("o_totalprice")).otherwise(-F.col("o_totalprice")).alias("amount"),
+         .when(key % 4 == 0, F.col("o_totalprice")).otherwise(-F.col("o_totalprice")).cast("decimal(18,4)").alias("amount"),
         F.when(key % 4 == 0, "recharge").when(key % 4 == 1, "subscription_fee")
          .when(key % 4 == 2, "usage_settlement").otherwise("refund").alias("order_type"),
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "credit_card")

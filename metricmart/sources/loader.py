@@ -58,18 +58,52 @@ CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSS
                "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
 
 
+@dataclass(frozen=True)
+class Split:
+    """How a database table is read by several tasks: equal strides of a numeric or time column between two
+    values (rows beyond them belong to the first and last stride), or one task per predicate."""
+
+    column: str | None = None
+    lower: object = None
+    upper: object = None
+    partitions: int = 1
+    predicates: tuple[str, ...] = ()
+
+    def __post_init__(self):
+        strides = (self.column, self.lower, self.upper)
+        if self.predicates and any(x is not None for x in strides):
+            raise ValueError("a split goes by a column or by predicates, not both")
+        if not self.predicates and any(x is None for x in strides):
+            raise ValueError("a split by a column needs the column and both bounds")
+        if not self.predicates and self.partitions < 1:
+            raise ValueError("a split has at least one partition")
+
+    def options(self) -> dict[str, str]:
+        """Spark's options for strides (none for predicates)."""
+        if self.predicates:
+            return {}
+        return {"partitionColumn": self.column, "lowerBound": str(self.lower), "upperBound": str(self.upper), "numPartitions": str(self.partitions)}
+
+
+def read_jdbc(spark: SparkSession, table: str, options: dict, split: Split | None = None) -> DataFrame:
+    """A database table; without a ``split`` by one task. Filters and columns are pushed to the database."""
+    if split and split.predicates:
+        rest = {k: str(v) for k, v in options.items() if k not in ("url", "dbtable")}
+        return spark.read.jdbc(options["url"], table, predicates=list(split.predicates), properties=rest)
+    return spark.read.format("jdbc").options(**options, dbtable=table, **(split.options() if split else {})).load()
+
+
 def read_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet",
-               options: dict | None = None) -> DataFrame:
+               options: dict | None = None, split: Split | None = None) -> DataFrame:
     """Full scan of one source table with its declared schema (SRC-1..6).
 
     ``fmt`` is any Spark source: ``parquet`` (default), ``csv`` (header row) or
-    ``jdbc`` (``options`` carry url / dbtable / user / password / fetchsize / …).
+    ``jdbc`` (``options`` carry url / user / password / fetchsize / …; ``split`` says how tasks share the table).
     """
     schema = schemas.SOURCES[table]
     reader = spark.read.options(**(options or {}))
     if fmt == "jdbc":
-        df = reader.format("jdbc").option("dbtable", table).load()
-        return schemas.conform(df, schema)
+        return schemas.conform(read_jdbc(spark, table, options or {}, split), schema)
     if fmt == "csv":
         return reader.options(**CSV_OPTIONS).schema(schema).csv(f"{path}/{table}")
     return schemas.conform(reader.format(fmt).load(f"{path}/{table}"), schema)
@@ -91,13 +125,13 @@ def write_sources(src: Sources, path: str, fmt: str = "csv") -> None:
 
 
 def load_sources(spark: SparkSession, path: str, fmt: str = "parquet",
-                 options: dict | None = None) -> Sources:
-    """SRC-7: the six source tables. ``api_keys`` is a projected scan (SRC-3).
+                 options: dict | None = None, splits: dict[str, Split] | None = None) -> Sources:
+    """SRC-7: the six source tables. ``api_keys`` is a projected scan (SRC-3). ``splits``: by table, for databases.
 
     Column defaults of the source DDL (C-6) are filled on the reference tables;
     the request log keeps its NULLs so the validity rule (T2) still sees them.
     """
-    frames = {name: read_table(spark, path, table, fmt, options) for name, table in _TABLE_OF.items()}
+    frames = {name: read_table(spark, path, table, fmt, options, (splits or {}).get(table)) for name, table in _TABLE_OF.items()}
     for name, table in _TABLE_OF.items():
         if table != "request_logs_raw":
             frames[name] = apply_defaults(frames[name], table)

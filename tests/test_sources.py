@@ -126,3 +126,60 @@ def test_run_concurrently_keeps_input_order():
 
     out = run_concurrently([lambda i=i: (time.sleep(0.01 * (5 - i)), i)[1] for i in range(5)])
     assert out == [0, 1, 2, 3, 4]
+
+
+def test_jdbc_reads_are_split(spark, monkeypatch):
+    """The options that reach Spark's reader (no database here)."""
+    import pytest
+    from pyspark.sql import DataFrameReader
+
+    from metricmart import schemas
+    from metricmart.sources.loader import Split, read_table
+
+    asked, empty = {}, spark.createDataFrame([], schemas.REQUEST_LOGS_RAW)
+    monkeypatch.setattr(DataFrameReader, "options", lambda self, **kw: (asked.update(kw), self)[1])
+    monkeypatch.setattr(DataFrameReader, "load", lambda self, *a, **kw: empty)
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, url, table, predicates, properties: (asked.update(url=url, table=table, predicates=predicates, properties=properties), empty)[1])
+    options = {"url": "jdbc:some:db", "user": "u"}
+    read_table(spark, "", "request_logs_raw", "jdbc", options, Split("request_id", 1, 9000, 12))
+    assert {k: asked[k] for k in ("dbtable", "partitionColumn", "lowerBound", "upperBound", "numPartitions")} == {
+        "dbtable": "request_logs_raw", "partitionColumn": "request_id", "lowerBound": "1", "upperBound": "9000", "numPartitions": "12"}
+    read_table(spark, "", "request_logs_raw", "jdbc", options, Split(predicates=("request_id % 2 = 0", "request_id % 2 = 1")))
+    assert asked["predicates"] == ["request_id % 2 = 0", "request_id % 2 = 1"] and asked["properties"] == {"user": "u"}
+    for bad in ({"column": "a"}, {"column": "a", "lower": 1, "upper": 2, "predicates": ("x",)}, {"column": "a", "lower": 1, "upper": 2, "partitions": 0}):
+        with pytest.raises(ValueError):
+            Split(**bad)
+
+
+def test_bookmarks_move_with_the_load(spark):
+    from datetime import datetime
+
+    from metricmart.sources.bookmarks import Bookmarks, Growing
+
+    marks = Bookmarks(spark, f"{checkpoint_dir(spark)}/marks-{uuid.uuid4().hex[:8]}", {"a": Growing("id"), "b": Growing("at", 1)})
+    rows = spark.createDataFrame([(i, datetime(2024, 1, i)) for i in range(1, 11)], "id long, at timestamp_ntz")
+    assert marks.since(rows, "a").count() == 10
+    base, _ = marks.marks()
+    marks.advance(base, {"a": marks.reached(rows.filter("id <= 4"), "a"), "b": marks.reached(rows.filter("id <= 4"), "b")})
+    assert [r.id for r in marks.since(rows, "a").collect()] == [5, 6, 7, 8, 9, 10]
+    assert [r.id for r in marks.since(rows, "b").collect()] == [3, 4, 5, 6, 7, 8, 9, 10]  # a day again
+    marks.advance(1, {"a": None, "b": datetime(2024, 1, 9)})
+    assert marks.marks() == (2, {"a": 4, "b": datetime(2024, 1, 9)})
+
+
+def test_own_sql_metrics_are_validated_and_published(spark):
+    from metricmart.operators.store import MetricStore
+    from metricmart.plans import metrics as M
+    from metricmart.plans.runner import run_metrics
+    from metricmart.plans.sql_mode import sql_spec
+
+    text = "SELECT 'own' AS metric_code, 'platform' AS entity_type, 'all' AS entity_id, 'day' AS time_type, '2024-01-01' AS time_id, double(count(*)) AS metric_value FROM {things} WHERE at <= :end"
+    scope = lambda c: F.col("metric_code") == "own"
+    specs = [sql_spec("own", "platform", "dws_metric_value", text, scope), sql_spec("odd", "platform", "dws_metric_value", "SELECT 1 AS x", scope),
+             sql_spec("bad", "platform", "dws_metric_value", "SELECT nothing FROM {nowhere}", scope)]
+    things = spark.sql("SELECT timestamp_ntz'2024-01-03 10:00:00' AS at UNION ALL SELECT timestamp_ntz'2025-01-03 10:00:00'")
+    store = MetricStore(spark, f"{checkpoint_dir(spark)}/own-{uuid.uuid4().hex[:8]}")
+    _, report = run_metrics(specs, {"things": things}, M.EVENTS_MONTH, store=store)
+    status = {r.metric_code: r for r in report.collect()}
+    assert status["own"].status == "ok" and status["odd"].status == status["bad"].status == "failed" and "missing column" in status["odd"].error
+    assert [(r.metric_code, r.metric_value) for r in store.read("dws_metric_value").collect()] == [("own", 1.0)]
