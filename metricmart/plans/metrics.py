@@ -40,10 +40,6 @@ class MetricContext:
         return self.end.date()
 
 
-# The month of the driver's request logs.
-EVENTS_MONTH = MetricContext.for_days(date(2024, 1, 1), date(2024, 1, 30))
-
-
 def _eav(metric_code: str, entity_type: str, entity_id: Column, time_type: str, time_id: Column,
          value: Column) -> list[Column]:
     return [F.lit(metric_code).alias("metric_code"), F.lit(entity_type).alias("entity_type"),

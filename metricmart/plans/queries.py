@@ -26,6 +26,8 @@ from . import metrics as M
 from .runner import MetricSpec, run_metrics
 from .warehouse import Warehouse, activity_snapshot, aligned_billing
 
+#: the month of the given request logs
+EVENTS_MONTH = M.MetricContext.for_days(date(2024, 1, 1), date(2024, 1, 30))
 QUERIES: dict = {}
 
 _CACHE: dict = {}
@@ -199,12 +201,12 @@ def q_model_daily_snapshot(spark, sf_dir):
 
 @query
 def q_daily_platform_calls(spark, sf_dir):
-    return M.daily_platform_calls(warehouse(spark, sf_dir).fct_api_requests, M.EVENTS_MONTH)
+    return M.daily_platform_calls(warehouse(spark, sf_dir).fct_api_requests, EVENTS_MONTH)
 
 
 @query
 def q_mau(spark, sf_dir):
-    return M.mau(warehouse(spark, sf_dir).fct_account_daily_snapshot, M.EVENTS_MONTH)
+    return M.mau(warehouse(spark, sf_dir).fct_account_daily_snapshot, EVENTS_MONTH)
 
 
 RETENTION_END = date(1996, 12, 31)
@@ -305,8 +307,8 @@ def _inputs(spark, sf_dir) -> dict:
 def q_run_metrics(spark, sf_dir):
     """MET-4: the reference metrics run daily then monthly into the value sink."""
     inputs = _inputs(spark, sf_dir)
-    tables, _ = run_metrics(reference_specs(), inputs, M.EVENTS_MONTH, grain="daily")
-    tables, _ = run_metrics(reference_specs(), inputs, M.EVENTS_MONTH, existing=tables, grain="monthly")
+    tables, _ = run_metrics(reference_specs(), inputs, EVENTS_MONTH, grain="daily")
+    tables, _ = run_metrics(reference_specs(), inputs, EVENTS_MONTH, existing=tables, grain="monthly")
     return tables["dws_metric_value"]
 
 
@@ -326,7 +328,7 @@ def q_metric_store(spark, sf_dir):
     was withdrawn and with one metric failing; the published rows."""
     store = MetricStore(spark, scratch_path(spark, "metric-store"))
     inputs = _inputs(spark, sf_dir)
-    run_metrics(reference_specs()[:2], inputs, M.EVENTS_MONTH, store=store)
+    run_metrics(reference_specs()[:2], inputs, EVENTS_MONTH, store=store)
     corrected = dict(inputs)
     corrected["fct_api_requests"] = inputs["fct_api_requests"].filter(F.to_date("request_time") != F.lit(DROPPED_DAY))
     broken = MetricSpec(M.MAU, "platform", "dws_metric_value", lambda i, c: M.mau(
@@ -347,7 +349,7 @@ def q_metric_replace(spark, sf_dir):
     and the MAU rows are kept as they were.
     """
     inputs = _inputs(spark, sf_dir)
-    first, _ = run_metrics(reference_specs()[:2], inputs, M.EVENTS_MONTH)
+    first, _ = run_metrics(reference_specs()[:2], inputs, EVENTS_MONTH)
     corrected = dict(inputs)
     corrected["fct_api_requests"] = inputs["fct_api_requests"].filter(
         F.to_date("request_time") != F.lit(DROPPED_DAY))
@@ -377,7 +379,7 @@ def q_csv_roundtrip(spark, sf_dir):
 from . import catalog, customers, finance, growth, qos  # noqa: E402
 from ..streaming import incremental  # noqa: E402
 
-CTX = M.EVENTS_MONTH
+CTX = EVENTS_MONTH
 
 
 @query
@@ -652,14 +654,14 @@ def q_sql_mode_metrics(spark, sf_dir):
     wh = warehouse(spark, sf_dir)
     return sql_mode.run_sql_metrics(spark, {"fct_api_requests": wh.fct_api_requests,
                                             "fct_account_daily_snapshot": wh.fct_account_daily_snapshot},
-                                    M.EVENTS_MONTH)
+                                    EVENTS_MONTH)
 
 
 @query
 def q_run_sql_metrics(spark, sf_dir):
     """Entry B inside the runner: metrics given as SQL text, validated and published like any other."""
     store = MetricStore(spark, scratch_path(spark, "metric-store"))
-    run_metrics(sql_mode.SQL_SPECS, _inputs(spark, sf_dir), M.EVENTS_MONTH, store=store)
+    run_metrics(sql_mode.SQL_SPECS, _inputs(spark, sf_dir), EVENTS_MONTH, store=store)
     return store.read("dws_metric_value").drop("created_at")
 
 

@@ -21,11 +21,11 @@ def test_etl_then_calculation(spark):
     assert etl["dq"] == {r.check_name: r.value for r in Q.q_dq_stats(spark, SF).collect()}
     assert etl["loaded"]["fct_api_requests"] == Q.q_fct_api_requests(spark, SF).count()
 
-    report = run_calculation(spark, f"{base}/dw", f"{base}/store", M.EVENTS_MONTH, src.users)
+    report = run_calculation(spark, f"{base}/dw", f"{base}/store", Q.EVENTS_MONTH, src.users)
     assert {r.status for r in report.collect()} == {"ok"}
     stored = MetricStore(spark, f"{base}/store").read("dws_metric_value")
     assert sorted(map(tuple, stored.drop("created_at").collect())) == sorted(map(tuple, Q.q_run_all_metrics(spark, SF).collect()))
     # a second calculation run replaces, it does not add
-    run_calculation(spark, f"{base}/dw", f"{base}/store", M.EVENTS_MONTH, src.users)
+    run_calculation(spark, f"{base}/dw", f"{base}/store", Q.EVENTS_MONTH, src.users)
     again = MetricStore(spark, f"{base}/store").read("dws_metric_value")
     assert again.count() == stored.count()

@@ -48,15 +48,15 @@ def test_retention_month0_at_most_one(spark):
 def test_store_versions_and_failed_run(spark):
     store = MetricStore(spark, checkpoint_dir(spark) + "/store-test")
     inputs = Q._inputs(spark, SF_SMALL)
-    new = M.daily_platform_calls(inputs["fct_api_requests"], M.EVENTS_MONTH)
-    v1 = store.replace("dws_metric_value", new, M.daily_calls_scope(M.EVENTS_MONTH))
-    v2 = store.replace("dws_metric_value", new, M.daily_calls_scope(M.EVENTS_MONTH))
+    new = M.daily_platform_calls(inputs["fct_api_requests"], Q.EVENTS_MONTH)
+    v1 = store.replace("dws_metric_value", new, M.daily_calls_scope(Q.EVENTS_MONTH))
+    v2 = store.replace("dws_metric_value", new, M.daily_calls_scope(Q.EVENTS_MONTH))
     assert (v1, v2) == (1, 2)
     once = sorted(map(tuple, store.read("dws_metric_value").drop("created_at").collect()))
     assert once == sorted(map(tuple, new.collect()))  # replace twice == replace once
     bad = new.withColumn("metric_value", F.col("metric_value").cast("string"))
     try:
-        store.replace("dws_metric_value", bad, M.daily_calls_scope(M.EVENTS_MONTH))
+        store.replace("dws_metric_value", bad, M.daily_calls_scope(Q.EVENTS_MONTH))
         raise AssertionError("a result that does not fit the sink must be refused")
     except ValueError:
         pass
@@ -71,7 +71,7 @@ def test_runner_isolates_failures(spark):
 
     specs = Q.reference_specs()[:1] + [MetricSpec("x.broken", "platform", "dws_metric_value", boom,
                                                   M.daily_calls_scope)]
-    tables, report = run_metrics(specs, Q._inputs(spark, SF_SMALL), M.EVENTS_MONTH)
+    tables, report = run_metrics(specs, Q._inputs(spark, SF_SMALL), Q.EVENTS_MONTH)
     status = {r.metric_code: r.status for r in report.collect()}
     assert status == {"platform.daily.calls": "ok", "x.broken": "failed"}
     assert tables["dws_metric_value"].count() == 30
@@ -107,9 +107,9 @@ def test_all_metrics_rerun_is_idempotent(spark):
                   dim_status_code=wh.dim_status_code, fct_model_daily_snapshot=wh.fct_model_daily_snapshot,
                   leaderboard=Q.q_key_leaderboard(spark, sf), rfm=Q.q_rfm(spark, sf),
                   forecast=Q.q_profit_forecast(spark, sf))
-    once, report = run_metrics(Q.all_specs(), inputs, M.EVENTS_MONTH)
+    once, report = run_metrics(Q.all_specs(), inputs, Q.EVENTS_MONTH)
     assert {r.status for r in report.collect()} == {"ok"}
-    twice, _ = run_metrics(Q.all_specs(), inputs, M.EVENTS_MONTH, existing={k: v.cache() for k, v in once.items()})
+    twice, _ = run_metrics(Q.all_specs(), inputs, Q.EVENTS_MONTH, existing={k: v.cache() for k, v in once.items()})
     for sink in once:
         a = sorted(map(tuple, once[sink].collect()))
         assert a == sorted(map(tuple, twice[sink].collect())), sink
@@ -130,22 +130,22 @@ def test_approximate_options_stay_close(spark):
     from metricmart.plans import customers, qos
 
     wh = Q.warehouse(spark, SF_SMALL)
-    exact = {r.time_id: r.metric_value for r in M.mau(wh.fct_account_daily_snapshot, M.EVENTS_MONTH).collect()}
+    exact = {r.time_id: r.metric_value for r in M.mau(wh.fct_account_daily_snapshot, Q.EVENTS_MONTH).collect()}
     approx = {r.time_id: r.metric_value for r in
-              M.mau(wh.fct_account_daily_snapshot, M.EVENTS_MONTH, approximate=True).collect()}
+              M.mau(wh.fct_account_daily_snapshot, Q.EVENTS_MONTH, approximate=True).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[k] - v) <= 0.05 * v + 1 for k, v in exact.items())
     p95 = {r.model_id: r.p99_latency_ms for r in qos.p99_latency(wh.fct_api_requests, wh.dim_model,
-                                                                 M.EVENTS_MONTH, p=0.95).collect()}
+                                                                 Q.EVENTS_MONTH, p=0.95).collect()}
     pmax = {r.model_id: r.p99_latency_ms for r in qos.p99_latency(wh.fct_api_requests, wh.dim_model,
-                                                                  M.EVENTS_MONTH, p=1.0).collect()}
+                                                                  Q.EVENTS_MONTH, p=1.0).collect()}
     p_apx = {r.model_id: r.p99_latency_ms for r in qos.p99_latency(wh.fct_api_requests, wh.dim_model,
-                                                                   M.EVENTS_MONTH, approximate=True).collect()}
+                                                                   Q.EVENTS_MONTH, approximate=True).collect()}
     assert p95.keys() == p_apx.keys()
     # the sketch returns a data value near the top: between the exact P95 and the maximum
     assert all(p95[k] <= p_apx[k] <= pmax[k] for k in p_apx)
-    seg = customers.rfm(wh.fct_api_requests, M.EVENTS_MONTH, approximate=True)
-    assert seg.count() == customers.rfm(wh.fct_api_requests, M.EVENTS_MONTH).count()
+    seg = customers.rfm(wh.fct_api_requests, Q.EVENTS_MONTH, approximate=True)
+    assert seg.count() == customers.rfm(wh.fct_api_requests, Q.EVENTS_MONTH).count()
 
 
 def test_concurrent_materialize_equals_lazy_build(spark):

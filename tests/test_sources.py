@@ -179,7 +179,7 @@ def test_own_sql_metrics_are_validated_and_published(spark):
              sql_spec("bad", "platform", "dws_metric_value", "SELECT nothing FROM {nowhere}", scope)]
     things = spark.sql("SELECT timestamp_ntz'2024-01-03 10:00:00' AS at UNION ALL SELECT timestamp_ntz'2025-01-03 10:00:00'")
     store = MetricStore(spark, f"{checkpoint_dir(spark)}/own-{uuid.uuid4().hex[:8]}")
-    _, report = run_metrics(specs, {"things": things}, M.EVENTS_MONTH, store=store)
+    _, report = run_metrics(specs, {"things": things}, Q.EVENTS_MONTH, store=store)
     status = {r.metric_code: r for r in report.collect()}
     assert status["own"].status == "ok" and status["odd"].status == status["bad"].status == "failed" and "missing column" in status["odd"].error
     assert [(r.metric_code, r.metric_value) for r in store.read("dws_metric_value").collect()] == [("own", 1.0)]

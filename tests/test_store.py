@@ -190,7 +190,7 @@ def test_metric_that_fails_while_computed_is_left_out(spark, store):
         "metric_value", F.raise_error(F.concat(F.lit("x" * 600), F.lit("the end"))).cast("double")), lambda c: F.col("metric_code") == "b")
     store.append(VALUE, rows(spark, "b", ["2024-01-01"], 7))
     for kept in (store, None):
-        tables, report = run_metrics([bad, good], {"any": spark.range(1)}, M.EVENTS_MONTH, store=kept)
+        tables, report = run_metrics([bad, good], {"any": spark.range(1)}, Q.EVENTS_MONTH, store=kept)
         status = {r.metric_code: r for r in report.collect()}
         assert status["a"].status == "ok" and status["b"].status == "failed" and "the end" in status["b"].error
         assert ("a", 1.0) in {(r.metric_code, r.metric_value) for r in tables[VALUE].collect()}
@@ -202,7 +202,7 @@ def test_scoped_run_replaces_only_its_entities(spark, store):
     inputs = dict(Q._inputs(spark, SF), dim_model=wh.dim_model, fct_model_daily_snapshot=wh.fct_model_daily_snapshot,
                   users=wh.sources.users, dim_status_code=wh.dim_status_code)
     specs = [s for s in Q.all_specs() if s.metric_code in ("account.monthly.*", "model.daily.*", M.DAILY_CALLS)]
-    run_metrics(specs, inputs, M.EVENTS_MONTH, store=store)
+    run_metrics(specs, inputs, Q.EVENTS_MONTH, store=store)
     before = sorted(map(tuple, store.read(VALUE).drop("created_at").collect()))
     user = inputs["dim_account"].join(inputs["fct_api_requests"], "account_sk").select("user_id").first().user_id
     for scope in ({"model_ids": ["m1"]}, {"user_ids": [user]}):
