@@ -24,12 +24,13 @@ are exact but for 64-bit hash collisions. Neither points, links nor components c
 Defined results: null, empty and blank texts have no shingles and link with nothing (their component
 is their own id); a text of fewer than five words has one shingle; rows with one id are one node;
 a row without an id has component null; an empty table gives an empty result; other columns are
-ignored by ``link`` and kept by ``first_of_each``.
+ignored by ``link`` and kept by ``first_of_each``, which goes by texts alone.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -44,9 +45,10 @@ GROUPS = 128  # of the smallest sets, and of the trees
 RARITY_BITS = 16
 RARITY_GROUPS = 1 << RARITY_BITS
 SLAB = 4096
-PAIRWISE = 48  # points of a slab up to which all its pairs are looked at, without a tree
+PAIRWISE = 16  # points of a slab up to which it is a leaf, whose pairs are bounded directly
 CHUNK = 1 << 14  # points that a task looks at together
 FAN = 16  # children of a node
+_ID, _DIGEST = "__id", "__digest"
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -65,14 +67,23 @@ def count_vector(h: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount((h % np.uint64(groups)).astype(np.int64), minlength=groups), 255).astype(np.uint8)
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """A count vector for the shuffle: most counts are small, so it packs to a third."""
+    return zlib.compress(counts.tobytes(), 1)
+
+
+def unpacked(counts: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(counts), dtype=np.uint8)
+
+
 def folded(counts: np.ndarray, groups: int) -> np.ndarray:
     """The vector for fewer groups: theirs are unions of the finer ones."""
     return counts.reshape(-1, groups).sum(axis=0, dtype=np.int64)
 
 
 def overlap_bound(a: bytes, b: bytes) -> int:
-    """An upper bound on the overlap of two sets, at the finest grouping that both have."""
-    a, b = np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)
+    """An upper bound on the overlap of two sets (by packed counts), at the finest grouping that both have."""
+    a, b = unpacked(a), unpacked(b)
     if len(a) > len(b):
         a, b = b, a
     if b.max() == 255:  # cut off: says nothing
@@ -112,7 +123,7 @@ def points(docs: DataFrame) -> DataFrame:
             first = n - -(-PART * n // WHOLE) + 1 if n else 0
             order = np.lexsort((h, often[(h >> np.uint64(64 - RARITY_BITS)).astype(np.int64)]))[:first]
             counts = count_vector(h)
-            rows.append((set_id(h), n, hashlib.md5((text or "").encode("utf-8", "surrogatepass")).hexdigest(), counts.tobytes(), h[order].view(np.int64)))
+            rows.append((set_id(h), n, hashlib.md5((text or "").encode("utf-8", "surrogatepass")).hexdigest(), packed(counts), h[order].view(np.int64)))
         return [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * 5
 
     fields = StructType().add("sid", "long").add("n", "long").add("digest", "string").add("counts", "binary").add("keys", ArrayType(LongType()))
@@ -181,7 +192,7 @@ def _vectors(column) -> np.ndarray:
     """Count vectors folded to ``GROUPS``, as rows (a cut-off one passes every bound)."""
     out = np.empty((len(column), GROUPS), dtype=np.int64)
     for i, c in enumerate(column):
-        v = np.frombuffer(c, dtype=np.uint8)
+        v = unpacked(c)
         out[i] = folded(v, GROUPS) if v.max() < 255 else 1 << 40
     return out
 
@@ -318,8 +329,8 @@ def unconnected(slabs: DataFrame, slim: DataFrame) -> DataFrame:
     return dealt.mapInPandas(lambda batches: map(_slab_pairs, _whole_slabs(batches)), "a long, b long").distinct()
 
 
-def link(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(points, links)``: a row per document (see ``points``), and links ``a, b`` of set ids that join all that belongs together."""
     all_points = stored(points(docs), "points")
     sets = all_points.where("n > 0").groupBy("sid").agg(
         F.min(F.struct("doc_id", "digest")).alias("rep"), F.count("*").alias("copies"))
@@ -344,11 +355,17 @@ def link(docs: DataFrame) -> DataFrame:
     known = components(links, "stars")
     labelled = slabs.join(known.withColumnRenamed("id", "sid"), "sid", "left").select("slab", "sid", F.coalesce("component", "sid").alias("c"))
     more = stored(verified(unconnected(stored(labelled, "labelled"), slim), slim, docs, "tree"), "more")
+    return all_points, links.union(more)
+
+
+def link(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    all_points, links = linked_sets(docs)
     rows = all_points.select("doc_id", "sid", "n")
     # from sets to documents: a document is next to the smallest id of its set
     rep = stored(rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("rep")), "reps")
     ids = rep.select(F.col("sid").alias("a"), F.col("rep").alias("ra")), rep.select(F.col("sid").alias("b"), F.col("rep").alias("rb"))
-    edges = links.union(more).join(ids[0], "a").join(ids[1], "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    edges = links.join(ids[0], "a").join(ids[1], "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     own = rows.where("n > 0 AND doc_id IS NOT NULL").join(rep, "sid").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     final = components(edges.union(own), "documents")
     return rows.select("doc_id", F.col("n").alias("n_shingles")).join(final.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").select(
@@ -356,12 +373,26 @@ def link(docs: DataFrame) -> DataFrame:
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id."""
-    found = stored(link(docs), "linked")
-    rest = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "rest")
-    again = stored(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
-    kept = docs.join(sized(rest), "doc_id", "left_anti").select(*docs.columns)
-    if again.limit(1).count():  # rows that repeat an id: one of them
-        twice = kept.join(sized(again), "doc_id", "left_semi").withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
-        kept = kept.join(sized(again), "doc_id", "left_anti").select(*docs.columns).union(twice.where("_n = 1").select(*docs.columns))
-    return kept
+    """``docs`` with one document of each group of linked texts: the one with the smallest id (no id: after all
+    others), then the smallest digest of its text. Here texts decide alone: rows that share an id but not a
+    text stay apart, and rows without an id are compared like others. Of wholly equal rows (id and text) one stays;
+    texts without words are linked with nothing and all stay.
+    """
+    all_points, links = linked_sets(docs)
+    known = components(links, "sets")
+    rows = all_points.where("n > 0").select("doc_id", "sid", "digest").join(known.withColumnRenamed("id", "sid"), "sid", "left")
+    rows = stored(rows.select("doc_id", "digest", F.coalesce("component", "sid").alias("c")), "grouped")
+    first = rows.groupBy("c").agg(F.count("*").alias("size"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("first")).where("size > 1")
+    marked = rows.join(first, "c").withColumn("is_first", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest")))
+    marked = stored(marked.groupBy("doc_id", "digest").agg(F.max("is_first").alias("is_first"), F.count("*").alias("copies")), "marked")
+    keyed = docs.withColumns({_ID: F.col("doc_id"), _DIGEST: F.md5(F.coalesce("text", F.lit("")).cast("binary"))})
+    key = lambda other: keyed[_ID].eqNullSafe(other["doc_id"]) & (keyed[_DIGEST] == other["digest"])
+    rest = sized(marked.where("NOT is_first").select("doc_id", "digest"))
+    again = marked.where("is_first AND copies > 1").select("doc_id", "digest")
+    kept = keyed.join(rest, key(rest), "left_anti")
+    if again.limit(1).count():
+        again = sized(again)
+        keyed, one = kept, kept
+        once = kept.join(again, key(again), "left_semi").dropDuplicates([_ID, _DIGEST])
+        kept = one.join(again, key(again), "left_anti").unionByName(once)
+    return kept.select(*docs.columns)
