@@ -43,8 +43,8 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
         return {frozenset(s[i:i + 3] for i in range(len(s) - 2)) for s in strings}
 
     def walk(items):
-        """(strings that this can be exactly, or None; query for what came before them)"""
-        strings, query = {""}, {frozenset()}
+        """(all strings that this can be, and a query for none; or None, and a query for the whole)"""
+        strings, query, whole = {""}, {frozenset()}, True
         for op, arg in items:
             name, exact, inner = str(op), None, {frozenset()}
             if name == "LITERAL":
@@ -72,11 +72,11 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
                 query, strings = both(query, inner), {a + b for a in strings for b in exact}
             else:  # what was exact so far ends here
                 query = both(both(query, of(strings)), inner)
-                strings = exact if exact is not None else {""}
-        return strings, query
+                strings, whole = exact if exact is not None else {""}, False
+        return (strings, query) if whole else (None, both(query, of(strings)))
 
     strings, query = walk(parser.parse(pattern))
-    found = both(query, of(strings))
+    found = query if strings is None else both(query, of(strings))
     return sorted((x for x in found if not any(y < x for y in found)), key=sorted)
 
 

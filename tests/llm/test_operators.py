@@ -145,10 +145,19 @@ def test_jaccard_chains_and_thresholds(spark):
 
 
 def test_jaccard_keeps_one_of_each(spark, docs, awkward, no_docs):
-    kept = jaccard.first_of_each(docs).collect()
-    want = brute.jaccard([(r[0], r[1]) for r in awkward if r[0] is not None])
-    assert Counter(r.doc_id for r in kept if r.doc_id is not None) == Counter({c for _, _, c in want})
-    assert sum(r.doc_id is None for r in kept) == 2
+    kept = Counter((r.doc_id, r.text) for r in jaccard.first_of_each(docs).collect())
+    rows = [(r[0], r[1]) for r in awkward]
+    at = brute.jaccard([(i, t) for i, (_, t) in enumerate(rows)])  # each row its own node
+    groups, want = {}, Counter()
+    for (i, n, c) in at:
+        groups.setdefault((c, n == 0 and i), []).append(rows[i])
+    for members in groups.values():
+        want[min(members, key=lambda r: (r[0] is None, r[0] or 0, hashlib.md5((r[1] or "").encode()).hexdigest()))] += 1
+    assert kept == want
+    twice = spark.createDataFrame([(1, "a clean text of some six words"), (1, "and quite another one that has nothing in common"), (None, "no id but the same words here"),
+                                   (None, "no id but the same words here"), (2, "no id but the same words here"), (3, "x"), (3, "x"), (4, None), (4, None)], "doc_id long, text string")
+    got = Counter((r.doc_id, r.text) for r in jaccard.first_of_each(twice).collect())
+    assert got == Counter([(1, "a clean text of some six words"), (1, "and quite another one that has nothing in common"), (2, "no id but the same words here"), (3, "x"), (4, None), (4, None)])
     assert jaccard.link(no_docs).count() == 0 and jaccard.first_of_each(no_docs).count() == 0
 
 
@@ -373,7 +382,8 @@ def test_secrets_added_and_empty(spark, no_docs):
     assert secrets.report(no_docs).count() == 0
 
 
-@pytest.mark.parametrize("pattern, text", [("abc+d?ef", "abccef"), ("(foo|ba[rz])qux", "bazqux"), ("x?yz[01]w", "yz1w"), ("(ab){2}cd", "ababcd"), ("[a-z]+", "q"), (secrets.ASSIGN, "api_key=12345678")])
+@pytest.mark.parametrize("pattern, text", [("abc+d?ef", "abccef"), ("(foo|ba[rz])qux", "bazqux"), ("x?yz[01]w", "yz1w"), ("(ab){2}cd", "ababcd"), ("[a-z]+", "q"), ("ab([0-9]+)cd", "ab1cd"), ("ab[0-9]?cd", "ab1cd"), ("ab[0-9]?cd", "abcd"), ("x(ab|c[0-9]d)yz", "xc7dyz"),
+                                           ("(abc[0-9]*def)+ghi", "abc1defghi"), ("ab(c(d[0-9]e)f)gh", "abcd5efgh"), (secrets.ASSIGN, "api_key=12345678")])
 def test_trigram_queries_hold_for_matches(pattern, text):
     grams = {text[i:i + 3] for i in range(len(text) - 2)}
     assert any(q <= grams for q in secrets.trigram_query(pattern))
