@@ -9,7 +9,8 @@ import pytest
 import __spark_entry__ as E
 from paths import SF_SMALL
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark",
+          "labels", "conversations"]
 SF = os.environ.get("ORACLE_SF_DIR", SF_SMALL)
 
 
@@ -37,8 +38,7 @@ def con():
 
 
 def test_every_query_is_registered_with_an_oracle():
-    missing = {q for q in set(E.queries()) - set(E.oracle_sql()) if q.startswith("q_")}
-    assert missing == {"q_kmeans_segments"}  # iterative ML: rows-only check
+    assert not {q for q in set(E.queries()) - set(E.oracle_sql()) if q.startswith("q_")}
 
 
 def test_entry_smoke(spark):
@@ -59,8 +59,13 @@ def test_query_matches_duckdb(spark, con, name):
     assert _rows(df.columns, got) == _rows(want_cols, want)
 
 
-def test_kmeans_rows(spark):
-    df = E.queries()["q_kmeans_segments"](spark, SF)
-    rows = df.collect()
-    assert len(rows) == df.select("account_sk").distinct().count() > 0
-    assert {r.cluster for r in rows} <= set(range(4))
+def test_kmeans_of_few_accounts(spark):
+    """Fewer accounts than clusters, and none."""
+    from metricmart.plans import customers
+    from metricmart.plans import queries as Q
+
+    wh = Q.warehouse(spark, SF)
+    some = [r[0] for r in wh.fct_api_requests.select("account_sk").distinct().orderBy("account_sk").limit(2).collect()]
+    for keep, clusters in ((some, {0, 1}), ([], set())):
+        rows = customers.kmeans_segments(wh.fct_api_requests.filter(wh.fct_api_requests.account_sk.isin(keep)), wh.dim_status_code, Q.CTX).collect()
+        assert len(rows) == len(keep) and {r.cluster for r in rows} <= clusters
