@@ -1,17 +1,19 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact check.
 
-A window is as many words of a document as the benchmark item has (the whole document, if that is
-shorter). Windows that share no shingle with the item have similarity 0 and aren't built. The
+A window is as many words of a document as benchmark items of a size have (the whole document, if that
+is shorter). Windows without any shingle of these items have similarity 0 and aren't built. The
 others get a ``BITS``-bit SimHash of their shingles, weighted by count. The fingerprint is cut into
-``BLOCKS`` blocks; two fingerprints within ``RADIUS`` bits differ by at most ``RADIUS // BLOCKS`` bits
-in some block, so probing each block's values within that distance finds every item fingerprint within
-the radius. Survivors are decided by the exact weighted similarity: the sum of the smaller
-shingle counts over the sum of the larger ones, 0.8 or more. The radius is about five standard
-deviations above the distance that two texts at 0.8 are expected to have.
+``BLOCKS`` blocks. Of two fingerprints within ``RADIUS`` bits, some block differs by at most ``NEAR`` bits; more than
+that, fewer than ``AGREEING`` such blocks would leave over ``RADIUS`` bits to the others. So for each block and value a
+file lists the items (of the size) within ``NEAR`` bits of it, and the items that a window meets in ``AGREEING`` of its
+blocks' files are all within the radius, and a few more (one in seventy of unlike items), which the distance
+rules out. Survivors are decided by the exact weighted similarity: the sum of the smaller shingle counts over the
+sum of the larger ones, 0.8 or more. The radius is about five standard deviations above the
+distance that two texts at 0.8 are expected to have.
 
 Words and shingles are those of the near-duplicate operators (A-Z lower-cased, five words; an item or
 document of fewer words is one shingle). The benchmark's shingles go to the executors in chunks of
-at most ``CHUNK_WORDS`` words of items, one pass over the documents per chunk.
+at most ``CHUNK_WORDS`` words of items and ``CHUNK_ITEMS`` items, one pass over the documents per chunk.
 
 Defined results: null or empty items and texts match nothing; equal items each match; an item that
 matches at several places is given with its best similarity, then its first window; repeated
@@ -20,8 +22,6 @@ documents each give their rows; empty tables give an empty result; other columns
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +32,13 @@ from .common import SHINGLE, SIMILARITY, map_rows, mix, shingle_hashes, word_has
 BITS = 256
 BLOCKS = 32  # of 8 bits
 RADIUS = 66
+NEAR = RADIUS // BLOCKS
+AGREEING = BLOCKS - RADIUS // (NEAR + 1)
 CHUNK_WORDS = 2_000_000
+CHUNK_ITEMS = 50_000  # a kilobyte of block files each
+RUN = 4096  # windows that are looked at together
+PART, WHOLE = SIMILARITY
+BITS_SET = np.array([bin(v).count("1") for v in range(256)], dtype=np.uint8)
 
 
 def simhash_votes(hashes: np.ndarray) -> np.ndarray:
@@ -49,45 +55,47 @@ def fingerprints(votes: np.ndarray) -> np.ndarray:
     return np.packbits(votes > 0, axis=1)
 
 
-def _neighbours(distance: int) -> np.ndarray:
-    """Masks of all byte values with at most ``distance`` bits."""
-    return np.array([sum(1 << b for b in c) for d in range(distance + 1) for c in combinations(range(8), d)], dtype=np.uint8)
+class Group:
+    """The items of one size and their multi-index."""
+
+    def __init__(self, items: list[tuple]):
+        self.items = items  # (id, rows of it, hashes, counts)
+        self.prints = np.concatenate([fingerprints(simhash_votes(np.repeat(i[2], i[3])).sum(axis=0)[None, :]) for i in items])
+        values = np.arange(256, dtype=np.uint8)[:, None]
+        # block and value -> a bit for each item that is within NEAR bits of the value there
+        self.files = np.stack([np.packbits(BITS_SET[values ^ self.prints[None, :, b]] <= NEAR, axis=1) for b in range(BLOCKS)])
+
+    def within(self, prints: np.ndarray):
+        """All pairs of places (fingerprint, item) at most ``RADIUS`` bits apart, in order, found by the block files."""
+        n = len(self.items)
+        step = max(1, (1 << 20) // n)
+        for low in range(0, len(prints), step):
+            part = prints[low:low + step]
+            blocks = np.zeros((len(part), n), dtype=np.uint8)
+            for b in range(BLOCKS):
+                blocks += np.unpackbits(self.files[b][part[:, b]], axis=1, count=n)
+            p, k = np.nonzero(blocks >= AGREEING)
+            fine = BITS_SET[part[p] ^ self.prints[k]].sum(axis=1) <= RADIUS
+            yield from zip((low + p[fine]).tolist(), k[fine].tolist(), strict=True)
 
 
 class Index:
-    """Items' shingles by hash, and their fingerprints by block value."""
-
-    def __init__(self, items: list[tuple[int, str]]):
-        self.items = []  # (id, words, shingle width, hashes, counts)
-        prints = []
-        for item_id, text in items:
-            w = words_of(text)
-            if not w:
-                continue
-            h = shingle_hashes(word_hashes(w))
-            values, counts = np.unique(h, return_counts=True)
-            self.items.append((item_id, len(w), min(SHINGLE, len(w)), values, counts))
-            prints.append(fingerprints(simhash_votes(h).sum(axis=0)[None, :])[0])
-        self.prints = np.array(prints, dtype=np.uint8).reshape(len(prints), BLOCKS)
-        self.widths = sorted({i[2] for i in self.items})
-        self.by_width = {}
-        for width in self.widths:
-            pairs = sorted((int(v), k) for k, i in enumerate(self.items) if i[2] == width for v in i[3])
-            hashes = np.array([p[0] for p in pairs], dtype=np.uint64)
-            self.by_width[width] = (hashes, np.array([p[1] for p in pairs], dtype=np.int64))
-        # multi-index: block and value -> items, with all probes of an item's value entered beforehand
-        near = _neighbours(RADIUS // BLOCKS)
-        self.table: dict[tuple[int, int], set[int]] = {}
-        for k, p in enumerate(self.prints):
-            for block in range(BLOCKS):
-                for value in p[block] ^ near:
-                    self.table.setdefault((block, int(value)), set()).add(k)
-
-    def within(self, print_: np.ndarray, k: int) -> bool:
-        """Whether item ``k`` is found for this fingerprint through some block, and lies in the radius."""
-        if not any(k in self.table.get((b, int(v)), ()) for b, v in enumerate(print_)):
-            return False
-        return int(np.unpackbits(print_ ^ self.prints[k]).sum()) <= RADIUS
+    """Items by size, and the sizes that a shingle occurs in."""
+
+    def __init__(self, items: list[tuple[int, str, int]]):
+        by_size: dict[int, list[tuple]] = {}
+        for item_id, text, rows in items:
+            h = shingle_hashes(word_hashes(words := words_of(text)))
+            if words:
+                by_size.setdefault(len(words), []).append((item_id, rows, *np.unique(h, return_counts=True)))
+        self.groups = {size: Group(found) for size, found in sorted(by_size.items())}
+        self.shingles = {}  # width -> hashes and sizes of the items they occur in, in order
+        for width in sorted({min(SHINGLE, size) for size in self.groups}):
+            pairs = [(np.unique(np.concatenate([i[2] for i in g.items])), size) for size, g in self.groups.items() if min(SHINGLE, size) == width]
+            hashes = np.concatenate([h for h, _ in pairs])
+            sizes = np.repeat([size for _, size in pairs], [len(h) for h, _ in pairs])
+            order = np.argsort(hashes, kind="stable")
+            self.shingles[width] = hashes[order], sizes[order]
 
     def matches(self, text: str | None):
         """(item id, similarity, first word, words) of the best window of each matching item."""
@@ -95,61 +103,54 @@ class Index:
         if not words:
             return
         wh = word_hashes(words)
-        for width in self.widths:
-            hashes, owner = self.by_width[width]
+        for width, (hashes, sizes) in self.shingles.items():
             h = shingle_hashes(wh, width)
-            at = np.searchsorted(hashes, h)
-            hit = np.flatnonzero(hashes[np.minimum(at, len(hashes) - 1)] == h)
-            if not len(hit):
-                continue
-            places: dict[int, list[int]] = {}
-            for p in hit:
-                i = at[p]
-                while i < len(hashes) and hashes[i] == h[p]:
-                    places.setdefault(int(owner[i]), []).append(int(p))
-                    i += 1
-            for k, found in sorted(places.items()):
-                best = self._best(k, h, found, len(words), width)
-                if best:
-                    yield (self.items[k][0], *best)
-
-    def _best(self, k: int, h: np.ndarray, found: list[int], n_words: int, width: int):
-        _, size, _, values, counts = self.items[k]
-        size = min(size, n_words)
-        span = size - width + 1  # shingles in a window
-        if span < 1:
-            return None
+            low, high = np.searchsorted(hashes, h, side="left"), np.searchsorted(hashes, h, side="right")
+            many = high - low
+            places = np.repeat(np.arange(len(h)), many)
+            found = sizes[np.arange(len(places)) + np.repeat(low - (np.cumsum(many) - many), many)]
+            for size in np.unique(found):
+                group = self.groups[int(size)]
+                span = min(int(size), len(words)) - width + 1  # shingles in a window
+                if span < 1 or WHOLE * span < PART * (int(size) - width + 1):
+                    continue
+                for k, (similarity, start) in sorted(self._best(group, h, places[found == size], span).items()):
+                    for _ in range(group.items[k][1]):
+                        yield group.items[k][0], similarity, start, span + width - 1
+
+    @staticmethod
+    def _best(group: Group, h: np.ndarray, places: np.ndarray, span: int) -> dict[int, tuple[float, int]]:
+        """Item -> similarity and start of its best window, of those that hold a shingle at one of ``places``."""
         top = len(h) - span
-        starts = sorted({s for p in found for s in range(max(0, p - span + 1), min(p, top) + 1)})
-        best = None
-        low = 0
-        while low < len(starts):  # runs of neighbouring windows share running sums
-            high = low
-            while high + 1 < len(starts) and starts[high + 1] == starts[high] + 1 and high - low < 4096:
-                high += 1
-            first = starts[low]
-            part = h[first:starts[high] + span]
-            sums = np.concatenate([np.zeros((1, BITS), dtype=np.int32), np.cumsum(simhash_votes(part), axis=0, dtype=np.int32)])
-            prints = fingerprints(sums[span:] - sums[:len(sums) - span])
-            for i, p in enumerate(prints):
-                if self.within(p, k):
+        mark = np.zeros(top + 2, dtype=np.int64)
+        np.add.at(mark, np.maximum(0, places - span + 1), 1)
+        np.add.at(mark, np.minimum(places, top) + 1, -1)
+        starts = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
+        best: dict[int, tuple[float, int]] = {}
+        # runs of neighbouring windows share running sums
+        for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
+            for first, last in ((int(r[0]), int(r[-1])) for r in np.split(run, range(RUN, len(run), RUN))):
+                part = h[first:last + span]
+                sums = np.concatenate([np.zeros((1, BITS), dtype=np.int32), np.cumsum(simhash_votes(part), axis=0, dtype=np.int32)])
+                for i, k in group.within(fingerprints(sums[span:] - sums[:len(sums) - span])):
+                    _, _, values, counts = group.items[k]
                     got, n = np.unique(part[i:i + span], return_counts=True)
                     _, a, b = np.intersect1d(got, values, assume_unique=True, return_indices=True)
                     both = int(np.minimum(n[a], counts[b]).sum())
                     union = int(n.sum() + counts.sum()) - both
-                    if both * SIMILARITY[1] >= SIMILARITY[0] * union and (best is None or both / union > best[0]):
-                        best = (both / union, first + i, size)
-            low = high + 1
+                    if both * WHOLE >= PART * union and (k not in best or both / union > best[k][0]):
+                        best[k] = both / union, first + i
         return best
 
 
 def _chunks(benchmark: DataFrame):
-    """Items to the driver in chunks of bounded size (at least one item each)."""
-    sized = benchmark.where(F.col("text").isNotNull()).select("item_id", "text", F.size(F.split("text", r"\s+")).cast("long").alias("w"))
-    total = sized.agg(F.sum("w")).first()[0] or 0
-    n = -(-total // CHUNK_WORDS)
+    """Items (id, text, rows of it) to the driver in chunks of bounded size (at least one item each)."""
+    rows = benchmark.where(F.col("text").isNotNull()).groupBy("item_id", "text").agg(F.count("*").alias("rows"))
+    total = rows.agg(F.sum(F.size(F.split("text", r"\s+"))).alias("words"), F.count("*").alias("items")).first()
+    n = max(-(-(total.words or 0) // CHUNK_WORDS), -(-total.items // CHUNK_ITEMS))
     for i in range(n):
-        yield [(r.item_id, r.text) for r in sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).orderBy("item_id", "text").collect()]
+        part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)
+        yield [(r.item_id, r.text, r.rows) for r in part.orderBy("item_id", "text").collect()]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

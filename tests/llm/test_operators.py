@@ -336,6 +336,33 @@ def test_decontamination(spark, awkward, no_docs):
     assert decontam.contaminated(no_docs, bench).count() == 0
 
 
+def test_block_files_find_all_fingerprints_within_the_radius():
+    rng = np.random.default_rng(6)
+    items = [(i, 1, *np.unique(rng.integers(0, 1 << 63, 30).astype(np.uint64), return_counts=True)) for i in range(50)]
+    group = decontam.Group(items)
+    bits = np.unpackbits(group.prints, axis=1)
+    prints = []
+    for i in range(2000):  # 50 to 79 bits off some item, at random or as unevenly as can be
+        off = int(rng.integers(50, 80))
+        flip = rng.permutation(256)[:off] if i % 2 else (np.arange(off) + int(rng.integers(0, 256))) % 256
+        p = bits[i % 50].copy()
+        p[flip] ^= 1
+        prints.append(np.packbits(p))
+    prints = np.array(prints)
+    away = (np.unpackbits(prints, axis=1)[:, None] != bits[None]).sum(axis=2)
+    assert list(group.within(prints)) == [tuple(x) for x in np.argwhere(away <= decontam.RADIUS).tolist()]
+
+
+def test_decontamination_in_chunks(spark, monkeypatch):
+    text = "a passage of the benchmark that some document holds from its first word to its last"
+    docs = spark.createDataFrame([(1, f"before {text} after"), (2, "nothing of it")], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, text) for i in range(20)] + [(3, text)], "item_id long, text string")
+    monkeypatch.setattr(decontam, "CHUNK_ITEMS", 3)
+    assert len([c for c in decontam._chunks(bench) if c]) > 2
+    assert sorted(r.item_id for r in decontam.contaminated(docs, bench).collect()) == sorted([*range(20), 3])
+    assert [r.doc_id for r in decontam.clean(docs, bench).collect()] == [2]
+
+
 def test_decontamination_of_the_table(spark):
     d, b = table(spark, "documents"), table(spark, "benchmark")
     want = plain_contaminated([(r.doc_id, r.text) for r in d.collect()], [(r.item_id, r.text) for r in b.collect()])
