@@ -5,13 +5,15 @@ in turn (cyclic, small steps), which adds up to one lookup table per feature; th
 pairs with the largest residual gain get a table of their own in the same way. A score is the
 sigmoid of the intercept plus one entry per table, added for a whole batch at once.
 
-Fit on a bounded sample of labelled rows (``SAMPLE_ROWS`` in expectation, by a hash of the id).
-Every text is featurised and scored whole.
+Fit on a bounded sample of labelled documents (``SAMPLE_ROWS`` ids in expectation, by a hash of the id; each comes
+to the driver as one row of features with its numbers of labels 0 and 1). Every text is featurised and
+scored whole.
 
 Defined results: null and empty texts have all-zero features and are scored like any other; with
-no labelled rows every score is 0.5; labels other than 0 and 1 are ignored; a document labelled
-more than once counts each time; ties and repeated rows each give a row; an empty table gives
-an empty result; other columns are ignored.
+no labelled rows every score is 0.5; labels other than 0 and 1, and those without an id, are ignored; a
+document labelled more than once counts with each label; of documents that share an id the smallest features are
+learnt from; ties and repeated rows each give a row; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -68,12 +70,13 @@ def features(text: str | None) -> list[float]:
 class Additive:
     """Intercept, cut points, one table per feature and per chosen pair."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray):
+    def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None):
+        weight = np.ones(len(y)) if weight is None else weight
         self.cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) if len(x) else np.zeros(0) for j in range(len(FEATURES))]
         self.tables = [np.zeros(len(c) + 1) for c in self.cuts]
         self.pairs: list[tuple[int, int]] = []
         self.pair_tables: list[np.ndarray] = []
-        rate = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.5
+        rate = float(np.clip((weight * y).sum() / weight.sum(), 1e-3, 1 - 1e-3)) if len(y) else 0.5
         self.intercept = math.log(rate / (1 - rate))
         if not len(y) or y.min() == y.max():
             return
@@ -81,7 +84,7 @@ class Additive:
         score = np.full(len(y), self.intercept)
         for _ in range(ROUNDS):
             for j in range(len(FEATURES)):
-                step = self._tree(bins[:, j], len(self.tables[j]), y, score)
+                step = self._tree(bins[:, j], len(self.tables[j]), y, score, weight)
                 self.tables[j] += step
                 score += step[bins[:, j]]
         coarse = [self._coarse(bins[:, j], j) for j in range(len(FEATURES))]
@@ -89,8 +92,8 @@ class Additive:
         gains = []
         for i, j in combinations(range(len(FEATURES)), 2):
             cell = coarse[i] * PAIR_BINS + coarse[j]
-            g = np.bincount(cell, y - p, PAIR_BINS ** 2)
-            h = np.bincount(cell, p * (1 - p), PAIR_BINS ** 2) + 1.0
+            g = np.bincount(cell, weight * (y - p), PAIR_BINS ** 2)
+            h = np.bincount(cell, weight * p * (1 - p), PAIR_BINS ** 2) + 1.0
             gains.append((-(g * g / h).sum(), i, j))
         self.pairs = [(i, j) for _, i, j in sorted(gains)[:PAIRS]]
         self.pair_tables = [np.zeros(PAIR_BINS ** 2) for _ in self.pairs]
@@ -98,18 +101,18 @@ class Additive:
             for k, (i, j) in enumerate(self.pairs):
                 cell = coarse[i] * PAIR_BINS + coarse[j]
                 p = 1 / (1 + np.exp(-score))
-                g = np.bincount(cell, y - p, PAIR_BINS ** 2)
-                h = np.bincount(cell, p * (1 - p), PAIR_BINS ** 2)
+                g = np.bincount(cell, weight * (y - p), PAIR_BINS ** 2)
+                h = np.bincount(cell, weight * p * (1 - p), PAIR_BINS ** 2)
                 step = RATE * g / (h + 5.0)
                 self.pair_tables[k] += step
                 score += step[cell]
 
     @staticmethod
-    def _tree(bin_of: np.ndarray, size: int, y: np.ndarray, score: np.ndarray) -> np.ndarray:
+    def _tree(bin_of: np.ndarray, size: int, y: np.ndarray, score: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """One tree of at most ``LEAVES`` leaves on one binned feature, as a step for its table."""
         p = 1 / (1 + np.exp(-score))
-        g = np.concatenate([[0.0], np.cumsum(np.bincount(bin_of, y - p, size))])
-        h = np.concatenate([[0.0], np.cumsum(np.bincount(bin_of, p * (1 - p), size))])
+        g = np.concatenate([[0.0], np.cumsum(np.bincount(bin_of, weight * (y - p), size))])
+        h = np.concatenate([[0.0], np.cumsum(np.bincount(bin_of, weight * p * (1 - p), size))])
         leaf = lambda a, b: (g[b] - g[a]) ** 2 / (h[b] - h[a] + 1.0)
         leaves = [(0, size)]
         while len(leaves) < LEAVES:
@@ -149,12 +152,15 @@ def featurise(docs: DataFrame) -> DataFrame:
 
 def fit(rows: DataFrame, labels: DataFrame, name: str = "quality") -> Additive:
     """``rows``: doc_id and x; ``labels``: doc_id and the 0/1 column ``name``. Bounded sample."""
-    lab = labels.where(F.col(name).isin(0, 1)).select("doc_id", F.col(name).cast("int").alias("y"))
+    lab = labels.where(F.col(name).isin(0, 1) & F.col("doc_id").isNotNull())
+    lab = stored(lab.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.col(name).cast("long")).alias("ones")), "labels")
     share = min(1.0, SAMPLE_ROWS / max(lab.count(), 1))
     lab = lab.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < math.ceil(share * (1 << 30)))
-    got = sorted((r.doc_id, r.y, tuple(r.x)) for r in rows.join(lab, "doc_id").select("doc_id", "y", "x").collect())
+    one = rows.join(lab, "doc_id").groupBy("doc_id", "n", "ones").agg(F.min("x").alias("x"))
+    got = [(r.doc_id, y, tuple(r.x), w) for r in one.collect() for y, w in ((0, r.n - r.ones), (1, r.ones)) if w]
+    got.sort()
     x = np.array([g[2] for g in got], dtype=np.float64).reshape(len(got), len(FEATURES))
-    return Additive(x, np.array([g[1] for g in got], dtype=np.float64))
+    return Additive(x, *(np.array([g[i] for g in got], dtype=np.float64) for i in (1, 3)))
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import unicodedata
 from collections import Counter
 
@@ -475,3 +476,37 @@ def test_quality(spark, docs, awkward, no_docs):
     assert len(rows) == len(awkward) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
     assert {r.score for r in quality.quality_report(docs, few.limit(0)).collect()} == {0.5}
     assert quality.quality_report(no_docs, few).count() == 0
+
+
+def test_quality_scores_row_by_row(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, len(quality.FEATURES)))
+    model = quality.Additive(x, (x[:, 0] * x[:, 1] + x[:, 2] > 0).astype(float))
+    assert model.pairs
+
+    def place(j, value):
+        return sum(1 for cut in model.cuts[j] if cut <= value)
+
+    def plain(row):
+        total = model.intercept + sum(float(t[place(j, row[j])]) for j, t in enumerate(model.tables))
+        for (i, j), t in zip(model.pairs, model.pair_tables, strict=True):
+            a, b = (place(f, row[f]) * quality.PAIR_BINS // len(model.tables[f]) for f in (i, j))
+            total += float(t[a * quality.PAIR_BINS + b])
+        return 1 / (1 + math.exp(-total))
+
+    others = rng.normal(size=(100, len(quality.FEATURES))) * 3
+    assert np.allclose(model.score(others), [plain(r) for r in others], rtol=0, atol=1e-12)
+
+
+def test_quality_of_a_document_with_very_many_labels(spark):
+    docs = spark.createDataFrame([(i, "good words here. " * 5 if i % 2 else "@@@ 000 @@@") for i in range(40)] + [(1, "good words here. " * 5)] * 3, "doc_id long, text string")
+    rows = quality.featurise(docs)
+    labels = [(i, i % 2) for i in range(40)]
+    hot = spark.createDataFrame(labels + [(1, 1)] * 2000 + [(1, 0)] * 10, "doc_id long, quality int")
+    model = quality.fit(rows, hot)
+    x = np.array([r.x for r in rows.where("doc_id IN (1, 2)").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()])
+    good, bad = model.score(x)
+    assert good > 0.95 and bad < 0.5
+    once, again = (quality.fit(rows, spark.createDataFrame(some, "doc_id long, quality int")) for some in (labels, labels[::-1]))
+    assert np.array_equal(once.score(x), again.score(x))
+    assert once.intercept == 0.0  # a document that is there several times counts once
