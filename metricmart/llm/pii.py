@@ -4,12 +4,12 @@ High-recall generators propose spans that may overlap. A candidate's normalised
 separators and a missing plus put right) must pass the base checks of its kind, and it must not be cut
 out of a longer word or number (``form``). A form that passes is labelled personal data unless a word
 before it says that it is something else (``against``: version, invoice, ...), or it is a number without
-'+' that no word before it calls a phone. Boosted trees learn these labels on candidates of a bounded
-sample of documents (``SAMPLE_DOCS`` in expectation) from shape and other surroundings only: nothing
+'+' that no word before it calls a phone. Boosted trees learn these labels on the candidates of half of all
+distinct texts (by a hash of the text) from shape and other surroundings only: nothing
 that makes a label is a feature. Only candidates that pass, have no word against them and overlap no
-base span may be added; the score above which such candidates and base spans in the held-out half of the
-sample are at least ``PRECISION`` pure is the kind's threshold, and those above it are added. Base spans
-always stay. The trees are applied as one nested conditional expression inside each row, so whole
+base span may be added; the score above which such candidates and base spans in the other, held-out half
+are at least ``PRECISION`` pure is the kind's threshold, and those above it are added. Base spans
+always stay. For the fit, candidates that look alike are one row with a weight; no text is shuffled for it. The trees are applied as one nested conditional expression inside each row, so whole
 texts are scanned where they lie and nothing is shuffled.
 
 Defined results: null and empty texts have no spans; with no candidates nothing is added; where all are
@@ -32,7 +32,6 @@ from .common import stored
 from .spans import find, in_order, joined, no_spans
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS = 10_000
 TREES = 10
 DEPTH = 3
 PRECISION = 0.98
@@ -150,25 +149,29 @@ def _nested(node) -> float | tuple:
 
 
 def fit(docs: DataFrame, text: str = "text") -> Model:
-    """Trees and thresholds from the candidates of a bounded sample of documents."""
-    share = min(1.0, SAMPLE_DOCS / max(docs.count(), 1))
-    sample = docs.where(F.pmod(F.xxhash64(text), F.lit(1 << 30)) < math.ceil(share * (1 << 30))).select(F.col(text).alias("t")).distinct()
-    both = sample.select(base_spans(F.col("t")).alias("base"), candidates(F.col("t")).alias("c"), F.pmod(F.xxhash64("t", F.lit(5)), F.lit(2)).alias("half"))
+    """Trees and thresholds from the candidates of all documents; equal texts count once."""
+    both = docs.select(F.col(text).alias("t")).select(
+        F.md5(F.col("t").cast("binary")).alias("digest"), base_spans(F.col("t")).alias("base"), candidates(F.col("t")).alias("c"),
+        F.pmod(F.xxhash64("t", F.lit(5)), F.lit(2)).alias("half"))
     # a base span of its kind, or one that may be added: what overlaps other base spans never is
     apart = ~F.exists("base", lambda b: (b["start"] < F.col("c.end")) & (F.col("c.start") < b["end"])
                       & ~((b["kind"] == F.col("c.kind")) & (b["start"] == F.col("c.start")) & (b["end"] == F.col("c.end"))))
-    rows = both.select("half", F.explode("c").alias("c"), "base").where(apart).select(
-        "half", "c.kind", "c.x", (F.col("c.form") & ~F.col("c.against")).alias("able"), F.when(F.col("c.personal"), 1.0).otherwise(0.0).alias("y"))
-    rows = rows.select("half", "kind", "able", "y", "x", *[F.get("x", F.lit(i)).alias(n + "_f") for i, n in enumerate(FEATURES)])
-    rows = stored(VectorAssembler(inputCols=[n + "_f" for n in FEATURES], outputCol="features").transform(rows).select("half", "kind", "able", "y", "x", "features").coalesce(2), "candidates")
+    rows = both.select("digest", "half", F.explode("c").alias("c"), "base").where(apart).select(
+        "digest", "half", "c.kind", "c.start", "c.x", (F.col("c.form") & ~F.col("c.against")).alias("able"), F.when(F.col("c.personal"), 1.0).otherwise(0.0).alias("y")).distinct()
+    rows = rows.groupBy("half", "kind", "able", "y", "x").agg(F.count("*").cast("double").alias("n"))
+    rows = rows.select("*", *[F.get("x", F.lit(i)).alias(name + "_f") for i, name in enumerate(FEATURES)])
+    rows = stored(VectorAssembler(inputCols=[name + "_f" for name in FEATURES], outputCol="features").transform(rows).select("half", "kind", "able", "y", "x", "n", "features"), "candidates")
     train = rows.where("half = 0")
     model = Model([], [], {}, checked=True)
-    if train.select("y").distinct().count() == 2:
-        got = GBTClassifier(labelCol="y", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=1).fit(train)
+    seen = {r.y: r["count"] for r in train.groupBy("y").count().collect()}
+    if len(seen) == 2:
+        # where a feature may be cut is drawn from a sample of the rows, unless there are at most the square of this
+        bins = max(32, math.isqrt(sum(seen.values()) - 1) + 1)
+        got = GBTClassifier(labelCol="y", featuresCol="features", weightCol="n", maxIter=TREES, maxDepth=DEPTH, maxBins=bins, stepSize=0.3, seed=1).fit(train)
         model.trees = [_nested(t._java_obj.rootNode()) if hasattr(t, "_java_obj") else _nested(t._call_java("rootNode")) for t in got.trees]
         model.weights = [float(w) for w in got.treeWeights]
     # one row per kind and score; walked from the top, the lowest score whose set is still pure enough
-    tally = rows.where("half = 1 AND able").groupBy("kind", F.round(model.margin(F.col("x")), 6).alias("m")).agg(F.sum("y").alias("yes"), F.count("*").alias("n")).collect()
+    tally = rows.where("half = 1 AND able").groupBy("kind", F.round(model.margin(F.col("x")), 6).alias("m")).agg(F.sum(F.col("y") * F.col("n")).alias("yes"), F.sum("n").alias("n")).collect()
     for kind in KINDS:
         yes = n = 0.0
         for r in sorted((r for r in tally if r.kind == kind), key=lambda r: -r.m):

@@ -241,6 +241,14 @@ def test_pii_adds_loose_forms_and_leaves_other_numbers(spark):
         assert not any(x in s["match"] for s in r.base for x in other[r.doc_id])
 
 
+def test_pii_learns_from_all_documents(spark):
+    """A form that one document in five hundred bears has support enough over all of them, in which copies count once."""
+    filler = spark.range(60_000).select("id", F.concat(F.lit("plain words of text "), F.col("id").cast("string"), F.lit("x")).alias("text"))
+    loose = spark.range(120).select("id", F.concat(F.lit("so call ("), (F.col("id") + 200).cast("string"), F.lit(") 010-1234 soon")).alias("text"))
+    copies = spark.range(500).select("id", F.lit("so write to jo (at) site (dot) org soon").alias("text"))
+    assert set(pii.fit(filler.union(loose).union(copies)).thresholds) == {"phone"}
+
+
 # ---- 5: repeats
 
 def test_repeats(spark, awkward):
