@@ -48,6 +48,8 @@ SLAB = 4096
 PAIRWISE = 16  # points of a slab up to which it is a leaf, whose pairs are bounded directly
 CHUNK = 1 << 14  # points that a task looks at together
 FAN = 16  # children of a node
+STEP = 1 << 10  # pairs of nodes that a task compares at a time
+HELD = 1 << 18  # pairs of points that a task holds before it hands them on
 _ID, _DIGEST = "__id", "__digest"
 
 
@@ -155,27 +157,26 @@ class Tree:
             return
         stack = [(depth - 1, np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64))]
         while stack:
-            level, a, b = stack.pop()
-            for s in range(0, len(a), 8192):
-                x, y = a[s:s + 8192], b[s:s + 8192]
-                ta, la, ha = self.levels[min(level, len(self.levels) - 1)]
-                tb, lb, hb = other.levels[min(level, len(other.levels) - 1)]
-                fits = (WHOLE * ha[x] >= PART * lb[y]) & (WHOLE * hb[y] >= PART * la[x])
-                x, y = x[fits], y[fits]
-                fits = possible(np.minimum(ta[x], tb[y]).sum(axis=1), la[x] + lb[y])
-                x, y = x[fits], y[fits]
-                if not len(x):
-                    continue
-                if not level:
-                    yield self.order[x], other.order[y]
-                    continue
-                ca = self._children(level, x)
-                cb = other._children(level, y)
-                ia = np.repeat(ca, FAN, axis=1).ravel()
-                ib = np.tile(cb, (1, FAN)).ravel()
-                keep = (ia >= 0) & (ib >= 0)
-                pairs = np.unique(np.stack([ia[keep], ib[keep]]), axis=1)
-                stack.append((level - 1, pairs[0], pairs[1]))
+            level, x, y = stack.pop()
+            if len(x) > STEP:  # the rest waits until all below the first is done, so that a level waits with one block's children at most
+                stack.append((level, x[STEP:], y[STEP:]))
+                x, y = x[:STEP], y[:STEP]
+            ta, la, ha = self.levels[min(level, len(self.levels) - 1)]
+            tb, lb, hb = other.levels[min(level, len(other.levels) - 1)]
+            fits = (WHOLE * ha[x] >= PART * lb[y]) & (WHOLE * hb[y] >= PART * la[x])
+            x, y = x[fits], y[fits]
+            fits = possible(np.minimum(ta[x], tb[y]).sum(axis=1), la[x] + lb[y])
+            x, y = x[fits], y[fits]
+            if not len(x):
+                continue
+            if not level:
+                yield self.order[x], other.order[y]
+                continue
+            ca, cb = self._children(level, x), other._children(level, y)
+            ia = np.repeat(ca, FAN, axis=1).ravel()
+            ib = np.tile(cb, (1, FAN)).ravel()
+            keep = (ia >= 0) & (ib >= 0)  # a child has one parent, so no pair comes twice
+            stack.append((level - 1, ia[keep], ib[keep]))
 
     def _children(self, level: int, nodes: np.ndarray) -> np.ndarray:
         """Places of the children one level down (-1: none); a lower tree waits at its root."""
@@ -248,16 +249,17 @@ def _pairs_in_groups(size: np.ndarray, begin: np.ndarray):
             yield (f + x).ravel(), (f + y).ravel()
 
 
-def _slab_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of whole slabs (or pieces of them) that may link and aren't connected, once each."""
+def _slab_pairs(pdf: pd.DataFrame):
+    """Pairs of whole slabs (or pieces of them) that may link and aren't connected, in frames of about ``HELD`` at most, once each in a frame."""
     sid, c, n = pdf["sid"].to_numpy(), pdf["c"].to_numpy(), pdf["n"].to_numpy()
     counts, fine = _vectors(pdf["counts"]), pdf["counts"].to_numpy()
     group = pdf[["slab", "i", "j"]].to_numpy()
     begin = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]).any(axis=1)]))
     size = np.diff(np.concatenate([begin, [len(pdf)]]))
-    found = []
+    found, held = [], 0
 
     def keep(x, y, bound_too):
+        nonlocal held
         fits = (c[x] != c[y]) & (sid[x] != sid[y]) & (WHOLE * np.minimum(n[x], n[y]) >= PART * np.maximum(n[x], n[y]))
         x, y = x[fits], y[fits]
         if bound_too and len(x):
@@ -266,10 +268,24 @@ def _slab_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         if len(x):
             swap = sid[x] > sid[y]
             found.append(np.stack([np.where(swap, y, x), np.where(swap, x, y)]))
+            held += len(x)
+
+    def frame():
+        nonlocal held
+        x, y = np.concatenate(found, axis=1)
+        found.clear()
+        held = 0
+        _, once = np.unique(np.stack([sid[x], sid[y]]), axis=1, return_index=True)
+        x, y = x[once], y[once]
+        bound = np.fromiter(map(overlap_bound, fine[x], fine[y]), dtype=np.int64, count=len(x))
+        fits = possible(bound, n[x] + n[y])
+        return pd.DataFrame({"a": sid[x[fits]], "b": sid[y[fits]]})
 
     small = (size <= PAIRWISE) & (group[begin, 1] == group[begin, 2])
     for x, y in _pairs_in_groups(size[small], begin[small]):
         keep(x, y, True)
+        if held >= HELD:
+            yield frame()
     piece = pdf["piece"].to_numpy()
     for b, k in zip(begin[~small], size[~small], strict=True):
         own = np.arange(b, b + k)
@@ -277,15 +293,13 @@ def _slab_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = Tree(counts[left], n[left])
         other = tree if group[b, 1] == group[b, 2] else Tree(counts[right], n[right])
         for x, y in tree.join(other):
+            if other is tree:  # which gives each pair both ways
+                x, y = x[x < y], y[x < y]
             keep(left[x], right[y], False)
-    if not found:
-        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-    x, y = np.concatenate(found, axis=1)
-    _, once = np.unique(np.stack([sid[x], sid[y]]), axis=1, return_index=True)
-    x, y = x[once], y[once]
-    bound = np.fromiter(map(overlap_bound, fine[x], fine[y]), dtype=np.int64, count=len(x))
-    fits = possible(bound, n[x] + n[y])
-    return pd.DataFrame({"a": sid[x[fits]], "b": sid[y[fits]]})
+            if held >= HELD:
+                yield frame()
+    if held:
+        yield frame()
 
 
 def _whole_slabs(batches):
@@ -326,7 +340,7 @@ def tasks(slabs: DataFrame, slim: DataFrame) -> DataFrame:
 def unconnected(slabs: DataFrame, slim: DataFrame) -> DataFrame:
     """Pairs of points in one slab that may link and whose components (``c``) differ, by R-tree."""
     dealt = tasks(slabs, slim).repartition("slab", "i", "j").sortWithinPartitions("slab", "i", "j", "sid")
-    return dealt.mapInPandas(lambda batches: map(_slab_pairs, _whole_slabs(batches)), "a long, b long").distinct()
+    return dealt.mapInPandas(lambda batches: (pairs for pdf in _whole_slabs(batches) for pairs in _slab_pairs(pdf)), "a long, b long").distinct()
 
 
 def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

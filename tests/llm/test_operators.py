@@ -3,11 +3,13 @@
 import base64
 import hashlib
 import math
+import tracemalloc
 import unicodedata
 from collections import Counter
 
 import brute
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -177,6 +179,27 @@ def test_rtree_join_loses_no_pair():
         assert found == want
 
 
+def test_pairs_of_a_large_group_are_found_in_bounded_memory():
+    """One slab of near copies, all of which may link: neither the tree's nodes nor the pairs found are held at once."""
+    rng = np.random.default_rng(11)
+    n, size = 1500, 200
+    counts = np.stack([np.bincount(rng.integers(0, jaccard.GROUPS, 4), minlength=jaccard.GROUPS) for _ in range(n)]) + 2
+    pdf = pd.DataFrame({"slab": 1, "i": 0, "j": 0, "piece": 0, "sid": np.arange(n), "c": np.arange(n), "n": size,
+                        "counts": [jaccard.packed(c.astype(np.uint8)) for c in counts]})
+    held = seen = 0
+    tracemalloc.start()
+    try:
+        got = jaccard._slab_pairs(pdf)
+        for frame in [got] if isinstance(got, pd.DataFrame) else got:
+            held, seen = max(held, len(frame)), seen + len(frame)
+            assert (frame["a"] < frame["b"]).all()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert seen >= n * (n - 1) // 2
+    assert held <= jaccard.HELD + jaccard.STEP and peak < 60e6, (held, peak)
+
+
 def test_large_slabs_pair_only_points_beside_the_largest_component(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "SLAB", 4)
     points = [(1, s, 7) for s in range(200)] + [(1, 200, 8)] + [(2, s, 5) for s in range(6)] + [(3, s, s % 5) for s in range(23)]
