@@ -11,6 +11,7 @@ import brute
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -483,6 +484,27 @@ def test_no_word_is_cut_and_rare_languages_come_in_whole(spark, monkeypatch):
     assert {"zzyx", "жук"} <= words and model.langs == ["en", "ru"] and model.predict(["жук", "word"])[0] == ["ru", "en"]
 
 
+def test_language_is_learned_from_every_document(spark, monkeypatch):
+    """No sample: each word stands in one document only. A model that holds few words as they are counts the others too."""
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 40)
+    monkeypatch.setattr(langid, "LEAST_ROWS", 10)
+    coded = lambda i, zero: "".join(chr(ord(zero) + int(c)) for c in f"{i:03}")
+    words = {lang: [coded(i, zero) for i in range(400)] for lang, zero in (("en", "a"), ("fr", "k"))}
+    rows = spark.createDataFrame([(400 * k + i, f"{w} word word", lang) for k, lang in enumerate(words) for i, w in enumerate(words[lang])], "doc_id long, text string, lang string")
+    model = langid.fit(rows)
+    assert set(model.words.terms.to_pylist()) == {"word", *words["en"], *words["fr"]} and model.words.tail is None
+    assert model.words.total.tolist() == [[1200, 1200]]
+    monkeypatch.setattr(langid, "HEAD", 10)
+    small = langid.fit(rows)
+    assert small.words.terms.to_pylist() == ["word"] and len(small.grams.terms) <= 10
+    for i, lang in enumerate(small.langs):
+        known, scores = small.words.look_up(pa.array(words[lang]))
+        plain = model.words.look_up(pa.array(words[lang]))[1]
+        assert known.all() and np.abs(scores - plain).max() < 0.02, lang
+        assert small.predict(words[lang])[0] == [lang] * 400
+    assert not small.words.look_up(pa.array(["unseen", "forms"]))[0].any()
+
+
 def test_language_scores_row_by_row(spark):
     """The batch scorer against a plain one, word by word, from the same counts."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang IS NOT NULL")
