@@ -43,20 +43,23 @@ class KeyRegistry:
     def assign(self, rows: DataFrame, order: list) -> DataFrame:
         """``rows`` with their numbers; unseen natural keys get the next ones in ``order`` and are published.
 
-        ``rows`` is read twice: pass a stored table.
+        ``rows`` is read twice: pass a stored table. Unseen rows carry their number from where they were numbered; only
+        those known before are joined with the numbers stored.
         """
         base, state = self.log.newest({"folders": [], "top": 0})
         known = self.known(rows)
+        # numbered rows are frozen in their order, so they have the same numbers whenever they are read
         unseen = with_surrogate_key(rows.join(known, self._same(rows, known), "left_anti"), order, "_n")
+        unseen = unseen.select(*rows.columns, (F.col("_n") + state["top"]).alias(self.name))
+        old = rows.join(known, self._same(rows, known)).select(*[rows[c] for c in rows.columns], known[self.name])
         folder, seen = self.log.folder(base, "keys"), Observation()
-        (unseen.select(*self.natural, (F.col("_n") + state["top"]).alias(self.name))
+        (unseen.select(*self.natural, self.name)
                .observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{self.log.root}/{folder}"))
         if n := seen.get["n"]:
             self.log.commit(base, {"folders": [*state["folders"], folder], "top": state["top"] + n})
-            known = self.known(rows)
-        else:
-            self.log.files.delete(f"{self.log.root}/{folder}")
-        return rows.join(known, self._same(rows, known)).select(*[rows[c] for c in rows.columns], known[self.name])
+            return old.unionByName(unseen) if state["folders"] else unseen
+        self.log.files.delete(f"{self.log.root}/{folder}")
+        return old
 
     def compact(self) -> None:
         """One folder instead of one per load."""

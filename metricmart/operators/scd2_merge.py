@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import schemas
-from ..session import freeze
+from ..session import broadcast_if_small, freeze
 from .bucketed import BucketedTable
 from .registry import KeyRegistry
 from .scd2 import scd2_from_changes
@@ -56,14 +56,15 @@ class AccountHistory(BucketedTable):
         touched = freeze(users.select("user_id").union(changes.select("user_id")).distinct())
         hit = self.hit(state, touched)
         old = self.rows(state, hit)
+        touched = broadcast_if_small(touched)  # of a small drop: the history isn't shuffled to find its rows
         theirs = old.join(touched, "user_id", "left_semi")
         # stored events of the touched users, unless the drop brings them anew
         first = theirs.filter("ord = 0").select("user_id", "email", F.col("source_plan").alias("subscription_plan"), "registration_date")
         known = theirs.filter("ord = 1").select("change_id", "user_id", "old_plan", F.col("subscription_plan").alias("new_plan"), F.col("valid_from").alias("change_date"))
         users = freeze(users.unionByName(first.join(users.select("user_id"), "user_id", "left_anti")))
         changes = freeze(changes.unionByName(known.join(changes.select("change_id"), "change_id", "left_anti")))
-        made = (scd2_from_changes(users, changes).join(changes.select("change_id", "old_plan"), "change_id", "left")
-                .join(users.select("user_id", F.col("subscription_plan").alias("source_plan")), "user_id"))
+        made = scd2_from_changes(users.withColumn("source_plan", F.col("subscription_plan")), changes,
+                                 carry=("email", "source_plan"), carry_changes=("old_plan",))
         made = self.keys.assign(freeze(made), [*ORDER[:3], F.col("change_id").asc_nulls_first()])
         pending = self.log.folder(base, "pending")
         changes.join(users.select("user_id"), "user_id", "left_anti").select(*CHANGES.fieldNames()).write.parquet(f"{self.log.root}/{pending}")

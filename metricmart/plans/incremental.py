@@ -18,6 +18,7 @@ from .. import schemas
 from ..functions.columns import is_error
 from ..operators import facts, quality
 from ..operators.dims import status_codes
+from ..operators.keys import key_lookup
 from ..operators.registry import KeyRegistry
 from ..operators.scd2_merge import AccountHistory
 from ..session import freeze
@@ -55,12 +56,12 @@ class IncrementalWarehouse:
         new = {t: freeze(self.bookmarks.since(df, t)) for t, df in (("users", src.users), ("user_plan_changes", src.plan_changes), ("request_logs_raw", src.logs))}
         reached = {t: self.bookmarks.reached(df, t) for t, df in new.items()}
         self.accounts.apply(new["users"], new["user_plan_changes"])
-        logs = new["request_logs_raw"]
-        clean = quality.clean_logs(logs)
+        logs = freeze(quality.dedup_logs(new["request_logs_raw"]))  # once, for the status pairs and the fact
         dim_account = self.accounts.read()
         dim_key, dim_model = self._dimension("dim_api_key", src.api_keys), self._dimension("dim_model", src.models)
+        key_map = facts.assert_unique(freeze(key_lookup(src.api_keys, dim_key, dim_account)), ["key_id"], "key map")
         append_landed_logs(logs, base + 1, f"{self.root}/_seen", f"{self.root}/fct_api_requests", src.api_keys, dim_account, dim_key, dim_model,
-                           self.statuses(clean), facts.build_key_map(src.api_keys, dim_key, dim_account))
+                           self.statuses(quality.valid_logs(logs)), key_map, deduplicated=True)
         self.bookmarks.advance(base, reached)
         return {t: df.count() for t, df in new.items()}
 

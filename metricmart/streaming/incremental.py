@@ -11,7 +11,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
@@ -20,6 +19,7 @@ from .. import schemas
 from ..functions.columns import day_id
 from ..operators.seen import SeenIndex
 from ..operators.snapshots import account_daily_snapshot
+from ..session import freeze
 
 
 def refresh_touched_days(snapshot: DataFrame, fact: DataFrame, landed: DataFrame) -> DataFrame:
@@ -78,7 +78,7 @@ def stream_daily_calls(spark: SparkSession, fact_path: str, out_root: str, check
 
 def append_landed_logs(landed: DataFrame, batch_id: int, seen_path: str, fact_path: str, api_keys: DataFrame,
                        dim_account: DataFrame, dim_api_key: DataFrame, dim_model: DataFrame,
-                       dim_status: DataFrame, key_map: DataFrame | None = None) -> None:
+                       dim_status: DataFrame, key_map: DataFrame | None = None, deduplicated: bool = False) -> None:
     """Load one batch of newly landed raw request logs into the date-partitioned fact.
 
     * Exact dedup across batches: the index at ``seen_path`` (``operators.seen``) keeps every row that won dedup when it
@@ -91,16 +91,17 @@ def append_landed_logs(landed: DataFrame, batch_id: int, seen_path: str, fact_pa
       overwrite, and the batch's own earlier rows are ignored and replaced, so replaying a failed or
       repeated batch rewrites exactly its own rows.
     * ``key_map``: the warehouse's stored key dimension, read instead of rebuilt per batch.
+    * ``deduplicated``: ``landed`` is a stored table that went through ``dedup_logs`` already.
     """
     from ..operators import facts, quality
 
     spark = landed.sparkSession
     order = F.struct(*quality.LOG_ORDER)  # compares field by field, nulls first, as dedup does
-    # computed once: the comparison and three writes read it; a lost block is recomputed alike
-    winners = quality.dedup_logs(landed).persist(StorageLevel.MEMORY_AND_DISK)
+    # computed once: the comparison and three writes read it. Frozen, not persisted: a cached shuffle keeps all its partitions,
+    # whatever their size, and each of the writes would make files for every pair of them
+    winners = landed if deduplicated else freeze(quality.dedup_logs(landed))
     n, least, greatest = winners.agg(F.count(F.lit(1)), F.min("request_id"), F.max("request_id")).first()
     if not n:
-        winners.unpersist()
         return
     kept = ["request_id", *quality.LOG_ORDER]
     index = SeenIndex(spark, seen_path, StructType([schemas.REQUEST_LOGS_RAW[c] for c in kept]))
@@ -111,7 +112,8 @@ def append_landed_logs(landed: DataFrame, batch_id: int, seen_path: str, fact_pa
         fresh = (winners.join(first, "request_id", "left")
                         .filter(F.col("_stored").isNull() | (order < F.col("_stored.o")))
                         .withColumn("_old", F.col("_stored.load_batch").cast("int")).drop("_stored"))
-    fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+    if stored is not None:
+        fresh = freeze(fresh)
     valid = (fresh.filter(F.coalesce(quality.valid_numbers(), F.lit(False))).fillna({"error_code": "NONE"}).drop("_old"))
     fact = facts.build_fct_requests(valid, api_keys, dim_account, dim_api_key, dim_model, dim_status, key_map)
 
@@ -124,8 +126,6 @@ def append_landed_logs(landed: DataFrame, batch_id: int, seen_path: str, fact_pa
           fact_path, "request_date")
     write(fresh.filter("_old IS NOT NULL").select("request_id", F.col("_old").alias("stored_batch")), fact_path + "_replaced")
     index.add(fresh.select(*kept), batch_id)
-    fresh.unpersist()
-    winners.unpersist()
 
 
 def read_fact(spark: SparkSession, fact_path: str) -> DataFrame:
