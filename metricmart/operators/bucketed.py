@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import no_rows
 from .commits import CommitLog
 
 
@@ -40,7 +41,7 @@ class BucketedTable:
         held = StructType([*self.schema.fields]).add("bucket", "integer")
         parts = [self.spark.read.schema(held).parquet(f"{self.log.root}/{run}")
                      .filter(F.col("bucket").isin(sorted(int(b) for b, r in runs.items() if r == run))) for run in sorted(set(runs.values()))]
-        return (reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], held)).drop("bucket")
+        return (reduce(DataFrame.unionByName, parts) if parts else no_rows(self.spark, held)).drop("bucket")
 
     def read(self) -> DataFrame:
         return self.rows(self.state()[1])

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import no_rows
 from .commits import CommitLog
 from .keys import with_surrogate_key
 
@@ -34,7 +35,7 @@ class KeyRegistry:
         schema = StructType([like.schema[c] for c in self.natural]).add(self.name, "long")
         folders = self.log.newest({"folders": []})[1]["folders"]
         if not folders:
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*[f"{self.log.root}/{f}" for f in folders])
 
     def _same(self, a: DataFrame, b: DataFrame) -> Column:

@@ -15,7 +15,7 @@ replaces its earlier version. A drop that was published and is applied again cha
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -45,14 +45,18 @@ class AccountHistory(BucketedTable):
         """The newest published ``dim_account`` (with ``ord`` and ``change_id`` for the C-7 checks)."""
         return super().read().select(*schemas.DIM_ACCOUNT.fieldNames(), *(["ord", "change_id"] if keep_lineage else []))
 
-    def apply(self, users: DataFrame, changes: DataFrame) -> int:
-        """Take up a drop (either may be empty; each user and change once in it); the published version."""
+    def apply(self, users: DataFrame, changes: DataFrame, stored: bool = False) -> int:
+        """Take up a drop (either may be empty; each user and change once in it); the published version.
+        ``stored``: both are stored tables, which may be read again and again."""
         base, state = self.state()
         users, changes = schemas.conform(users, USERS), schemas.conform(changes, CHANGES)
         if state.get("pending"):
             waiting = self.spark.read.schema(CHANGES).parquet(f"{self.log.root}/{state['pending']}")
             changes = changes.unionByName(waiting.join(changes.select("change_id"), "change_id", "left_anti"))
-        users, changes = freeze(users), freeze(changes)
+            changes = freeze(changes)
+        elif not stored:
+            changes = freeze(changes)
+        users = users if stored else freeze(users)
         touched = freeze(users.select("user_id").union(changes.select("user_id")).distinct())
         hit = self.hit(state, touched)
         old = self.rows(state, hit)
@@ -67,9 +71,10 @@ class AccountHistory(BucketedTable):
                                  carry=("email", "source_plan"), carry_changes=("old_plan",))
         made = self.keys.assign(freeze(made), [*ORDER[:3], F.col("change_id").asc_nulls_first()])
         pending = self.log.folder(base, "pending")
-        changes.join(users.select("user_id"), "user_id", "left_anti").select(*CHANGES.fieldNames()).write.parquet(f"{self.log.root}/{pending}")
+        waiting, n = changes.join(users.select("user_id"), "user_id", "left_anti").select(*CHANGES.fieldNames()), Observation()
+        waiting.observe(n, F.count(F.lit(1)).alias("n")).write.parquet(f"{self.log.root}/{pending}")
         kept = old.join(touched, "user_id", "left_anti")
-        return self.publish(base, state, hit, kept.unionByName(schemas.conform(made, LINEAGE)), pending=pending)
+        return self.publish(base, state, hit, kept.unionByName(schemas.conform(made, LINEAGE)), pending=pending if n.get["n"] else None)
 
     def retire(self, keep: int = 2) -> None:
-        super().retire(keep, lambda state: {state["pending"]})
+        super().retire(keep, lambda state: {state["pending"]} - {None})

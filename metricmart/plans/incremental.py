@@ -21,7 +21,7 @@ from ..operators.dims import status_codes
 from ..operators.keys import key_lookup
 from ..operators.registry import KeyRegistry
 from ..operators.scd2_merge import AccountHistory
-from ..session import freeze
+from ..session import freeze, run_concurrently
 from ..sources.bookmarks import Bookmarks
 from ..sources.loader import Sources
 from ..streaming.incremental import append_landed_logs, read_fact
@@ -53,15 +53,23 @@ class IncrementalWarehouse:
     def load(self, src: Sources) -> dict[str, int]:
         """Take up what is new in ``src``; the number of rows read of each growing table."""
         base, _ = self.bookmarks.marks()
-        new = {t: freeze(self.bookmarks.since(df, t)) for t, df in (("users", src.users), ("user_plan_changes", src.plan_changes), ("request_logs_raw", src.logs))}
-        reached = {t: self.bookmarks.reached(df, t) for t, df in new.items()}
-        self.accounts.apply(new["users"], new["user_plan_changes"])
-        logs = freeze(quality.dedup_logs(new["request_logs_raw"]))  # once, for the status pairs and the fact
+        tables = {"users": src.users, "user_plan_changes": src.plan_changes, "request_logs_raw": src.logs}
+        new = dict(zip(tables, run_concurrently([lambda t=t, df=df: freeze(self.bookmarks.since(df, t)) for t, df in tables.items()]), strict=True))
+        reached = dict(zip(new, run_concurrently([lambda t=t, df=df: self.bookmarks.reached(df, t) for t, df in new.items()]), strict=True))
+
+        def landed() -> tuple[DataFrame, DataFrame]:
+            winners = freeze(quality.dedup_logs(new["request_logs_raw"]))  # once, for the status pairs and the fact
+            return winners, self.statuses(quality.valid_logs(winners))
+
+        self.keys  # (made before the threads)
+        # independent of each other: each has registries of its own
+        _, dim_key, dim_model, (logs, dim_status) = run_concurrently([
+            lambda: self.accounts.apply(new["users"], new["user_plan_changes"], stored=True),
+            lambda: self._dimension("dim_api_key", src.api_keys), lambda: self._dimension("dim_model", src.models), landed])
         dim_account = self.accounts.read()
-        dim_key, dim_model = self._dimension("dim_api_key", src.api_keys), self._dimension("dim_model", src.models)
         key_map = facts.assert_unique(freeze(key_lookup(src.api_keys, dim_key, dim_account)), ["key_id"], "key map")
         append_landed_logs(logs, base + 1, f"{self.root}/_seen", f"{self.root}/fct_api_requests", src.api_keys, dim_account, dim_key, dim_model,
-                           self.statuses(quality.valid_logs(logs)), key_map, deduplicated=True)
+                           dim_status, key_map, deduplicated=True)
         self.bookmarks.advance(base, reached)
         return {t: df.count() for t, df in new.items()}
 
