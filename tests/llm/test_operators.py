@@ -123,6 +123,44 @@ def test_neighbours_of_awkward_rows(spark):
     assert ann.neighbours(frame.where("vec_id = 40")).count() == 0
 
 
+def test_neighbours_over_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 400)
+    monkeypatch.setattr(ann, "MOST_BLOCK", 400)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(8, 12))
+    rows = [(5 * i, [float(x) for x in centres[i % 8] + 0.3 * rng.normal(size=12)]) for i in range(1800)]  # 5 blocks, 2 of queries
+    assert ann.block_size(1800, 12) == 400
+    want = plain_neighbours(rows)
+    got = {}
+    for r in ann.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert len(got[r.query_id]) == r["rank"]
+    assert set(got) == set(want) and all(len(near) == 20 and near == sorted(near, key=lambda x: (-x[1], x[0])) for near in got.values())
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.97
+
+
+def test_neighbours_cost_less_a_vector_in_larger_tables():
+    """Entries walked and vectors reranked for a query grow slower than the table, at the same recall."""
+    rng = np.random.default_rng(5)
+    basis = rng.normal(size=(8, 64))
+
+    def cost(n):
+        vectors = rng.normal(size=(n, 8)) @ basis
+        vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+        first, queries = np.arange(n), vectors[:40]
+        block = ann.Block(vectors, 1.0, vectors[-ann.pivot_count(n, 64):])
+        order = ann.nearest_pivots(queries, 1.0, block.pivots, query=True)
+        share = np.quantile(np.concatenate([x for _, _, x in block.needed(queries, 21, first)]), ann.AIM)
+        found = [set(near.tolist()) for near, _ in block.search(queries, 21, first, share)]
+        true = [set(np.argsort(-(vectors @ q), kind="stable")[:21].tolist()) for q in queries]
+        assert np.mean([len(a & b) / 21 for a, b in zip(found, true, strict=True)]) >= 0.99
+        walked = np.mean([sum(block.ends[p + 1] - block.ends[p] for p in o) for o in order.tolist()])
+        return walked + max(ann.LEAST, share * n)
+
+    small, large = cost(4_000), cost(64_000)
+    assert large < 16 ** 0.75 * small
+
+
 # ---- 3: Jaccard join
 
 def test_jaccard_links(spark, docs, awkward):
