@@ -6,7 +6,8 @@ place. A query walks the files of its own nearest pivots. With places counted fr
 pivot put at place ``NEAREST``, the footrule distance of two orders is a constant less twice the sum,
 over the pivots they share, of NEAREST - max(place, place); so walking the files adds up that sum.
 The share of the block that is nearest by footrule (``LEAST`` at least) is reranked by the exact
-inner product of the original vectors in double precision, and the blocks' best are merged.
+inner product of the original vectors in double precision, and the blocks' best are merged. Those that
+can't be among the best, whatever the error of single precision, are left out of it by a product in that.
 
 There are ``PER_ROOT`` pivots per square root of the number of vectors (``PIVOTS`` at least), so a
 query walks a part of the files that shrinks as the table grows. The share is measured: of ``SAMPLE``
@@ -48,7 +49,7 @@ LEAST = 256
 BLOCK = 8192  # distinct vectors in a block, about; in tables of more than FEW_BLOCKS such blocks up to
 MOST_BLOCK = 1 << 16  # or BLOCK_NUMBERS components, so that there are fewer pairs of blocks to shuffle
 BLOCK_NUMBERS = 1 << 22
-FEW_BLOCKS = 4
+FEW_BLOCKS = 16
 ROWS = 1024  # vectors whose distances from all pivots are held at a time
 FOUND = "asks long, at long, first long, score double"
 
@@ -88,14 +89,16 @@ class Block:
         self.places = order.shape[1]
         entry = np.argsort(order, axis=None, kind="stable")
         self.row, self.left = entry // self.places, (self.places - entry % self.places).astype(float)
+        self.rough = (vectors / norm).astype(np.float32)
         self.ends = np.concatenate([[0], np.cumsum(np.bincount(order.ravel(), minlength=len(pivots)))]).tolist()
 
     def shared(self, order: np.ndarray) -> np.ndarray:
         """The sum that footrule distances fall with, of each vector and a query's nearest pivots."""
         files = [slice(self.ends[p], self.ends[p + 1]) for p in order.tolist()]
         row = np.concatenate([self.row[f] for f in files])
-        left = np.concatenate([np.minimum(self.left[f], self.places - place) for place, f in enumerate(files)])
-        return np.bincount(row, left, len(self.vectors)).astype(np.int64)
+        left = np.concatenate([self.left[f] for f in files])
+        own = np.repeat(np.arange(self.places, 0, -1.0), [f.stop - f.start for f in files])
+        return np.bincount(row, np.minimum(left, own, out=left), len(self.vectors)).astype(np.int64)
 
     def nearest(self, order: np.ndarray, wanted: int) -> np.ndarray:
         """Rows of the ``wanted`` vectors nearest by footrule; of equally near ones the first."""
@@ -111,9 +114,18 @@ class Block:
         """For each query: rows of its best vectors and their scores, best first."""
         wanted = max(LEAST, most, int(np.ceil(share * len(self.vectors))))
         for q, order in zip(queries, nearest_pivots(queries, self.norm, self.pivots, query=True), strict=True):
-            near = self.nearest(order, wanted)
+            near = self.likely(self.nearest(order, wanted), q, most)
             yield self.best(near, self.vectors[near] @ q, most, first)
 
+    def likely(self, near: np.ndarray, q: np.ndarray, most: int) -> np.ndarray:
+        """Those that may be among the ``most`` of largest product: all but what single precision, with
+        twice its largest error (of a product of two vectors no longer than 1), puts below so many."""
+        if most >= len(near):
+            return near
+        rough = self.rough.take(near, axis=0) @ (q / np.linalg.norm(q)).astype(np.float32)
+        error = (len(q) + 8) * float(np.finfo(np.float32).eps)
+        return near[~(rough < np.partition(rough, len(near) - most)[len(near) - most] - 2 * error)]
+
     def best(self, near: np.ndarray, score: np.ndarray, most: int, first: np.ndarray):
         """The ``most`` of largest score, ties to the smaller ``first``."""
         if most < len(near):

@@ -161,6 +161,25 @@ def test_neighbours_cost_less_a_vector_in_larger_tables():
     assert large < 16 ** 0.75 * small
 
 
+@pytest.mark.parametrize("scale", [1.0, 1e150, 1e-150, 1e200, 1e-200])
+def test_neighbours_single_precision_loses_none(scale):
+    """What is put aside in single precision isn't among the best, ties and products that differ by less than its error included."""
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(3000, 20))
+    vectors[500:900] = vectors[0] + 1e-9 * rng.normal(size=(400, 20))
+    vectors[900:1000] = vectors[1]
+    vectors *= scale
+    with np.errstate(all="ignore"):
+        block = ann.Block(vectors, float(np.sqrt((vectors ** 2).sum(axis=1).max())), vectors[-128:])
+        every, first = np.arange(3000), rng.permutation(3000)
+        for q in (vectors[0], vectors[1], vectors[2], *rng.normal(size=(5, 20))):
+            score = vectors @ q
+            kept = block.likely(every, q, 21)
+            assert block.best(kept, score[kept], 21, first)[0].tolist() == block.best(every, score, 21, first)[0].tolist()
+            if scale == 1.0:
+                assert len(kept) < 600
+
+
 # ---- 3: Jaccard join
 
 def test_jaccard_links(spark, docs, awkward):
