@@ -562,6 +562,32 @@ def test_language_is_learned_from_every_document(spark, monkeypatch):
     assert not small.words.look_up(pa.array(["unseen", "forms"]))[0].any()
 
 
+@pytest.mark.parametrize(("base", "count", "head", "whole"), [(10, 20_000, 0, [False, False]), (10, 20_000, 400, [False, False]), (10, 700, 4500, [True, False]), (2, 20_000, 400, [False, True])])
+def test_no_count_is_estimated_beyond_the_head(spark, monkeypatch, base, count, head, whole):
+    """Terms that workers don't hold count as they are, however rare among however many: words met once, n-grams of unseen words."""
+    coded = lambda i, zero: "".join(chr(ord(zero) + i // base ** k % base) for k in range({10: 5, 2: 15}[base]))
+    firsts = {10: "afk", 2: "abc"}[base]  # languages share letters
+    words = {lang: [coded(7 * i, zero) for i in range(count)] for lang, zero in zip(("en", "fr", "xx"), firsts, strict=True)}
+    rows = [(lang, " ".join(own[i:i + 50]) + f" the {lang}") for lang, own in words.items() for i in range(0, count, 50)]
+    rows += [("en", "both both le le"), ("fr", "both le le le"), ("fr", None), ("en", "")]
+    monkeypatch.setattr(langid, "HEAD", head)
+    model = langid.fit(spark.createDataFrame(rows, "lang string, text string").repartition(3))
+    plain = brute.Language([r for r in rows if r[1]])
+    texts = [t for _, t in rows[::60]] + [w for own in words.values() for w in own[::count // 40]]
+    texts += [f"{coded(i, z)}x{coded(3 * i, z)} unseen é {coded(i, z)}" for i in range(0, 700, 30) for z in firsts]
+    texts += ["both", "le both", "zzz 中文 zzz zzz", "中", "x", "", None, "12 ½", " ".join(t or "" for _, t in rows)] + [rows[0][1]] * 3
+    docs = spark.createDataFrame([(t, i % 3 or None) for i, t in enumerate(texts)], "text string, row int").repartition(3)
+    got = langid.identify(docs, model).collect()
+    assert Counter((r.text, r.row) for r in got) == Counter((t, i % 3 or None) for i, t in enumerate(texts))
+    for r in got:
+        pred, score = plain.predict(r.text)
+        assert r.lang_pred == pred and abs(r.score - score) < 1e-5, (r, pred, score)
+    some = texts[::9]
+    for t, pred, score in zip(some, *model.predict(some), strict=True):
+        assert pred == plain.predict(t)[0] and abs(score - plain.predict(t)[1]) < 1e-5, t
+    assert [model.words.whole, model.grams.whole] == whole and len(model.words.terms) <= head and len(model.grams.terms) <= head
+
+
 def test_language_scores_row_by_row(spark):
     """The batch scorer against a plain one, word by word, from the same counts."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang IS NOT NULL")
